@@ -40,8 +40,9 @@ def _money(value: Column, scale: int) -> Column:
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw bookings; ``booking_source`` is F for batch and O for stream.
 
-    Nation and region have a fixed number of rows; which of the other tables
-    is broadcast is left to the optimizer and its size limit.
+    Orders grow with line items, so they are never broadcast: the merge join
+    shuffles both by order key. Which of the other tables is broadcast is left
+    to the optimizer and its size limit.
     """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
@@ -52,7 +53,7 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     rows = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(hotels, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
     )
@@ -66,7 +67,7 @@ def _values() -> dict[str, Column]:
     quantity = c("l_quantity").cast("int")
     price = _money(c("l_extendedprice"), 2) - F.when(_every("l_linenumber", 2, 0), lit(50000)).otherwise(lit(0)).cast("decimal(18,2)")
     share = lambda name: c(name).cast("decimal(4,2)")
-    iso = lambda d: F.date_format(d, "yyyy-MM-dd")
+    iso = lambda d: d.cast("string")
     stay = quantity - 2 + F.when(_every("l_partkey", 47, 5), lit(365)).otherwise(lit(0))
     booked = F.date_sub(day, (c("l_partkey") % 30).cast("int"))
     city = c("n_name")

@@ -152,12 +152,17 @@ def accepted(tagged: DataFrame) -> DataFrame:
 
 
 def rejected(df: DataFrame, tagged: DataFrame) -> DataFrame:
-    """Every raw row that is not in silver: distinct rows with reason and number."""
-    duplicates = surplus_rows(
-        df.where(~any_null(CRITICAL_COLUMNS)),
-        tagged.where(~F.col(REASON).eqNullSafe(NULL_CRITICAL)),
-        "row_count",
-    ).withColumn(REASON, F.lit(DUPLICATE))
+    """Every raw row that is not in silver: distinct rows with reason and number.
+
+    Only rows of bookings with several rows are compared with the survivors.
+    """
+    contested = tagged.where(F.col(COPIES) > 1)
+    candidates = df.where(~any_null(CRITICAL_COLUMNS)).join(
+        contested.select("booking_id"), "booking_id", "left_semi"
+    )
+    duplicates = surplus_rows(candidates, contested, "row_count").withColumn(
+        REASON, F.lit(DUPLICATE)
+    )
     others = (
         tagged.where(F.col(REASON).isNotNull())
         .drop(COPIES)

@@ -108,8 +108,10 @@ def _result(e: Expectation, evaluated: Column, unexpected: Column) -> Column:
     )
 
 
-def run_suite(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
-    """One row per expectation. Lazy."""
+def run_suite(
+    df: DataFrame, suite: Sequence[Expectation], with_total: bool = False
+) -> DataFrame:
+    """One row per expectation, on request with the rows of the table. Lazy."""
     plain = [e for e in suite if e.kind != UNIQUE]
     frames = []
     if plain:
@@ -127,21 +129,27 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
                 measures.append(F.count(e.column).alias(f"_seen{i}"))
                 seen = F.col(f"_seen{i}")
             rows.append(_result(e, seen, F.col(f"_bad{i}")))
-        frames.append(df.agg(*measures).select(F.inline(F.array(*rows))))
+        total = [F.col("_rows").alias("total_rows")] if with_total else []
+        frames.append(df.agg(*measures).select(F.inline(F.array(*rows)), *total))
     for e in suite:
         if e.kind != UNIQUE:
             continue
-        groups = (
-            df.where(F.col(e.column).isNotNull())
-            .groupBy(e.column)
-            .agg(F.count(F.lit(1)).alias("_n"))
-        )
+        # Nulls are one group here; they count as rows but not as evaluated.
+        groups = df.groupBy(e.column).agg(F.count(F.lit(1)).alias("_n"))
+        known = F.col(e.column).isNotNull()
         counted = groups.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("_seen"),
-            F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("_bad"),
+            *[
+                F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0)).alias(name)
+                for name, condition in (
+                    ("_all", F.lit(True)), ("_seen", known), ("_bad", known & (F.col("_n") > 1)),
+                )
+            ]
         )
         frames.append(
-            counted.select(F.inline(F.array(_result(e, F.col("_seen"), F.col("_bad")))))
+            counted.select(
+                F.inline(F.array(_result(e, F.col("_seen"), F.col("_bad")))),
+                *([F.col("_all").alias("total_rows")] if with_total else []),
+            )
         )
     out = frames[0]
     for frame in frames[1:]:

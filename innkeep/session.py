@@ -16,9 +16,20 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM does not compile methods of more than 8000 bytes. A stage over
+    # fifty columns can exceed that when fused into one method; then it is
+    # better generated operator by operator, in methods that do get compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """The settings on a session that is already running; all can change at run time."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app: str = "innkeep", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for key, value in {**SETTINGS, **conf}.items():

@@ -58,6 +58,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A folder of CSV files with headers, quoted so that ``read_csv`` gives the rows back."""
     (
         df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

@@ -78,7 +78,7 @@ def read_gold(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(f"{GOLD}.{name}").select(*GOLD_TABLES[name].names)
 
 
-def row_counts(spark: SparkSession, written: int, stored: DataFrame) -> DataFrame:
+def row_counts(written: int, stored: DataFrame) -> DataFrame:
     """Rows written, rows stored, whether they agree. The count reads file footers only."""
     return stored.agg(F.count(F.lit(1)).alias("rows_stored")).select(
         F.lit(written).cast("bigint").alias("rows_written"),
