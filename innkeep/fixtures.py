@@ -8,7 +8,7 @@ a second engine can derive the same bookings.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,16 +25,75 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _every(key: str, n: int, rest: int) -> Column:
-    return F.col(key) % n == rest
-
-
-def _unless(hit: Column, value: Column, instead: str | None = None) -> Column:
-    return F.when(hit, F.lit(instead).cast("string")).otherwise(value)
-
-
-def _money(value: Column, scale: int) -> Column:
-    return value.cast(f"decimal(18,{scale})")
+_CITY = "case s_nationkey " + " ".join(f"when {i} then '{c}'" for i, c in enumerate(CITIES)) + " else n_name end"
+_DAY = "cast(o_orderdate as date)"
+_QTY = "cast(l_quantity as int)"
+_PRICE = "cast(cast(l_extendedprice as decimal(18,2)) - if(l_linenumber % 2 = 0, 50000, 0) as decimal(18,2))"
+_STAY = f"{_QTY} - 2 + if(l_partkey % 47 = 5, 365, 0)"
+_RETURNED = "l_returnflag = 'R'"
+
+
+def _share_of_price(share: str) -> str:
+    return f"cast(cast({_PRICE} * {share} as decimal(22,4)) as string)"
+
+
+# SQL of each raw column; the others are null.
+_VALUES = {
+    "booking_id": "if(l_orderkey % 101 = 7, null, concat_ws('-', l_orderkey, l_linenumber))",
+    "booking_date": f"case when l_partkey % 67 = 2 then null when l_partkey % 59 = 1 then '0000-00-00' "
+                    f"else cast(date_sub({_DAY}, cast(l_partkey % 30 as int)) as string) end",
+    "checkin_date": f"if(l_partkey % 61 = 3, '0000-00-00', cast({_DAY} as string))",
+    "checkout_date": f"cast(date_add({_DAY}, {_STAY}) as string)",
+    "nights": f"concat({_QTY}, '.0')",
+    "booking_status": "case when l_linenumber = 7 then 'no show' "
+                      "when o_orderstatus = 'F' then if(l_orderkey % 5 = 0, 'CNF', 'cnf') "
+                      "when o_orderstatus = 'P' then 'Pending' else 'canceled' end",
+    "booking_channel": "o_orderpriority",
+    "booking_source": "l_linestatus",
+    "is_cancelled": "case l_returnflag when 'R' then 'True' when 'A' then 'False' end",
+    "cancellation_date": f"if({_RETURNED}, cast(cast(l_shipdate as date) as string), null)",
+    "cancellation_reason": f"if({_RETURNED}, concat('reason ', l_partkey % 3), null)",
+    "customer_id": "concat('C', o_custkey)",
+    "first_name": "'Customer'",
+    "last_name": "cast(o_custkey as string)",
+    "full_name": "concat('  ', replace(c_name, '#', '  # '), ' ')",
+    "email": "concat('c', o_custkey, '@example.com')",
+    "phone": "concat('+', o_custkey * 7)",
+    "gender": "if(o_custkey % 2 = 0, 'F', 'M')",
+    "country_customer": "concat('NATION_', c_nationkey)",
+    "city_customer": "concat('CITY_', c_nationkey)",
+    "postal_code": "cast(o_custkey % 9973 as string)",
+    "language_preference": "if(o_custkey % 3 = 0, 'en', 'de')",
+    "loyalty_level_customer": "c_mktsegment",
+    "marketing_consent": "if(o_custkey % 4 = 0, 'yes', 'no')",
+    "hotel_id": "concat('H', l_suppkey)",
+    "hotel_name": "if(l_orderkey % 107 = 4, null, concat(' ', s_name, ' '))",
+    "country": "if(s_nationkey = 24, null, concat(lower(r_name), ' '))",
+    "city": "case when l_partkey % 97 = 6 then null when l_partkey % 89 = 8 then '' else h_city end",
+    "hotel_type": "if(l_suppkey % 3 = 0, 'resort', 'city hotel')",
+    "star_rating": "cast(l_suppkey % 5 + 1 as string)",
+    "total_rooms": "cast(l_suppkey * 10 + 50 as string)",
+    "latitude": "concat(l_suppkey % 90, '.5')",
+    "longitude": "concat(l_suppkey % 180, '.25')",
+    "website": "concat('https://h', l_suppkey, '.example.com')",
+    "room_type": "case l_linenumber when 1 then 'sngl' when 2 then ' dbl' when 3 then 'Suite' "
+                 "when 4 then 'TWIN' when 5 then '2' when 6 then 'king' end",
+    "rooms_booked": "'1'",
+    "adults": f"if(l_partkey % 41 = 0, 'x', cast({_QTY} % 3 + 1 as string))",
+    "children": f"concat({_QTY} % 2, '.0')",
+    "infants": "if(l_partkey % 10 = 0, '1', null)",
+    "special_requests": "if(l_partkey % 6 = 0, 'late, \"quiet\" room', null)",
+    "promotion_code": "if(l_partkey % 9 = 0, 'P9', null)",
+    "total_price": f"case when l_orderkey % 103 = 9 then null when l_partkey % 83 = 11 then 'abc' "
+                   f"else cast({_PRICE} as string) end",
+    "room_price": f"cast({_PRICE} as string)",
+    "tax_amount": _share_of_price("cast(l_tax as decimal(4,2))"),
+    "service_fee": "if(l_partkey % 7 = 0, '12.50', '0.00')",
+    "paid_amount": _share_of_price("(cast(1 as decimal(4,2)) - cast(l_discount as decimal(4,2)))"),
+    "discount_amount": _share_of_price("cast(l_discount as decimal(4,2))"),
+    "payment_status": "if(l_linestatus = 'F', 'paid', 'open')",
+    "payment_method": "if(o_custkey % 2 = 0, 'card', 'cash')",
+}
 
 
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,125 +103,59 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffles both by order key. Which of the other tables is broadcast is left
     to the optimizer and its size limit.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer")
+    t = {n: table(spark, sf_dir, n) for n in
+         ("lineitem", "orders", "supplier", "nation", "region", "customer")}
     hotels = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        t["supplier"].join(t["nation"], F.expr("s_nationkey = n_nationkey"))
+        .join(t["region"], F.expr("n_regionkey = r_regionkey"))
+        .selectExpr("s_suppkey", "s_name", "s_nationkey", "r_name", f"{_CITY} as h_city")
     )
     rows = (
-        lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(hotels, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        t["lineitem"].join(t["orders"].hint("merge"), F.expr("l_orderkey = o_orderkey"))
+        .join(hotels, F.expr("l_suppkey = s_suppkey"))
+        .join(t["customer"], F.expr("o_custkey = c_custkey"))
+    )
+    return rows.selectExpr(
+        *[f"{_VALUES.get(c, 'cast(null as string)')} as {c}" for c in BOOKING_COLUMNS]
     )
-    return rows.select(*[value.alias(name) for name, value in _values().items()])
-
-
-def _values() -> dict[str, Column]:
-    c, lit = F.col, F.lit
-    text = lambda name: c(name).cast("string")
-    day = c("o_orderdate").cast("date")
-    quantity = c("l_quantity").cast("int")
-    price = _money(c("l_extendedprice"), 2) - F.when(_every("l_linenumber", 2, 0), lit(50000)).otherwise(lit(0)).cast("decimal(18,2)")
-    share = lambda name: c(name).cast("decimal(4,2)")
-    iso = lambda d: d.cast("string")
-    stay = quantity - 2 + F.when(_every("l_partkey", 47, 5), lit(365)).otherwise(lit(0))
-    booked = F.date_sub(day, (c("l_partkey") % 30).cast("int"))
-    city = c("n_name")
-    for i, name in enumerate(CITIES):
-        city = F.when(c("s_nationkey") == i, lit(name)).otherwise(city)
-    city = F.when(_every("l_partkey", 89, 8), lit("")).otherwise(city)
-    returned = c("l_returnflag") == "R"
-    values = {
-        "booking_id": _unless(_every("l_orderkey", 101, 7), F.concat_ws("-", text("l_orderkey"), text("l_linenumber"))),
-        "booking_date": F.when(_every("l_partkey", 67, 2), lit(None).cast("string")).otherwise(
-            _unless(_every("l_partkey", 59, 1), iso(booked), "0000-00-00")),
-        "checkin_date": _unless(_every("l_partkey", 61, 3), iso(day), "0000-00-00"),
-        "checkout_date": iso(F.date_add(day, stay)),
-        "nights": F.concat(quantity.cast("string"), lit(".0")),
-        "booking_status": F.when(c("l_linenumber") == 7, lit("no show"))
-            .when(c("o_orderstatus") == "F", F.when(_every("l_orderkey", 5, 0), lit("CNF")).otherwise(lit("cnf")))
-            .when(c("o_orderstatus") == "P", lit("Pending")).otherwise(lit("canceled")),
-        "booking_channel": c("o_orderpriority"),
-        "booking_source": c("l_linestatus"),
-        "is_cancelled": F.when(returned, lit("True")).when(c("l_returnflag") == "A", lit("False")),
-        "cancellation_date": F.when(returned, iso(c("l_shipdate").cast("date"))),
-        "cancellation_reason": F.when(returned, F.concat(lit("reason "), (c("l_partkey") % 3).cast("string"))),
-        "customer_id": F.concat(lit("C"), text("o_custkey")),
-        "first_name": lit("Customer"),
-        "last_name": text("o_custkey"),
-        "full_name": F.concat(lit("  "), F.replace(c("c_name"), lit("#"), lit("  # ")), lit(" ")),
-        "email": F.concat(lit("c"), text("o_custkey"), lit("@example.com")),
-        "phone": F.concat(lit("+"), (c("o_custkey") * 7).cast("string")),
-        "gender": F.when(_every("o_custkey", 2, 0), lit("F")).otherwise(lit("M")),
-        "country_customer": F.concat(lit("NATION_"), text("c_nationkey")),
-        "city_customer": F.concat(lit("CITY_"), text("c_nationkey")),
-        "postal_code": (c("o_custkey") % 9973).cast("string"),
-        "language_preference": F.when(_every("o_custkey", 3, 0), lit("en")).otherwise(lit("de")),
-        "loyalty_level_customer": c("c_mktsegment"),
-        "marketing_consent": F.when(_every("o_custkey", 4, 0), lit("yes")).otherwise(lit("no")),
-        "hotel_id": F.concat(lit("H"), text("l_suppkey")),
-        "hotel_name": _unless(_every("l_orderkey", 107, 4), F.concat(lit(" "), c("s_name"), lit(" "))),
-        "country": _unless(c("s_nationkey") == 24, F.concat(F.lower(c("r_name")), lit(" "))),
-        "city": _unless(_every("l_partkey", 97, 6), city),
-        "hotel_type": F.when(_every("l_suppkey", 3, 0), lit("resort")).otherwise(lit("city hotel")),
-        "star_rating": (c("l_suppkey") % 5 + 1).cast("string"),
-        "total_rooms": (c("l_suppkey") * 10 + 50).cast("string"),
-        "latitude": F.concat((c("l_suppkey") % 90).cast("string"), lit(".5")),
-        "longitude": F.concat((c("l_suppkey") % 180).cast("string"), lit(".25")),
-        "website": F.concat(lit("https://h"), text("l_suppkey"), lit(".example.com")),
-        "room_type": F.element_at(
-            F.array(*[lit(r) for r in ("sngl", " dbl", "Suite", "TWIN", "2", "king")], lit(None).cast("string")),
-            c("l_linenumber")),
-        "rooms_booked": lit("1"),
-        "adults": F.when(_every("l_partkey", 41, 0), lit("x")).otherwise((quantity % 3 + 1).cast("string")),
-        "children": F.concat((quantity % 2).cast("string"), lit(".0")),
-        "infants": F.when(_every("l_partkey", 10, 0), lit("1")),
-        "special_requests": F.when(_every("l_partkey", 6, 0), lit('late, "quiet" room')),
-        "promotion_code": F.when(_every("l_partkey", 9, 0), lit("P9")),
-        "total_price": F.when(_every("l_orderkey", 103, 9), lit(None).cast("string")).otherwise(
-            _unless(_every("l_partkey", 83, 11), price.cast("string"), "abc")),
-        "room_price": price.cast("string"),
-        "tax_amount": (price * share("l_tax")).cast("decimal(22,4)").cast("string"),
-        "service_fee": F.when(_every("l_partkey", 7, 0), lit("12.50")).otherwise(lit("0.00")),
-        "paid_amount": (price * (lit(1).cast("decimal(4,2)") - share("l_discount"))).cast("decimal(22,4)").cast("string"),
-        "discount_amount": (price * share("l_discount")).cast("decimal(22,4)").cast("string"),
-        "payment_status": F.when(c("l_linestatus") == "F", lit("paid")).otherwise(lit("open")),
-        "payment_method": F.when(_every("o_custkey", 2, 0), lit("card")).otherwise(lit("cash")),
-    }
-    return {name: values.get(name, F.lit(None).cast("string")) for name in BOOKING_COLUMNS}
 
 
 def batch_and_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = bookings(spark, sf_dir)
-    stream = rows.where(F.col("booking_source") != "F").drop(*NOT_IN_STREAM)
-    return rows.where(F.col("booking_source") == "F"), stream
+    batch = rows.where("booking_source = 'F'")
+    return batch, rows.where("booking_source <> 'F'").drop(*NOT_IN_STREAM)
+
+
+# How the dates of ``dirty_dates`` are written.
+_WRITTEN_AS = [
+    "M/d/yyyy", "yyyy-MM-dd", "d/M/yyyy", "dd-MM-yyyy", "yyyyMMdd", "MMM d, yyyy", "MMMM d, yyyy",
+    "dd.MM.yyyy",
+]
+
+
+def _written(selector: str) -> str:
+    whens = " ".join(f"when {i} then date_format(day, '{p}')" for i, p in enumerate(_WRITTEN_AS))
+    return (
+        f"case {selector} {whens} when 8 then concat(' !!', date_format(day, 'M/d/yyyy'), ' ') "
+        "when 9 then '0000-00-00' end"
+    )
 
 
 def dirty_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as bookings whose dates come in many formats, some unreadable."""
-    day = F.date_add(F.col("o_orderdate").cast("date"), 7305)
-    patterns = [
-        "M/d/yyyy", "yyyy-MM-dd", "d/M/yyyy", "dd-MM-yyyy", "yyyyMMdd", "MMM d, yyyy",
-        "MMMM d, yyyy", "dd.MM.yyyy",
-    ]
-
-    def rendered(selector: Column, prefix: str = "") -> Column:
-        out = F.lit(None).cast("string")
-        for i, pattern in enumerate(patterns):
-            out = F.when(selector == i, F.concat(F.lit(prefix), F.date_format(day, pattern))).otherwise(out)
-        out = F.when(selector == 8, F.concat(F.lit(" !!"), F.date_format(day, "M/d/yyyy"), F.lit(" "))).otherwise(out)
-        return F.when(selector == 9, F.lit("0000-00-00")).otherwise(out)
-
-    key = F.col("o_orderkey")
-    return table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("B"), key.cast("string")).alias("booking_id"),
-        rendered(key % 11).alias("booking_date"),
-        rendered((key % 7 + 3) % 10 + F.when(key % 13 < 6, 3).otherwise(0)).alias("checkin_date"),
-        rendered(F.when(key % 17 < 3, F.lit(10)).otherwise(key % 9)).alias("checkout_date"),
+    days = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as k", "date_add(cast(o_orderdate as date), 7305) as day"
     )
+    return days.selectExpr(
+        "concat('B', k) as booking_id",
+        f"{_written('k % 11')} as booking_date",
+        f"{_written('(k % 7 + 3) % 10 + if(k % 13 < 6, 3, 0)')} as checkin_date",
+        f"{_written('if(k % 17 < 3, 10, k % 9)')} as checkout_date",
+    )
+
+
+def _codes(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
 def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,42 +163,40 @@ def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A payload holds at most seven days, so what is collected for it is bounded.
     """
-    names = [n.strip().title() for n in CITIES if n != " london "]
-    city = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("user_id") % 8 + 1).cast("int"))
+    cities = [c.strip().title() for c in CITIES if c != " london "]
     daily = (
         table(spark, sf_dir, "events")
-        .groupBy(city.alias("city"), F.col("ts").cast("date").alias("day"))
-        .agg(
-            F.max("value").alias("temperature_2m_max"),
-            F.min("value").alias("temperature_2m_min"),
-            F.count(F.lit(1)).cast("double").alias("rain_sum"),
-            F.max(F.col("event_id") % 97).cast("double").alias("windspeed_10m_max"),
-        )
-    )
-    series = ["temperature_2m_max", "temperature_2m_min", "rain_sum", "windspeed_10m_max"]
-    week = daily.groupBy("city", F.floor(F.datediff("day", F.lit("2024-01-01")) / 7).alias("week")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("day").cast("string").alias("time"), *series))).alias("days")
+        .groupBy(F.expr(f"element_at({_codes(cities)}, cast(user_id % 8 + 1 as int))").alias("city"),
+                 F.expr("cast(ts as date)").alias("day"))
+        .agg(F.expr("""named_struct('time', cast(cast(min(ts) as date) as string),
+            'temperature_2m_max', max(value), 'temperature_2m_min', min(value),
+            'rain_sum', cast(count(*) as double),
+            'windspeed_10m_max', cast(max(event_id % 97) as double))""").alias("figures"))
     )
-    body = F.to_json(F.struct(F.struct(
-        *[F.col("days").getField(n).alias(n) for n in ["time", *series]]
-    ).alias("daily")))
-    return week.select(
-        "city", F.lit(50.0).alias("latitude"), F.lit(8.0).alias("longitude"), "week", body.alias("payload")
+    weeks = daily.groupBy(
+        "city", F.expr("floor(datediff(day, date'2024-01-01') / 7)").alias("week")
+    ).agg(F.expr("sort_array(collect_list(figures))").alias("days"))
+    series = ", ".join(f"'{n}', days.{n}" for n in (
+        "time", "temperature_2m_max", "temperature_2m_min", "rain_sum", "windspeed_10m_max"))
+    return weeks.selectExpr(
+        "city", "50.0D as latitude", "8.0D as longitude", "week",
+        f"to_json(named_struct('daily', named_struct({series}))) as payload",
     )
 
 
 def rate_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payload of currency rates per order day; at most twelve codes in each."""
     codes = ["USD", "GBP", "TRY", "CHF", "JPY", "AUD", "CAD", "SEK", "NOK", "DKK", "PLN", "HUF"]
-    code = F.element_at(F.array(*[F.lit(x) for x in codes]), (F.col("o_custkey") % 12 + 1).cast("int"))
     rates = (
         table(spark, sf_dir, "orders")
-        .groupBy(F.col("o_orderdate").cast("date").alias("day"), code.alias("code"))
-        .agg(F.max(F.col("o_custkey") % 1000 / F.lit(8.0) + 1).alias("rate"))
+        .groupBy(F.expr("cast(o_orderdate as date)").alias("day"),
+                 F.expr(f"element_at({_codes(codes)}, cast(o_custkey % 12 + 1 as int))").alias("code"))
+        .agg(F.expr("max(cast(o_custkey % 1000 as double) / 8 + 1)").alias("rate"))
+    )
+    of_day = rates.groupBy("day").agg(
+        F.expr("map_from_entries(sort_array(collect_list(struct(code, rate))))").alias("rates")
     )
-    entries = F.map_from_entries(F.sort_array(F.collect_list(F.struct("code", "rate"))))
-    body = F.to_json(F.struct(F.lit("EUR").alias("base"), F.col("rates")))
-    return rates.groupBy("day").agg(entries.alias("rates")).select("day", body.alias("payload"))
+    return of_day.selectExpr("day", "to_json(named_struct('base', 'EUR', 'rates', rates)) as payload")
 
 
 EVENT_SCHEMA = T.StructType([

@@ -2,32 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Whole part of a plain decimal number. Exponents do not count as integers.
-_WHOLE_PART = r"^\s*([+-]?[0-9]+)(?:[.][0-9]*)?\s*$"
+_WHOLE_PART = r"r'^\s*([+-]?[0-9]+)(?:[.][0-9]*)?\s*$'"
 
 
-def to_date_or_null(text: Column) -> Column:
-    return text.try_cast("date")
+def to_date_or_null(text: str) -> str:
+    return f"try_cast({text} as date)"
 
 
-def to_double_or_null(text: Column) -> Column:
-    return text.try_cast("double")
+def to_double_or_null(text: str) -> str:
+    return f"try_cast({text} as double)"
 
 
-def to_int_or_null(text: Column) -> Column:
+def to_int_or_null(text: str) -> str:
     """``'2'`` and ``'2.0'`` give 2. The regex runs only where the direct cast fails."""
-    return F.coalesce(
-        text.try_cast("int"),
-        F.regexp_extract(text, _WHOLE_PART, 1).try_cast("int"),
+    return (
+        f"coalesce(try_cast({text} as int), "
+        f"try_cast(regexp_extract({text}, {_WHOLE_PART}, 1) as int))"
     )
 
 
-def to_boolean_or_null(text: Column) -> Column:
-    return text.try_cast("boolean")
+def to_boolean_or_null(text: str) -> str:
+    return f"try_cast({text} as boolean)"
 
 
-def int_or_zero(text: Column) -> Column:
-    return F.coalesce(to_int_or_null(text), F.lit(0))
+def int_or_zero(text: str) -> str:
+    return f"coalesce({to_int_or_null(text)}, 0)"

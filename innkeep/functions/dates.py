@@ -7,41 +7,41 @@ then rewritten to ISO text and cast, which needs no formatter at all.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from innkeep.functions import quoted
 
 
 @dataclass(frozen=True)
 class DateFormat:
     """``iso`` rewrites the groups of ``shape`` to ``y-m-d``; else ``pattern`` parses."""
 
-    name: str
     shape: str
     iso: str | None = None
     pattern: str | None = None
 
-    def parse(self, text: Column) -> Column:
+    def parse(self, text: str) -> str:
+        shape = quoted(self.shape)
         if self.iso:
-            day = F.regexp_replace(text, self.shape, self.iso).try_cast("date")
+            day = f"try_cast(regexp_replace({text}, {shape}, {quoted(self.iso)}) as date)"
         else:
-            day = F.try_to_timestamp(text, F.lit(self.pattern)).cast("date")
-        return F.when(text.rlike(self.shape), day)
+            day = f"cast(try_to_timestamp({text}, {quoted(self.pattern)}) as date)"
+        return f"case when {text} rlike {shape} then {day} end"
 
 
-MONTH_FIRST = DateFormat("M/d/yyyy", r"^(\d{1,2})/(\d{1,2})/(\d{4})$", iso="$3-$1-$2")
+MONTH_FIRST = DateFormat(r"^(\d{1,2})/(\d{1,2})/(\d{4})$", iso="$3-$1-$2")
 
 # The formats, in the order they are tried.
 DATE_FORMATS = [
     MONTH_FIRST,
-    DateFormat("yyyy-M-d", r"^(\d{4})-(\d{1,2})-(\d{1,2})$", iso="$1-$2-$3"),
-    DateFormat("d/M/yyyy", r"^(\d{1,2})/(\d{1,2})/(\d{4})$", iso="$3-$2-$1"),
-    DateFormat("d-M-yyyy", r"^(\d{1,2})-(\d{1,2})-(\d{4})$", iso="$3-$2-$1"),
-    DateFormat("yyyyMMdd", r"^(\d{4})(\d{2})(\d{2})$", iso="$1-$2-$3"),
-    DateFormat("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$", pattern="MMM d, yyyy"),
-    DateFormat("MMMM d, yyyy", r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$", pattern="MMMM d, yyyy"),
-    DateFormat("d.M.yyyy", r"^(\d{1,2})\.(\d{1,2})\.(\d{4})$", iso="$3-$2-$1"),
+    DateFormat(r"^(\d{4})-(\d{1,2})-(\d{1,2})$", iso="$1-$2-$3"),
+    DateFormat(r"^(\d{1,2})/(\d{1,2})/(\d{4})$", iso="$3-$2-$1"),
+    DateFormat(r"^(\d{1,2})-(\d{1,2})-(\d{4})$", iso="$3-$2-$1"),
+    DateFormat(r"^(\d{4})(\d{2})(\d{2})$", iso="$1-$2-$3"),
+    DateFormat(r"^[A-Za-z]{3} \d{1,2}, \d{4}$", pattern="MMM d, yyyy"),
+    DateFormat(r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$", pattern="MMMM d, yyyy"),
+    DateFormat(r"^(\d{1,2})\.(\d{1,2})\.(\d{4})$", iso="$3-$2-$1"),
 ]
 
 # A recovered date outside these years is not believed.
@@ -51,20 +51,20 @@ FIRST_YEAR, LAST_YEAR = 2000, 2035
 _JUNK = r"(?U)^\s*[!@#$%^&*~`]*\s*|\s+$"
 
 
-def clean_date_text(text: Column) -> Column:
+def clean_date_text(text: str) -> str:
     """Text without outer white space and leading junk; null if nothing is left."""
-    return F.nullif(F.regexp_replace(text, _JUNK, ""), F.lit(""))
+    return f"nullif(regexp_replace({text}, {quoted(_JUNK)}, ''), '')"
 
 
 def parse_any_date(
-    text: Column,
-    formats: list[DateFormat] | None = None,
+    text: str,
+    formats: Sequence[DateFormat] = tuple(DATE_FORMATS),
     first_year: int = FIRST_YEAR,
     last_year: int = LAST_YEAR,
-) -> Column:
+) -> str:
     """First format that gives a date within the years; later ones are not tried."""
 
-    def believed(day: Column) -> Column:
-        return F.when(F.year(day).between(first_year, last_year), day)
+    def believed(day: str) -> str:
+        return f"case when year({day}) between {first_year} and {last_year} then {day} end"
 
-    return F.coalesce(*[believed(f.parse(text)) for f in formats or DATE_FORMATS])
+    return f"coalesce({', '.join(believed(f.parse(text)) for f in formats)})"

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from innkeep.functions import in_list, quoted
 
 # Spellings of each category.
 ROOM_TYPES = {
@@ -21,29 +20,28 @@ BOOKING_STATUSES = {
 }
 
 
-def upper_trim(text: Column) -> Column:
+def upper_trim(text: str) -> str:
     """Upper case without outer blanks (blanks only; tabs stay)."""
-    return F.trim(F.upper(text))
+    return f"trim(upper({text}))"
 
 
-def squeeze_spaces(text: Column) -> Column:
+def squeeze_spaces(text: str) -> str:
     """Every run of white space becomes one blank; none at either end."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return rf"trim(regexp_replace({text}, r'\s+', ' '))"
 
 
-def map_category(text: Column, categories: Mapping[str, Sequence[str]]) -> Column:
+def map_category(text: str, categories: Mapping[str, Sequence[str]]) -> str:
     """Name of the category that lists the spelling; other text in upper case.
 
     The spelling is compared in lower case and untrimmed.
     """
-    spelled = F.lower(text)
-    chain = None
-    for name, spellings in categories.items():
-        hit = spelled.isin(*spellings)
-        chain = F.when(hit, name) if chain is None else chain.when(hit, name)
-    return F.upper(text) if chain is None else chain.otherwise(F.upper(text))
+    whens = [
+        f"when {in_list(f'lower({text})', spellings)} then {quoted(category)}"
+        for category, spellings in categories.items()
+    ]
+    return f"case {' '.join(whens)} else upper({text}) end" if whens else f"upper({text})"
 
 
-def surrogate_key(*parts: Column, separator: str = "_") -> Column:
+def surrogate_key(*parts: str, separator: str = "_") -> str:
     """MD5 of the joined parts; null parts are left out."""
-    return F.md5(F.concat_ws(separator, *parts))
+    return f"md5(concat_ws({quoted(separator)}, {', '.join(parts)}))"

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.contracts import CRITICAL_COLUMNS, DATE_COLUMNS
+from innkeep.functions import name, quoted, stacked, values_sql
 from innkeep.functions.casts import to_date_or_null, to_double_or_null
 from innkeep.operators.dedup import keep_latest, surplus_rows
 from innkeep.operators.split import order_statistics
@@ -36,39 +37,27 @@ STEPS = [
 REASON, COPIES = "reject_reason", "rows_of_booking"
 
 
-def any_null(columns: Sequence[str]) -> Column:
-    hit = F.lit(False)
-    for c in columns:
-        hit = hit | F.col(c).isNull()
-    return hit
+def any_null(columns: Sequence[str]) -> str:
+    return "(" + " or ".join(f"{name(c)} is null" for c in columns) + ")"
 
 
-def stay_days(checkin: Column, checkout: Column) -> Column:
-    return F.datediff(checkout, checkin)
+def stay_days(checkin: str, checkout: str) -> str:
+    return f"datediff({checkout}, {checkin})"
 
 
-def believable(price: Column, stay: Column) -> Column:
+def believable(price: str, stay: str) -> str:
     """False also where the price is null."""
-    return F.coalesce(
-        (price > PRICE_ABOVE) & (price < PRICE_BELOW) & (stay <= LONGEST_STAY), F.lit(False)
+    return (
+        f"coalesce({price} > {PRICE_ABOVE}D and {price} < {PRICE_BELOW}D "
+        f"and {stay} <= {LONGEST_STAY}, false)"
     )
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:
     """Nulls per column, one row each, from a single aggregate."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count(c).alias(f"_{c}") for c in columns]
-    )
-    return counts.select(
-        F.inline(F.array(*[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                (F.col("_rows") - F.col(f"_{c}")).alias("nulls"),
-                F.col("_rows").alias("total_rows"),
-            )
-            for c in columns
-        ]))
-    )
+    counts = df.selectExpr("count(*) as _rows", *[f"count({name(c)}) as {name('_' + c)}" for c in columns])
+    rows = [f"{quoted(c)}, _rows - {name('_' + c)}, _rows" for c in columns]
+    return counts.selectExpr(stacked(rows, "column_name, nulls, total_rows"))
 
 
 def drop_nulls(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> DataFrame:
@@ -76,18 +65,17 @@ def drop_nulls(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> Data
 
 
 def cast_dates(df: DataFrame, columns: Sequence[str] = DATE_COLUMNS) -> DataFrame:
-    return df.withColumns({c: to_date_or_null(F.col(c)) for c in columns})
+    return df.withColumns({c: F.expr(to_date_or_null(name(c))) for c in columns})
 
 
 def keep_forward_stays(df: DataFrame) -> DataFrame:
     """Typed rows whose check-out is after check-in, with ``stay_duration_days``."""
-    return df.withColumn(
-        "stay_duration_days", stay_days(F.col("checkin_date"), F.col("checkout_date"))
-    ).where(F.col("stay_duration_days") > 0)
+    stay = stay_days("checkin_date", "checkout_date")
+    return df.where(f"{stay} > 0").selectExpr("*", f"{stay} as stay_duration_days")
 
 
 def keep_believable(df: DataFrame) -> DataFrame:
-    return df.where(believable(F.col("total_price"), F.col("stay_duration_days")))
+    return df.where(believable("total_price", "stay_duration_days"))
 
 
 def price_flags(df: DataFrame, price: str = "total_price") -> DataFrame:
@@ -95,9 +83,9 @@ def price_flags(df: DataFrame, price: str = "total_price") -> DataFrame:
 
     A price equal to the bound is in neither number although the filter drops it.
     """
-    return df.agg(
-        F.count_if(F.col(price) <= PRICE_ABOVE).alias("non_positive"),
-        F.count_if(F.col(price) > PRICE_BELOW).alias("above_bound"),
+    return df.selectExpr(
+        f"count_if({name(price)} <= {PRICE_ABOVE}D) as non_positive",
+        f"count_if({name(price)} > {PRICE_BELOW}D) as above_bound",
     )
 
 
@@ -109,17 +97,14 @@ def price_profile(df: DataFrame, price: str = "total_price", exact: bool = False
     in one task as an exact percentile aggregate would.
     """
     if not exact:
-        return df.agg(
-            F.min(price).alias("min"),
-            F.percentile_approx(price, 0.25).alias("p25"),
-            F.percentile_approx(price, 0.75).alias("p75"),
-            F.max(price).alias("max"),
+        return df.selectExpr(
+            f"min({price}) as min",
+            f"percentile_approx({price}, 0.25D) as p25",
+            f"percentile_approx({price}, 0.75D) as p75",
+            f"max({price}) as max",
         )
     low, q1, q3, high = order_statistics(df, price, [0.0, 0.25, 0.75, 1.0])
-    kind = dict(df.dtypes)[price]
-    return df.sparkSession.createDataFrame(
-        [(low, q1, q3, high)], f"min {kind}, p25 {kind}, p75 {kind}, max {kind}"
-    )
+    return df.sparkSession.sql(values_sql([(low, q1, q3, high)], "min, p25, p75, max"))
 
 
 def tag_rejects(df: DataFrame) -> DataFrame:
@@ -131,24 +116,24 @@ def tag_rejects(df: DataFrame) -> DataFrame:
     Values stay as text: a rejected row can be read as it arrived.
     """
     incomplete = any_null(CRITICAL_COLUMNS)
-    nulls = df.where(incomplete).withColumns(
-        {COPIES: F.lit(1).cast("bigint"), REASON: F.lit(NULL_CRITICAL)}
+    nulls = df.where(incomplete).selectExpr(
+        "*", f"1L as {COPIES}", f"{quoted(NULL_CRITICAL)} as {REASON}"
     )
     survivors = keep_latest(
-        df.where(~incomplete), ["booking_id"], latest=["booking_date"], count_as=COPIES
+        df.where(f"not {incomplete}"), ["booking_id"], latest=["booking_date"], count_as=COPIES
     )
-    booked, arrives, leaves = (to_date_or_null(F.col(c)) for c in DATE_COLUMNS)
+    booked, arrives, leaves = (to_date_or_null(c) for c in DATE_COLUMNS)
     stay = stay_days(arrives, leaves)
-    reason = (
-        F.when(booked.isNull() | arrives.isNull() | leaves.isNull(), BAD_DATE)
-        .when(stay <= 0, DATE_LOGIC)
-        .when(~believable(to_double_or_null(F.col("total_price")), stay), OUTLIER)
-    )
-    return nulls.unionByName(survivors.withColumn(REASON, reason))
+    price = to_double_or_null("total_price")
+    reason = f"""case
+        when {booked} is null or {arrives} is null or {leaves} is null then {quoted(BAD_DATE)}
+        when {stay} <= 0 then {quoted(DATE_LOGIC)}
+        when not {believable(price, stay)} then {quoted(OUTLIER)} end"""
+    return nulls.unionByName(survivors.selectExpr("*", f"{reason} as {REASON}"))
 
 
 def accepted(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.col(REASON).isNull()).drop(REASON, COPIES)
+    return tagged.where(f"{REASON} is null").drop(REASON, COPIES)
 
 
 def rejected(df: DataFrame, tagged: DataFrame) -> DataFrame:
@@ -156,18 +141,14 @@ def rejected(df: DataFrame, tagged: DataFrame) -> DataFrame:
 
     Only rows of bookings with several rows are compared with the survivors.
     """
-    contested = tagged.where(F.col(COPIES) > 1)
-    candidates = df.where(~any_null(CRITICAL_COLUMNS)).join(
+    contested = tagged.where(f"{COPIES} > 1")
+    candidates = df.where(f"not {any_null(CRITICAL_COLUMNS)}").join(
         contested.select("booking_id"), "booking_id", "left_semi"
     )
-    duplicates = surplus_rows(candidates, contested, "row_count").withColumn(
-        REASON, F.lit(DUPLICATE)
-    )
-    others = (
-        tagged.where(F.col(REASON).isNotNull())
-        .drop(COPIES)
-        .withColumn("row_count", F.lit(1).cast("bigint"))
+    duplicates = surplus_rows(candidates, contested, "row_count").selectExpr(
+        "*", f"{quoted(DUPLICATE)} as {REASON}"
     )
+    others = tagged.where(f"{REASON} is not null").drop(COPIES).selectExpr("*", "1L as row_count")
     return duplicates.unionByName(others)
 
 
@@ -177,24 +158,16 @@ def audit(tagged: DataFrame) -> DataFrame:
     The counts are columns of the data, not side counters, so a task that runs
     twice does not count twice. One aggregate; five rows come out.
     """
-    failed = {r: F.count_if(F.col(REASON) == r) for r, _ in STEPS if r != DUPLICATE}
-    totals = tagged.agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).alias("raw"),
-        F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0)).alias(DUPLICATE),
-        *[expression.alias(r) for r, expression in failed.items()],
+    totals = tagged.selectExpr(
+        f"coalesce(sum({COPIES}), 0) as raw",
+        f"coalesce(sum({COPIES} - 1), 0) as {DUPLICATE}",
+        *[f"count_if({REASON} = {quoted(r)}) as {r}" for r, _ in STEPS if r != DUPLICATE],
     )
-    left = F.col("raw")
-    rows = []
+    rows, left = [], "raw"
     for number, (step, note) in enumerate(STEPS, start=1):
-        after = left - F.col(step)
-        rows.append(F.struct(
-            F.lit(number).alias("step_no"),
-            F.lit(step).alias("step"),
-            left.alias("rows_before"),
-            after.alias("rows_after"),
-            F.col(step).alias("rows_dropped"),
-            F.round(F.try_divide(after, F.col("raw")) * 100, 2).alias("retention_pct"),
-            F.lit(note).alias("note"),
-        ))
+        after = f"{left} - {step}"
+        share = f"round(try_divide({after}, raw) * 100, 2)"
+        rows.append(f"{number}, '{step}', {left}, {after}, {step}, {share}, {quoted(note)}")
         left = after
-    return totals.select(F.inline(F.array(*rows)))
+    names = "step_no, step, rows_before, rows_after, rows_dropped, retention_pct, note"
+    return totals.selectExpr(stacked(rows, names))

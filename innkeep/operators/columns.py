@@ -7,14 +7,16 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from innkeep.functions import name, quoted, stacked, values_sql
+
 
 # What happens to each special character of a header.
 _SPECIAL = str.maketrans({" ": "_", "-": "_", "/": "_", "(": None, ")": None})
 
 
-def normalize_name(name: str) -> str:
+def normalize_name(header: str) -> str:
     """Outer white space off, lower case, special characters replaced or removed."""
-    return name.strip().lower().translate(_SPECIAL)
+    return header.strip().lower().translate(_SPECIAL)
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -33,7 +35,7 @@ def load_time(as_of: datetime | None = None) -> Column:
 
 def add_missing(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add those of ``columns`` that ``df`` does not have; present ones are kept."""
-    new = {name: value for name, value in columns.items() if name not in df.columns}
+    new = {c: value for c, value in columns.items() if c not in df.columns}
     return df.withColumns(new) if new else df
 
 
@@ -50,47 +52,36 @@ def schema_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     lefts = {f.name: f.dataType.simpleString() for f in left.schema}
     rights = {f.name: f.dataType.simpleString() for f in right.schema}
 
-    def status(name: str) -> str:
-        if name not in rights:
+    def status(column: str) -> str:
+        if column not in rights:
             return "only_left"
-        if name not in lefts:
+        if column not in lefts:
             return "only_right"
-        return "common" if lefts[name] == rights[name] else "type_differs"
+        return "common" if lefts[column] == rights[column] else "type_differs"
 
     rows = [
-        (name, lefts.get(name), rights.get(name), status(name))
-        for name in sorted(set(lefts) | set(rights))
+        (c, lefts.get(c), rights.get(c), status(c)) for c in sorted(set(lefts) | set(rights))
     ]
-    return left.sparkSession.createDataFrame(
-        rows, "column_name string, left_type string, right_type string, status string"
-    )
+    return left.sparkSession.sql(values_sql(rows, "column_name, left_type, right_type, status"))
 
 
 def schema_report(left: DataFrame, right: DataFrame) -> DataFrame:
     """``schema_diff`` with the number of rows and of non-null values per side.
 
-    One aggregate per side reads everything; only one row per column name
-    comes out of each, so the join of the reports is small.
+    One aggregate per side reads everything; one row per column name comes out
+    of each.
     """
 
     def filled(df: DataFrame, side: str) -> DataFrame:
-        counts = df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)],
-        )
-        return counts.select(
-            F.inline(F.array(*[
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.col("rows").alias(f"{side}_rows"),
-                    F.col(f"n{i}").alias(f"{side}_filled"),
-                )
-                for i, c in enumerate(df.columns)
-            ]))
+        counts = df.selectExpr(
+            "count(*) as all_rows",
+            *[f"count({name(c)}) as n{i}" for i, c in enumerate(df.columns)],
         )
-
-    return (
-        schema_diff(left, right)
-        .join(filled(left, "left"), "column_name", "left")
-        .join(filled(right, "right"), "column_name", "left")
-    )
+        rows = [f"{quoted(c)}, all_rows, n{i}" for i, c in enumerate(df.columns)]
+        return counts.selectExpr(stacked(rows, f"column_name, {side}_rows, {side}_filled"))
+
+    facts = ["left_type", "right_type", "status", "left_rows", "left_filled", "right_rows", "right_filled"]
+    parts = schema_diff(left, right)
+    for part in (filled(left, "left"), filled(right, "right")):
+        parts = parts.unionByName(part, allowMissingColumns=True)
+    return parts.groupBy("column_name").agg(*[F.max(f).alias(f) for f in facts])

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from innkeep.functions import name
+
 
 def keep_latest(
     df: DataFrame,
@@ -25,13 +27,12 @@ def keep_latest(
     With ``count_as`` the number of rows of the key is added.
     """
     order = [*latest, *[c for c in df.columns if c not in latest and c not in keys]]
-    measures = [F.max(F.struct(*[F.col(f"`{c}`") for c in order])).alias("_row")]
+    row = ", ".join(name(c) for c in order)
+    measures = [F.expr(f"max(struct({row}))").alias("_row")]
     if count_as:
-        measures.append(F.count(F.lit(1)).alias(count_as))
-    grouped = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*measures)
-    columns = [
-        F.col(f"`{c}`") if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns
-    ]
+        measures.append(F.expr("count(*)").alias(count_as))
+    columns = [name(c) if c in keys else f"_row.{name(c)}" for c in df.columns]
+    grouped = df.groupBy(*[name(k) for k in keys]).agg(*measures)
     return grouped.select(*columns, *([count_as] if count_as else []))
 
 
@@ -56,11 +57,8 @@ def surplus_rows(df: DataFrame, kept: DataFrame, count_as: str) -> DataFrame:
     shuffle, different rows of one hot key spread over all tasks.
     """
     columns = df.columns
-    signed = df.withColumn("_n", F.lit(1)).unionByName(
-        kept.select(*columns).withColumn("_n", F.lit(-1))
-    )
-    return (
-        signed.groupBy(*columns)
-        .agg(F.sum("_n").alias(count_as))
-        .where(F.col(count_as) > 0)
+    signed = df.selectExpr("*", "1 as _n").unionByName(
+        kept.selectExpr(*[name(c) for c in columns], "-1 as _n")
     )
+    counted = signed.groupBy(*[name(c) for c in columns]).agg(F.sum("_n").alias(count_as))
+    return counted.where(f"{name(count_as)} > 0")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innkeep.functions import name, values_sql
 from innkeep.functions.text import upper_trim
 
 # Coordinates of the cities with forecasts.
@@ -26,7 +27,7 @@ BASE_CURRENCY = "EUR"
 
 
 def coordinates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CITY_COORDINATES, "city string, latitude double, longitude double")
+    return spark.sql(values_sql(CITY_COORDINATES, "city, latitude, longitude"))
 
 
 def cities_to_fetch(bookings: DataFrame, city: str = "city") -> DataFrame:
@@ -80,7 +81,7 @@ def newest_forecast(weather: DataFrame) -> DataFrame:
     """One row per city and day: of overlapping forecasts, the last that was landed."""
     measures = ["temperature_2m_max", "temperature_2m_min", "rain_sum", "windspeed_10m_max"]
     newest = weather.groupBy(
-        upper_trim(F.col("city")).alias("_city"), F.col("time").try_cast("date").alias("_day")
+        F.expr(upper_trim("city")).alias("_city"), F.expr("try_cast(time as date)").alias("_day")
     ).agg(F.max(F.struct("ingestion_timestamp", *measures)).alias("_w"))
     return newest.select("_city", "_day", *[f"_w.{m}" for m in measures])
 
@@ -96,9 +97,5 @@ def with_weather(
     sound because the forecast side has one row per city-day.
     """
     forecast = newest_forecast(weather)
-    matches = (upper_trim(F.col(city)) == forecast["_city"]) & (F.col(day) == forecast["_day"])
+    matches = (F.expr(upper_trim(name(city))) == forecast["_city"]) & (F.col(day) == forecast["_day"])
     return bookings.join(forecast, matches, "left").drop("_city", "_day")
-
-
-def lead_days(booked: Column, arrives: Column) -> Column:
-    return F.datediff(arrives, booked)

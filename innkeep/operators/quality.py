@@ -11,10 +11,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.contracts import BATCH_TAG, CRITICAL_COLUMNS, STREAM_TAG
+from innkeep.functions import in_list, name, quoted, stacked
 
 # Names of the expectations in the report.
 NOT_NULL = "expect_column_values_to_not_be_null"
@@ -27,17 +28,17 @@ DATE_FORMAT = "expect_column_values_to_match_strftime_format"
 
 @dataclass(frozen=True)
 class Expectation:
-    """``fails`` is true for a bad value; nulls do not count unless ``on_nulls``."""
+    """``fails`` is SQL, true for a bad value; nulls do not count unless ``on_nulls``."""
 
     kind: str
     column: str
-    fails: Column | None = None
+    fails: str = ""
     mostly: float = 1.0
     on_nulls: bool = False
 
 
 def not_null(column: str, mostly: float = 1.0) -> Expectation:
-    return Expectation(NOT_NULL, column, F.col(column).isNull(), mostly, on_nulls=True)
+    return Expectation(NOT_NULL, column, f"{name(column)} is null", mostly, on_nulls=True)
 
 
 def unique(column: str) -> Expectation:
@@ -48,19 +49,19 @@ def exists(column: str) -> Expectation:
     return Expectation(EXISTS, column)
 
 
-def between(column: str, low, high, mostly: float = 1.0) -> Expectation:
-    return Expectation(BETWEEN, column, ~F.col(column).between(low, high), mostly)
+def between(column: str, low: float, high: float, mostly: float = 1.0) -> Expectation:
+    return Expectation(BETWEEN, column, f"{name(column)} not between {low} and {high}", mostly)
 
 
 def in_set(column: str, values: Sequence[str], mostly: float = 1.0) -> Expectation:
-    return Expectation(IN_SET, column, ~F.col(column).isin(*values), mostly)
+    return Expectation(IN_SET, column, f"not {in_list(name(column), values)}", mostly)
 
 
 def iso_date(column: str, mostly: float = 1.0) -> Expectation:
     """The text form of the column is a real ``yyyy-MM-dd`` date."""
-    text = F.col(column).cast("string")
-    good = text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull()
-    return Expectation(DATE_FORMAT, column, ~good, mostly)
+    text = f"cast({name(column)} as string)"
+    good = rf"{text} rlike r'^\d{{4}}-\d{{2}}-\d{{2}}$' and try_cast({text} as date) is not null"
+    return Expectation(DATE_FORMAT, column, f"not ({good})", mostly)
 
 
 def silver_suite(columns: Sequence[str]) -> list[Expectation]:
@@ -92,19 +93,15 @@ def silver_suite(columns: Sequence[str]) -> list[Expectation]:
     return suite
 
 
-def _result(e: Expectation, evaluated: Column, unexpected: Column) -> Column:
-    share = F.try_divide(unexpected, evaluated)
-    return F.struct(
-        F.lit(e.kind).alias("expectation"),
-        F.lit(e.column).alias("column_name"),
-        evaluated.cast("bigint").alias("evaluated"),
-        unexpected.cast("bigint").alias("unexpected"),
-        F.round(share * 100, 4).alias("unexpected_pct"),
-        F.lit(float(e.mostly)).alias("mostly"),
-        # Nothing to evaluate is a success.
-        F.coalesce(
-            F.try_divide(evaluated - unexpected, evaluated) >= F.lit(float(e.mostly)), F.lit(True)
-        ).alias("success"),
+_RESULT = "expectation, column_name, evaluated, unexpected, unexpected_pct, mostly, success"
+
+
+def _result(e: Expectation, evaluated: str, unexpected: str) -> str:
+    """One report row. Nothing to evaluate is a success."""
+    return (
+        f"{quoted(e.kind)}, {quoted(e.column)}, {evaluated}, {unexpected}, "
+        f"round(try_divide({unexpected}, {evaluated}) * 100, 4), {float(e.mostly)}D, "
+        f"coalesce(try_divide({evaluated} - {unexpected}, {evaluated}) >= {float(e.mostly)}D, true)"
     )
 
 
@@ -112,45 +109,32 @@ def run_suite(
     df: DataFrame, suite: Sequence[Expectation], with_total: bool = False
 ) -> DataFrame:
     """One row per expectation, on request with the rows of the table. Lazy."""
-    plain = [e for e in suite if e.kind != UNIQUE]
-    frames = []
-    if plain:
-        measures, rows = [F.count(F.lit(1)).alias("_rows")], []
-        for i, e in enumerate(plain):
-            if e.kind == EXISTS:
-                missing = F.lit(0 if e.column in df.columns else 1)
-                rows.append(_result(e, F.lit(1), missing))
-                continue
-            bad = e.fails if e.on_nulls else F.col(e.column).isNotNull() & e.fails
-            measures.append(F.count_if(bad).alias(f"_bad{i}"))
-            if e.on_nulls:
-                seen = F.col("_rows")
-            else:
-                measures.append(F.count(e.column).alias(f"_seen{i}"))
-                seen = F.col(f"_seen{i}")
-            rows.append(_result(e, seen, F.col(f"_bad{i}")))
-        total = [F.col("_rows").alias("total_rows")] if with_total else []
-        frames.append(df.agg(*measures).select(F.inline(F.array(*rows)), *total))
+    extra = ["_rows as total_rows"] if with_total else []
+    frames, rows, measures = [], [], {"_rows": "count(*)"}
+    for i, e in enumerate(e for e in suite if e.kind != UNIQUE):
+        if e.kind == EXISTS:
+            rows.append(_result(e, "1L", "0L" if e.column in df.columns else "1L"))
+            continue
+        seen = "_rows" if e.on_nulls else f"_seen{i}"
+        measures.setdefault(seen, f"count({name(e.column)})")
+        bad = e.fails if e.on_nulls else f"{name(e.column)} is not null and ({e.fails})"
+        measures[f"_bad{i}"] = f"count_if({bad})"
+        rows.append(_result(e, seen, f"_bad{i}"))
+    if rows:
+        totals = df.selectExpr(*[f"{text} as {c}" for c, text in measures.items()])
+        frames.append(totals.selectExpr(stacked(rows, _RESULT), *extra))
     for e in suite:
         if e.kind != UNIQUE:
             continue
         # Nulls are one group here; they count as rows but not as evaluated.
-        groups = df.groupBy(e.column).agg(F.count(F.lit(1)).alias("_n"))
-        known = F.col(e.column).isNotNull()
-        counted = groups.agg(
-            *[
-                F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0)).alias(name)
-                for name, condition in (
-                    ("_all", F.lit(True)), ("_seen", known), ("_bad", known & (F.col("_n") > 1)),
-                )
-            ]
-        )
-        frames.append(
-            counted.select(
-                F.inline(F.array(_result(e, F.col("_seen"), F.col("_bad")))),
-                *([F.col("_all").alias("total_rows")] if with_total else []),
-            )
+        groups = df.groupBy(name(e.column)).agg(F.expr("count(*)").alias("_n"))
+        known = f"{name(e.column)} is not null"
+        totals = groups.selectExpr(
+            "coalesce(sum(_n), 0) as _rows",
+            f"coalesce(sum(_n) filter (where {known}), 0) as _seen",
+            f"coalesce(sum(_n) filter (where {known} and _n > 1), 0) as _bad",
         )
+        frames.append(totals.selectExpr(stacked([_result(e, "_seen", "_bad")], _RESULT), *extra))
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
@@ -163,28 +147,18 @@ def suite_report(results: DataFrame, table: str, as_of: datetime | None = None)
     The list is bounded by the length of the suite. ``sample_size`` equals
     ``total_rows``: nothing is sampled. It is the largest number evaluated.
     """
-    failed = F.when(
-        ~F.col("success"),
-        F.struct(F.col("column_name").alias("column"), F.col("expectation")),
-    )
     run_date = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    return results.agg(
-        F.max("evaluated").alias("total_rows"),
-        F.count(F.lit(1)).alias("total_expectations"),
-        F.count_if("success").alias("successful"),
-        F.count_if(~F.col("success")).alias("failed"),
-        F.sort_array(F.collect_list(failed)).alias("failed_tests"),
-    ).select(
-        run_date.alias("run_date"),
-        F.lit(table).alias("table"),
-        F.col("total_rows").alias("sample_size"),
-        "total_rows",
-        "total_expectations",
-        "successful",
-        "failed",
-        F.round(F.try_divide(F.col("successful"), F.col("total_expectations")) * 100, 4).alias(
-            "success_percent"
-        ),
-        (F.col("failed") == 0).alias("overall_success"),
-        "failed_tests",
+    failed = "named_struct('column', column_name, 'expectation', expectation)"
+    totals = results.selectExpr(
+        "max(evaluated) as total_rows",
+        "count(*) as total_expectations",
+        "count_if(success) as successful",
+        "count_if(not success) as failed",
+        f"sort_array(collect_list({failed}) filter (where not success)) as failed_tests",
+    )
+    return totals.select(run_date.alias("run_date"), "*").selectExpr(
+        "run_date", f"{quoted(table)} as table", "total_rows as sample_size", "total_rows",
+        "total_expectations", "successful", "failed",
+        "round(try_divide(successful, total_expectations) * 100, 4) as success_percent",
+        "failed = 0 as overall_success", "failed_tests",
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from innkeep.functions import name
 from innkeep.functions.dates import MONTH_FIRST, DateFormat, clean_date_text, parse_any_date
 
 # Provenance labels.
@@ -30,30 +31,32 @@ def recover_dates(
     in all formats; then the check-in; then the check-out. A later place is
     parsed only for rows that need it.
     """
-    places = [(ORIGINAL, "_original")]
-    out = df.withColumn("_original", primary.parse(F.col(booking)))
-    for label, name in ((CLEANED, booking), (FROM_CHECKIN, checkin), (FROM_CHECKOUT, checkout)):
-        missing = F.lit(True)
-        for _, earlier in places:
-            missing = missing & F.col(earlier).isNull()
-        # The cleaned text is its own column so that eight formats share it.
-        out = out.withColumn("_text", F.when(missing, clean_date_text(F.col(name))))
-        out = out.withColumn(f"_{label}", parse_any_date(F.col("_text")))
-        places.append((label, f"_{label}"))
-    came_from = F.lit(UNRECOVERABLE)
-    for label, place in reversed(places):
-        came_from = F.when(F.col(place).isNotNull(), label).otherwise(came_from)
-    found = [place for _, place in places]
-    return out.withColumns({booking: F.coalesce(*found), SOURCE: came_from}).drop(*found, "_text")
+    out = df.withColumn("_original", F.expr(primary.parse(name(booking))))
+    places = ["_original"]
+    for place, column in (("_cleaned", booking), ("_checkin", checkin), ("_checkout", checkout)):
+        missing = f"coalesce({', '.join(places)}) is null"
+        text = f"case when {missing} then {clean_date_text(name(column))} end"
+        # The cleaned text is its own column so that all formats share it.
+        out = out.withColumn("_text", F.expr(text))
+        out = out.withColumn(place, F.expr(parse_any_date("_text")))
+        places.append(place)
+    labels = (ORIGINAL, CLEANED, FROM_CHECKIN, FROM_CHECKOUT)
+    whens = " ".join(f"when {p} is not null then '{label}'" for p, label in zip(places, labels))
+    found = f"named_struct('_date', coalesce({', '.join(places)}), '{SOURCE}', case {whens} else '{UNRECOVERABLE}' end)"
+    # Through ``inline`` the parsing is done once: a later filter on the outcome
+    # is not rewritten into a filter on the texts, which would repeat each step
+    # inside the next.
+    kept = [f"_date as {name(c)}" if c == booking else name(c) for c in df.columns]
+    return out.selectExpr("*", f"inline(array({found}))").selectExpr(*kept, SOURCE)
 
 
 def recovered(df: DataFrame) -> DataFrame:
-    return df.where(F.col(SOURCE) != UNRECOVERABLE)
+    return df.where(f"{SOURCE} <> '{UNRECOVERABLE}'")
 
 
 def unrecoverable(df: DataFrame) -> DataFrame:
-    return df.where(F.col(SOURCE) == UNRECOVERABLE)
+    return df.where(f"{SOURCE} = '{UNRECOVERABLE}'")
 
 
 def recovery_histogram(df: DataFrame) -> DataFrame:
-    return df.groupBy(SOURCE).agg(F.count(F.lit(1)).alias("row_count"))
+    return df.groupBy(SOURCE).agg(F.expr("count(*)").alias("row_count"))

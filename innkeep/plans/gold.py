@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from innkeep.contracts import FACT_BOOKING
 from innkeep.functions.casts import to_boolean_or_null, to_double_or_null, to_int_or_null
 from innkeep.functions.text import surrogate_key
 from innkeep.operators.dedup import latest_attributes
@@ -16,48 +19,21 @@ _MONEY = [
 
 def fact_booking(silver: DataFrame) -> DataFrame:
     """One row per booking. A projection; ``stay_nights`` is the source's own ``nights``."""
-    c = F.col
-    money = {m: to_double_or_null(c(m)).alias(m) for m in _MONEY}
-    return silver.select(
-        "booking_id",
-        "booking_date",
-        F.year("booking_date").alias("booking_year"),
-        F.month("booking_date").alias("booking_month"),
-        "checkin_date",
-        "checkout_date",
-        to_int_or_null(c("nights")).alias("stay_nights"),
-        "booking_status",
-        "booking_channel",
-        "booking_source",
-        to_boolean_or_null(c("is_cancelled")).alias("is_cancelled"),
-        "cancellation_date",
-        "cancellation_reason",
-        "customer_id",
-        c("full_name").alias("customer_name"),
-        c("country_customer").alias("customer_country"),
-        c("city_customer").alias("customer_city"),
-        c("loyalty_level_customer").alias("loyalty_level"),
-        "language_preference",
-        "hotel_id",
-        "hotel_name",
-        c("country").alias("hotel_country"),
-        c("city").alias("hotel_city"),
-        "hotel_type",
-        "star_rating",
-        "room_type",
-        "rooms_booked",
-        "adults",
-        "children",
-        "infants",
-        "num_guests",
-        "special_requests",
-        "promotion_code",
-        *money.values(),
-        "payment_status",
-        "payment_method",
-        "data_source",
-        "silver_load_at",
-    )
+    derived = {
+        "booking_year": "year(booking_date)",
+        "booking_month": "month(booking_date)",
+        "stay_nights": to_int_or_null("nights"),
+        "is_cancelled": to_boolean_or_null("is_cancelled"),
+        **{m: to_double_or_null(m) for m in _MONEY},
+        # Renamed in gold.
+        "customer_name": "full_name",
+        "customer_country": "country_customer",
+        "customer_city": "city_customer",
+        "loyalty_level": "loyalty_level_customer",
+        "hotel_country": "country",
+        "hotel_city": "city",
+    }
+    return silver.selectExpr(*[f"{derived.get(c, c)} as {c}" for c in FACT_BOOKING.names])
 
 
 def dim_hotel(silver: DataFrame) -> DataFrame:
@@ -69,22 +45,21 @@ def dim_hotel(silver: DataFrame) -> DataFrame:
     ]
     rows = silver.select(*attributes, "booking_date")
     return latest_attributes(rows, "hotel_id", attributes, "booking_date").withColumns({
-        "latitude": to_double_or_null(F.col("latitude")),
-        "longitude": to_double_or_null(F.col("longitude")),
+        c: F.expr(to_double_or_null(c)) for c in ("latitude", "longitude")
     })
 
 
 def dim_city(silver: DataFrame) -> DataFrame:
     """One row per (city, country) with mean position, hotels and an MD5 key."""
     return (
-        silver.where(F.col("city").isNotNull() & (F.col("city") != ""))
+        silver.where("city is not null and city <> ''")
         .groupBy(F.col("city").alias("city_name"), "country")
         .agg(
-            F.avg(to_double_or_null(F.col("latitude"))).alias("latitude"),
-            F.avg(to_double_or_null(F.col("longitude"))).alias("longitude"),
-            F.countDistinct("hotel_id").alias("hotel_count"),
+            F.expr(f"avg({to_double_or_null('latitude')})").alias("latitude"),
+            F.expr(f"avg({to_double_or_null('longitude')})").alias("longitude"),
+            F.expr("count(distinct hotel_id)").alias("hotel_count"),
         )
-        .withColumn("city_id", surrogate_key(F.col("city_name"), F.col("country")))
+        .withColumn("city_id", F.expr(surrogate_key("city_name", "country")))
     )
 
 
@@ -104,9 +79,13 @@ def dim_customer(silver: DataFrame) -> DataFrame:
     })
 
 
-def count_where(condition: Column) -> Column:
+def count_where(condition: str) -> str:
     """Rows for which the condition is true; unknown counts as not true."""
-    return F.sum(F.when(condition, 1).otherwise(0))
+    return f"sum(case when {condition} then 1 else 0 end)"
+
+
+def aggregate(df: DataFrame, by: Sequence[str], measures: dict[str, str]) -> DataFrame:
+    return df.groupBy(*by).agg(*[F.expr(text).alias(c) for c, text in measures.items()])
 
 
 def kpi_revenue(fact: DataFrame) -> DataFrame:
@@ -117,27 +96,25 @@ def kpi_revenue(fact: DataFrame) -> DataFrame:
     map side and spread by id, so a city with a third of all bookings is not
     counted in one task. The rank works on the groups only.
     """
-    in_month = Window.partitionBy("booking_year", "booking_month")
-    return (
-        fact.groupBy("booking_year", "booking_month", "hotel_city", "hotel_country")
-        .agg(
-            F.count("booking_id").alias("total_bookings"),
-            count_where(~F.col("is_cancelled")).alias("confirmed_bookings"),
-            count_where(F.col("is_cancelled")).alias("cancelled_bookings"),
-            F.sum("total_price").alias("gross_revenue"),
-            F.sum("paid_amount").alias("collected_revenue"),
-            F.sum("discount_amount").alias("total_discounts"),
-            F.avg("total_price").alias("avg_booking_value"),
-            F.sum("stay_nights").alias("total_nights"),
-            F.avg("stay_nights").alias("avg_stay_nights"),
-            F.countDistinct("customer_id").alias("unique_customers"),
-            F.countDistinct("hotel_id").alias("active_hotels"),
-        )
-        .withColumn("cancellation_rate", cancellation_rate())
-        .withColumn("revenue_rank", F.rank().over(in_month.orderBy(F.desc("gross_revenue"))))
+    groups = aggregate(fact, ["booking_year", "booking_month", "hotel_city", "hotel_country"], {
+        "total_bookings": "count(booking_id)",
+        "confirmed_bookings": count_where("not is_cancelled"),
+        "cancelled_bookings": count_where("is_cancelled"),
+        "gross_revenue": "sum(total_price)",
+        "collected_revenue": "sum(paid_amount)",
+        "total_discounts": "sum(discount_amount)",
+        "avg_booking_value": "avg(total_price)",
+        "total_nights": "sum(stay_nights)",
+        "avg_stay_nights": "avg(stay_nights)",
+        "unique_customers": "count(distinct customer_id)",
+        "active_hotels": "count(distinct hotel_id)",
+    })
+    rank = "rank() over (partition by booking_year, booking_month order by gross_revenue desc)"
+    return groups.selectExpr(
+        "*", f"{cancellation_rate()} as cancellation_rate", f"{rank} as revenue_rank"
     )
 
 
-def cancellation_rate(cancelled: str = "cancelled_bookings", total: str = "total_bookings") -> Column:
+def cancellation_rate(cancelled: str = "cancelled_bookings", total: str = "total_bookings") -> str:
     """Percentage, rounded half up to two digits; null for an empty total."""
-    return F.round(F.try_divide(F.col(cancelled), F.col(total)) * 100, 2)
+    return f"round(try_divide({cancelled}, {total}) * 100, 2)"

@@ -3,45 +3,40 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from innkeep.operators.enrich import lead_days
-from innkeep.plans.gold import cancellation_rate, count_where
+from innkeep.plans.gold import aggregate, cancellation_rate, count_where
 
 
 def hotel_performance(fact: DataFrame) -> DataFrame:
     """Revenue, nights and average daily rate per hotel."""
-    return fact.groupBy("hotel_id", "hotel_name").agg(
-        F.count("booking_id").alias("total_bookings"),
-        F.sum("total_price").alias("gross_revenue"),
-        F.sum("stay_nights").alias("total_nights"),
-        F.try_divide(F.sum("total_price"), F.sum("stay_nights")).alias("average_daily_rate"),
-    )
+    return aggregate(fact, ["hotel_id", "hotel_name"], {
+        "total_bookings": "count(booking_id)",
+        "gross_revenue": "sum(total_price)",
+        "total_nights": "sum(stay_nights)",
+        "average_daily_rate": "try_divide(sum(total_price), sum(stay_nights))",
+    })
 
 
 def lead_time(fact: DataFrame) -> DataFrame:
     """Days between booking and check-in per channel."""
-    days = lead_days(F.col("booking_date"), F.col("checkin_date"))
-    return fact.groupBy("booking_channel").agg(
-        F.count("booking_id").alias("total_bookings"),
-        F.avg(days).alias("avg_lead_days"),
-        F.min(days).alias("min_lead_days"),
-        F.max(days).alias("max_lead_days"),
-    )
+    days = "datediff(checkin_date, booking_date)"
+    return aggregate(fact, ["booking_channel"], {
+        "total_bookings": "count(booking_id)",
+        "avg_lead_days": f"avg({days})",
+        "min_lead_days": f"min({days})",
+        "max_lead_days": f"max({days})",
+    })
 
 
 def cancellation_trend(fact: DataFrame) -> DataFrame:
     """Bookings and cancelled bookings per month and stated reason."""
-    return (
-        fact.groupBy("booking_year", "booking_month", "cancellation_reason")
-        .agg(
-            F.count("booking_id").alias("total_bookings"),
-            count_where(F.col("is_cancelled")).alias("cancelled_bookings"),
-        )
-        .withColumn("cancellation_rate", cancellation_rate())
-    )
+    counts = aggregate(fact, ["booking_year", "booking_month", "cancellation_reason"], {
+        "total_bookings": "count(booking_id)",
+        "cancelled_bookings": count_where("is_cancelled"),
+    })
+    return counts.selectExpr("*", f"{cancellation_rate()} as cancellation_rate")
 
 
 def top_cities(kpi: DataFrame, k: int = 3) -> DataFrame:
     """The cities of rank ``k`` or better in each month; ties stay in."""
-    return kpi.where(F.col("revenue_rank") <= k)
+    return kpi.where(f"revenue_rank <= {int(k)}")

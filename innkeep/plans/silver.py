@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from innkeep.contracts import BATCH_TAG, BOOKING_COLUMNS, DATE_COLUMNS, SILVER_VERSION, STREAM_TAG
 from innkeep.contracts import with_missing_as_null
+from innkeep.functions import name
 from innkeep.functions.casts import int_or_zero, to_date_or_null, to_double_or_null
 from innkeep.functions.text import (
     BOOKING_STATUSES, ROOM_TYPES, map_category, squeeze_spaces, upper_trim,
@@ -36,33 +37,39 @@ def combine(batch: DataFrame, stream: DataFrame) -> DataFrame:
     return with_missing_as_null(both, BOOKING_COLUMNS)
 
 
+def _replaced(df: DataFrame, values: dict[str, str]) -> DataFrame:
+    """One projection: the columns of ``df`` with some replaced and the new ones added."""
+    columns = [
+        f"{values[c]} as {name(c)}" if c in values else name(c)
+        for c in [*df.columns, *[v for v in values if v not in df.columns]]
+    ]
+    return df.selectExpr(*columns)
+
+
 def typed(df: DataFrame) -> DataFrame:
     """Dates, price and number of guests out of text."""
-    guests = F.try_add(
-        F.try_add(int_or_zero(F.col("adults")), int_or_zero(F.col("children"))),
-        int_or_zero(F.col("infants")),
-    )
-    return df.withColumns({
-        **{c: to_date_or_null(F.col(c)) for c in DATE_COLUMNS},
-        "total_price": to_double_or_null(F.col("total_price")),
-        "num_guests": guests,
+    adults, children, infants = (int_or_zero(c) for c in ("adults", "children", "infants"))
+    return _replaced(df, {
+        **{c: to_date_or_null(c) for c in DATE_COLUMNS},
+        "total_price": to_double_or_null("total_price"),
+        "num_guests": f"try_add(try_add({adults}, {children}), {infants})",
     })
 
 
 def standardized(df: DataFrame) -> DataFrame:
     """Names in upper case, single blanks in the guest's name, known categories."""
-    changes = {c: upper_trim(F.col(c)) for c in ("hotel_name", "city", "country")}
-    changes["full_name"] = squeeze_spaces(F.col("full_name"))
-    changes["room_type"] = map_category(F.col("room_type"), ROOM_TYPES)
+    values = {c: upper_trim(c) for c in ("hotel_name", "city", "country")}
+    values["full_name"] = squeeze_spaces("full_name")
+    values["room_type"] = map_category("room_type", ROOM_TYPES)
     if "booking_status" in df.columns:
-        changes["booking_status"] = map_category(F.col("booking_status"), BOOKING_STATUSES)
-    return df.withColumns(changes)
+        values["booking_status"] = map_category("booking_status", BOOKING_STATUSES)
+    return _replaced(df, values)
 
 
 def finish(rows: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Accepted raw rows to silver rows. A projection."""
     return standardized(typed(rows)).withColumns({
-        "stay_duration_days": stay_days(F.col("checkin_date"), F.col("checkout_date")),
+        "stay_duration_days": F.expr(stay_days("checkin_date", "checkout_date")),
         "silver_load_at": load_time(as_of),
         "silver_version": F.lit(SILVER_VERSION),
     })

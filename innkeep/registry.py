@@ -79,7 +79,9 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rounded(df: DataFrame, **digits: int) -> DataFrame:
     """Round sums of doubles, whose last digits depend on the order of addition."""
-    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+    return df.selectExpr(*[
+        f"round({c}, {digits[c]}) as {c}" if c in digits else c for c in df.columns
+    ])
 
 
 # ---- bronze -------------------------------------------------------------------
@@ -199,10 +201,10 @@ def price_profile(spark, sf_dir):
 
 @query
 def type_cast(spark, sf_dir):
-    return typed(_combined(spark, sf_dir)).select(
+    return typed(_combined(spark, sf_dir)).selectExpr(
         "booking_id", *cleaning.DATE_COLUMNS, "total_price", "num_guests",
-        to_int_or_null(F.col("nights")).alias("stay_nights"),
-        to_boolean_or_null(F.col("is_cancelled")).alias("is_cancelled"),
+        f"{to_int_or_null('nights')} as stay_nights",
+        f"{to_boolean_or_null('is_cancelled')} as is_cancelled",
     )
 
 
@@ -223,10 +225,10 @@ def category_map(spark, sf_dir):
 
 @query
 def stay_duration(spark, sf_dir):
-    arrives, leaves = (to_date_or_null(F.col(c)) for c in ("checkin_date", "checkout_date"))
-    return _combined(spark, sf_dir).select(
-        "booking_id", arrives.alias("checkin_date"), leaves.alias("checkout_date"),
-        cleaning.stay_days(arrives, leaves).alias("stay_duration_days"),
+    days = [to_date_or_null(c) for c in ("checkin_date", "checkout_date")]
+    return _combined(spark, sf_dir).selectExpr(
+        "booking_id", f"{days[0]} as checkin_date", f"{days[1]} as checkout_date",
+        f"{cleaning.stay_days(*days)} as stay_duration_days",
     )
 
 
@@ -244,9 +246,7 @@ def silver_audit(spark, sf_dir):
 def silver_rejects(spark, sf_dir):
     """One row per rejected row, as the quarantine table states their number."""
     rejects = _to_silver(spark, sf_dir).rejects
-    return rejects.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), "row_count"))).drop(
-        "_i", "row_count"
-    )
+    return rejects.selectExpr("*", "explode(sequence(1L, row_count))").drop("col", "row_count")
 
 
 # ---- recovery and split -------------------------------------------------------
@@ -269,11 +269,11 @@ def date_recovery_rejects(spark, sf_dir):
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def dated() -> DataFrame:
-        rows = fx.bookings(spark, sf_dir).select(
-            "booking_id", to_date_or_null(F.col("booking_date")).alias("booking_date"),
+        rows = fx.bookings(spark, sf_dir).selectExpr(
+            "booking_id", f"{to_date_or_null('booking_date')} as booking_date",
             "checkin_date", "hotel_id", "total_price",
         )
-        return rows.where(F.col("booking_date").isNotNull())
+        return rows.where("booking_date is not null")
 
     return split.chrono_split(_written(spark, sf_dir, "dated", dated))
 
@@ -317,7 +317,7 @@ def x_fx_convert(spark, sf_dir):
         F.element_at(currencies, (number % 7 + 1).cast("int")).alias("currency"),
     )
     rates = flatten_rates(fx.rate_payloads(spark, sf_dir), rate_date="day", as_of=LOADED_AT)
-    return _rounded(enrich.convert_prices(priced, rates, "currency"), converted_price=4)
+    return _rounded(enrich.convert_prices(priced, rates, "currency"), converted_price=6)
 
 
 @query
@@ -369,34 +369,34 @@ def dim_customer(spark, sf_dir):
 
 @query
 def conditional_counts(spark, sf_dir):
-    return _fact(spark, sf_dir).groupBy("booking_status").agg(
-        F.count("booking_id").alias("total_bookings"),
-        gold.count_where(~F.col("is_cancelled")).alias("confirmed_bookings"),
-        gold.count_where(F.col("is_cancelled")).alias("cancelled_bookings"),
-    )
+    return gold.aggregate(_fact(spark, sf_dir), ["booking_status"], {
+        "total_bookings": "count(booking_id)",
+        "confirmed_bookings": gold.count_where("not is_cancelled"),
+        "cancelled_bookings": gold.count_where("is_cancelled"),
+    })
 
 
 @query
 def distinct_counts(spark, sf_dir):
-    return _fact(spark, sf_dir).groupBy("hotel_country").agg(
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("hotel_id").alias("active_hotels"),
-    )
+    return gold.aggregate(_fact(spark, sf_dir), ["hotel_country"], {
+        "unique_customers": "count(distinct customer_id)",
+        "active_hotels": "count(distinct hotel_id)",
+    })
 
 
 @query
 def cancellation_rate(spark, sf_dir):
-    counts = _fact(spark, sf_dir).groupBy("booking_channel").agg(
-        F.count("booking_id").alias("total_bookings"),
-        gold.count_where(F.col("is_cancelled")).alias("cancelled_bookings"),
-    )
-    return counts.withColumn("cancellation_rate", gold.cancellation_rate())
+    counts = gold.aggregate(_fact(spark, sf_dir), ["booking_channel"], {
+        "total_bookings": "count(booking_id)",
+        "cancelled_bookings": gold.count_where("is_cancelled"),
+    })
+    return counts.selectExpr("*", f"{gold.cancellation_rate()} as cancellation_rate")
 
 
 @query
 def surrogate_key(spark, sf_dir):
-    key = text.surrogate_key(F.col("city"), F.col("country"))
-    return _silver(spark, sf_dir).select("booking_id", "city", "country", key.alias("city_id"))
+    key = text.surrogate_key("city", "country")
+    return _silver(spark, sf_dir).selectExpr("booking_id", "city", "country", f"{key} as city_id")
 
 
 # ---- quality ------------------------------------------------------------------

@@ -30,9 +30,13 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Only at start: without it every Column operation records its Python call site.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def build_session(app: str = "innkeep", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

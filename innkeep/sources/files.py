@@ -55,7 +55,10 @@ def read_bookings_csv(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """A folder of CSV files with headers, quoted so that ``read_csv`` gives the rows back."""
+    """A folder of CSV files with headers, quoted so that ``read_csv`` gives the rows back.
+
+    Empty text comes back as null: CSV does not tell the two apart.
+    """
     (
         df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)

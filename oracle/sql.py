@@ -522,7 +522,8 @@ def statements() -> dict[str, str]:
                else f"(select count(*) from s) as right_rows, (select count({c}) from s) as right_filled")
             for c in RAW_COLUMNS])
     # files, streams
-    q["csv_roundtrip"] = _with(RAW) + f"select {_RAW_LIST}, 'Batch_CSV' as _source from raw"
+    q["csv_roundtrip"] = _with(RAW) + f"select {_RAW_LIST}, 'Batch_CSV' as _source from raw".replace(
+        " city,", " nullif(city, '') as city,")
     q["write_verify"] = (
         "select count(*) as rows_written, count(*) as rows_stored, true as agree from lineitem")
     events = (
@@ -606,7 +607,7 @@ def statements() -> dict[str, str]:
           (['EUR','USD','GBP','TRY','CHF','JPY','PLN'])[cast(substr(customer_id, 2) as bigint) % 7 + 1] as currency
         from fact)
       select booking_id, total_price, currency,
-        round(total_price * case when currency = 'EUR' then 1.0 else rate_vs_eur end, 4) as converted_price
+        round(total_price * case when currency = 'EUR' then 1.0 else rate_vs_eur end, 6) as converted_price
       from priced left join newest on currency = currency_code"""
     q["x_weather_join"] = _with(*_TO_SILVER, WEATHER) + """
       , shifted as (select booking_id, city, checkin_date,
