@@ -13,16 +13,23 @@ from dataclasses import dataclass
 from innkeep.functions import quoted
 
 
+_ANY_YEAR = r"\d{4}"
+
+
 @dataclass(frozen=True)
 class DateFormat:
-    """``iso`` rewrites the groups of ``shape`` to ``y-m-d``; else ``pattern`` parses."""
+    """``YYYY`` in ``shape`` stands for the year.
+
+    ``iso`` rewrites the groups of ``shape`` to ``y-m-d``; without it
+    ``pattern`` parses the text.
+    """
 
     shape: str
     iso: str | None = None
     pattern: str | None = None
 
-    def parse(self, text: str) -> str:
-        shape = quoted(self.shape)
+    def parse(self, text: str, years: str = _ANY_YEAR) -> str:
+        shape = quoted(self.shape.replace("YYYY", years))
         if self.iso:
             day = f"try_cast(regexp_replace({text}, {shape}, {quoted(self.iso)}) as date)"
         else:
@@ -30,18 +37,18 @@ class DateFormat:
         return f"case when {text} rlike {shape} then {day} end"
 
 
-MONTH_FIRST = DateFormat(r"^(\d{1,2})/(\d{1,2})/(\d{4})$", iso="$3-$1-$2")
+MONTH_FIRST = DateFormat(r"^(\d{1,2})/(\d{1,2})/(YYYY)$", iso="$3-$1-$2")
 
 # The formats, in the order they are tried.
 DATE_FORMATS = [
     MONTH_FIRST,
-    DateFormat(r"^(\d{4})-(\d{1,2})-(\d{1,2})$", iso="$1-$2-$3"),
-    DateFormat(r"^(\d{1,2})/(\d{1,2})/(\d{4})$", iso="$3-$2-$1"),
-    DateFormat(r"^(\d{1,2})-(\d{1,2})-(\d{4})$", iso="$3-$2-$1"),
-    DateFormat(r"^(\d{4})(\d{2})(\d{2})$", iso="$1-$2-$3"),
-    DateFormat(r"^[A-Za-z]{3} \d{1,2}, \d{4}$", pattern="MMM d, yyyy"),
-    DateFormat(r"^[A-Za-z]{3,9} \d{1,2}, \d{4}$", pattern="MMMM d, yyyy"),
-    DateFormat(r"^(\d{1,2})\.(\d{1,2})\.(\d{4})$", iso="$3-$2-$1"),
+    DateFormat(r"^(YYYY)-(\d{1,2})-(\d{1,2})$", iso="$1-$2-$3"),
+    DateFormat(r"^(\d{1,2})/(\d{1,2})/(YYYY)$", iso="$3-$2-$1"),
+    DateFormat(r"^(\d{1,2})-(\d{1,2})-(YYYY)$", iso="$3-$2-$1"),
+    DateFormat(r"^(YYYY)(\d{2})(\d{2})$", iso="$1-$2-$3"),
+    DateFormat(r"^[A-Za-z]{3} \d{1,2}, (YYYY)$", pattern="MMM d, yyyy"),
+    DateFormat(r"^[A-Za-z]{3,9} \d{1,2}, (YYYY)$", pattern="MMMM d, yyyy"),
+    DateFormat(r"^(\d{1,2})\.(\d{1,2})\.(YYYY)$", iso="$3-$2-$1"),
 ]
 
 # A recovered date outside these years is not believed.
@@ -62,9 +69,9 @@ def parse_any_date(
     first_year: int = FIRST_YEAR,
     last_year: int = LAST_YEAR,
 ) -> str:
-    """First format that gives a date within the years; later ones are not tried."""
-
-    def believed(day: str) -> str:
-        return f"case when year({day}) between {first_year} and {last_year} then {day} end"
+    """First format that gives a date within the years; later ones are not tried.
 
-    return f"coalesce({', '.join(believed(f.parse(text)) for f in formats)})"
+    The years are part of the shape, so a text is parsed at most once per format.
+    """
+    years = "|".join(f"{y:04d}" for y in range(first_year, last_year + 1))
+    return f"coalesce({', '.join(f.parse(text, years) for f in formats)})"

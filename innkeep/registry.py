@@ -20,9 +20,10 @@ from innkeep.functions.casts import to_boolean_or_null, to_date_or_null, to_int_
 from innkeep.functions import text
 from innkeep.operators import cleaning, columns, enrich, quality, recovery, sampling, split
 from innkeep.operators.bi import summarize
+from innkeep.operators.cleaning import tag_rejects
 from innkeep.operators.dedup import keep_latest
 from innkeep.plans import bronze, gold, insights
-from innkeep.plans.silver import combine, standardized, to_silver, typed
+from innkeep.plans.silver import Silver, combine, of_tagged, standardized, to_silver, typed
 from innkeep.session import apply_settings, scratch_path
 from innkeep.sources.files import read_bookings_csv, write_csv
 from innkeep.sources.payloads import flatten_rates, flatten_weather
@@ -65,12 +66,19 @@ def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combine(*fx.batch_and_stream(spark, sf_dir))
 
 
-def _to_silver(spark: SparkSession, sf_dir: str):
+def _to_silver(spark: SparkSession, sf_dir: str) -> Silver:
     return to_silver(*fx.batch_and_stream(spark, sf_dir), as_of=LOADED_AT)
 
 
+def _layers(spark: SparkSession, sf_dir: str) -> Silver:
+    """Silver out of the written tagged table, as in a whole build."""
+    combined = _combined(spark, sf_dir)
+    tagged = _written(spark, sf_dir, "tagged", lambda: tag_rejects(combined))
+    return of_tagged(combined, tagged, LOADED_AT)
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _written(spark, sf_dir, "silver", lambda: _to_silver(spark, sf_dir).bookings)
+    return _written(spark, sf_dir, "silver", lambda: _layers(spark, sf_dir).bookings)
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +253,7 @@ def silver_audit(spark, sf_dir):
 @query
 def silver_rejects(spark, sf_dir):
     """One row per rejected row, as the quarantine table states their number."""
-    rejects = _to_silver(spark, sf_dir).rejects
+    rejects = _layers(spark, sf_dir).rejects
     return rejects.selectExpr("*", "explode(sequence(1L, row_count))").drop("col", "row_count")
 
 
