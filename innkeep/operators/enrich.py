@@ -34,12 +34,13 @@ def cities_to_fetch(bookings: DataFrame, city: str = "city") -> DataFrame:
     """The coordinate rows whose city occurs in ``bookings``; all if none does.
 
     The names are compared as they stand. The filter is pushed to the scan and
-    at most one row per known city leaves it, whatever the size of the table.
+    at most one row per known city leaves it, whatever the size of the table:
+    few enough to broadcast.
     """
     known = coordinates(bookings.sparkSession)
     names = [name for name, _, _ in CITY_COORDINATES]
     booked = bookings.where(F.col(city).isin(*names)).select(F.col(city).alias("city")).distinct()
-    return known if booked.isEmpty() else known.join(booked, "city", "left_semi")
+    return known if booked.isEmpty() else known.join(F.broadcast(booked), "city", "left_semi")
 
 
 def cities_of_table(spark: SparkSession, table: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.contracts import RATES_TAG, WEATHER_TAG
+from innkeep.functions import name, quoted
 from innkeep.operators.columns import load_time
 from innkeep.operators.enrich import BASE_CURRENCY, CURRENCIES
 from innkeep.sources.tables import write_table
@@ -33,23 +34,19 @@ def flatten_weather(
     A payload that cannot be read, or whose series differ in length, is
     skipped; the other cities go on.
     """
-    daily = F.from_json(F.col(payload), _FORECAST).getField("daily")
-    series = [F.col("_daily").getField(n) for n in DAILY_SERIES]
-    even = F.col("_daily").isNotNull()
-    for s in series[1:]:
-        even = even & (F.size(s) == F.size(series[0]))
-    zipped = F.arrays_zip(*[s.alias(n) for s, n in zip(series, DAILY_SERIES)])
-    rows = (
-        payloads.select("city", "latitude", "longitude", daily.alias("_daily"))
-        .where(even)
-        .select("city", "latitude", "longitude", F.explode(zipped).alias("_day"))
-    )
-    return rows.select(
-        *[F.col("_day").getField(n).alias(n) for n in DAILY_SERIES],
+    names = list(DAILY_SERIES)
+    even = " and ".join(f"size(_daily.{n}) = size(_daily.{names[0]})" for n in names[1:])
+    zipped = f"arrays_zip({', '.join(f'_daily.{n}' for n in names)})"
+    # The test sits inside the explode: as a filter it would be moved to the
+    # text and parse every payload again for each of its parts.
+    rows = payloads.selectExpr(
         "city", "latitude", "longitude",
-        load_time(as_of).alias("ingestion_timestamp"),
-        F.lit(WEATHER_TAG).alias("_source"),
-    )
+        f"from_json({name(payload)}, {quoted(_FORECAST)}).daily as _daily",
+    ).selectExpr("city", "latitude", "longitude", f"explode(case when {even} then {zipped} end) as _day")
+    return rows.selectExpr(*[f"_day.{n} as {n}" for n in names], "city", "latitude", "longitude").withColumns({
+        "ingestion_timestamp": load_time(as_of),
+        "_source": F.lit(WEATHER_TAG),
+    })
 
 
 def flatten_rates(
