@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,7 +79,7 @@ def batches(columns: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
 
 def sliced(batch: pa.RecordBatch, text: str = "text", most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in slices of a bounded text size (a slice has one row at least)."""
-    sizes = np.asarray(pa.compute.binary_length(batch.column(text)).fill_null(0).cast(pa.int64()))
+    sizes = np.asarray(pc.binary_length(batch.column(text)).fill_null(0).cast(pa.int64()))
     begin, total = 0, 0
     for i, n in enumerate(sizes.tolist()):
         if total and total + n > most:

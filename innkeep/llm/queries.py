@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from innkeep.llm import simhash
+from innkeep.llm import bpe, idfile, packing, simhash, tokens
 from innkeep.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,31 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op1_token_counts(spark, sf_dir):
+    return tokens.token_counts(table(spark, sf_dir, "documents"), PIECES)
+
+
+@query
+def op2_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
+
+
+@query
+def op4_token_ids(spark, sf_dir):
+    return idfile.token_id_output(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
+
+
+@query
+def op6_bpe(spark, sf_dir):
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
 @query
 def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
