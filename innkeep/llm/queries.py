@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from innkeep.llm import bpe, idfile, packing, simhash, tokens
+from innkeep.llm import bpe, idfile, packing, simhash, tokens, topk, vectors
 from innkeep.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op4_token_ids(spark, sf_dir):
     return idfile.token_id_output(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
 
 
+@query
+def op5_vectors(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_bpe(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), BYTE_BPE)
@@ -53,6 +58,11 @@ def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=100)
+
+
 # SQL twins, where SQL can express the operator; none of these is: they hash with
 # XXH64, encode, decode, learn or search. tests/llm holds brute-force versions.
 ORACLE_SQL: dict[str, str] = {}
