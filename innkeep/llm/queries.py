@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from innkeep.llm import bpe, idfile, packing, simhash, tokens, topk, vectors
+from innkeep.llm import bpe, html, idfile, packing, quality, simhash, tokens, topk, toxicity, vectors
 from innkeep.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op2_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
 
 
+@query
+def op3_quality(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_token_ids(spark, sf_dir):
     return idfile.token_id_output(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
@@ -58,6 +63,16 @@ def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_html(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), every=100)
