@@ -1,9 +1,10 @@
 """Token ids by the tokenizers library, with a memo for the pieces that repeat.
 
-A text is cut before white space that follows something else. No token of these
-vocabularies reaches over such a place, and nothing they look at does (the white
-space run stays with the word after it), so the ids of a text are the ids of its
-chunks, one after the other. Most chunks repeat, and repeats cost one look-up.
+A text is cut before a space or line feed that follows something else than white
+space. No token of these vocabularies reaches over such a place, and nothing they
+look at does, so the ids of a text are the ids of its pieces, one after the other.
+Most pieces repeat, and a repeat costs one look-up. Likewise a run of letters and
+the comma or full stop after it are split by the vocabularies' patterns.
 """
 
 from __future__ import annotations
@@ -11,17 +12,56 @@ from __future__ import annotations
 import os
 import re
 
+import numpy as np
 from tokenizers import Tokenizer
 
+# Where a space or line feed follows white space, the longer way is taken.
+_RUN = re.compile(r"\s[ \n]")
 _CHUNK = re.compile(r"\s*\S+|\s+")
 # Python counts these as white space, the vocabularies' patterns do not.
 _ODD = re.compile("[\x1c-\x1f]")
-MEMO_CHUNKS = 300_000
+# Letters whose lower case is the same letter for every library.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MEMO_PIECES = 300_000
 MEMO_CHARS = 64
 
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
+def cut(text: str) -> tuple[list[str], list[str]]:
+    """Pieces as they are, and then pieces given by what follows their space, or by all
+    of them where they begin with a line feed."""
+    if _RUN.search(text) is None:
+        spaced = text.replace("\n", " \n").split(" ")
+        first = spaced.pop(0)
+        return [first] if first else [], spaced
+    return [text] if _ODD.search(text) else _CHUNK.findall(text), []
+
+
+def piece_of(key: str) -> str:
+    """The piece of a key of the second list."""
+    return key if key[:1] == "\n" else " " + key
+
+
+class Memo:
+    """Ids of pieces. What has not been used while ``MEMO_PIECES`` others came goes."""
+
+    def __init__(self) -> None:
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        if len(self.new) > MEMO_PIECES:
+            self.new, self.old = {}, self.new
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Those of ``keys`` that are not known; known ones are at hand afterwards."""
+        keys -= self.new.keys()
+        again = keys & self.old.keys()
+        self.new.update((k, self.old[k]) for k in again)
+        return keys - again
+
+
 class ChunkEncoder:
     """Ids as bytes: unsigned, little-endian, 32 bits each."""
 
@@ -31,26 +71,65 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[str, bytes] = {}
+        normal = self.tokenizer.normalizer
+        self.folds = normal is not None and normal.normalize_str("AZÀÝ") == "azàý"
+        self.whole, self.spaced = Memo(), Memo()
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """One call of the library for all; its word numbers tell the pieces apart."""
+        if not pieces:
+            return []
+        found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, "<u4").tobytes()
+        counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
+        ends = (4 * np.cumsum(counts)).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _learn(self, memo: Memo, fresh: set[str], spaced: bool) -> dict[str, bytes]:
+        """Add the ids of what is missing; of what is long, return them instead."""
+        made: list[tuple[str, str, str]] = []  # of a word and maybe a mark
+        plain: set[str] = set()
+        for key in fresh if spaced else ():
+            word, mark = (key[:-1], key[-1]) if key[-1:] in (",", ".") and key[:-1].isalpha() else (key, "")
+            if self.folds and _LATIN.fullmatch(word):
+                word = word.lower()
+            if word == key:
+                plain.add(key)
+            else:
+                made.append((key, word, mark))
+        if not spaced:
+            plain |= fresh
+        plain |= memo.missing({word for _, word, _ in made} - plain)
+        todo = list(plain)
+        done = dict(zip(todo, self._ids([piece_of(k) for k in todo] if spaced else todo)))
+        long = {k: done.pop(k) for k in todo if len(k) > MEMO_CHARS}
+        memo.new.update(done)
+        for key, word, mark in made:
+            ids = (long[word] if word in long else memo.new[word]) + (self._mark(mark) if mark else b"")
+            (long if len(key) > MEMO_CHARS else memo.new)[key] = ids
+        return long
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return [b"".join([i.to_bytes(4, "little") for i in e.ids]) for e in found]
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self.whole.new:
+            self.whole.new[mark] = self._ids([mark])[0]
+        return self.whole.new[mark]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        memo = self.memo
-        if len(memo) > MEMO_CHUNKS:
-            memo.clear()
-        cut = [[t] if _ODD.search(t) else _CHUNK.findall(t) for t in texts]
-        fresh = list({c for chunks in cut for c in chunks if c not in memo})
-        once = dict(zip(fresh, self._encode(fresh))) if fresh else {}
-        out = [
-            b"".join([memo[c] if c in memo else once[c] for c in chunks]) if once
-            else b"".join([memo[c] for c in chunks])
-            for chunks in cut
+        self.whole.turn()
+        self.spaced.turn()
+        both = [cut(t) for t in texts]
+        whole: set[str] = set()
+        spaced: set[str] = set()
+        for some, pieces in both:
+            whole.update(some)
+            spaced.update(pieces)
+        long_whole = self._learn(self.whole, self.whole.missing(whole), False)
+        long_spaced = self._learn(self.spaced, self.spaced.missing(spaced), True)
+        w = self.whole.new | long_whole if long_whole else self.whole.new
+        s = self.spaced.new | long_spaced if long_spaced else self.spaced.new
+        return [
+            b"".join(map(w.__getitem__, some)) + b"".join(map(s.__getitem__, pieces)) for some, pieces in both
         ]
-        memo.update((c, ids) for c, ids in once.items() if len(c) <= MEMO_CHARS)
-        return out
 
 
 def encoder(path: str) -> ChunkEncoder:
