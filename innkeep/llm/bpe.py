@@ -20,21 +20,24 @@ import codecs
 import hashlib
 import heapq
 import json
+from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from innkeep.llm.chunks import cut, piece_of
 from innkeep.llm.common import arrow_map, batches, sliced, texts
 
 BLOCK_BYTES = 4096
 MEMO_WORDS = 200_000
-MEMO_CHUNKS = 200_000
+MEMO_PIECES = 300_000
 MEMO_CHARS = 64
+TURN = 4096  # pieces that are looked up before their ids are hashed and decoded
+NEVER = 1 << 60
 # Fixed value: the vocabulary's pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_CHUNK = regex.compile(r"\s*\S+|\s+")
 
 _CODECS: dict[str, "Codec"] = {}
 _ROWS = pa.schema([
@@ -70,22 +73,26 @@ class Codec:
         for token, i in vocab.items():
             if len(token) == 1 and token in letters:
                 self.byte_ids[letters[token]] = i
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[tuple[int, int], int] = {}
+        self.merged: list[int] = []  # what the merge of each rank makes
         for rank, pair in enumerate(spec["model"]["merges"]):
             x, y = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[x], vocab[y]] = (rank, vocab[x + y])
+            self.rank[vocab[x], vocab[y]] = rank
+            self.merged.append(vocab[x + y])
         self.lookahead = self._sufficient_lookahead()
         self.split = regex.compile(PATTERN)
         self.specials = regex.compile("|".join(regex.escape(s) for s in self.special)) if self.special else None
         self.words: dict[str, list[int]] = {}
-        self.chunks: dict[str, tuple[list[int], bytes]] = {}
+        # Ids (32 bits each) and digits of pieces, by the piece and by what follows its space.
+        self.whole: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self.spaced: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
 
     def _sufficient_lookahead(self) -> int:
-        order = sorted(self.merges.items(), key=lambda m: -m[1][0])
-        first_part = {z: x for (x, _), (_, z) in reversed(order)}
+        order = [(x, y, self.merged[r]) for (x, y), r in sorted(self.rank.items(), key=lambda m: -m[1])]
+        first_part = {z: x for x, _, z in reversed(order)}
         longest: dict[int, int] = {}  # of a token: the longest chain of later merges whose y begins with it
         best = 0
-        for (x, y), (_, z) in order:
+        for x, y, z in order:
             chain = len(self.bytes_of[x]) + max(longest.get(z, 0), longest.get(x, 0))
             best = max(best, chain)
             t: int | None = y
@@ -99,41 +106,41 @@ class Codec:
 
     def _merge(self, ids: list[int]) -> list[int]:
         """Merges in the order of the list, from the left among equals."""
-        merges = self.merges
+        rank, merged = self.rank.get, self.merged
         n = len(ids)
         if n <= 48:
-            while n > 1:
-                best = None
-                for k in range(n - 1):
-                    m = merges.get((ids[k], ids[k + 1]))
-                    if m is not None and (best is None or m < best):
-                        best, at = m, k
-                if best is None:
+            ranks = [rank(pair, NEVER) for pair in zip(ids, ids[1:])]
+            while ranks:
+                best = min(ranks)
+                if best == NEVER:
                     break
-                ids[at:at + 2] = [best[1]]
-                n -= 1
+                k = ranks.index(best)
+                ids[k:k + 2] = [merged[best]]
+                del ranks[k]
+                if k < len(ranks):
+                    ranks[k] = rank((ids[k], ids[k + 1]), NEVER)
+                if k:
+                    ranks[k - 1] = rank((ids[k - 1], ids[k]), NEVER)
             return ids
         after = [*range(1, n), -1]
         before = [*range(-1, n - 1)]
-        queue = [
-            (m[0], k, ids[k], ids[k + 1], m[1])
-            for k in range(n - 1) if (m := merges.get((ids[k], ids[k + 1]))) is not None
-        ]
+        queue = [(r, k, *pair) for k, pair in enumerate(zip(ids, ids[1:])) if (r := rank(pair)) is not None]
         heapq.heapify(queue)
         while queue:
-            _, k, x, y, z = heapq.heappop(queue)
+            r, k, x, y = heapq.heappop(queue)
             right = after[k]
             if ids[k] != x or right < 0 or ids[right] != y:
                 continue
-            ids[k], ids[right] = z, -1
+            z = ids[k] = merged[r]
+            ids[right] = -1
             after[k] = after[right]
             if after[k] >= 0:
                 before[after[k]] = k
-                if (m := merges.get((z, ids[after[k]]))) is not None:
-                    heapq.heappush(queue, (m[0], k, z, ids[after[k]], m[1]))
+                if (r := rank((z, ids[after[k]]))) is not None:
+                    heapq.heappush(queue, (r, k, z, ids[after[k]]))
             left = before[k]
-            if left >= 0 and (m := merges.get((ids[left], z))) is not None:
-                heapq.heappush(queue, (m[0], left, ids[left], z, m[1]))
+            if left >= 0 and (r := rank((ids[left], z))) is not None:
+                heapq.heappush(queue, (r, left, ids[left], z))
         return [i for i in ids if i >= 0]
 
     def transduce(self, blocks: Iterable[bytes]) -> Iterator[list[int]]:
@@ -159,8 +166,8 @@ class Codec:
     def _word(self, word: str) -> list[int]:
         found = self.words.get(word)
         if found is None:
-            data = word.encode("utf-8")
-            found = [i for part in self.transduce(_blocks(data)) for i in part]
+            # Of one block; the transducer would hold all of it until its end.
+            found = self._merge(list(map(self.byte_ids.__getitem__, word.encode("utf-8"))))
             if len(word) <= MEMO_CHARS:
                 if len(self.words) >= MEMO_WORDS:
                     self.words.clear()
@@ -170,40 +177,53 @@ class Codec:
     def _plain(self, text: str) -> Iterator[list[int]]:
         for word in self.split.finditer(text):
             word = word.group()
-            if len(word) <= BLOCK_BYTES:
+            if len(word) <= MEMO_CHARS:
                 yield self._word(word)
             else:
                 yield from self.transduce(_blocks(word.encode("utf-8")))
 
     def encode(self, text: str) -> Iterator[list[int]]:
-        """The ids of a text, in parts, as it is read.
-
-        It is cut before white space that follows something else: no word of the
-        pattern reaches over that. Pieces that repeat are looked up.
-        """
-        for piece in _CHUNK.finditer(text):
-            yield self.chunk(piece.group())[0]
-
-    def chunk(self, chunk: str) -> tuple[list[int], bytes]:
-        """The ids, and their decimal digits with a comma after each."""
-        found = self.chunks.get(chunk)
-        if found is not None:
-            return found
-        ids: list[int] = []
+        """The ids of a text, in parts, as it is read."""
         at = 0
-        for hit in self.specials.finditer(chunk) if self.specials else ():
-            for part in self._plain(chunk[at:hit.start()]):
-                ids += part
-            ids.append(self.special[hit.group()])
+        for hit in self.specials.finditer(text) if self.specials else ():
+            yield from self._plain(text[at:hit.start()])
+            yield [self.special[hit.group()]]
             at = hit.end()
-        for part in self._plain(chunk[at:] if at else chunk):
-            ids += part
-        found = ids, b"".join(b"%d," % i for i in ids)
-        if len(chunk) <= MEMO_CHARS:
-            if len(self.chunks) >= MEMO_CHUNKS:
-                self.chunks.clear()
-            self.chunks[chunk] = found
-        return found
+        yield from self._plain(text[at:] if at else text)
+
+    def looked_up(self, text: str) -> Iterator[tuple[bytes, bytes]]:
+        """The ids of a text (32 bits each) and their digits with a comma after each,
+        some thousand pieces at a time. Most pieces repeat, and repeats are looked up."""
+        for keys, memo, piece in zip(cut(text), (self.whole, self.spaced), (str, piece_of)):
+            ids, digits = memo
+            if len(ids) > MEMO_PIECES:
+                ids.clear()
+                digits.clear()
+            for at in range(0, len(keys), TURN):
+                some = keys[at:at + TURN]
+                long = []
+                for key in set(some).difference(ids):
+                    if len(key) > MEMO_CHARS:
+                        long.append(key)
+                        continue
+                    text_ = piece(key)
+                    if self.specials and self.specials.search(text_):
+                        found = [i for part in self.encode(text_) for i in part]
+                    else:
+                        found = []
+                        for word in self.split.findall(text_):
+                            found += self._word(word)
+                    ids[key] = array("I", found).tobytes()
+                    digits[key] = b"".join([b"%d," % i for i in found])
+                if not long:
+                    yield b"".join(map(ids.__getitem__, some)), b"".join(map(digits.__getitem__, some))
+                    continue
+                for key in some:  # long pieces pass in parts
+                    if key in ids:
+                        yield ids[key], digits[key]
+                    else:
+                        for part in self.encode(piece(key)):
+                            yield array("I", part).tobytes(), b"".join([b"%d," % i for i in part])
 
     # -- decoding --
 
@@ -235,29 +255,14 @@ def round_trip(text: str, path: str) -> tuple[int, str, str]:
     c = codec(path)
     ids_hash, text_hash, n, comma = hashlib.sha256(), hashlib.sha256(), 0, b""
     state = codecs.getincrementaldecoder("utf-8")("replace")
-    waiting: list[int] = []
-    digits: list[bytes] = []
-
-    def flush(final: bool = False) -> None:
-        nonlocal comma
-        if digits:
-            said = b"".join(digits)
-            ids_hash.update(comma + said[:-1])
+    piece = c.bytes_of.__getitem__
+    for ids, digits in c.looked_up(text):
+        if ids:
+            n += len(ids) // 4
+            ids_hash.update(comma + digits[:-1])
             comma = b","
-            digits.clear()
-        bytes_of = c.bytes_of
-        text_hash.update(state.decode(b"".join([bytes_of[i] for i in waiting]), final).encode("utf-8"))
-        waiting.clear()
-
-    for piece in _CHUNK.finditer(text):
-        ids, said = c.chunk(piece.group())
-        n += len(ids)
-        waiting += ids
-        if said:
-            digits.append(said)
-        if len(waiting) > 1 << 14:
-            flush()
-    flush(final=True)
+            text_hash.update(state.decode(b"".join(map(piece, memoryview(ids).cast("I")))).encode("utf-8"))
+    text_hash.update(state.decode(b"", final=True).encode("utf-8"))
     return n, ids_hash.hexdigest(), text_hash.hexdigest()
 
 
