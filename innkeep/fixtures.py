@@ -17,6 +17,8 @@ from innkeep.contracts import BOOKING_COLUMNS
 # Hotel city by nation key; other nations keep their name.
 CITIES = ["Amsterdam", "London", " london ", "Paris", "Berlin", "barcelona", "Rome", "Vienna", "Prague"]
 
+BOOKING_TABLES = ["lineitem", "orders", "supplier", "nation", "region", "customer"]
+
 # Columns the stream does not send.
 NOT_IN_STREAM = ["service_fee", "promotion_code"]
 
@@ -44,7 +46,7 @@ _VALUES = {
                     f"else cast(date_sub({_DAY}, cast(l_partkey % 30 as int)) as string) end",
     "checkin_date": f"if(l_partkey % 61 = 3, '0000-00-00', cast({_DAY} as string))",
     "checkout_date": f"cast(date_add({_DAY}, {_STAY}) as string)",
-    "nights": f"concat({_QTY}, '.0')",
+    "nights": f"case when l_partkey % 53 = 0 then '.5' when l_partkey % 53 = 1 then '2.9' else concat({_QTY}, '.0') end",
     "booking_status": "case when l_linenumber = 7 then 'no show' "
                       "when o_orderstatus = 'F' then if(l_orderkey % 5 = 0, 'CNF', 'cnf') "
                       "when o_orderstatus = 'P' then 'Pending' else 'canceled' end",
@@ -82,7 +84,7 @@ _VALUES = {
     "adults": f"if(l_partkey % 41 = 0, 'x', cast({_QTY} % 3 + 1 as string))",
     "children": f"concat({_QTY} % 2, '.0')",
     "infants": "if(l_partkey % 10 = 0, '1', null)",
-    "special_requests": "if(l_partkey % 6 = 0, 'late, \"quiet\" room', null)",
+    "special_requests": "if(l_partkey % 6 = 0, concat('late,', char(10), '\"quiet\" room'), null)",
     "promotion_code": "if(l_partkey % 9 = 0, 'P9', null)",
     "total_price": f"case when l_orderkey % 103 = 9 then null when l_partkey % 83 = 11 then 'abc' "
                    f"else cast({_PRICE} as string) end",
@@ -103,8 +105,7 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     shuffles both by order key. Which of the other tables is broadcast is left
     to the optimizer and its size limit.
     """
-    t = {n: table(spark, sf_dir, n) for n in
-         ("lineitem", "orders", "supplier", "nation", "region", "customer")}
+    t = {n: table(spark, sf_dir, n) for n in BOOKING_TABLES}
     hotels = (
         t["supplier"].join(t["nation"], F.expr("s_nationkey = n_nationkey"))
         .join(t["region"], F.expr("n_regionkey = r_regionkey"))
@@ -121,7 +122,11 @@ def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_and_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = bookings(spark, sf_dir)
+    return halves(bookings(spark, sf_dir))
+
+
+def halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Batch and stream; the stream lacks two columns."""
     batch = rows.where("booking_source = 'F'")
     return batch, rows.where("booking_source <> 'F'").drop(*NOT_IN_STREAM)
 
@@ -205,4 +210,5 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType()),
     T.StructField("event_type", T.StringType()),
     T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
 ])

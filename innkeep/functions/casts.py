@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-# Whole part of a plain decimal number. Exponents do not count as integers.
-_WHOLE_PART = r"r'^\s*([+-]?[0-9]+)(?:[.][0-9]*)?\s*$'"
+# A plain decimal number; its whole part may be left out. Exponents do not count.
+_DECIMAL = r"r'^\s*[+-]?(?:[0-9]+(?:[.][0-9]*)?|[.][0-9]+)\s*$'"
+_WHOLE_PART = r"r'^\s*([+-]?[0-9]*)'"
 
 
 def to_date_or_null(text: str) -> str:
@@ -15,10 +16,12 @@ def to_double_or_null(text: str) -> str:
 
 
 def to_int_or_null(text: str) -> str:
-    """``'2'`` and ``'2.0'`` give 2. The regex runs only where the direct cast fails."""
+    """``'2'`` and ``'2.9'`` give 2, ``'.5'`` gives 0: cut off, not rounded. The regexes
+    run only where the direct cast fails."""
+    whole = f"regexp_extract({text}, {_WHOLE_PART}, 1)"
     return (
-        f"coalesce(try_cast({text} as int), "
-        f"try_cast(regexp_extract({text}, {_WHOLE_PART}, 1) as int))"
+        f"coalesce(try_cast({text} as int), case when rlike({text}, {_DECIMAL}) "
+        f"then if({whole} in ('', '+', '-'), 0, try_cast({whole} as int)) end)"
     )
 
 

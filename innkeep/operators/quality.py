@@ -144,13 +144,13 @@ def run_suite(
 def suite_report(results: DataFrame, table: str, as_of: datetime | None = None) -> DataFrame:
     """The report as one row: totals, overall flag, failed expectations.
 
-    The list is bounded by the length of the suite. ``sample_size`` equals
-    ``total_rows``: nothing is sampled. It is the largest number evaluated.
+    Of results ``with_total``. The list is bounded by the length of the suite.
+    ``sample_size`` equals ``total_rows``, the rows of the table: nothing is sampled.
     """
     run_date = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     failed = "named_struct('column', column_name, 'expectation', expectation)"
     totals = results.selectExpr(
-        "max(evaluated) as total_rows",
+        "max(total_rows) as total_rows",
         "count(*) as total_expectations",
         "count_if(success) as successful",
         "count_if(not success) as failed",

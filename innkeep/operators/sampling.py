@@ -1,4 +1,4 @@
-"""Bernoulli sample of at most about ``max_rows`` rows, the same on every run."""
+"""Bernoulli sample by key, the same on every run."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The first eight hex digits of an MD5, as a share of all their values.
-_HEX_DIGITS, _SPAN = 8, 16.0**8
+# The first hex digits of an MD5, as a share of all their values; 60 bits fit in a long.
+_HEX_DIGITS, _SPAN = 15, 16.0**15
 
 
 def in_sample(keys: Sequence[str], fraction: float, seed: int = 42) -> Column:
@@ -22,14 +22,6 @@ def in_sample(keys: Sequence[str], fraction: float, seed: int = 42) -> Column:
     return draw < F.lit(float(fraction))
 
 
-def sample_rows(
-    df: DataFrame, keys: Sequence[str], max_rows: int = 100_000, seed: int = 42
-) -> DataFrame:
-    """All rows if there are no more than ``max_rows``, else a sample of that expected size.
-
-    Runs one count of ``df``.
-    """
-    total = df.count()
-    if total <= max_rows:
-        return df
-    return df.where(in_sample(keys, max_rows / total, seed))
+def sample_rows(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
+    """About ``fraction`` of the rows, whatever their number. A filter."""
+    return df.where(in_sample(keys, fraction, seed))

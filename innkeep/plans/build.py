@@ -13,7 +13,7 @@ from innkeep.operators.recovery import recover_dates, recovered, unrecoverable
 from innkeep.operators.split import BATCH, STREAM, check_no_overlap, chrono_split, split_ranges
 from innkeep.plans import gold
 from innkeep.plans.bronze import unify
-from innkeep.plans.silver import combine, of_tagged
+from innkeep.plans.silver import of_tagged, united
 from innkeep.session import scratch_path
 from innkeep.sources.files import write_csv, write_report
 from innkeep.sources.tables import write_files, write_gold, write_table
@@ -66,7 +66,8 @@ def build_all(
     done.rows["bronze_unified_bookings"] = write_table(
         unify(batch, stream), "bronze_unified_bookings", fmt
     )
-    combined = combine(batch, stream)
+    # Both branches of the rejects, and the search for surplus rows, read the one table.
+    combined = united(spark.read.table("bronze_unified_bookings"))
     write_table(of_tagged(combined).tagged, "silver_tagged", fmt, partition_by=[REASON])
     views = of_tagged(combined, spark.read.table("silver_tagged"))
     done.rows["silver_bookings"] = write_table(views.bookings, "silver_bookings", fmt)
@@ -82,7 +83,7 @@ def build_all(
     fact = spark.read.table("gold.fact_booking")
     done.rows["kpi_revenue"] = write_gold(gold.kpi_revenue(fact), "kpi_revenue", fmt)
 
-    done.quality = run_suite(silver, silver_suite(silver.columns))
+    done.quality = run_suite(silver, silver_suite(silver.columns), with_total=True)
     if report_path:
         write_report(suite_report(done.quality, "silver_bookings"), report_path)
     return done

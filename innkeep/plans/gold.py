@@ -94,7 +94,9 @@ def kpi_revenue(fact: DataFrame) -> DataFrame:
     A booking whose cancellation flag is null is in neither of the two counts.
     The two distinct counts are exact: ids are made distinct per group on the
     map side and spread by id, so a city with a third of all bookings is not
-    counted in one task. The rank works on the groups only.
+    counted in one task. The rank works on the groups only. It ranks the revenue in
+    cents: the last digits of a sum of doubles depend on the order of addition, and
+    equal revenues must tie in every run.
     """
     groups = aggregate(fact, ["booking_year", "booking_month", "hotel_city", "hotel_country"], {
         "total_bookings": "count(booking_id)",
@@ -109,7 +111,7 @@ def kpi_revenue(fact: DataFrame) -> DataFrame:
         "unique_customers": "count(distinct customer_id)",
         "active_hotels": "count(distinct hotel_id)",
     })
-    rank = "rank() over (partition by booking_year, booking_month order by gross_revenue desc)"
+    rank = "rank() over (partition by booking_year, booking_month order by round(gross_revenue, 2) desc)"
     return groups.selectExpr(
         "*", f"{cancellation_rate()} as cancellation_rate", f"{rank} as revenue_rank"
     )

@@ -17,6 +17,8 @@ from innkeep.functions.text import (
 )
 from innkeep.operators.cleaning import accepted, audit, rejected, stay_days, tag_rejects
 from innkeep.operators.columns import load_time
+from innkeep.session import scratch_path
+from innkeep.sources.tables import write_files
 
 
 @dataclass(frozen=True)
@@ -29,14 +31,39 @@ class Silver:
     audit: DataFrame
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    """Booking columns as text: a reader that has inferred types must not decide how
+    the two sources unite, or what a cast of theirs fails on."""
+    kinds = dict(df.dtypes)
+    return _replaced(df, {
+        c: f"cast({name(c)} as string)" for c in BOOKING_COLUMNS if kinds.get(c, "string") != "string"
+    })
+
+
 def combine(batch: DataFrame, stream: DataFrame) -> DataFrame:
-    """Both bronze sources with ``data_source``; all booking columns present."""
-    both = batch.withColumn("data_source", F.lit(BATCH_TAG)).unionByName(
-        stream.withColumn("data_source", F.lit(STREAM_TAG)), allowMissingColumns=True
+    """Both bronze sources as text with ``data_source``; all booking columns present."""
+    both = as_text(batch).withColumn("data_source", F.lit(BATCH_TAG)).unionByName(
+        as_text(stream).withColumn("data_source", F.lit(STREAM_TAG)), allowMissingColumns=True
     )
     return with_missing_as_null(both, BOOKING_COLUMNS)
 
 
+def united(unified: DataFrame) -> DataFrame:
+    """``combine`` of a written unified bronze table, whose ``_source`` tells the two apart."""
+    rows = as_text(unified).withColumn(
+        "data_source", F.when(F.col("_source") == STREAM_TAG, STREAM_TAG).otherwise(BATCH_TAG)
+    )
+    return with_missing_as_null(rows, BOOKING_COLUMNS)
+
+
+def written_rows(combined: DataFrame) -> DataFrame:
+    """The united rows from a written copy. The rejects take two branches over them, and
+    the one of incomplete rows is then a scan that prunes by null counts."""
+    path = scratch_path(combined.sparkSession, "unified")
+    write_files(combined, path)
+    return combined.sparkSession.read.schema(combined.schema).parquet(path)
+
+
 def _replaced(df: DataFrame, values: dict[str, str]) -> DataFrame:
     """One projection: the columns of ``df`` with some replaced and the new ones added."""
     columns = [
@@ -80,6 +107,11 @@ def to_silver(batch: DataFrame, stream: DataFrame, as_of: datetime | None = None
     return of_tagged(combine(batch, stream), None, as_of)
 
 
+def to_silver_from(combined: DataFrame, as_of: datetime | None = None) -> Silver:
+    """The same of united rows."""
+    return of_tagged(combined, None, as_of)
+
+
 def of_tagged(
     combined: DataFrame, tagged: DataFrame | None = None, as_of: datetime | None = None
 ) -> Silver:

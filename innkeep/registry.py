@@ -8,8 +8,10 @@ subject is the way to silver start from the raw tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,18 +25,18 @@ from innkeep.operators.bi import summarize
 from innkeep.operators.cleaning import tag_rejects
 from innkeep.operators.dedup import keep_latest
 from innkeep.plans import bronze, gold, insights
-from innkeep.plans.silver import Silver, combine, of_tagged, standardized, to_silver, typed
+from innkeep.plans.silver import Silver, combine, of_tagged, standardized, to_silver_from, typed, written_rows
 from innkeep.session import apply_settings, scratch_path
-from innkeep.sources.files import read_bookings_csv, write_csv
+from innkeep.sources.files import read_bookings_csv, write_csv, write_report
 from innkeep.sources.payloads import flatten_rates, flatten_weather
-from innkeep.sources.tables import row_counts, write_files
-from innkeep.streaming.ingest import append_files, decode_events, drop_repeats, read_event_files
+from innkeep.sources.tables import GOLD, assert_row_count, read_gold, row_counts, write_files, write_gold
+from innkeep.streaming.ingest import append_files, append_table, decode_events, drop_repeats, read_event_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 LOADED_AT = datetime(2024, 1, 1)
 _QUERIES: dict[str, Query] = {}
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+_WRITTEN: dict[tuple[str, str, str, int], str] = {}
 
 
 def query(f: Query) -> Query:
@@ -52,9 +54,19 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def _content(spark: SparkSession, sf_dir: str) -> int:
+    """A number that changes with the files of the bookings' tables: a sum over their
+    names, sizes and times. Their content is not read."""
+    paths = [f"{sf_dir}/{t}.parquet" for t in fx.BOOKING_TABLES]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    # Added as decimals, since a sum of hashes would overflow.
+    return int(files.agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)"))).first()[0])
+
+
 def _written(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """Read the frame back from the scratch folder; the first call writes it."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """Read the frame back from the scratch folder; the first call writes it, and the
+    first after the tables have changed."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, _content(spark, sf_dir))
     if key not in _WRITTEN:
         path = scratch_path(spark, name)
         write_files(make(), path)
@@ -62,12 +74,26 @@ def _written(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], Dat
     return spark.read.parquet(_WRITTEN[key])
 
 
+def _pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two bronze tables; the bookings behind them are derived once."""
+    rows = _written(spark, sf_dir, "bookings", lambda: fx.bookings(spark, sf_dir))
+    return fx.halves(rows)
+
+
+def _scratch_table(spark: SparkSession, name: str) -> str:
+    """The name of a new table in a schema below the scratch folder."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS innkeep_scratch LOCATION '{scratch_path(spark, 'tables')}'")
+    return f"innkeep_scratch.{name}_{uuid.uuid4().hex}"
+
+
 def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return combine(*fx.batch_and_stream(spark, sf_dir))
+    return combine(*_pair(spark, sf_dir))
 
 
 def _to_silver(spark: SparkSession, sf_dir: str) -> Silver:
-    return to_silver(*fx.batch_and_stream(spark, sf_dir), as_of=LOADED_AT)
+    """From the raw tables, with the unified rows written once."""
+    rows = combine(*fx.batch_and_stream(spark, sf_dir))
+    return to_silver_from(written_rows(rows), as_of=LOADED_AT)
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> Silver:
@@ -122,17 +148,17 @@ def tag_if_missing(spark, sf_dir):
 
 @query
 def schema_diff(spark, sf_dir):
-    return columns.schema_report(*fx.batch_and_stream(spark, sf_dir))
+    return columns.schema_report(*_pair(spark, sf_dir))
 
 
 @query
 def union_by_name(spark, sf_dir):
-    return bronze.unify(*fx.batch_and_stream(spark, sf_dir), as_of=LOADED_AT).drop("_ingestion_timestamp")
+    return bronze.unify(*_pair(spark, sf_dir), as_of=LOADED_AT).drop("_ingestion_timestamp")
 
 
 @query
 def source_distribution(spark, sf_dir):
-    return bronze.source_distribution(bronze.unify(*fx.batch_and_stream(spark, sf_dir)))
+    return bronze.source_distribution(bronze.unify(*_pair(spark, sf_dir)))
 
 
 @query
@@ -144,10 +170,21 @@ def csv_roundtrip(spark, sf_dir):
     })
     write_csv(rows, path)
     return read_bookings_csv(spark, path, RAW_BOOKING, as_of=LOADED_AT).drop(
-        "_ingestion_timestamp", "_source_file"
+        "_ingestion_timestamp", "_source_file", "_corrupt_record"
     )
 
 
+@query
+def ingest_batch(spark, sf_dir):
+    """The batch half as CSV with its columns in another order, ingested into a table."""
+    path, table = scratch_path(spark, "csv"), _scratch_table(spark, "ingested")
+    rows = _pair(spark, sf_dir)[0]
+    write_csv(rows.select(*reversed(rows.columns)), path)
+    bronze.ingest_batch(spark, path, table, RAW_BOOKING)
+    stored = spark.read.table(table).drop("_ingestion_timestamp")
+    return stored.withColumn("_source_file", F.regexp_replace("_source_file", "^.*/|part-.*(?=[.]csv)", ""))
+
+
 @query
 def write_verify(spark, sf_dir):
     path = scratch_path(spark, "verify")
@@ -245,6 +282,17 @@ def silver_bookings(spark, sf_dir):
     return _to_silver(spark, sf_dir).bookings.drop("silver_load_at")
 
 
+@query
+def typed_batch(spark, sf_dir):
+    """Silver where the batch table's reader has inferred types: numbers, a flag, days."""
+    batch, stream = _pair(spark, sf_dir)
+    kinds = {"star_rating": "int", "total_rooms": "bigint", "is_cancelled": "boolean", "booking_source": "varchar(1)"}
+    batch = batch.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+    done = to_silver_from(written_rows(combine(batch, stream)), as_of=LOADED_AT).bookings
+    # A flag's text is its own once a reader has typed it.
+    return done.withColumn("is_cancelled", F.initcap("is_cancelled")).drop("silver_load_at")
+
+
 @query
 def silver_audit(spark, sf_dir):
     return _to_silver(spark, sf_dir).audit.drop("note")
@@ -252,9 +300,10 @@ def silver_audit(spark, sf_dir):
 
 @query
 def silver_rejects(spark, sf_dir):
-    """One row per rejected row, as the quarantine table states their number."""
+    """Distinct rejected rows with their number, as the quarantine table has them."""
     rejects = _layers(spark, sf_dir).rejects
-    return rejects.selectExpr("*", "explode(sequence(1L, row_count))").drop("col", "row_count")
+    names = [c for c in rejects.columns if c != "row_count"]
+    return rejects.groupBy(*names).agg(F.sum("row_count").alias("row_count"))
 
 
 # ---- recovery and split -------------------------------------------------------
@@ -360,6 +409,23 @@ def fact_booking(spark, sf_dir):
     return _fact(spark, sf_dir)
 
 
+@query
+def gold_tables(spark, sf_dir):
+    """The gold tables written and read back: rows written, rows stored, per table."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {GOLD} LOCATION '{scratch_path(spark, 'gold')}'")
+    silver, out = _silver(spark, sf_dir), []
+    made = {
+        "fact_booking": gold.fact_booking(silver), "dim_hotel": gold.dim_hotel(silver),
+        "dim_city": gold.dim_city(silver), "dim_customer": gold.dim_customer(silver),
+    }
+    for name, df in made.items():
+        written = write_gold(df, name)
+        out.append(row_counts(written, read_gold(spark, name)).withColumn("table_name", F.lit(name)))
+    kpi = write_gold(gold.kpi_revenue(read_gold(spark, "fact_booking")), "kpi_revenue")
+    out.append(row_counts(kpi, read_gold(spark, "kpi_revenue")).withColumn("table_name", F.lit("kpi_revenue")))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query
 def dim_hotel(spark, sf_dir):
     return gold.dim_hotel(_silver(spark, sf_dir))
@@ -410,9 +476,11 @@ def surrogate_key(spark, sf_dir):
 # ---- quality ------------------------------------------------------------------
 
 
-def _suite(spark: SparkSession, sf_dir: str, keep: Callable[[quality.Expectation], bool]) -> DataFrame:
+def _suite(
+    spark: SparkSession, sf_dir: str, keep: Callable[[quality.Expectation], bool], with_total: bool = False
+) -> DataFrame:
     silver = _silver(spark, sf_dir)
-    return quality.run_suite(silver, [e for e in quality.silver_suite(silver.columns) if keep(e)])
+    return quality.run_suite(silver, [e for e in quality.silver_suite(silver.columns) if keep(e)], with_total)
 
 
 @query
@@ -459,15 +527,24 @@ def dq_date_format(spark, sf_dir):
 
 @query
 def dq_report(spark, sf_dir):
-    report = quality.suite_report(_suite(spark, sf_dir, lambda e: True), "silver_bookings", LOADED_AT)
+    results = _suite(spark, sf_dir, lambda e: True, with_total=True)
+    report = quality.suite_report(results, "silver_bookings", LOADED_AT)
     failed = F.transform("failed_tests", lambda f: F.concat_ws(":", f["column"], f["expectation"]))
     return report.drop("run_date").withColumn("failed_tests", F.array_join(failed, ","))
 
 
+@query
+def report_file(spark, sf_dir):
+    """The quality report as the JSON document it is written to."""
+    path = scratch_path(spark, "report")
+    write_report(dq_report(spark, sf_dir), path)
+    return spark.read.schema(dq_report(spark, sf_dir).schema).json(path)
+
+
 @query
 def sample_rows(spark, sf_dir):
     rows = _silver(spark, sf_dir).select("booking_id", "total_price", "city")
-    return sampling.sample_rows(rows, ["booking_id"], max_rows=1000, seed=42)
+    return sampling.sample_rows(rows, ["booking_id"], fraction=0.05, seed=42)
 
 
 # ---- reports ------------------------------------------------------------------
@@ -479,6 +556,12 @@ def bi_summary(spark, sf_dir):
     return _rounded(sums, **{c: 2 for c, kind in sums.dtypes if kind == "double"})
 
 
+@query
+def bi_summary_kpi(spark, sf_dir):
+    sums = summarize(gold.kpi_revenue(_fact(spark, sf_dir)), "kpi_revenue", ["hotel_city"])
+    return _rounded(sums, **{c: 2 for c, kind in sums.dtypes if kind == "double"})
+
+
 @query
 def x_hotel_performance(spark, sf_dir):
     return _rounded(
@@ -509,7 +592,7 @@ def x_top_cities(spark, sf_dir):
 
 def _event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.table(spark, sf_dir, "events").select(
-        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id", "event_type", "value"
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id", "event_type", "value", "props"
     )
 
 
@@ -520,6 +603,20 @@ def _drain(spark: SparkSession, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+@query
+def booking_stream(spark, sf_dir):
+    """Bookings as JSON events in several files, streamed into a bronze table a file a
+    batch, counted, united with the batch half and cleaned."""
+    landing, table = scratch_path(spark, "landing"), _scratch_table(spark, "streamed")
+    batch, sent = _pair(spark, sf_dir)
+    sent.repartition(3).write.json(landing)
+    events = read_event_files(spark, landing, sent.schema, max_files=1)
+    append_table(events, table, scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    assert_row_count(spark, sent.count(), table)
+    stored = spark.read.table(table).drop("_corrupt_record")
+    return to_silver_from(written_rows(combine(batch, stored)), as_of=LOADED_AT).bookings.drop("silver_load_at")
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """Events as JSON files, streamed into a bronze folder."""
@@ -538,7 +635,7 @@ def stream_decode(spark, sf_dir):
     """Events as message values, decoded in the stream."""
     events = _stream_of(spark, sf_dir, "events")
     body = F.struct(
-        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id", "event_type", "value"
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id", "event_type", "value", "props"
     )
     messages = events.select(F.to_json(body).cast("binary").alias("value"))
     return _drain(spark, decode_events(messages, fx.EVENT_SCHEMA)).drop("_corrupt_record")
@@ -548,6 +645,6 @@ def stream_decode(spark, sf_dir):
 def x_stream_dedup(spark, sf_dir):
     """Every event sent three times; one of each gets through."""
     repeats = F.explode(F.sequence(F.lit(1), F.lit(3))).alias("attempt")
-    sent = _stream_of(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", repeats)
+    sent = _stream_of(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props", repeats)
     once = drop_repeats(sent, ["event_id"], "ts", delay="1 hour", spread_by="attempt", spread=4)
     return _drain(spark, once.drop("attempt", "ts"))

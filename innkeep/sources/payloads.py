@@ -26,23 +26,38 @@ DAILY_SERIES = {
 _FORECAST = "daily struct<" + ",".join(f"{n}:array<{t}>" for n, t in DAILY_SERIES.items()) + ">"
 
 
+# Of a payload that gives rows; unknown where it cannot be read.
+_EVEN = " and ".join(
+    f"(_daily.{n} is null or size(_daily.{n}) = size(_daily.time))" for n in DAILY_SERIES if n != "time"
+) + " and _daily.time is not null"
+
+
+def skipped_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """The payloads that ``flatten_weather`` takes no rows from, as they came."""
+    read = f"from_json({name(payload)}, {quoted(_FORECAST)}).daily"
+    return payloads.withColumn("_daily", F.expr(read)).where(f"not coalesce({_EVEN}, false)").drop("_daily")
+
+
 def flatten_weather(
     payloads: DataFrame, payload: str = "payload", as_of: datetime | None = None
 ) -> DataFrame:
     """One row per city and forecast day from (city, latitude, longitude, payload).
 
-    A payload that cannot be read, or whose series differ in length, is
-    skipped; the other cities go on.
+    A series that is missing leaves its column null. A payload that cannot be
+    read, has no days, or whose series differ in length gives no rows; the other
+    cities go on, and ``skipped_payloads`` has it.
     """
     names = list(DAILY_SERIES)
-    even = " and ".join(f"size(_daily.{n}) = size(_daily.{names[0]})" for n in names[1:])
-    zipped = f"arrays_zip({', '.join(f'_daily.{n}' for n in names)})"
+    blank = "array_repeat(cast(null as double), size(_daily.time))"
+    series = ["_daily.time" if n == "time" else f"coalesce(_daily.{n}, {blank})" for n in names]
+    kinds = ",".join(f"{n}:{t}" for n, t in DAILY_SERIES.items())
+    zipped = f"cast(arrays_zip({', '.join(series)}) as array<struct<{kinds}>>)"
     # The test sits inside the explode: as a filter it would be moved to the
     # text and parse every payload again for each of its parts.
     rows = payloads.selectExpr(
         "city", "latitude", "longitude",
         f"from_json({name(payload)}, {quoted(_FORECAST)}).daily as _daily",
-    ).selectExpr("city", "latitude", "longitude", f"explode(case when {even} then {zipped} end) as _day")
+    ).selectExpr("city", "latitude", "longitude", f"explode(case when {_EVEN} then {zipped} end) as _day")
     return rows.selectExpr(*[f"_day.{n} as {n}" for n in names], "city", "latitude", "longitude").withColumns({
         "ingestion_timestamp": load_time(as_of),
         "_source": F.lit(WEATHER_TAG),

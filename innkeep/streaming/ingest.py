@@ -73,6 +73,18 @@ def append_table(
     return writer.toTable(table)
 
 
+def late_events(query: StreamingQuery) -> int:
+    """Events a stateful step of the run has dropped because they came too late.
+
+    A step after another one sees what that one has let through, so none counts
+    twice. Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates``
+    batches.
+    """
+    return sum(
+        step["numRowsDroppedByWatermark"] for batch in query.recentProgress for step in batch["stateOperators"]
+    )
+
+
 def drop_repeats(
     df: DataFrame,
     keys: Sequence[str],
@@ -83,6 +95,9 @@ def drop_repeats(
 ) -> DataFrame:
     """First event per key; repeats that come within ``delay`` of it are dropped.
 
+    So is an event that comes more than ``delay`` after the latest one, even if its
+    key is new: the state that could tell is gone. ``late_events`` counts them.
+
     Stateful de-duplication shuffles whole events by key. Where one key may
     send a large part of them, ``spread_by`` names a column that differs among
     its repeats and stays the same on a replay (offset, event number): repeats

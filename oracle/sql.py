@@ -37,7 +37,7 @@ raw as (
       else cast(day - cast(l_partkey % 30 as integer) as varchar) end as booking_date,
     case when l_partkey % 61 = 3 then '0000-00-00' else cast(day as varchar) end as checkin_date,
     cast(day + (qty - 2 + case when l_partkey % 47 = 5 then 365 else 0 end) as varchar) as checkout_date,
-    qty || '.0' as nights,
+    case when l_partkey % 53 = 0 then '.5' when l_partkey % 53 = 1 then '2.9' else qty || '.0' end as nights,
     case when l_linenumber = 7 then 'no show'
       when o_orderstatus = 'F' then case when l_orderkey % 5 = 0 then 'CNF' else 'cnf' end
       when o_orderstatus = 'P' then 'Pending' else 'canceled' end as booking_status,
@@ -83,7 +83,7 @@ raw as (
     case when l_partkey % 41 = 0 then 'x' else cast(qty % 3 + 1 as varchar) end as adults,
     (qty % 2) || '.0' as children,
     case when l_partkey % 10 = 0 then '1' end as infants,
-    case when l_partkey % 6 = 0 then 'late, "quiet" room' end as special_requests,
+    case when l_partkey % 6 = 0 then 'late,' || chr(10) || '"quiet" room' end as special_requests,
     case when l_linestatus = 'F' and l_partkey % 9 = 0 then 'P9' end as promotion_code,
     case when l_orderkey % 103 = 9 then null when l_partkey % 83 = 11 then 'abc'
       else cast(price as varchar) end as total_price,
@@ -127,9 +127,9 @@ _TYPED_COLUMNS = """
     try_cast(total_price as double) as total_price"""
 
 _GUESTS = """
-    coalesce(cast(try_cast(adults as double) as integer), 0)
-      + coalesce(cast(try_cast(children as double) as integer), 0)
-      + coalesce(cast(try_cast(infants as double) as integer), 0) as num_guests"""
+    coalesce(cast(trunc(try_cast(adults as double)) as integer), 0)
+      + coalesce(cast(trunc(try_cast(children as double)) as integer), 0)
+      + coalesce(cast(trunc(try_cast(infants as double)) as integer), 0) as num_guests"""
 
 _ROOM = """
     case when lower(room_type) in ('single', 'sngl', '1') then 'SINGLE'
@@ -181,7 +181,7 @@ fact as (
     cast(year(booking_date) as integer) as booking_year,
     cast(month(booking_date) as integer) as booking_month,
     checkin_date, checkout_date,
-    cast(try_cast(nights as double) as integer) as stay_nights,
+    cast(trunc(try_cast(nights as double)) as integer) as stay_nights,
     booking_status, booking_channel, booking_source,
     try_cast(is_cancelled as boolean) as is_cancelled, cancellation_date, cancellation_reason,
     customer_id, full_name as customer_name, country_customer as customer_country,
@@ -213,7 +213,7 @@ kpi as (
     round(avg_booking_value, 6) as avg_booking_value, total_nights,
     round(avg_stay_nights, 6) as avg_stay_nights, unique_customers, active_hotels,
     round(cast(cancelled_bookings as double) / total_bookings * 100, 2) as cancellation_rate,
-    cast(rank() over (partition by booking_year, booking_month order by gross_revenue desc) as integer)
+    cast(rank() over (partition by booking_year, booking_month order by round(gross_revenue, 2) desc) as integer)
       as revenue_rank
   from monthly
 )"""
@@ -468,7 +468,7 @@ def statements() -> dict[str, str]:
         "max(total_price) as max from ranked")
     q["type_cast"] = _with(RAW) + (
         f"select row_number() over () as ignored, booking_id, {_TYPED_COLUMNS}, {_GUESTS}, "
-        "cast(try_cast(nights as double) as integer) as stay_nights, "
+        "cast(trunc(try_cast(nights as double)) as integer) as stay_nights, "
         "try_cast(is_cancelled as boolean) as is_cancelled from raw").replace("row_number() over () as ignored, ", "")
     q["text_standardize"] = _with(RAW) + (
         f"select booking_id, {_TEXT}, lower(booking_status) as status_lower, upper(room_type) as room_upper from raw")
@@ -495,11 +495,12 @@ def statements() -> dict[str, str]:
         rows_before - rows_after as rows_dropped,
         round(cast(rows_after as double) / r0 * 100, 2) as retention_pct from steps"""
     q["silver_rejects"] = _with(RAW, COMPLETE, NUMBERED, REASONS) + f"""
+      select *, count(*) as row_count from (
       select {_RAW_LIST}, data_source, 'null_critical' as reject_reason from raw
         where booking_id is null or checkin_date is null or checkout_date is null or hotel_name is null
           or city is null or total_price is null
       union all select {_RAW_LIST}, data_source, 'duplicate' from numbered where rn > 1
-      union all select {_RAW_LIST}, data_source, reject_reason from judged where reject_reason is not null"""
+      union all select {_RAW_LIST}, data_source, reject_reason from judged where reject_reason is not null) group by all"""
     # bronze
     q["source_distribution"] = _with(RAW) + (
         "select data_source as _source, count(*) as row_count from raw group by data_source")
@@ -524,13 +525,24 @@ def statements() -> dict[str, str]:
     # files, streams
     q["csv_roundtrip"] = _with(RAW) + f"select {_RAW_LIST}, 'Batch_CSV' as _source from raw".replace(
         " city,", " nullif(city, '') as city,")
+    batch_columns = ", ".join(c for c in RAW_COLUMNS)
+    q["ingest_batch"] = _with(RAW) + (
+        f"select {batch_columns}, cast(null as varchar) as _corrupt_record, 'Batch_CSV' as _source, "
+        "'.csv' as _source_file from raw where data_source = 'Batch_CSV'").replace(" city,", " nullif(city, '') as city,")
+    q["booking_stream"] = q["typed_batch"] = q["silver_bookings"]
+    q["gold_tables"] = _with(*_TO_FACT, KPI) + (
+        "select *, rows_written as rows_stored, true as agree from (select 'fact_booking', count(*) from fact "
+        "union all select 'dim_hotel', count(distinct coalesce(hotel_id, '')) from silver "
+        "union all select 'dim_customer', count(distinct coalesce(customer_id, '')) from silver "
+        "union all select 'dim_city', count(*) from (select distinct city, country from silver where city <> '') "
+        "union all select 'kpi_revenue', count(*) from kpi) as t(table_name, rows_written)")
     q["write_verify"] = (
         "select count(*) as rows_written, count(*) as rows_stored, true as agree from lineitem")
     events = (
-        "select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts, user_id, event_type, value from events")
+        "select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as ts, user_id, event_type, value, props from events")
     q["stream_ingest"] = events
     q["stream_decode"] = events
-    q["x_stream_dedup"] = "select event_id, user_id, event_type, value from events"
+    q["x_stream_dedup"] = "select event_id, user_id, event_type, value, props from events"
     # recovery, split
     q["date_recovery"] = _with(DIRTY) + "select * from found"
     q["date_recovery_hist"] = _with(DIRTY) + (
@@ -561,7 +573,8 @@ def statements() -> dict[str, str]:
     q["dq_in_set"] = _with(*_TO_SILVER) + _union(DQ_IN_SET)
     q["dq_date_format"] = _with(*_TO_SILVER) + _union(DQ_DATES)
     q["dq_report"] = _with(*_TO_SILVER) + ", results as (" + _union(_ALL_DQ) + """)
-      select 'silver_bookings' as "table", max(evaluated) as sample_size, max(evaluated) as total_rows,
+      select 'silver_bookings' as "table", (select count(*) from silver) as sample_size,
+        (select count(*) from silver) as total_rows,
         count(*) as total_expectations, count(*) filter (where success) as successful,
         count(*) filter (where not success) as failed,
         round(cast(count(*) filter (where success) as double) / count(*) * 100, 4) as success_percent,
@@ -570,10 +583,10 @@ def statements() -> dict[str, str]:
           filter (where not success), '') as failed_tests
       from results"""
     q["sample_rows"] = _with(*_TO_SILVER) + """
-      , sized as (select booking_id, total_price, city, count(*) over () as n from silver)
-      select booking_id, total_price, city from sized
-      where n <= 1000 or cast(cast('0x' || substr(md5('42|' || booking_id), 1, 8) as bigint) as double)
-        / cast(4294967296 as double) < cast(1000 as double) / n"""
+
+      select booking_id, total_price, city from silver
+      where cast(cast('0x' || substr(md5('42|' || booking_id), 1, 15) as bigint) as double)
+        / cast(1152921504606846976 as double) < cast(0.05 as double)"""
     # summaries
     q["bi_summary"] = _with(*_TO_FACT) + (
         "select hotel_country, room_type, cast(sum(stay_nights) as bigint) as stay_nights, "
@@ -581,6 +594,12 @@ def statements() -> dict[str, str]:
         "round(sum(room_price), 2) as room_price, round(sum(tax_amount), 2) as tax_amount, "
         "round(sum(service_fee), 2) as service_fee, round(sum(paid_amount), 2) as paid_amount, "
         "round(sum(discount_amount), 2) as discount_amount from fact group by hotel_country, room_type")
+    q["bi_summary_kpi"] = _with(*_TO_FACT, KPI) + (
+        "select hotel_city, " + ", ".join(
+            f"cast(sum({c}) as bigint) as {c}" for c in ("total_bookings", "confirmed_bookings", "cancelled_bookings", "total_nights")
+        ) + ", " + ", ".join(
+            f"round(sum({c}), 2) as {c}" for c in ("gross_revenue", "collected_revenue", "total_discounts")
+        ) + " from monthly group by hotel_city")
     q["x_hotel_performance"] = _with(*_TO_FACT) + (
         "select hotel_id, hotel_name, count(booking_id) as total_bookings, "
         "round(sum(total_price), 2) as gross_revenue, cast(sum(stay_nights) as bigint) as total_nights, "
@@ -589,7 +608,8 @@ def statements() -> dict[str, str]:
         "select booking_channel, count(booking_id) as total_bookings, "
         "round(avg(date_diff('day', booking_date, checkin_date)), 6) as avg_lead_days, "
         "cast(min(date_diff('day', booking_date, checkin_date)) as integer) as min_lead_days, "
-        "cast(max(date_diff('day', booking_date, checkin_date)) as integer) as max_lead_days "
+        "cast(max(date_diff('day', booking_date, checkin_date)) as integer) as max_lead_days, "
+        "quantile_cont(cast(date_diff('day', booking_date, checkin_date) as double), 0.5) as median_lead_days "
         "from fact group by booking_channel")
     q["x_cancel_trend"] = _with(*_TO_FACT) + (
         "select booking_year, booking_month, cancellation_reason, count(booking_id) as total_bookings, "
@@ -617,4 +637,5 @@ def statements() -> dict[str, str]:
         windspeed_10m_max
       from shifted left join weather
         on upper(trim(shifted.city)) = upper(weather.city) and cast(forecast_day as varchar) = weather.time"""
+    q["report_file"] = q["dq_report"]
     return q

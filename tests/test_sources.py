@@ -4,16 +4,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from innkeep import registry
 from innkeep.contracts import ContractError, DIM_CITY, check_contract
 from innkeep.operators import columns, enrich, quality
 from innkeep.operators.bi import summarize
 from innkeep.operators.sampling import sample_rows
 from innkeep.plans.bronze import ingest_batch, unify
 from innkeep.plans.build import build_all, split_raw
-from innkeep.sources.files import read_bookings_csv, read_csv, write_csv
-from innkeep.sources.payloads import flatten_rates, flatten_weather, land_if_any
+from innkeep.plans.silver import combine
+from innkeep.sources.files import HeaderError, read_bookings_csv, read_csv, write_csv
+from innkeep.sources.payloads import flatten_rates, flatten_weather, land_if_any, skipped_payloads
 from innkeep.sources.tables import read_gold, row_counts, write_files, write_table
-from innkeep.streaming.ingest import append_files, append_table, decode_events, drop_repeats, read_event_files
+from innkeep.streaming.ingest import append_files, append_table, decode_events, drop_repeats, late_events, read_event_files
 from test_cleaning import raw
 
 
@@ -27,7 +29,31 @@ def test_header_names(frame):
 def test_csv_keeps_quotes_and_lines(spark, frame, tmp_path):
     df = frame("id text", [("1", 'a "b", c'), ("2", " x "), ("3", None), ("4", "two\nlines")])
     write_csv(df, str(tmp_path / "c"))
-    assert rows(read_csv(spark, str(tmp_path / "c"), multi_line=True)) == rows(df)
+    assert rows(read_csv(spark, str(tmp_path / "c")).drop("_corrupt_record")) == rows(df)
+
+
+def test_csv_keeps_broken_records(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('city,booking_id,note\nRome,B1,"a\nb"\nParis,B2\nOslo,B3,x,y\n')
+    schema = spark.createDataFrame([], "booking_id string, city string, note string").schema
+    got = read_csv(spark, str(tmp_path / "in.csv"), schema)
+    assert got.columns == ["booking_id", "city", "note", "_corrupt_record"]
+    assert rows(got.where("_corrupt_record is null")) == [("B1", "Rome", "a\nb", None)]
+    assert [r[1] for r in rows(got.where("_corrupt_record is not null").select("city", "_corrupt_record"))] == ["Oslo,B3,x,y", "Paris,B2"]
+    assert ingest_batch(spark, str(tmp_path / "in.csv"), "broken", schema) == 3
+    with pytest.raises(Exception):
+        read_csv(spark, str(tmp_path / "in.csv"), schema, multi_line=False).collect()
+    with pytest.raises(HeaderError):
+        read_csv(spark, str(tmp_path / "in.csv"), spark.createDataFrame([], "booking_id string, town string, note string").schema)
+
+
+def test_split_parts_can_be_ingested(spark, frame, tmp_path):
+    data = [(f"B{i}", f"{1 + i % 12}/{1 + i % 28}/2025", None, 'one\n"two"') for i in range(20)]
+    df = frame("booking_id booking_date checkin_date checkout_date", data)
+    split_raw(spark, df, str(tmp_path / "out"))
+    assert ingest_batch(spark, str(tmp_path / "out" / "batch"), "split_batch") == 14
+    stored = spark.read.table("split_batch")
+    assert stored.where("_corrupt_record is not null").count() == 0
+    assert {r[0] for r in stored.select("checkout_date").distinct().collect()} == {'one\n"two"'}
 
 
 def test_ingest_adds_lineage(spark, tmp_path):
@@ -118,7 +144,8 @@ def test_suite_results(spark):
              quality.between("price", 0, 50000), quality.in_set("kind", ["X"], 0.6), quality.iso_date("day", 0.99)]
     got = [(r["evaluated"], r["unexpected"], r["success"]) for r in quality.run_suite(df, suite).collect()]
     assert got == [(4, 1, False), (4, 1, True), (1, 1, False), (3, 1, False), (3, 1, True), (3, 2, False), (3, 2, False)]
-    report = quality.suite_report(quality.run_suite(df, suite), "t").first()
+    report = quality.suite_report(quality.run_suite(df, suite, with_total=True), "t").first()
+    assert report["total_rows"] == report["sample_size"] == 4
     assert (report["total_expectations"], report["successful"], report["failed"]) == (7, 2, 5)
     assert not report["overall_success"] and report["failed_tests"][0]["column"] == "day"
 
@@ -131,9 +158,11 @@ def test_suite_on_no_rows(spark):
 
 def test_sample_does_not_depend_on_partitions(spark):
     df = spark.range(5000).selectExpr("concat('B', id) as booking_id")
-    one = rows(sample_rows(df, ["booking_id"], 1000))
-    assert one == rows(sample_rows(df.repartition(7), ["booking_id"], 1000)) and 850 < len(one) < 1150
-    assert sample_rows(df, ["booking_id"], 5000).count() == 5000
+    one = rows(sample_rows(df, ["booking_id"], 0.2))
+    assert one == rows(sample_rows(df.repartition(7), ["booking_id"], 0.2)) and 850 < len(one) < 1150
+    assert sample_rows(df, ["booking_id"], 1.0).count() == 5000
+    few = df.limit(100)
+    assert rows(sample_rows(few, ["booking_id"], 0.2)) == [r for r in one if r in rows(few)]
 
 
 def test_summary_refuses_meaningless_sums(spark):
@@ -171,6 +200,23 @@ def test_stream_repeats(spark, tmp_path, spread_by):
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == [(f"k{i}",) for i in range(5)]
 
 
+def test_late_events_are_counted(spark, tmp_path):
+    def send(n, *events):
+        spark.createDataFrame(events, "id string, at string").selectExpr("id", "cast(at as timestamp) as at").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        stream = spark.readStream.schema("id string, at timestamp").parquet(str(tmp_path / "in"))
+        query = append_files(drop_repeats(stream, ["id"], "at", "1 hour"), str(tmp_path / "out"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        return query
+
+    send(1, ("1", "2025-01-01 10:00:00"))
+    assert late_events(run()) == 0
+    send(2, ("2", "2025-01-01 01:00:00"), ("3", "2025-01-01 11:00:00"), ("1", "2025-01-01 10:00:00"))
+    assert late_events(run()) == 1
+    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["1", "3"]
+
+
 def test_stream_to_table(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
@@ -199,3 +245,43 @@ def test_split_of_a_raw_file(spark, frame, tmp_path):
     assert ranges == {"batch": 35, "stream": 15}
     counts = {p: read_csv(spark, str(tmp_path / "out" / p)).count() for p in ("batch", "stream", "rejected")}
     assert counts == {"batch": 35, "stream": 15, "rejected": 1}
+
+
+def test_weather_without_a_series(spark):
+    full = {"time": ["2025-01-01"], "temperature_2m_max": [1.5], "temperature_2m_min": [0], "rain_sum": [2], "windspeed_10m_max": [5]}
+    few = {k: v for k, v in full.items() if k != "rain_sum"}
+    bad = [json.dumps({"daily": {**full, "rain_sum": [1, 2]}}), "{", json.dumps({"daily": {"rain_sum": [1]}}), None]
+    data = [("a", json.dumps({"daily": full})), ("b", json.dumps({"daily": few}))] + [(f"x{i}", t) for i, t in enumerate(bad)]
+    df = spark.createDataFrame(data, "city string, payload string").selectExpr("city", "1D as latitude", "2D as longitude", "payload")
+    got = {r["city"]: (r["rain_sum"], r["temperature_2m_max"]) for r in flatten_weather(df).collect()}
+    assert got == {"a": (2.0, 1.5), "b": (None, 1.5)}
+    assert sorted(r["city"] for r in skipped_payloads(df).collect()) == ["x0", "x1", "x2", "x3"]
+
+
+def test_typed_batch_unites_with_text(spark):
+    batch, stream = raw(spark, {"booking_id": "B1", "adults": "2"}), raw(spark, {"booking_id": "B2", "adults": "two"})
+    typed = batch.withColumn("adults", F.col("adults").cast("int"))
+    got = {r["booking_id"]: r["adults"] for r in combine(typed, stream).collect()}
+    assert got["B2"] == "two" and isinstance(got["B1"], str)
+    assert dict(unify(typed, stream).dtypes)["adults"] == "string"
+
+
+def test_changed_input_gives_new_layers(spark, tmp_path):
+    for t in ("orders", "supplier", "nation", "region", "customer"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = registry.all_queries()["fact_booking"](spark, str(tmp_path)).count()
+    lines.where("l_orderkey % 2 = 0").write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+    after = registry.all_queries()["fact_booking"](spark, str(tmp_path)).count()
+    assert 0 < after < before
+
+
+def test_audit_reads_no_more_than_silver(spark):
+    def scans(name):
+        df = registry.all_queries()[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("FileScan")
+
+    # One of the written rows, and one of those that lack a critical value.
+    assert scans("silver_bookings") <= 2 and scans("silver_audit") <= 2
