@@ -64,10 +64,6 @@ def drop_nulls(df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS) -> Data
     return df.dropna(subset=list(columns))
 
 
-def cast_dates(df: DataFrame, columns: Sequence[str] = DATE_COLUMNS) -> DataFrame:
-    return df.withColumns({c: F.expr(to_date_or_null(name(c))) for c in columns})
-
-
 def keep_forward_stays(df: DataFrame) -> DataFrame:
     """Typed rows whose check-out is after check-in, with ``stay_duration_days``."""
     stay = stay_days("checkin_date", "checkout_date")

@@ -2,19 +2,20 @@
 
 The row at a given position is found by counting: rows are counted per
 distinct key (combined on the map side, so a hot key is one count), the counts
-are range-partitioned, and only the partition that holds the position is
-looked into. The split itself is then a comparison with that key.
+are range-partitioned and written, and only the folder of the range that holds
+the position is read. The split itself is then a comparison with that key.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from innkeep.session import cut_lineage
+from innkeep.session import scratch_path
 
 BATCH, STREAM = "batch", "stream"
 
@@ -22,51 +23,75 @@ BATCH, STREAM = "batch", "stream"
 _CHUNK = 100_000
 
 
+# Distinct keys that one task sorts; a range with more is ranged again.
+_PART_KEYS = 1_000_000
+
+
 class _Counted:
-    """Row counts per distinct key, range-partitioned by the key (nulls last)."""
+    """Row counts per distinct key, range-partitioned by the key (nulls last).
+
+    The counts are written once, a folder per range, with the size of each range
+    kept aside; a position is then looked up in its folder alone.
+    """
 
-    def __init__(self, df: DataFrame, columns: Sequence[str]):
+    def __init__(self, counts: DataFrame, columns: Sequence[str]):
         self.columns = list(columns)
-        counts = df.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("_n"))
-        ranged = counts.repartitionByRange(*self._order()).withColumn(
-            "_part", F.spark_partition_id()
-        )
-        # Checkpointed: two jobs must see the same partition numbers.
-        self.frame = cut_lineage(ranged)
-        # One row per partition.
-        self.parts = sorted(
-            (r["_part"], r["n"])
-            for r in self.frame.groupBy("_part").agg(F.sum("_n").alias("n")).collect()
-        )
-        self.total = sum(n for _, n in self.parts)
+        ranged = counts.repartitionByRange(*self._order()).withColumn("_part", F.spark_partition_id())
+        spark = counts.sparkSession
+        path = scratch_path(spark, "counts")
+        ranged.write.partitionBy("_part").parquet(path)
+        self.frame = spark.read.schema(ranged.schema).parquet(path)
+        # One row per range.
+        sizes = self.frame.groupBy("_part").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("keys"))
+        self.parts = sorted((r["_part"], r["n"], r["keys"]) for r in sizes.collect())
+        self.total = sum(n for _, n, _ in self.parts)
+
+    @classmethod
+    def of(cls, df: DataFrame, columns: Sequence[str]) -> "_Counted":
+        return cls(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")), columns)
 
     def _order(self) -> list[Column]:
         return [F.col(f"`{c}`").asc_nulls_last() for c in self.columns]
 
-    def at(self, position: int) -> Row:
-        """The key at a 0-based position, with ``_n`` rows, ``_before`` rows before it."""
+    def _part_of(self, position: int) -> tuple[int, int, int]:
         before = 0
-        for part, n in self.parts:
+        for part, n, keys in self.parts:
             if before + n > position:
                 break
             before += n
-        window = Window.partitionBy("_part").orderBy(*self._order())
-        running = F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, 0))
-        return (
-            self.frame.where(F.col("_part") == part)
-            .withColumn("_before", running - F.col("_n") + F.lit(before))
-            .where((F.col("_before") <= position) & (F.col("_before") + F.col("_n") > position))
-            .first()
-        )
+        return part, before, keys
+
+    def at(self, positions: Sequence[int]) -> list[Row]:
+        """For 0-based positions the keys there, with ``_n`` rows and ``_before`` rows
+        before. One read of the folders they lie in."""
+        found = {p: self._part_of(p) for p in positions}
+        large = {part for part, _, keys in found.values() if keys > _PART_KEYS and len(self.parts) > 1}
+        near = {p: x for p, x in found.items() if x[0] not in large}
+        out: dict[int, Row] = {}
+        if near:
+            begins = {part: before for part, before, _ in near.values()}
+            start = F.element_at(F.create_map(*[F.lit(x).cast("bigint") for kv in begins.items() for x in kv]), F.col("_part").cast("bigint"))
+            window = Window.partitionBy("_part").orderBy(*self._order())
+            running = F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, 0))
+            rows = self.frame.where(F.col("_part").isin(*begins)).withColumn("_before", running - F.col("_n") + start)
+            holds = [(F.col("_before") <= p) & (F.col("_before") + F.col("_n") > p) for p in near]
+            for row in rows.where(reduce(Column.__or__, holds)).collect():
+                out |= {p: row for p in near if row["_before"] <= p < row["_before"] + row["_n"]}
+        for part in sorted(large):
+            inside = _Counted(self.frame.where(F.col("_part") == part).drop("_part"), self.columns)
+            mine = {p: before for p, (q, before, _) in found.items() if q == part}
+            for p, row in zip(mine, inside.at([p - before for p, before in mine.items()])):
+                out[p] = Row(**{**row.asDict(), "_before": row["_before"] + mine[p]})
+        return [out[p] for p in positions]
 
 
 def order_statistics(df: DataFrame, column: str, shares: Sequence[float]) -> list:
     """Smallest value with at least ``share`` of the non-null values up to it. Runs jobs."""
-    counted = _Counted(df.where(F.col(column).isNotNull()), [column])
+    counted = _Counted.of(df.where(F.col(column).isNotNull()), [column])
     if counted.total == 0:
         return [None] * len(shares)
     ranks = [max(1, math.ceil(counted.total * s)) for s in shares]
-    return [counted.at(rank - 1)[column] for rank in ranks]
+    return [row[column] for row in counted.at([rank - 1 for rank in ranks])]
 
 
 def _same(column: str, value, kind: str) -> Column:
@@ -96,6 +121,8 @@ def chrono_split(
     Give it a written table if ``df`` is costly to compute.
     """
     kinds = dict(df.dtypes)
+    if kinds[date] != "date":
+        raise TypeError(f"{date} is {kinds[date]}; the split goes by days")
     # Bounded by the calendar: one row per day.
     days = df.groupBy(date).agg(F.count(F.lit(1)).alias("_n"))
     by_day = Window.orderBy(F.col(date).asc_nulls_last())
@@ -118,7 +145,7 @@ def chrono_split(
     for columns in ([key], others):
         if position == 0 or not columns:
             break
-        group = _Counted(df.where(tied).select(*columns), columns).at(position)
+        group = _Counted.of(df.where(tied).select(*columns), columns).at([position])[0]
         for c in columns:
             in_first = in_first | (tied & _before(c, group[c], kinds[c]))
             tied = tied & _same(c, group[c], kinds[c])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from innkeep.operators.cleaning import REASON
 from innkeep.operators.columns import schema_report
@@ -31,8 +32,11 @@ def split_raw(spark: SparkSession, raw: DataFrame, out: str, share: float = 0.70
     parts = chrono_split(recovered(dated), share)
     ranges = split_ranges(parts)
     check_no_overlap(ranges)
-    write_csv(parts.where(parts["split"] == BATCH).drop("split"), f"{out}/batch")
-    write_csv(parts.where(parts["split"] == STREAM).drop("split"), f"{out}/stream")
+    order = [F.asc_nulls_last("booking_date"), F.asc_nulls_last("booking_id")]
+    for part in (BATCH, STREAM):
+        # Files in the order of their days and ids, rows in it within each file.
+        rows = parts.where(parts["split"] == part).drop("split")
+        write_csv(rows.repartitionByRange(*order).sortWithinPartitions(*order), f"{out}/{part}")
     write_csv(unrecoverable(dated), f"{out}/rejected")
     return ranges
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # What the jobs rely on. ANSI stays on: bad text becomes null through try_*
 # functions where that is meant, and is an error everywhere else.
@@ -60,12 +60,3 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the scratch folder that no earlier call has returned."""
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later jobs read files, so a lost executor costs
-    a re-read and never a second, differently partitioned computation."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_root(df.sparkSession))
-    return df.checkpoint(eager=True)

@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from innkeep.operators.recovery import SOURCE, recover_dates, recovered, unrecoverable
+from innkeep.operators import split
 from innkeep.operators.split import check_no_overlap, chrono_split, order_statistics, split_ranges
+from innkeep.plans.build import split_raw
 
 
 def brute(df, share):
@@ -79,3 +81,26 @@ def test_recovery_order(frame):
         ("3", "2025-06-15", "derived_from_checkin"), ("4", "2025-06-20", "derived_from_checkout"),
         ("5", "None", "unrecoverable"), ("6", "1999-05-10", "original")]
     assert recovered(got).count() == 5 and unrecoverable(got).count() == 1
+
+
+def test_positions_in_ranges_that_are_ranged_again(spark, monkeypatch):
+    monkeypatch.setattr(split, "_PART_KEYS", 20)
+    df = spark.range(400).selectExpr("cast(id * 7 % 400 as string) as v", "id % 3 as w").union(spark.sql("select null, null"))
+    counted = split._Counted.of(df, ["v"])
+    ordered = sorted((r["v"] for r in df.collect()), key=lambda v: (v is None, v or ""))
+    places = [0, 1, 57, 200, 399, 400]
+    assert [(r["v"], r["_before"]) for r in counted.at(places)] == [(ordered[p], p) for p in places]
+
+
+def test_the_split_goes_by_days(spark):
+    with pytest.raises(TypeError):
+        chrono_split(spark.sql("select timestamp'2024-01-01' as booking_date, 'x' as booking_id"))
+
+
+def test_split_files_are_in_order(spark, frame, tmp_path):
+    data = [(f"B{i:03d}", f"{1 + i % 12}/{1 + i * 5 % 28}/2025", None, None) for i in range(200)]
+    split_raw(spark, frame("booking_id booking_date checkin_date checkout_date", data), str(tmp_path))
+    for part in ("batch", "stream"):
+        lines = [line for f in sorted((tmp_path / part).glob("part-*.csv")) for line in f.read_text().splitlines()[1:]]
+        keys = [(x.split(",")[1], x.split(",")[0]) for x in lines]
+        assert keys == sorted(keys)
