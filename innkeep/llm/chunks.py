@@ -9,6 +9,7 @@ the comma or full stop after it are split by the vocabularies' patterns.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -22,8 +23,9 @@ _CHUNK = re.compile(r"\s*\S+|\s+")
 _ODD = re.compile("[\x1c-\x1f]")
 # Letters whose lower case is the same letter for every library.
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-MEMO_PIECES = 300_000
+MEMO_PIECES = 400_000
 MEMO_CHARS = 64
+WORDS = 200  # in a text for the library
 
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
@@ -73,8 +75,30 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         normal = self.tokenizer.normalizer
         self.folds = normal is not None and normal.normalize_str("AZÀÝ") == "azàý"
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.begins = not suffix
+        marks = [i for t, i in vocabulary.items() if (t.endswith(suffix) if suffix else t.startswith("\u0120"))]
+        self.marks = np.zeros(max(vocabulary.values()) + 1, bool) if marks else None
+        if marks:
+            self.marks[marks] = True
         self.whole, self.spaced = Memo(), Memo()
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Runs of letters, each after a space, in one text for many: the library then
+        needs no word numbers. Each has one token that begins (or ends) a word."""
+        if not words or self.marks is None:
+            return self._ids([" " + w for w in words])
+        some = [" " + " ".join(words[at:at + WORDS]) for at in range(0, len(words), WORDS)]
+        found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+        ids = np.array([i for e in found for i in e.ids], "<u4")
+        at = 4 * np.flatnonzero(self.marks[ids])
+        if len(at) != len(words):  # letters that the library does not take for such
+            return self._ids([" " + w for w in words])
+        data = ids.tobytes()
+        bounds = [*at.tolist(), len(data)] if self.begins else [0, *(at + 4).tolist()]
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
     def _ids(self, pieces: list[str]) -> list[bytes]:
         """One call of the library for all; its word numbers tell the pieces apart."""
         if not pieces:
@@ -100,9 +124,11 @@ class ChunkEncoder:
         if not spaced:
             plain |= fresh
         plain |= memo.missing({word for _, word, _ in made} - plain)
-        todo = list(plain)
-        done = dict(zip(todo, self._ids([piece_of(k) for k in todo] if spaced else todo)))
-        long = {k: done.pop(k) for k in todo if len(k) > MEMO_CHARS}
+        letters = [k for k in plain if k.isalpha()] if spaced else []
+        todo = list(plain.difference(letters))
+        done = dict(zip(letters, self._words(letters)))
+        done.update(zip(todo, self._ids([piece_of(k) for k in todo] if spaced else todo)))
+        long = {k: done.pop(k) for k in plain if len(k) > MEMO_CHARS}
         memo.new.update(done)
         for key, word, mark in made:
             ids = (long[word] if word in long else memo.new[word]) + (self._mark(mark) if mark else b"")

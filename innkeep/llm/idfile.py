@@ -30,6 +30,7 @@ from innkeep.session import scratch_path
 MAGIC = b"SIMPLE8B"
 COUNT = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTH = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
+_ABOVE = np.array([1 << int(w) for w in WIDTH[:-1]], np.uint64)  # the ids too wide for each
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 24  # a file is closed after the document that reaches this
 
@@ -54,20 +55,20 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if len(escapes):
         ids = ids.copy()
         ids[escapes] = 0
-    # Of each position, the selector of most ids whose ids all fit. From the last,
-    # which fits always, to the first; beyond the end are zeros.
+    # Of each position, the selector of most ids whose ids all fit: a word of n ids
+    # needs the largest width among n positions, which two runs of a power of two
+    # cover. Beyond the end are zeros.
+    width = np.searchsorted(_ABOVE, ids, side="right").astype(np.uint8)  # the index of the narrowest width
+    spans = [np.concatenate([width, np.zeros(COUNT[0], np.uint8)])]
+    while 2 << len(spans) - 1 <= COUNT[0]:
+        last, half = spans[-1], 1 << len(spans) - 1
+        spans.append(np.maximum(last[:-half], last[half:]))
     choice = np.full(n, len(COUNT) - 1, np.uint8)
-    undecided = np.arange(n)
     for s in range(len(COUNT) - 2, -1, -1):
-        fits = (ids >> np.uint64(WIDTH[s])) == 0
-        bad = np.concatenate([[0], np.cumsum(~fits)])
-        # A longer word needs narrower ids, so what failed a selector with more
-        # bits fails all those after it too.
-        end = np.minimum(undecided + COUNT[s], n)
-        undecided = undecided[bad[end] == bad[undecided]]
-        choice[undecided] = s
-        if not len(undecided):
-            break
+        span = int(COUNT[s]).bit_length() - 1
+        off = int(COUNT[s]) - (1 << span)
+        widest = np.maximum(spans[span][:n], spans[span][off:off + n])
+        choice[widest <= s] = s
     step = COUNT[choice].tolist()
     at, starts = 0, []
     while at < n:
@@ -235,8 +236,8 @@ def read_ids(files: DataFrame) -> DataFrame:
                 if rows:
                     yield batches(dict(zip(_ROWS.names, map(list, zip(*rows)))), _ROWS)
 
-    # Few rows, much work for each: one file a task.
-    spread = files.select("part", "seq", "path").repartition(F.col("part"), F.col("seq"))
+    # Few rows, much work for each: one file a task, as near as hashing comes to it.
+    spread = files.select("part", "seq", "path").repartition(max(1, files.count()), "part", "seq")
     return arrow_map(
         spread, task, "part int, seq int, doc_id long, start long, n_tokens long, ids_crc32 long"
     )
@@ -268,5 +269,6 @@ def token_id_output(docs: DataFrame, vocabulary: str, end_id: int, folder: str |
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "ids")
     files = written(write_ids(docs, folder, vocabulary, end_id), "id-files")
-    rows = read_ids(files).join(file_offsets(files), ["part", "seq"])
+    # The rows look as few as the files to the optimizer; it must not broadcast them.
+    rows = read_ids(files).hint("merge").join(file_offsets(files), ["part", "seq"])
     return rows.selectExpr("doc_id", "base + start as start", "n_tokens", "ids_crc32")
