@@ -9,14 +9,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from innkeep.llm.common import arrow_map, batches, by_block, components, in_blocks, local_roots, runs, written
+from innkeep.llm.common import arrow_map, batches, by_block, components, local_roots, runs, written
 
 THRESHOLD = 0.9
 SEED = 20240
-# A pair at the threshold shares a table with this probability; one above it, with more.
-RECALL = 0.97
-BUCKET_ROWS = 16  # of unrelated vectors, on average
+BUCKET_ROWS = 16  # of unrelated vectors, on average, in ``table_sizes``
+# Components of the vectors in one block of a unit of work, and rows in it at most.
+BLOCK_SIZE, BLOCK_VECTORS = 1 << 20, 16_384
+LEAST_BLOCKS = 8  # of a table of some size, so that small tables are spread too
+PIVOTS = 1024
 # Width of the confidence bound in standard deviations: a linked pair is missed by
 # the codes with a probability below 1e-8.
 SIGMAS = 6.0
@@ -37,18 +40,15 @@ def table_sizes(n: int, threshold: float, recall: float, bucket_rows: int = BUCK
     1 - angle / pi. The bits grow with the logarithm of the number of rows, so that
     a bucket of unrelated vectors does not; the tables follow from the recall.
     """
+    # near_duplicates does not use these: tables lose pairs, whatever their number.
     bits = min(48, max(6, math.ceil(math.log2(max(2, n / bucket_rows)))))
     same = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - same)))
 
 
-def table_keys(unit: np.ndarray, bits: int, tables: int) -> np.ndarray:
-    """Keys of all tables: sign bits of fresh rotations, cut into tables."""
-    dim, need = unit.shape[1], bits * tables
-    signs = np.concatenate(
-        [unit @ rotation(dim, SEED + 1 + r) > 0 for r in range(-(-need // dim))], axis=1
-    )[:, :need].reshape(len(unit), tables, bits)
-    return (signs.astype(np.int64) << np.arange(bits)).sum(axis=2)
+def reach(threshold: float) -> float:
+    """The sine of the angle at the threshold; 1 if that angle is not acute."""
+    return math.sqrt(max(1 - threshold * threshold, 0)) if threshold > 0 else 1.0
 
 
 class Codes:
@@ -64,13 +64,20 @@ class Codes:
         self.turned = (unit @ rotation(dim, SEED)).astype(np.float32)
         self.signs = np.where(self.turned > 0, np.float32(1), np.float32(-1)) / np.float32(math.sqrt(dim))
         self.factor = np.einsum("ij,ij->i", self.signs, self.turned)
-        spread = np.sqrt(np.maximum(1 - self.factor**2, 0)) / self.factor
-        self.error = SIGMAS * spread / math.sqrt(max(dim - 1, 1))
+        self.spread = np.sqrt(np.maximum(1 - self.factor**2, 0)) / self.factor
+        self.error = SIGMAS * self.spread / math.sqrt(max(dim - 1, 1))
 
     def may_reach(self, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
-        """For which pairs the confidence bound of the estimate reaches the threshold."""
-        estimate = (self.signs[left] @ self.turned[right].T) / self.factor[left][:, None]
-        return estimate + self.error[left][:, None] >= threshold
+        """For which pairs the bound of the estimate reaches the threshold.
+
+        The part of q that is orthogonal to o is no longer than the sine of their
+        angle, so the error of a linked pair is at most spread * reach in any case.
+        Up to 190 dimensions, at 0.9, that is the narrower bound: no linked pair is
+        lost. Beyond, the confidence bound decides.
+        """
+        error = np.minimum(self.error, self.spread * reach(threshold))
+        least = (threshold - error[left]) * self.factor[left] - 1e-5  # of float32
+        return self.signs[left] @ self.turned[right].T >= least[:, None].astype(np.float32)
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -90,72 +97,112 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
 
-def _place(stream: Iterator[pa.RecordBatch], bits: int, tables: int, dim: int) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("rep", pa.int64()), ("copies", pa.int64()), ("table", pa.int32()), ("key", pa.int64()), ("u", pa.binary())])
+_CELLS = pa.schema([("rep", pa.int64()), ("copies", pa.int64()), ("h", pa.int64()), ("cell", pa.int32()), ("u", pa.binary())])
+_UNITS = pa.schema([("rep", pa.int64()), ("copies", pa.int64()), ("_i", pa.int32()), ("_j", pa.int32()), ("_side", pa.int32()), ("u", pa.binary())])
+
+
+def _assign(stream: Iterator[pa.RecordBatch], pivots: np.ndarray, kind: type) -> Iterator[pa.RecordBatch]:
+    """Each class with the pivot nearest to it."""
+    dim = pivots.shape[1]
     for batch in stream:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            unit = _unit(part.column("v").flatten().to_numpy().reshape(part.num_rows, dim))
-            keys = table_keys(unit, bits, tables)
-            data = [u.tobytes() for u in part.column("v").flatten().to_numpy().reshape(part.num_rows, dim)]
+            v = part.column("v").flatten().to_numpy().reshape(part.num_rows, dim)
+            yield batches({
+                "rep": part.column("rep"), "copies": part.column("copies"), "h": part.column("h"),
+                "cell": (_unit(v) @ pivots.T).argmax(axis=1).astype(np.int32), "u": [x.tobytes() for x in v.astype(kind)],
+            }, _CELLS)
+
+
+def may_meet(unit: np.ndarray, cell: np.ndarray, pivots: np.ndarray, threshold: float) -> np.ndarray:
+    """For each vector the cells that may hold one at or above the threshold.
+
+    Vectors of cell D lie on D's side of the plane midway between the pivots C and D.
+    One of cell C whose angle to that plane is larger than the threshold's has no
+    link there. The bound is exact: what it excludes cannot link.
+    """
+    dots = unit @ pivots.T
+    apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))
+    return dots[np.arange(len(unit)), cell][:, None] - dots <= reach(threshold) * apart[cell] + 1e-7
+
+
+def _place(stream: Iterator[pa.RecordBatch], pivots: np.ndarray, blocks: np.ndarray, threshold: float, kind: type) -> Iterator[pa.RecordBatch]:
+    """Each class once for every block that it has to meet: units of work as in
+    ``in_blocks``, with the blocks of all cells in one numbering."""
+    dim = pivots.shape[1]
+    first = np.cumsum(blocks) - blocks
+    of_block = np.repeat(np.arange(len(blocks)), blocks)
+    step = max(1, (1 << 21) // (len(of_block) * dim))
+    for batch in stream:
+        for at in range(0, batch.num_rows, step):
+            part = batch.slice(at, step)
+            cell, h = part.column("cell").to_numpy(), part.column("h").to_numpy()
+            unit = _unit(np.frombuffer(b"".join(part.column("u").to_pylist()), kind).reshape(-1, dim).astype(np.float64))
+            row, other = np.nonzero(may_meet(unit, cell, pivots, threshold)[:, of_block])
+            side = (first[cell] + h % blocks[cell])[row]
+            where = pa.array(row)
             yield batches({
-                "rep": np.repeat(part.column("rep").to_numpy(), tables),
-                "copies": np.repeat(part.column("copies").to_numpy(), tables),
-                "table": np.tile(np.arange(tables, dtype=np.int32), part.num_rows),
-                "key": keys.reshape(-1),
-                "u": [d for d in data for _ in range(tables)],
-            }, schema)
+                **{c: part.column(c).take(where) for c in ("rep", "copies")},
+                "_i": np.minimum(side, other).astype(np.int32), "_j": np.maximum(side, other).astype(np.int32),
+                "_side": side.astype(np.int32), "u": part.column("u").take(where),
+            }, _UNITS)
 
 
-def _link(stream: Iterator[pa.RecordBatch], threshold: float, bits: int, tables: int) -> Iterator[pa.RecordBatch]:
-    """For each unit of work, rows (a, b, n): a has n linked vectors here that no
-    earlier table shows, and b is the smallest id a is connected with here."""
+def _link(stream: Iterator[pa.RecordBatch], threshold: float, kind: type) -> Iterator[pa.RecordBatch]:
+    """For each unit of work, rows (a, b, n): a has n linked vectors here, and b is
+    the smallest id a is connected with here."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
-    for run in runs(stream, ["table", "key", "_i", "_j"]):
+    for run in runs(stream, ["_i", "_j"]):
         rows = sum(b.num_rows for b in run)
         if rows < 2:
             continue
         column = lambda c: np.concatenate([b.column(c).to_numpy() for b in run])
-        first = run[0]
-        i, j, table = (first.column(c)[0].as_py() for c in ("_i", "_j", "table"))
+        i, j = (run[0].column(c)[0].as_py() for c in ("_i", "_j"))
         side = column("_side")
         left = np.arange(rows) if i == j else np.flatnonzero(side == i)
         right = left if i == j else np.flatnonzero(side == j)
         if not len(left) or not len(right):
             continue
-        data = b"".join(x.as_py() for b in run for x in b.column("u"))
-        unit = _unit(np.frombuffer(data, np.float64).reshape(rows, -1))
+        data = b"".join(x for b in run for x in b.column("u").to_pylist())
+        unit = _unit(np.frombuffer(data, kind).reshape(rows, -1).astype(np.float64))
         codes, ids, copies = Codes(unit), column("rep"), column("copies")
-        found_x, found_y = [], []
-        for at in range(0, len(left), 256):
-            block = left[at:at + 256]
-            x, y = np.nonzero(codes.may_reach(block, right, threshold))
-            x, y = block[x], right[y]
+        order = np.argsort(ids, kind="stable")
+        place = np.empty(rows, np.int64)
+        place[order] = np.arange(rows)
+        links = np.zeros(rows)
+        roots = np.arange(rows)  # places of the smallest ids
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def join() -> np.ndarray:
+            x, y = map(np.concatenate, zip((np.arange(rows), roots), *held))
+            held.clear()
+            return local_roots(rows, x, y)
+
+        step, few, n = max(1, (1 << 20) // len(right)), max(1, (1 << 21) // unit.shape[1]), 0
+        for at in range(0, len(left), step):
+            block = left[at:at + step]
+            # Within a block, of each pair the one order.
+            ahead = right[at:] if i == j else right
+            x, y = np.nonzero(codes.may_reach(block, ahead, threshold))
+            x, y = block[x], ahead[y]
             if i == j:
                 x, y = x[x < y], y[x < y]
             # The exact cosines of what the bound leaves, a bounded number at a time.
-            for p in range(0, len(x), 65_536):
-                a, b = x[p:p + 65_536], y[p:p + 65_536]
+            for p in range(0, len(x), few):
+                a, b = x[p:p + few], y[p:p + few]
                 near = np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
-                found_x.append(a[near])
-                found_y.append(b[near])
-        if not sum(map(len, found_x)):
-            continue
-        x, y = np.concatenate(found_x), np.concatenate(found_y)
-        new = np.ones(len(x), bool)
-        if table:
-            touched, inverse = np.unique(np.concatenate([x, y]), return_inverse=True)
-            keys = table_keys(unit[touched], bits, tables)[:, :table]
-            kx, ky = inverse[:len(x)], inverse[len(x):]
-            for p in range(0, len(x), 65_536):
-                new[p:p + 65_536] = ~(keys[kx[p:p + 65_536]] == keys[ky[p:p + 65_536]]).any(axis=1)
-        links = np.bincount(x[new], copies[y[new]], rows) + np.bincount(y[new], copies[x[new]], rows)
-        order = np.argsort(ids, kind="stable")
-        place = np.empty(rows, np.int64)
-        place[order] = np.arange(rows)
-        root = ids[order][local_roots(rows, place[x], place[y])][place]
+                a, b = a[near], b[near]
+                links += np.bincount(a, copies[b], rows) + np.bincount(b, copies[a], rows)
+                held.append((place[a], place[b]))
+                n += len(a)
+                if n > 1 << 20:
+                    roots, n = join(), 0
+        roots = join()
+        root = ids[order][roots][place]
         keep = (links > 0) | (root != ids)
+        if not keep.any():
+            continue
         out.append((ids[keep], root[keep], links[keep].astype(np.int64)))
         size += int(keep.sum())
         if size > 50_000:
@@ -166,17 +213,20 @@ def _link(stream: Iterator[pa.RecordBatch], threshold: float, bits: int, tables:
 
 
 def near_duplicates(
-    vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "vec_id", vec_col: str = "embedding",
+    vectors: DataFrame, threshold: float = THRESHOLD, recall: float = 1.0, id_col: str = "vec_id", vec_col: str = "embedding",
+    block_rows: int = BLOCK_VECTORS,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept``, one row per row, by cosine.
 
     Equal vectors are one class, named by its smallest id, and are never paired;
-    each has the others of its class as links. Classes meet where they share a
-    bucket of one of the tables (``table_sizes``). There the codes' confidence
-    bound excludes most pairs, and the cosine of the rest is computed exactly, so
-    no pair below the threshold links. A pair counts in the first table it shares.
-    Buckets are split into blocks (``in_blocks``); a unit of work returns numbers
-    of links and a spanning star, not pairs.
+    each has the others of its class as links. Classes form cells around pivots, and
+    cells are dealt to blocks. Any two blocks meet, less the classes that cannot link
+    there by an exact bound of angles (``may_meet``): no pair is left out,
+    whatever ``recall`` a caller asks for. Where blocks meet, the codes' bound excludes
+    most pairs, and the cosine of the rest is computed exactly. Each pair meets once.
+    A unit of work returns numbers of links and a spanning star, not pairs. Where
+    the cells exclude little, as for unrelated vectors, the work grows with the square of
+    the rows.
 
     Vectors that are null, empty or zero or hold a null or non-finite component
     link with nothing, and are each their own component. Vectors of different
@@ -190,18 +240,24 @@ def near_duplicates(
     )
     classes = written(classes, "vector-classes")
     found = None
+    floats = isinstance(vectors.schema[vec_col].dataType, T.ArrayType) and isinstance(vectors.schema[vec_col].dataType.elementType, T.FloatType)
+    kind = np.float32 if floats else np.float64
     for r in sorted(classes.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()):
         dim, n = r["dim"], r["n"]
-        bits, tables = table_sizes(n, threshold, recall)
+        block = min(block_rows, max(64, BLOCK_SIZE // dim), max(256, -(-n // LEAST_BLOCKS)))
+        own = classes.where(F.size("v") == dim).select("v", "rep", "copies", F.xxhash64("rep", F.lit(17)).alias("h"))
+        few = min(PIVOTS, max(1, BLOCK_SIZE // dim), -(-n // block))
+        pivots = _unit(np.array([p["v"] for p in own.orderBy("h", "rep").limit(few).select("v").collect()], dtype=np.float64))
+        cells = arrow_map(own, lambda s, p=pivots: _assign(s, p, kind), "rep long, copies long, h long, cell int, u binary")
+        cells = written(cells, "vector-cells")
+        blocks = np.zeros(len(pivots), np.int64)
+        for c in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
+            blocks[c["cell"]] = -(-c["n"] // block)
         placed = arrow_map(
-            classes.where(F.size("v") == dim), lambda s, b=bits, t=tables, d=dim: _place(s, b, t, d),
-            "rep long, copies long, table int, key long, u binary",
-        )
-        placed = written(placed, "vector-tables")
-        units = by_block(in_blocks(placed, ["table", "key"], "rep"), ["table", "key"])
-        links = arrow_map(
-            units, lambda s, b=bits, t=tables: _link(s, threshold, b, t), "a long, b long, n long"
+            cells, lambda s, p=pivots, b=blocks: _place(s, p, b, threshold, kind),
+            "rep long, copies long, _i int, _j int, _side int, u binary",
         )
+        links = arrow_map(by_block(placed, []), lambda s: _link(s, threshold, kind), "a long, b long, n long")
         found = links if found is None else found.unionByName(links)
     if found is None:
         links = None

@@ -129,6 +129,36 @@ def test_near_vectors(spark, points, block_rows, monkeypatch):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block_rows", [16_384, 100])
+def test_no_pair_right_at_the_threshold_is_lost(spark, block_rows):
+    rng = np.random.default_rng(11)
+    base = vectors._unit(rng.standard_normal((1200, 64)))
+    away = rng.standard_normal((1200, 64))
+    away = vectors._unit(away - np.einsum("ij,ij->i", away, base)[:, None] * base)
+    cosine = rng.uniform(0.9001, 0.92, 1200)[:, None]
+    pairs = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * away]).astype(np.float32)
+    unit = vectors._unit(pairs.astype(np.float64))
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(pairs)], "vec_id long, embedding array<float>").repartition(4)
+    more = {"block_rows": block_rows} if block_rows < 16_384 else {}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_duplicates(df, **more).collect()}
+    lost = sum(got[k][0] != want[k] for k in range(2400))
+    assert want.min() >= 1 and lost == 0
+    assert all(got[k][1] == got[k + 1200][1] == k for k in range(1200))
+
+
+def test_cells_exclude_what_cannot_link_only():
+    rng = np.random.default_rng(12)
+    middle = rng.standard_normal((30, 6))
+    unit = vectors._unit(np.concatenate([m + 0.2 * rng.standard_normal((40, 6)) for m in middle]))
+    pivots = unit[::40]
+    cell = (unit @ pivots.T).argmax(axis=1)
+    may = vectors.may_meet(unit, cell, pivots, 0.9)
+    x, y = np.nonzero(unit @ unit.T >= 0.9)
+    assert may[x, cell[y]].all() and (cell[x] != cell[y]).any()
+    assert may.mean() < 0.7
+
+
 def test_codes_estimate_without_bias_and_bound():
     rng = np.random.default_rng(7)
     x = rng.standard_normal((300, 64))
