@@ -28,11 +28,15 @@ TARGET = frozenset("you your yours yourself du dich dir dein deine ihr euch tu t
 NEGATION = frozenset("not no never isn aren wasn don doesn didn won nicht kein keine nie niemals ne pas jamais aucun nunca jamás ningún".split())
 REPORT = frozenset("said says say told wrote claimed quoted sagte sagt schrieb behauptet dit disait écrit dijo dice escribió".split())
 THREAT = frozenset("kill hurt destroy murder töten umbringen tuer frapper matar".split())
-INTENT = frozenset("will shall gonna going werde werden vais allons voy vamos".split())
+# Contracted forms too; "ll" is what words are cut to at the apostrophe.
+INTENT = frozenset("will ll shall gonna gunna imma finna going werde werd werden vais allons voy vamos".split())
 # Used where there are no labels to learn from.
 SEED_INSULTS = frozenset("idiot moron stupid loser scum trampel dummkopf imbécile idiota estúpido".split())
 SEED_WEIGHT = 2.0
 THREAT_WEIGHT = 1.0
+# A threat's words that the sample does not show in such a context are no threat.
+DOUBT = -2.0
+REACH = 4  # words between a threat and its target
 
 _WORD = re.compile(r"[^\W\d_]+")
 _PART = re.compile(r"[^\W\d_]+|[.!?;:\n]|[\"“”«»„]")
@@ -80,17 +84,33 @@ class Reported:
 
 
 class Match:
-    """An insult matches by itself; a threat needs intent and a target before it."""
+    """An insult matches by itself; a threat needs intent before it and a target in its
+    clause. One without a target so far is open, and the next target answers it.
 
-    start = 0
+    The state is whether there was intent, whether there was a target, and the words that
+    an open threat's target is near for (-1: it would be far, 0: none is open)."""
 
-    def step(self, state: int, symbol: str) -> int:
-        return 0 if symbol == "E" else state | (1 if symbol == "W" else 0) | (2 if symbol == "T" else 0)
+    start = (0, 0, 0)
 
-    def output(self, state: int, symbol: str) -> str:
+    def step(self, state: tuple[int, int, int], symbol: str) -> tuple[int, int, int]:
+        intent, target, near = state
+        if symbol == "E":
+            return self.start
+        if symbol == "H" and intent and not target:
+            near = REACH
+        elif symbol == "T":
+            near = 0
+        elif near > 0:
+            near = near - 1 or -1
+        return intent | (symbol == "W"), target | (symbol == "T"), near
+
+    def output(self, state: tuple[int, int, int], symbol: str) -> str:
+        intent, target, near = state
         if symbol == "I":
             return "insult "
-        return "threat " if symbol == "H" and state & 1 else ""
+        if symbol == "H" and intent:
+            return "threat " if target else "open threat "
+        return ("near " if near > 0 else "far ") if symbol == "T" and near else ""
 
 
 class Composed:
@@ -110,7 +130,7 @@ class Composed:
         return found
 
 
-GRAMMAR = Composed(Match(), Window("T", "targeted ", 4), Window("N", "negated ", 3), Reported())
+GRAMMAR = Composed(Match(), Window("T", "targeted ", REACH), Window("N", "negated ", 3), Reported())
 
 
 def features(text: str) -> set[str]:
@@ -178,6 +198,7 @@ class Grammar:
         if not insults:
             return
         state = GRAMMAR.start
+        opened: list[str] = []  # contexts of threats without a target so far
         for m in _PART.finditer(low):
             w = m.group()
             odds = None
@@ -192,14 +213,35 @@ class Grammar:
                     "T" if w in TARGET else "N" if w in NEGATION else "R" if w in REPORT else "W" if w in INTENT else "O"
                 )
             state, said = GRAMMAR.step(state, symbol)
-            if odds is not None and ("insult" in said or "threat" in said):
+            if symbol == "E":
+                opened.clear()
+            elif not said:
+                continue
+            elif symbol == "T":
+                for context in opened:
+                    yield context if said == "near " else f"{context} distant", THREAT_WEIGHT
+                opened.clear()
+            elif said.startswith("open "):
+                opened.append(said[5:].strip())
+            elif odds is not None and "insult" in said:
                 yield said.strip(), odds
+            elif odds is not None and "threat" in said:
+                yield said.strip() if "targeted" in said else f"{said.strip()} distant", odds
+
+    def weight(self, context: str) -> float:
+        """As learnt; of a context the sample does not show, none for insults and for
+        threats with a near target, and a low one for other threats."""
+        known = self.contexts.get(context)
+        if known is not None:
+            return known
+        doubtful = context.startswith("threat") and any(w in context for w in ("distant", "negated", "reported"))
+        return DOUBT if doubtful else 0.0
 
     def score(self, text: str) -> float:
         """The probability of the strongest clause; more clauses add a little."""
         best, n = -math.inf, 0
         for context, odds in self.clauses(text):
-            best, n = max(best, odds + self.contexts.get(context, 0.0)), n + 1
+            best, n = max(best, odds + self.weight(context)), n + 1
         return _sigmoid(best + 0.05 * math.log(n) if n else self.rest)
 
 

@@ -160,6 +160,27 @@ def test_clauses():
     assert contexts("twerpy", ("twerp*2",)) == []
 
 
+CLEAN = [
+    "Antibiotics will kill bacteria.", "The film festival will hurt no budget", "The frost is going to kill the roses; you can cover them.",
+    "You asked about the garden and of course the frost will kill roses", "We will not hurt you", "they said it will kill you",
+]
+THREATS = ["We will kill you.", "I'll hurt you", "I\u2019ll destroy all of you!", "Ich werde dich töten", "te voy a matar", "je vais te tuer"]
+
+
+def test_threats_need_a_target(spark, frames):
+    docs, labels = frames
+    more = spark.createDataFrame([(1000 + k, t, "x", 0.5) for k, t in enumerate(CLEAN + THREATS)], docs.schema)
+    left = {r["doc_id"] for r in toxicity.keep_clean(docs.unionByName(more), labels).where("doc_id >= 1000").collect()}
+    assert left == {1000 + k for k in range(len(CLEAN))}
+
+
+def test_threat_clauses():
+    assert contexts("Antibiotics will kill bacteria.") == [] and contexts("it will kill. You see") == []
+    assert contexts("I'll kill you") == ["threat"] and contexts("you will hurt") == ["threat targeted"]
+    assert contexts("it will kill one two three four five you") == ["threat distant"]
+    assert contexts("will kill and destroy you, you") == ["threat", "threat"]
+
+
 def test_pipeline_stages_and_run(spark, tmp_path):
     docs, labels = corpus(n=120)
     docs = [d for d in docs if d[0] is not None] + [(500 + k, docs[k][1], "copy", 0.1) for k in (2, 3, 4)]
