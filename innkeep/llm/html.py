@@ -39,7 +39,7 @@ CLOSES = {
     "tbody": ("tbody thead tfoot tr td th", {"table"}), "thead": ("tbody thead tfoot tr td th", {"table"}),
     "tfoot": ("tbody thead tfoot tr td th", {"table"}), "option": ("option", {"select"}),
 }
-# Parts that are not the article, by tag, role, or a word of class or id.
+# Parts that are not the article, by tag, role, or a whole name in class or id.
 DROPPED = frozenset(
     "head nav header footer aside form script style noscript template iframe object embed svg canvas button select input textarea"
     " menu dialog audio video map math".split()
@@ -54,16 +54,17 @@ MARKED = frozenset(
 )
 # Elements further down do not nest, as in browsers; their text stays.
 DEEPEST = 512
-_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[^\W\d_a-zA-Z]+")
 
 
 class Node:
     __slots__ = (
-        "name", "parent", "depth", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "sum", "peak", "keep",
+        "name", "parent", "depth", "children", "dropped", "marked", "chars", "tags", "link_chars", "link_tags", "density", "sum", "peak", "keep",
     )
 
-    def __init__(self, name: str, parent: "Node | None", dropped: bool) -> None:
+    def __init__(self, name: str, parent: "Node | None", dropped: bool, marked: bool = False) -> None:
         self.name, self.parent, self.dropped = name, parent, dropped
+        self.marked = marked  # by class or id alone; _spare() decides
         self.depth: int = parent.depth + 1 if parent else 0
         self.children: list["Node | str"] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -72,21 +73,54 @@ class Node:
         self.keep = False
 
 
-def _boilerplate(name: str, rest: str) -> bool:
+def _marks(token: str) -> bool:
+    """Whether a name of class or id consists of such words alone ("ad-2",
+    "cookieNotice"); "has-sidebar" does not."""
+    words = _WORD.findall(token)
+    return bool(words) and all(w.lower() in MARKED for w in words)
+
+
+def _boilerplate(name: str, rest: str) -> tuple[bool, bool]:
+    """Whether an element is dropped by its tag, role or as hidden, and whether a whole
+    name in its class or id marks it."""
     if name in DROPPED:
-        return True
+        return True, False
     if not rest or name in ("html", "body", "main", "article"):
-        return False
+        return False, False
+    marked = False
     for m in _ATTRIBUTE.finditer(rest):
         key = m.group(1).lower()
         value = m.group(2) or m.group(3) or m.group(4) or ""
         if key == "role" and value.lower() in ROLES:
-            return True
-        if key in ("class", "id") and any(w.lower() in MARKED for w in _WORD.findall(value)):
-            return True
+            return True, False
+        if key in ("class", "id"):
+            marked = marked or any(map(_marks, value.split()))
         if key == "aria-hidden" and value.lower() == "true":
-            return True
-    return re.search(r"(?:^|\s)hidden(?=[\s=/]|$)", _ATTRIBUTE.sub(" ", rest)) is not None
+            return True, False
+    return re.search(r"(?:^|\s)hidden(?=[\s=/]|$)", _ATTRIBUTE.sub(" ", rest)) is not None, marked
+
+
+def _spare(root: Node) -> None:
+    """Drop marked elements, but none that holds an article or main element or most
+    of the page's text outside links. Text of a part dropped by tag, role or as hidden
+    counts nowhere."""
+    order = _walk(root)
+    if not any(x.marked for x in order):
+        return
+    plain: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    for node in reversed(order):
+        own, has = 0, False
+        for c in node.children:
+            if type(c) is str:
+                own += len("".join(c.split()))
+            elif not c.dropped:
+                own += plain[id(c)]
+                has = has or holds[id(c)] or c.name in ("article", "main")
+        plain[id(node)], holds[id(node)] = 0 if node.name == "a" else own, has
+    whole = plain[id(root)]
+    for node in order:
+        node.dropped = node.marked and not holds[id(node)] and 2 * plain[id(node)] <= whole
 
 
 def parse(html: str) -> Node:
@@ -165,7 +199,7 @@ def parse(html: str) -> Node:
                 here = leave(found)
         if name != "head" and here.name == "head" and name not in ("meta", "link", "base"):
             here = here.parent or root
-        node = Node(name, here, _boilerplate(name, rest))
+        node = Node(name, here, *_boilerplate(name, rest))
         here.children.append(node)
         if name not in VOID and not rest.rstrip().endswith("/" if name in ("svg", "path") else "\0"):
             if here.depth >= DEEPEST:
@@ -246,6 +280,7 @@ def _select(nodes: list[Node]) -> None:
 
 def main_text(html: str) -> str:
     root = parse(html)
+    _spare(root)
     nodes = _walk(root)
     body = next((x for x in nodes if x.name == "body"), root)
     if body is not root:

@@ -35,6 +35,29 @@ def test_main_text_without_article_tag():
     assert text.split("\n") == [f"Paragraph {k} has a good many words that say something of the matter." for k in range(6)]
 
 
+WRAPPERS = [
+    "layout has-sidebar", "no-sidebar", "comments-open", "widget-text", "elementor-widget-theme-post-content", "article-body no-ads",
+    "page-header", "widget", "content notice",
+]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_wrappers_are_no_boilerplate(name):
+    said = [f"Paragraph {k} has a good many words that say something of the matter." for k in range(4)]
+    body = "".join(f"<p>{p}</p>" for p in said)
+    menu = "<nav><a href=/>Menu</a></nav><div class='ad'>Buy now</div>"
+    for page in (f'<div class="{name}"><article>{body}</article></div>', f'<div id=x class="{name}">{body}</div>', f'<div id="{name}">{body}</div>'):
+        assert html.main_text(f"<body>{menu}{page}<footer>f</footer>").split("\n") == said
+    head = html.main_text(f'<body>{menu}<article><div class="page-header"><h1>Headline</h1></div>{body}</article>')
+    assert head.split("\n") == ["Headline", *said]
+
+
+def test_marked_parts_without_the_article_go():
+    body = "".join(f"<p>Paragraph {k} has a good many words that say something of the matter.</p>" for k in range(4))
+    page = f'<article>{body}<div class="x sidebar"><p>aside words</p></div><p class=ad>Buy now</p></article>'
+    assert "aside" not in html.main_text(page) and "Buy" not in html.main_text(page)
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, "x"), (None, "v", "<p>z", None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
