@@ -261,12 +261,17 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``text``, ``label`` of at most ``rows`` labelled documents outside the held-out fold."""
+    """``text``, ``label`` of at most ``rows`` labelled documents outside the held-out fold.
+
+    Of rows that repeat a doc_id, the text with the smallest hash stands for all.
+    """
     known = labels.select(labels["doc_id"].cast("long").alias("label_id"), labels["toxic"].cast("int").alias("label")).dropna()
     once = known.where(~held_out(F.col("label_id"))).groupBy("label_id").agg(F.max("label").alias("label"))
     sample = written(once.orderBy(F.xxhash64("label_id"), "label_id").limit(rows), "toxic-labels")
     said = texts(docs)
-    return said.join(F.broadcast(sample), said["doc_id"] == sample["label_id"]).select("text", "label")
+    found = said.join(F.broadcast(sample), said["doc_id"] == sample["label_id"])
+    one = found.groupBy("label_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one"))
+    return one.select("one.text", "label")
 
 
 def _count_features(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

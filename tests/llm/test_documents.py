@@ -183,6 +183,15 @@ def test_clauses():
     assert contexts("twerpy", ("twerp*2",)) == []
 
 
+def test_sample_has_one_row_of_each_label(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(300)] + [(2, "two")], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, 1) for k in range(1, 9)], "doc_id long, toxic int")
+    kept = [k for k in (1, 2) if zlib.crc32(str(k).encode()) % 5]
+    got = toxicity.training_rows(docs, labels).collect()
+    assert kept[:1] == [1] and len(got) == len(kept)
+    assert sorted(r["text"] for r in got) == sorted(r["text"] for r in toxicity.training_rows(docs.repartition(7), labels).collect())
+
+
 CLEAN = [
     "Antibiotics will kill bacteria.", "The film festival will hurt no budget", "The frost is going to kill the roses; you can cover them.",
     "You asked about the garden and of course the frost will kill roses", "We will not hurt you", "they said it will kill you",
