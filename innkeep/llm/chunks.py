@@ -46,14 +46,15 @@ def piece_of(key: str) -> str:
 
 
 class Memo:
-    """Ids of pieces. What has not been used while ``MEMO_PIECES`` others came goes."""
+    """What is known of pieces. What has not been used while ``limit`` others came goes."""
 
-    def __init__(self) -> None:
+    def __init__(self, limit: int | None = None) -> None:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.limit = limit
 
     def turn(self) -> None:
-        if len(self.new) > MEMO_PIECES:
+        if len(self.new) > (self.limit or MEMO_PIECES):
             self.new, self.old = {}, self.new
 
     def missing(self, keys: set[str]) -> set[str]:

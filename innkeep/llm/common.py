@@ -11,8 +11,10 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from innkeep.session import scratch_path
 
@@ -90,6 +92,57 @@ def sliced(batch: pa.RecordBatch, text: str = "text", most: int = 8 << 20) -> It
         yield batch.slice(begin)
 
 
+# ---- places in an order ----------------------------------------------------------
+
+
+def placed(rows: DataFrame, order: list[Column], group: str | None = None) -> DataFrame:
+    """The rows, written, with ``_part`` (the range a task held), ``_k`` (the place in
+    it) and ``_at`` (the place from 0 in the whole order, of the group if one is given).
+
+    Rows are dealt to ranges of the order, however many share a key: the last key is
+    the row's number in its file, so identical rows are split too. A task numbers its
+    own range; what lies before it is a sum over one count per range and group. Of a
+    group, ``order`` must begin with the group, which must not be null. ``rows`` must
+    be read from files.
+    """
+    keys = [*order, F.asc("_row")]
+    sorted_ = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*keys)
+    sorted_ = sorted_.sortWithinPartitions(*keys).drop("_row")
+    kinds = to_arrow_schema(rows.schema).append(pa.field("_part", pa.int32())).append(pa.field("_k", pa.int64()))
+
+    def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen, last = TaskContext.get().partitionId(), 0, None
+        for batch in stream:
+            n = batch.num_rows
+            if not n:
+                continue
+            k = np.arange(n)
+            if group:
+                names = batch.column(group).to_numpy(zero_copy_only=False)
+                first = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+                if names[0] != last:
+                    seen = 0
+                k -= np.repeat(first, np.diff(np.append(first, n)))
+                run = first[1] if len(first) > 1 else n
+                k[:run] += seen
+                last = names[-1]
+            else:
+                k += seen
+            seen = int(k[-1]) + 1
+            columns = [c.cast(f.type) for c, f in zip(batch.columns, kinds)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(n, part, np.int32)), pa.array(k)], schema=kinds)
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    numbered = written(arrow_map(sorted_, task, f"{ddl}, _part int, _k long"), "placed")
+    by = [group] if group else []
+    sizes = numbered.groupBy(*by, "_part").agg(F.max("_k").alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*by, "_part", F.coalesce(F.sum(F.col("_n") + 1).over(before), F.lit(0)).alias("_base"))
+    return numbered.join(offsets, [*by, "_part"]).select(
+        *rows.columns, "_part", "_k", (F.col("_base") + F.col("_k")).alias("_at")
+    )
+
+
 # ---- buckets in blocks ----------------------------------------------------------
 
 # Rows of one bucket that meet in a task: at most twice as many.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from innkeep.llm import bpe, html, idfile, packing, quality, simhash, tokens, topk, toxicity, vectors
+from innkeep.llm import bpe, html, idfile, merkle, packing, pieces, quality, resample, simhash, sql, tokens, topk, toxicity, vectors
 from innkeep.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,21 @@ def op10_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), every=100)
 
 
-# SQL twins, where SQL can express the operator; none of these is: they hash with
-# XXH64, encode, decode, learn or search. tests/llm holds brute-force versions.
-ORACLE_SQL: dict[str, str] = {}
+@query
+def op11_merkle(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_pieces(spark, sf_dir):
+    return pieces.round_trip(table(spark, sf_dir, "documents"), PIECES)
+
+
+@query
+def op13_resample(spark, sf_dir):
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# SQL twins, where SQL can express the operator. The others hash with XXH64, encode,
+# decode, learn or search; tests/llm holds brute-force versions.
+ORACLE_SQL: dict[str, str] = {"op11_merkle": sql.MERKLE, "op13_resample": sql.RESAMPLE}
