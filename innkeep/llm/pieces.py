@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 
 from innkeep.llm.chunks import Memo
 from innkeep.llm.common import arrow_map, batches, sliced, texts
+from innkeep.llm.merging import Merges
 
 SPACE = "▁"  # stands for a space in pieces
 NEVER = 1 << 60
 MEMO_CHARS = 64
-MEMO_WORDS = 150_000  # of some 400 bytes each
+MEMO_WORDS = 200_000  # of some 400 bytes each
+OTHERS = 1 << 20  # symbols from here on are characters that are no piece
 PART_CHARS = 1 << 20  # of a text that are normalised and encoded at a time
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)  # fixed values: kinds of pieces
 BPE = 2  # fixed value: the kind of model
@@ -228,7 +230,20 @@ class PieceModel:
         self.joined = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
         # Words begin at marks, lines at line feeds, if no piece reaches over these.
         self.by_words = not any(x[1] == SPACE != x[0] for x in self.joined) and not any("\n" in x for x in self.joined)
-        self.words, self.bits = Memo(MEMO_WORDS), Memo(MEMO_WORDS)
+        self.words = Memo(MEMO_WORDS)
+        pairs = [
+            (self.ids[p[:k]], self.ids[p[k:]], self.rank[p], i)
+            for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids
+        ]
+        self.merges = Merges(*zip(*pairs)) if pairs else Merges([], [], [], [])
+        self.symbol = np.arange(OTHERS, OTHERS + 0x110000, dtype=np.int32)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = i
+        self.chars = np.array([len(p) for p in self.pieces], np.int64)
+        self.byte_id = np.array([self.byte_ids[b] for b in range(256)], np.int32)
+        self.digits = [b"%d," % i for i in range(len(self.pieces))]
+        self.said = [bytes([self.bytes_of[i]]) if i in self.bytes_of else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
 
     # -- encoding --
 
@@ -274,44 +289,51 @@ class PieceModel:
                 offer(before[k], k)
         return [s for s in symbols if s]
 
-    def _bit(self, normal: str) -> tuple[bytes, bytes, bytes, bytes]:
-        """Of a stretch of normalised text: ids and lengths in characters (32 bits each),
-        the ids' digits with a comma after each, and what the ids decode to."""
-        ids: list[int] = []
-        sizes: list[int] = []
-        for s in self.merge(list(normal)):
-            i = self.ids.get(s)
-            if i is not None:
-                ids.append(i)
-                sizes.append(len(s))
-            else:  # one character; its last byte stands for it
-                data = s.encode("utf-8")
-                ids += [self.byte_ids[b] for b in data]
-                sizes += [0] * (len(data) - 1) + [1]
-        return (
-            np.array(ids, "<u4").tobytes(), np.array(sizes, "<u4").tobytes(),
-            b"".join([b"%d," % i for i in ids]), self._surface(ids).encode("utf-8"),
-        )
+    def _many(self, words: list[str]) -> list[tuple[bytes, bytes, bytes, bytes]]:
+        """Of words in normalised text: ids and lengths in characters (32 bits each), the
+        ids' digits with a comma after each, and what the ids decode to."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+        return self._made(*self.merges.merge(self.symbol[codes], np.fromiter(map(len, words), np.int64, len(words))))
+
+    def _made(self, symbols: np.ndarray, counts: np.ndarray) -> list[tuple[bytes, bytes, bytes, bytes]]:
+        """The same of merged symbols. A character that is no piece becomes its bytes, of
+        which the last stands for it."""
+        other = symbols >= OTHERS
+        codes = symbols[other] - OTHERS
+        width = np.ones(len(symbols), np.int64)
+        width[other] += (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF)
+        last = np.cumsum(width) - 1
+        ids, as_byte = np.repeat(symbols, width), np.repeat(other, width)
+        ids[as_byte] = self.byte_id[np.frombuffer(codes.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)]
+        sizes = np.zeros(len(ids), "<u4")
+        sizes[last] = np.where(other, 1, self.chars[np.where(other, 0, symbols)])
+        ends = np.append(0, last + 1)[np.append(0, np.cumsum(counts))].tolist()
+        id_bytes, size_bytes, listed = ids.astype("<u4").tobytes(), sizes.tobytes(), ids.tolist()
+        digits, said = [self.digits[i] for i in listed], [self.said[i] for i in listed]
+        return [
+            (id_bytes[4 * a:4 * b], size_bytes[4 * a:4 * b], b"".join(digits[a:b]), b"".join(said[a:b]))
+            for a, b in zip(ends, ends[1:])
+        ]
+
+    def _long(self, word: str) -> tuple[bytes, bytes, bytes, bytes]:
+        """The same of a word of any length, by a queue of its merges."""
+        made = [s for bit in self._cut(word) for s in self.merge(list(bit))]
+        symbols = np.array([self.ids[s] if s in self.ids else OTHERS + ord(s) for s in made], np.int32)
+        return self._made(symbols, np.array([len(symbols)]))[0]
 
     def _learn(self, keys: set[str]) -> dict[str, tuple]:
         """Make what is not known of the words; long ones are returned and not kept."""
         long: dict[str, tuple] = {}
+        fresh: list[str] = []
         for key in self.words.missing(keys):
-            word = key if key[:1] == "\n" else SPACE + key
-            made = [self._known(bit) for bit in self._cut(word)]
-            made = made[0] if len(made) == 1 else tuple(map(b"".join, zip(*made)))
-            (long if len(key) > MEMO_CHARS else self.words.new)[key] = made
-        self.bits.turn()
+            if len(key) > MEMO_CHARS:
+                long[key] = self._long(key if key[0] == "\n" else SPACE + key)
+            else:
+                fresh.append(key)
+        if fresh:
+            self.words.new.update(zip(fresh, self._many([k if k[:1] == "\n" else SPACE + k for k in fresh])))
         return long
 
-    def _known(self, bit: str) -> tuple[bytes, bytes, bytes, bytes]:
-        found = self.bits.new.get(bit) or self.bits.old.get(bit)
-        if found is None:
-            found = self._bit(bit)
-        if len(bit) <= MEMO_CHARS:
-            self.bits.new[bit] = found
-        return found
-
     def _cut(self, word: str) -> list[str]:
         """At every place over which no piece reaches."""
         joined, out, at = self.joined, [], 0
@@ -362,10 +384,7 @@ class PieceModel:
         long = self._learn(wanted)
         known = self.words.new | long if long else self.words.new
         for (number, normal, source), keys in zip(waiting, keyed):
-            if keys is None:
-                made = [self._known(b) for b in self._cut(normal)]
-            else:
-                made = map(known.__getitem__, keys)
+            made = [self._long(normal)] if keys is None else map(known.__getitem__, keys)
             yield number, tuple(map(b"".join, zip(*made))), source
 
     # -- decoding --
