@@ -166,9 +166,9 @@ def manifest(docs: DataFrame) -> DataFrame:
     at_place = written(at_place, "leaves-placed")
     nodes, subroots = tree(at_place.select("key", "at", "hash"))
     top = written(subroots, "subroots").withColumn("top", F.lit(_TOP))
-    top = placed(top, [F.asc("top"), F.asc("key")], "top").select("key", "n", "root", F.col("_at").alias("at"))
+    top = placed(top, [F.asc("top"), F.asc("key")], "top").select("top", "key", "n", "root", F.col("_at").alias("at"))
     top = written(top, "subroots-placed")
-    top_nodes, roots = tree(top.select(F.lit(_TOP).alias("key"), "at", F.col("root").alias("hash")))
+    top_nodes, roots = tree(top.select(F.col("top").alias("key"), "at", F.col("root").alias("hash")))
     first = roots.first()
     n_top, root = (first["n"], first["root"]) if first else (0, "")
     ship_package(spark)
