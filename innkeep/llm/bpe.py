@@ -9,9 +9,13 @@ the result of the merge before, or with that one's x. And each is later in the l
 than the one before. The longest such chain of merges, by the lengths of their x, is
 the lookahead that suffices; it follows from the list alone (``lookahead``).
 
-So the encoder keeps the bytes that are not yet settled, and as soon as there are
-more than the lookahead it emits the tokens that end before it. What stays is at most
-the lookahead, one token and one block.
+So the encoder is a transducer: it reads a text in blocks, keeps what is not yet
+settled, and emits the rest. Settled is all before the last place where a word
+begins for certain; and, in a word that is longer than the lookahead, the tokens
+that end more than the lookahead before the end of what has been read. What stays
+is a word, or the lookahead and one block, whatever the length of the text.
+
+Words that are settled are looked up; those not known are merged many at a time.
 """
 
 from __future__ import annotations
@@ -20,21 +24,22 @@ import codecs
 import hashlib
 import heapq
 import json
-from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from innkeep.llm.chunks import cut, piece_of
+from innkeep.llm.chunks import Memo, cut, piece_of
 from innkeep.llm.common import arrow_map, batches, sliced, texts
+from innkeep.llm.merging import Merges
 
-BLOCK_BYTES = 4096
-MEMO_WORDS = 200_000
-MEMO_PIECES = 300_000
+BLOCK_BYTES = 4096  # of a word, read at a time
+BLOCK_CHARS = 1 << 16  # of a text, read at a time
+TURN_CHARS = 1 << 20  # of settled text that is looked up at a time
+MEMO_PIECES = 200_000  # of some 400 bytes each
 MEMO_CHARS = 64
-TURN = 4096  # pieces that are looked up before their ids are hashed and decoded
 NEVER = 1 << 60
 # Fixed value: the vocabulary's pattern that splits text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -82,10 +87,17 @@ class Codec:
         self.lookahead = self._sufficient_lookahead()
         self.split = regex.compile(PATTERN)
         self.specials = regex.compile("|".join(regex.escape(s) for s in self.special)) if self.special else None
-        self.words: dict[str, list[int]] = {}
-        # Ids (32 bits each) and digits of pieces, by the piece and by what follows its space.
-        self.whole: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
-        self.spaced: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        # A match is final once this much follows it: a contraction, or the longest special token.
+        self.margin = 4 + max(map(len, self.special), default=0)
+        self.divides = not any(c.isspace() for t in self.special for c in t)
+        left, right = zip(*self.rank) if self.rank else ((), ())
+        self.merges = Merges(left, right, list(self.rank.values()), [self.merged[r] for r in self.rank.values()])
+        self.symbol = np.array(self.byte_ids, np.int32)
+        size = max(self.bytes_of) + 1
+        self.digits = [b"%d," % i for i in range(size)]
+        self.said = [self.bytes_of.get(i, b"") for i in range(size)]
+        # By the piece, and by what follows its space.
+        self.whole, self.spaced = Memo(MEMO_PIECES), Memo(MEMO_PIECES)
 
     def _sufficient_lookahead(self) -> int:
         order = [(x, y, self.merged[r]) for (x, y), r in sorted(self.rank.items(), key=lambda m: -m[1])]
@@ -163,67 +175,145 @@ class Codec:
         if held:
             yield self._merge([byte_ids[b] for b in held])
 
-    def _word(self, word: str) -> list[int]:
-        found = self.words.get(word)
-        if found is None:
-            # Of one block; the transducer would hold all of it until its end.
-            found = self._merge(list(map(self.byte_ids.__getitem__, word.encode("utf-8"))))
-            if len(word) <= MEMO_CHARS:
-                if len(self.words) >= MEMO_WORDS:
-                    self.words.clear()
-                self.words[word] = found
-        return found
+    def _words(self, text: str) -> Iterator[list[int]]:
+        """The ids of whole words, in parts."""
+        at = 0
+        for hit in [*self.specials.finditer(text)] if self.specials else ():
+            yield from self._plain(text[at:hit.start()])
+            yield [self.special[hit.group()]]
+            at = hit.end()
+        yield from self._plain(text[at:])
 
     def _plain(self, text: str) -> Iterator[list[int]]:
         for word in self.split.finditer(text):
-            word = word.group()
-            if len(word) <= MEMO_CHARS:
-                yield self._word(word)
-            else:
-                yield from self.transduce(_blocks(word.encode("utf-8")))
+            yield from self.transduce(_blocks(word.group().encode("utf-8")))
+
+    def settled(self, text: str) -> Iterator[str | list[int]]:
+        """A text as it is read: stretches of whole words, and of long words ids.
+
+        The state is what has been read and is not settled. Words begin for certain
+        at a space between two characters that are none.
+        """
+        held = ""
+        for at in range(0, len(text), BLOCK_CHARS):
+            held += text[at:at + BLOCK_CHARS]
+            if at + BLOCK_CHARS >= len(text):
+                break
+            if not self.divides:
+                continue
+            place = held.rfind(" ")
+            while place > 0 and (held[place - 1].isspace() or held[place + 1:place + 2].isspace() or place + 1 == len(held)):
+                place = held.rfind(" ", 0, place)
+            if place > 0:
+                yield held[:place]
+                held = held[place:]
+            elif len(held) > 4 * BLOCK_CHARS:
+                done, held = self._without_spaces(held)
+                yield from done
+        if held:
+            yield held
+
+    def _without_spaces(self, held: str) -> tuple[list[str | list[int]], str]:
+        """What is settled where no word begins for certain, and the rest."""
+        begin = 0
+        for hit in self.specials.finditer(held) if self.specials else ():
+            begin = hit.end()
+        done: list[str | list[int]] = [held[:begin]] if begin else []
+        ends = [m.end() for m in self.split.finditer(held, begin)]
+        final = [e for e in ends[:-3] if e <= len(held) - self.margin]
+        if final:
+            done += [i for i in self._plain(held[begin:final[-1]])]
+            begin = final[-1]
+        # A word without an end: its tokens before the lookahead, up to a whole character.
+        word = next(iter(self.split.finditer(held, begin)), None)
+        if word is not None and word.end() > len(held) - self.margin:
+            data = word.group().encode("utf-8")
+            ids = self._merge([self.byte_ids[b] for b in data])
+            end, stop, best = 0, len(data) - max(self.lookahead, 4 * self.margin), (0, 0)
+            for n, i in enumerate(ids, 1):
+                end += len(self.bytes_of[i])
+                if end > stop:
+                    break
+                if data[end] & 0xC0 != 0x80:
+                    best = n, end
+            done.append(ids[:best[0]])
+            begin = word.start() + len(data[:best[1]].decode("utf-8"))
+        return done, held[begin:]
 
     def encode(self, text: str) -> Iterator[list[int]]:
         """The ids of a text, in parts, as it is read."""
-        at = 0
-        for hit in self.specials.finditer(text) if self.specials else ():
-            yield from self._plain(text[at:hit.start()])
-            yield [self.special[hit.group()]]
-            at = hit.end()
-        yield from self._plain(text[at:] if at else text)
-
-    def looked_up(self, text: str) -> Iterator[tuple[bytes, bytes]]:
-        """The ids of a text (32 bits each) and their digits with a comma after each,
-        some thousand pieces at a time. Most pieces repeat, and repeats are looked up."""
-        for keys, memo, piece in zip(cut(text), (self.whole, self.spaced), (str, piece_of)):
-            ids, digits = memo
-            if len(ids) > MEMO_PIECES:
-                ids.clear()
-                digits.clear()
-            for at in range(0, len(keys), TURN):
-                some = keys[at:at + TURN]
-                long = []
-                for key in set(some).difference(ids):
-                    if len(key) > MEMO_CHARS:
-                        long.append(key)
-                        continue
-                    text_ = piece(key)
-                    if self.specials and self.specials.search(text_):
-                        found = [i for part in self.encode(text_) for i in part]
-                    else:
-                        found = []
-                        for word in self.split.findall(text_):
-                            found += self._word(word)
-                    ids[key] = array("I", found).tobytes()
-                    digits[key] = b"".join([b"%d," % i for i in found])
-                if not long:
-                    yield b"".join(map(ids.__getitem__, some)), b"".join(map(digits.__getitem__, some))
-                    continue
-                for key in some:  # long pieces pass in parts
-                    if key in ids:
-                        yield ids[key], digits[key]
-                    else:
-                        for part in self.encode(piece(key)):
-                            yield array("I", part).tobytes(), b"".join([b"%d," % i for i in part])
+        for _, ids, _, _ in self.encode_parts([text]):
+            yield np.frombuffer(ids, "<u4").tolist()
+
+    def encode_parts(self, texts_: Iterable[str]) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+        """Of successive settled stretches the text's place, the ids (32 bits each), their
+        digits with a comma after each, and the bytes they stand for."""
+        waiting: list[tuple[int, str | list[int]]] = []
+        held = 0
+        for number, text in enumerate(texts_):
+            for stretch in self.settled(text):
+                waiting.append((number, stretch))
+                held += len(stretch)
+                if held > TURN_CHARS:
+                    yield from self._looked_up(waiting)
+                    waiting, held = [], 0
+        yield from self._looked_up(waiting)
+
+    def _looked_up(self, waiting: list[tuple[int, str | list[int]]]) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+        self.whole.turn()
+        self.spaced.turn()
+        both = [cut(s) if isinstance(s, str) else None for _, s in waiting]
+        whole: set[str] = set()
+        spaced: set[str] = set()
+        for keys in both:
+            if keys:
+                whole.update(keys[0])
+                spaced.update(keys[1])
+        long_whole = self._learn(self.whole, whole, str)
+        long_spaced = self._learn(self.spaced, spaced, piece_of)
+        w = self.whole.new | long_whole if long_whole else self.whole.new
+        s = self.spaced.new | long_spaced if long_spaced else self.spaced.new
+        for (number, stretch), keys in zip(waiting, both):
+            if keys is None:
+                yield number, *self._made(stretch)
+                continue
+            made = [*map(w.__getitem__, keys[0]), *map(s.__getitem__, keys[1])]
+            if made:
+                yield number, *map(b"".join, zip(*made))
+
+    def _made(self, ids: list[int]) -> tuple[bytes, bytes, bytes]:
+        return (
+            np.array(ids, "<u4").tobytes(), b"".join([self.digits[i] for i in ids]), b"".join([self.said[i] for i in ids])
+        )
+
+    def _learn(self, memo: Memo, keys: set[str], piece) -> dict[str, tuple[bytes, bytes, bytes]]:
+        """Make what is not known; long pieces are returned and not kept."""
+        long: dict[str, tuple[bytes, bytes, bytes]] = {}
+        fresh: list[str] = []
+        words: list[str] = []
+        bounds = [0]
+        for key in memo.missing(keys):
+            text = piece(key)
+            if len(key) > MEMO_CHARS or self.specials and self.specials.search(text):
+                long[key] = self._made([i for part in self._words(text) for i in part])
+                continue
+            fresh.append(key)
+            if key.isascii() and key.isalpha():
+                words.append(text)
+            else:
+                words += self.split.findall(text)
+            bounds.append(len(words))
+        if fresh:
+            data = [w.encode("utf-8") for w in words]
+            symbols = self.symbol[np.frombuffer(b"".join(data), np.uint8)]
+            ids, counts = self.merges.merge(symbols, np.fromiter(map(len, data), np.int64, len(data)))
+            ends = np.append(0, np.cumsum(counts))[bounds].tolist()
+            as_bytes, listed = ids.astype("<u4").tobytes(), ids.tolist()
+            digits, said = [self.digits[i] for i in listed], [self.said[i] for i in listed]
+            memo.new.update(zip(fresh, [
+                (as_bytes[4 * a:4 * b], b"".join(digits[a:b]), b"".join(said[a:b])) for a, b in zip(ends, ends[1:])
+            ]))
+        return long
 
     # -- decoding --
 
@@ -249,21 +339,25 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def round_trip(text: str, path: str) -> tuple[int, str, str]:
-    """Number of ids, SHA-256 of the ids in decimal joined by commas, SHA-256 of what
-    they decode to; neither is held whole."""
-    c = codec(path)
-    ids_hash, text_hash, n, comma = hashlib.sha256(), hashlib.sha256(), 0, b""
+def round_trips(texts_: list[str], path: str) -> tuple[list[int], list[str], list[str]]:
+    """Of each text the number of ids, the SHA-256 of the ids in decimal joined by commas,
+    and that of what they decode to; neither is held whole."""
+    c, n = codec(path), len(texts_)
+    count = [0] * n
+    ids_hash, text_hash = [hashlib.sha256() for _ in range(n)], [hashlib.sha256() for _ in range(n)]
     state = codecs.getincrementaldecoder("utf-8")("replace")
-    piece = c.bytes_of.__getitem__
-    for ids, digits in c.looked_up(text):
+    last = 0
+    for k, ids, digits, said in c.encode_parts(texts_):
+        if k != last:
+            text_hash[last].update(state.decode(b"", final=True).encode("utf-8"))
+            last = k
         if ids:
-            n += len(ids) // 4
-            ids_hash.update(comma + digits[:-1])
-            comma = b","
-            text_hash.update(state.decode(b"".join(map(piece, memoryview(ids).cast("I")))).encode("utf-8"))
-    text_hash.update(state.decode(b"", final=True).encode("utf-8"))
-    return n, ids_hash.hexdigest(), text_hash.hexdigest()
+            ids_hash[k].update(b"," + digits[:-1] if count[k] else digits[:-1])
+            count[k] += len(ids) // 4
+            text_hash[k].update(state.decode(said).encode("utf-8"))
+    if n:
+        text_hash[last].update(state.decode(b"", final=True).encode("utf-8"))
+    return count, [h.hexdigest() for h in ids_hash], [h.hexdigest() for h in text_hash]
 
 
 def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -276,8 +370,7 @@ def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for part in sliced(batch):
-                done = [round_trip(t, vocabulary) for t in part.column("text").to_pylist()]
-                n, ids, text = map(list, zip(*done))
+                n, ids, text = round_trips(part.column("text").to_pylist(), vocabulary)
                 yield batches(
                     {"doc_id": part.column("doc_id"), "n_tokens": n, "ids_sha256": ids, "decoded_sha256": text}, _ROWS
                 )

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -100,6 +101,51 @@ def test_transducer_holds_little_and_agrees(monkeypatch):
     assert "".join(codec.decode([[codec.byte_ids[0xE6]], [codec.byte_ids[0x41]]])) == "�A"
 
 
+def digests(library, some):
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    coded = [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+    return (
+        [len(ids) for ids in coded], [sha(",".join(map(str, ids))) for ids in coded],
+        [sha(library.decode(ids, skip_special_tokens=False)) for ids in coded],
+    )
+
+
+@pytest.mark.parametrize("block", [16, 50, 1000])
+def test_texts_in_blocks(monkeypatch, block):
+    """Blocks end anywhere: in words, runs of white space, contractions, special tokens, characters."""
+    monkeypatch.setattr(bpe, "BLOCK_CHARS", block)
+    monkeypatch.setattr(bpe, "BLOCK_BYTES", 32)
+    monkeypatch.setattr(bpe, "TURN_CHARS", 200)
+    monkeypatch.setattr(bpe, "MEMO_PIECES", 20)
+    rng, library = random.Random(block), Tokenizer.from_file(BYTE)
+    some = ODD + texts_of(block, 300)
+    for letters in ("aaaa", "aabc''s'r ", "ab <|endoftext|>", "漢字éa😀", " \n"):
+        some += ["".join(rng.choice(letters) for _ in range(rng.randint(300, 2500))) for _ in range(20)]
+    some += ["a<|endoftext|>" * 200, ("x" * 60 + "<|endoftext|>") * 30, "'" * 3000 + "s", "we're" * 500, "'re" * 700, " " * 3000 + "x"]
+    bpe._CODECS.clear()
+    assert bpe.round_trips(some, BYTE) == digests(library, some)
+    bpe._CODECS.clear()
+
+
+def test_memory_does_not_grow_with_the_text(monkeypatch):
+    for name, value in (("BLOCK_CHARS", 1 << 14), ("TURN_CHARS", 1 << 15), ("MEMO_PIECES", 2000)):
+        monkeypatch.setattr(bpe, name, value)
+    codec, rng = bpe.Codec(BYTE), random.Random(6)
+    words = lambda n: " ".join("".join(rng.choices("etaoinshrdlu", k=9)) for _ in range(n))
+
+    def peak(text):
+        tracemalloc.start()
+        n = sum(len(ids) for _, ids, _, _ in codec.encode_parts([text])) // 4
+        used = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n >= len(text) / 8 and max(len(codec.spaced.new), len(codec.spaced.old)) < 2000 + (1 << 15)
+        return used
+
+    peak(words(20_000))
+    assert peak(words(100_000)) < 1.5 * peak(words(25_000))
+    assert peak("x" * 1_000_000) < 40 * (1 << 20)
+
+
 def test_simple8b_words():
     rng = np.random.default_rng(4)
     for n in (0, 1, 59, 61, 3000):
