@@ -14,6 +14,8 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # Where a space or line feed follows white space, the longer way is taken.
@@ -21,8 +23,12 @@ _RUN = re.compile(r"\s[ \n]")
 _CHUNK = re.compile(r"\s*\S+|\s+")
 # Python counts these as white space, the vocabularies' patterns do not.
 _ODD = re.compile("[\x1c-\x1f]")
-# Letters whose lower case is the same letter for every library.
-_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# The same for Arrow's kernels, and what else Python takes for white space.
+_SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][ \n]"
+# Text whose lower case is the same for every library.
+_LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+# A word with marks behind it, maybe after a line feed. An apostrophe may begin a contraction, < a special token.
+_MARKED = re.compile("(\n?)([^\\W\\d_]+)[!-&(-/:;=?@\\[-`{-~]+")
 MEMO_PIECES = 400_000
 MEMO_CHARS = 64
 WORDS = 200  # in a text for the library
@@ -59,10 +65,13 @@ class Memo:
 
     def missing(self, keys: set[str]) -> set[str]:
         """Those of ``keys`` that are not known; known ones are at hand afterwards."""
-        keys -= self.new.keys()
-        again = keys & self.old.keys()
-        self.new.update((k, self.old[k]) for k in again)
-        return keys - again
+        new, old = self.new, self.old
+        keys = {k for k in keys if k not in new}
+        again = {k for k in keys if k in old} if old else set()
+        if again:
+            new.update(zip(again, map(old.__getitem__, again)))
+            keys -= again
+        return keys
 
 
 class ChunkEncoder:
@@ -79,25 +88,28 @@ class ChunkEncoder:
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.begins = not suffix
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         marks = [i for t, i in vocabulary.items() if (t.endswith(suffix) if suffix else t.startswith("\u0120"))]
         self.marks = np.zeros(max(vocabulary.values()) + 1, bool) if marks else None
         if marks:
             self.marks[marks] = True
         self.whole, self.spaced = Memo(), Memo()
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Runs of letters, each after a space, in one text for many: the library then
-        needs no word numbers. Each has one token that begins (or ends) a word."""
+    def _words(self, words: list[str], marks: np.ndarray) -> list[bytes]:
+        """Runs of letters, each after a space, some with a comma or full stop behind, in
+        one text for many: the library then needs no word numbers. ``marks`` says how
+        many tokens of each begin (or end) a word."""
         if not words or self.marks is None:
             return self._ids([" " + w for w in words])
         some = [" " + " ".join(words[at:at + WORDS]) for at in range(0, len(words), WORDS)]
         found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-        ids = np.array([i for e in found for i in e.ids], "<u4")
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in found])
         at = 4 * np.flatnonzero(self.marks[ids])
-        if len(at) != len(words):  # letters that the library does not take for such
+        if len(at) != marks.sum():  # letters that the library does not take for such
             return self._ids([" " + w for w in words])
         data = ids.tobytes()
-        bounds = [*at.tolist(), len(data)] if self.begins else [0, *(at + 4).tolist()]
+        last = np.cumsum(marks)
+        bounds = [*at[last - marks].tolist(), len(data)] if self.begins else [0, *(at[last - 1] + 4).tolist()]
         return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
@@ -112,39 +124,92 @@ class ChunkEncoder:
 
     def _learn(self, memo: Memo, fresh: set[str], spaced: bool) -> dict[str, bytes]:
         """Add the ids of what is missing; of what is long, return them instead."""
-        made: list[tuple[str, str, str]] = []  # of a word and maybe a mark
-        plain: set[str] = set()
+        words: list[str] = []
+        marks: list[int] = []
+        others: list[str] = []
+        with_mark = 1 if self.begins else 2
         for key in fresh if spaced else ():
-            word, mark = (key[:-1], key[-1]) if key[-1:] in (",", ".") and key[:-1].isalpha() else (key, "")
-            if self.folds and _LATIN.fullmatch(word):
-                word = word.lower()
-            if word == key:
-                plain.add(key)
+            if key.isalpha():
+                words.append(key)
+                marks.append(1)
+            elif key[-1:] in (",", ".") and key[:-1].isalpha():
+                words.append(key)
+                marks.append(with_mark)
+            elif (m := _MARKED.fullmatch(key)) and m.group(2).isalpha() and not (m.group(1) and self.begins):
+                words.append(key)
+                marks.append(with_mark)
+            elif key[:1] == "\n" and not self.begins and key[1:].isalpha():
+                words.append(key)
+                marks.append(1)
             else:
-                made.append((key, word, mark))
+                others.append(key)
         if not spaced:
-            plain |= fresh
-        plain |= memo.missing({word for _, word, _ in made} - plain)
-        letters = [k for k in plain if k.isalpha()] if spaced else []
-        todo = list(plain.difference(letters))
-        done = dict(zip(letters, self._words(letters)))
-        done.update(zip(todo, self._ids([piece_of(k) for k in todo] if spaced else todo)))
-        long = {k: done.pop(k) for k in plain if len(k) > MEMO_CHARS}
+            others = list(fresh)
+        done = dict(zip(words, self._words(words, np.array(marks, np.int64))))
+        done.update(zip(others, self._ids([piece_of(k) for k in others] if spaced else others)))
+        long = {k: done.pop(k) for k in fresh if len(k) > MEMO_CHARS}
         memo.new.update(done)
-        for key, word, mark in made:
-            ids = (long[word] if word in long else memo.new[word]) + (self._mark(mark) if mark else b"")
-            (long if len(key) > MEMO_CHARS else memo.new)[key] = ids
         return long
 
-    def _mark(self, mark: str) -> bytes:
-        if mark not in self.whole.new:
-            self.whole.new[mark] = self._ids([mark])[0]
-        return self.whole.new[mark]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _lowered(self, text: str) -> str:
+        """Lower case, where the library makes it anyway: fewer pieces differ."""
+        if not _LATIN.fullmatch(text):
+            return text
+        low = text.lower()
+        return text if any(s in low for s in self.specials) else low
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text. Texts are cut and their pieces numbered by Arrow kernels; what
+        differs is looked up once, and the ids are taken by number. Texts with spaces
+        after white space are cut one by one."""
+        text = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(text):
+            return []
+        odd = np.asarray(pc.match_substring_regex(text, _SPACES).to_numpy(zero_copy_only=False), bool)
+        out: list[bytes] = [b""] * len(text)
         self.whole.turn()
         self.spaced.turn()
-        both = [cut(t) for t in texts]
+        for rows, some in ((np.flatnonzero(~odd), self._plain), (np.flatnonzero(odd), self._odd)):
+            if len(rows):
+                for r, ids in zip(rows.tolist(), some(text if len(rows) == len(text) else text.take(pa.array(rows)))):
+                    out[r] = ids
+        return out
+
+    def _plain(self, text: pa.Array) -> list[bytes]:
+        if self.folds:
+            lowered = pc.ascii_lower(text)
+            if pc.any(pc.not_equal(pc.binary_length(text), pc.utf8_length(text))).as_py() or self._hits(lowered):
+                lowered = pa.array([self._lowered(t) for t in text.to_pylist()], pa.string())
+            text = lowered
+        lists = pc.split_pattern(pc.replace_substring(text, "\n", " \n"), " ")
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        pieces = pc.list_flatten(lists).dictionary_encode()
+        index = pieces.indices.to_numpy().astype(np.int64)
+        starts = np.cumsum(counts) - counts
+        # The first piece of a text has no space before it.
+        begins = pc.list_element(lists, 0).to_pylist()
+        spaced = pieces.dictionary.to_pylist()
+        index[starts] = len(spaced) + np.arange(len(begins))
+        long_whole = self._learn(self.whole, self.whole.missing({k for k in begins if k}), False)
+        long_spaced = self._learn(self.spaced, self.spaced.missing(set(spaced)), True)
+        w = self.whole.new | long_whole if long_whole else self.whole.new
+        s = self.spaced.new | long_spaced if long_spaced else self.spaced.new
+        known = [*map(s.__getitem__, spaced), *(w[k] if k else b"" for k in begins)]
+        ids = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        taken = sizes[index]
+        after = np.cumsum(taken)
+        shift = (np.cumsum(sizes) - sizes)[index] - (after - taken)
+        data = ids[np.arange(int(after[-1])) + np.repeat(shift, taken)].tobytes()
+        bounds = [0, *(4 * after[starts + counts - 1]).tolist()]
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _hits(self, text: pa.Array) -> bool:
+        return any(pc.any(pc.match_substring(text, s)).as_py() for s in self.specials)
+
+    def _odd(self, text: pa.Array) -> list[bytes]:
+        said = text.to_pylist()
+        both = [cut(self._lowered(t)) for t in said] if self.folds else [cut(t) for t in said]
         whole: set[str] = set()
         spaced: set[str] = set()
         for some, pieces in both:

@@ -198,8 +198,8 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int) -> Dat
             listed.append((part, seq, out.path, out.n_ids, len(out.docs)))
 
         for batch in stream:
-            for piece in sliced(batch, most=4 << 20):
-                coded = encode(piece.column("text").to_pylist())
+            for piece in sliced(batch):
+                coded = encode(piece.column("text"))
                 for doc_id, ids in zip(piece.column("doc_id").to_pylist(), coded):
                     if out is None:
                         out = IdWriter(f"{folder}/ids-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.s8b")

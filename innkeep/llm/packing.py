@@ -181,9 +181,9 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
         encode, part = encoder(vocabulary).encode, TaskContext.get().partitionId()
         end, seen = int(end_id).to_bytes(4, "little"), [0] * (capacity + 1)
         for batch in stream:
-            for some in sliced(batch, most=4 << 20):
+            for some in sliced(batch):
                 rows = []
-                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encode(some.column("text").to_pylist())):
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), encode(some.column("text"))):
                     ids = memoryview(ids + end)
                     n = len(ids) // 4
                     start, stop = 0, (n - 1) % capacity + 1
