@@ -118,6 +118,11 @@ def tag_rejects(df: DataFrame) -> DataFrame:
     survivors = keep_latest(
         df.where(f"not {incomplete}"), ["booking_id"], latest=["booking_date"], count_as=COPIES
     )
+    return nulls.unionByName(judged(survivors))
+
+
+def judged(survivors: DataFrame) -> DataFrame:
+    """Complete rows, one a booking, with the reason that rejects them."""
     booked, arrives, leaves = (to_date_or_null(c) for c in DATE_COLUMNS)
     stay = stay_days(arrives, leaves)
     price = to_double_or_null("total_price")
@@ -125,7 +130,7 @@ def tag_rejects(df: DataFrame) -> DataFrame:
         when {booked} is null or {arrives} is null or {leaves} is null then {quoted(BAD_DATE)}
         when {stay} <= 0 then {quoted(DATE_LOGIC)}
         when not {believable(price, stay)} then {quoted(OUTLIER)} end"""
-    return nulls.unionByName(survivors.selectExpr("*", f"{reason} as {REASON}"))
+    return survivors.selectExpr("*", f"{reason} as {REASON}")
 
 
 def accepted(tagged: DataFrame) -> DataFrame:

@@ -19,23 +19,47 @@ def keep_latest(
     keys: Sequence[str],
     latest: Sequence[str] = (),
     count_as: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """The greatest row per key: by ``latest``, then by all other columns in order.
 
     Nulls are smallest. The order covers the whole row, so the survivor does
     not depend on how the rows were partitioned. Null keys form one group.
-    With ``count_as`` the number of rows of the key is added.
+    With ``count_as`` the number of rows of the key is added; where the rows are
+    themselves survivors, ``weight`` is the column with the rows each stands for.
     """
-    order = [*latest, *[c for c in df.columns if c not in latest and c not in keys]]
+    df_columns = [c for c in df.columns if c != weight]
+    order = [*latest, *[c for c in df_columns if c not in latest and c not in keys]]
     row = ", ".join(name(c) for c in order)
     measures = [F.expr(f"max(struct({row}))").alias("_row")]
     if count_as:
-        measures.append(F.expr("count(*)").alias(count_as))
-    columns = [name(c) if c in keys else f"_row.{name(c)}" for c in df.columns]
+        measures.append(F.expr(f"sum({name(weight)})" if weight else "count(*)").alias(count_as))
+    columns = [name(c) if c in keys else f"_row.{name(c)}" for c in df_columns]
     grouped = df.groupBy(*[name(k) for k in keys]).agg(*measures)
     return grouped.select(*columns, *([count_as] if count_as else []))
 
 
+def keep_latest_of_few(
+    df: DataFrame, keys: Sequence[str], latest: Sequence[str] = (), count_as: str | None = None
+) -> DataFrame:
+    """``keep_latest`` of written rows of which most have a key of their own.
+
+    A narrow count finds the keys with several rows. All other rows pass as they
+    are; only those of contested keys are compared, so wide rows are neither
+    shuffled nor sorted for the rest. Reads ``df`` three times. Null keys are
+    compared too.
+    """
+    by = [name(k) for k in keys]
+    contested = df.groupBy(*by).agg(F.expr("count(*)").alias("_n")).where("_n > 1").select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)]
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(by)]
+    alone = df.join(contested, same, "left_anti")
+    if count_as:
+        alone = alone.withColumn(count_as, F.lit(1).cast("bigint"))
+    return alone.unionByName(keep_latest(df.join(contested, same, "left_semi"), keys, latest, count_as))
+
+
 def latest_attributes(
     df: DataFrame, key: str, attributes: Sequence[str], recency: str
 ) -> DataFrame:

@@ -20,6 +20,9 @@ SETTINGS = {
     # fifty columns can exceed that when fused into one method; then it is
     # better generated operator by operator, in methods that do get compiled.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # State of streams outside the heap, with incremental checkpoints.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
