@@ -56,7 +56,8 @@ _TYPES = {
 
 
 def _table(spec: str) -> T.StructType:
-    """``name type[!]`` per line; ``!`` marks NOT NULL."""
+    """``name type[!]`` per line; ``!`` marks NOT NULL. Spark's own DDL parser needs a
+    session, which there is none of when this module is imported."""
     fields = []
     for line in spec.strip().split("\n"):
         name, kind = line.split()
@@ -64,6 +65,7 @@ def _table(spec: str) -> T.StructType:
     return T.StructType(fields)
 
 
+# Names, order, types and NOT NULLs of the five gold tables.
 FACT_BOOKING = _table("""
 booking_id string
 booking_date date

@@ -71,11 +71,10 @@ def convert_prices(
     cannot be more than ten rows.
     """
     known = newest_rates(rates.where(F.col("currency_code").isin(*CURRENCIES)))
-    joined = bookings.join(
-        F.broadcast(known), F.col(currency) == known["currency_code"], "left"
-    )
-    rate = F.when(F.col(currency) == BASE_CURRENCY, F.lit(1.0)).otherwise(F.col("rate_vs_eur"))
-    return joined.withColumn(as_column, F.col(price) * rate).drop("currency_code", "rate_vs_eur")
+    known = known.select(F.col("currency_code").alias("_code"), F.col("rate_vs_eur").alias("_rate"))
+    joined = bookings.join(F.broadcast(known), F.col(currency) == F.col("_code"), "left")
+    rate = F.when(F.col(currency) == BASE_CURRENCY, F.lit(1.0)).otherwise(F.col("_rate"))
+    return joined.withColumn(as_column, F.col(price) * rate).drop("_code", "_rate")
 
 
 def newest_forecast(weather: DataFrame) -> DataFrame:

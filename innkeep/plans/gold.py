@@ -81,7 +81,7 @@ def dim_customer(silver: DataFrame) -> DataFrame:
 
 def count_where(condition: str) -> str:
     """Rows for which the condition is true; unknown counts as not true."""
-    return f"sum(case when {condition} then 1 else 0 end)"
+    return f"count_if({condition})"
 
 
 def aggregate(df: DataFrame, by: Sequence[str], measures: dict[str, str]) -> DataFrame:

@@ -13,24 +13,30 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from innkeep import fixtures as fx
-from innkeep.contracts import BOOKING_COLUMNS, RAW_BOOKING, STREAM_TAG
+from innkeep.contracts import BATCH_TAG, BOOKING_COLUMNS, RAW_BOOKING, STREAM_TAG
 from innkeep.functions.casts import to_boolean_or_null, to_date_or_null, to_int_or_null
 from innkeep.functions import text
-from innkeep.operators import cleaning, columns, enrich, quality, recovery, sampling, split
-from innkeep.operators.bi import summarize
+from innkeep.operators import asof, cleaning, columns, drift, enrich, quality, recovery, sampling, sketches, split
+from innkeep.operators.bi import subtotals, summarize
 from innkeep.operators.cleaning import tag_rejects
-from innkeep.operators.dedup import keep_latest
+from innkeep.operators.dedup import keep_latest_of_few
 from innkeep.plans import bronze, gold, insights
+from innkeep.plans.build import split_raw
 from innkeep.plans.silver import Silver, combine, of_tagged, standardized, to_silver_from, typed, written_rows
 from innkeep.session import apply_settings, scratch_path
 from innkeep.sources.files import read_bookings_csv, write_csv, write_report
 from innkeep.sources.payloads import flatten_rates, flatten_weather
+from innkeep.sources.snapshots import QualityError, Snapshots
 from innkeep.sources.tables import GOLD, assert_row_count, read_gold, row_counts, write_files, write_gold
+from innkeep.streaming.counts import StreamCounter
 from innkeep.streaming.ingest import append_files, append_table, decode_events, drop_repeats, read_event_files
+from innkeep.streaming.silver import SilverStream
+from innkeep.streaming.windows import LATE, SplitLate, sessions, sliding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,9 +97,8 @@ def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _to_silver(spark: SparkSession, sf_dir: str) -> Silver:
-    """From the raw tables, with the unified rows written once."""
-    rows = combine(*fx.batch_and_stream(spark, sf_dir))
-    return to_silver_from(written_rows(rows), as_of=LOADED_AT)
+    """From the raw tables, in one plan: the survivors' branch alone reads the rows once."""
+    return to_silver_from(combine(*fx.batch_and_stream(spark, sf_dir)), as_of=LOADED_AT)
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> Silver:
@@ -146,6 +151,16 @@ def tag_if_missing(spark, sf_dir):
     return tagged[0].unionByName(tagged[1]).drop("_ingestion_timestamp")
 
 
+@query
+def load_stamp(spark, sf_dir):
+    """The load time that tagging adds where there is none, next to one that a source brings."""
+    rows = fx.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("_ingestion_timestamp"))
+    lack = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_orderkey"))
+    both = columns.tag_source(rows, STREAM_TAG, LOADED_AT).unionByName(columns.tag_source(lack, STREAM_TAG, LOADED_AT))
+    stamp = F.date_format("_ingestion_timestamp", "yyyy-MM-dd HH:mm:ss").alias("loaded")
+    return both.select("o_orderkey", "_source", stamp)
+
+
 @query
 def schema_diff(spark, sf_dir):
     return columns.schema_report(*_pair(spark, sf_dir))
@@ -208,7 +223,7 @@ def drop_null_critical(spark, sf_dir):
 @query
 def dedup_latest(spark, sf_dir):
     complete = cleaning.drop_nulls(_combined(spark, sf_dir))
-    return keep_latest(complete, ["booking_id"], ["booking_date"], cleaning.COPIES).drop("data_source")
+    return keep_latest_of_few(complete, ["booking_id"], ["booking_date"], cleaning.COPIES).drop("data_source")
 
 
 def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +310,9 @@ def typed_batch(spark, sf_dir):
 
 @query
 def silver_audit(spark, sf_dir):
-    return _to_silver(spark, sf_dir).audit.drop("note")
+    """Both branches of the rejects read one written copy of the unified rows."""
+    rows = written_rows(combine(*fx.batch_and_stream(spark, sf_dir)))
+    return to_silver_from(rows, as_of=LOADED_AT).audit.drop("note")
 
 
 @query
@@ -347,6 +364,26 @@ def split_ranges(spark, sf_dir):
     return ranges
 
 
+@query
+def split_files(spark, sf_dir):
+    """The two parts as CSV files: rows, days, and neighbouring files that are out of order."""
+    out = scratch_path(spark, "split")
+    split_raw(spark, fx.dirty_dates(spark, sf_dir), out)
+    found = []
+    for part in (split.BATCH, split.STREAM):
+        read = read_bookings_csv(spark, f"{out}/{part}", as_of=LOADED_AT)
+        key = F.struct("booking_date", "booking_id")
+        files = read.groupBy("_source_file").agg(
+            F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n")
+        )  # one row per file
+        inverted = F.col("low") < F.lag("high").over(Window.orderBy("low", "high"))
+        found.append(files.withColumn("inverted", inverted).agg(
+            F.lit(part).alias("split"), F.sum("n").alias("row_count"), F.min("low.booking_date").alias("first_date"),
+            F.max("high.booking_date").alias("last_date"), F.count_if("inverted").alias("files_out_of_order"),
+        ))
+    return found[0].unionByName(found[1])
+
+
 # ---- payloads and look-ups ----------------------------------------------------
 
 
@@ -611,12 +648,33 @@ def booking_stream(spark, sf_dir):
     batch, sent = _pair(spark, sf_dir)
     sent.repartition(3).write.json(landing)
     events = read_event_files(spark, landing, sent.schema, max_files=1)
-    append_table(events, table, scratch_path(spark, "stream-checkpoint")).awaitTermination()
-    assert_row_count(spark, sent.count(), table)
+    with StreamCounter(spark) as counter:
+        run = append_table(counter.counted(events), table, scratch_path(spark, "stream-checkpoint"))
+        assert_row_count(spark, counter.rows_of(run), table)
     stored = spark.read.table(table).drop("_corrupt_record")
     return to_silver_from(written_rows(combine(batch, stored)), as_of=LOADED_AT).bookings.drop("silver_load_at")
 
 
+@query
+def streaming_silver(spark, sf_dir):
+    """Silver kept up to date: the batch half, then three deliveries of booking events, each
+    a micro-batch; the first is sent again, and what the first two brought is compacted."""
+    silver = SilverStream(spark, scratch_path(spark, "silver-stream"))
+    batch, sent = _pair(spark, sf_dir)
+    silver.absorb(batch, 0, BATCH_TAG, "files")
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream-checkpoint")
+    # Rows of one booking come in different deliveries.
+    dealt = sent.withColumn("_delivery", F.pmod(F.xxhash64("booking_id", "total_price", "adults"), F.lit(3)))
+    _write_deliveries(dealt, landing)
+    for number in range(3):
+        events = read_event_files(spark, f"{landing}/_delivery=[0-{number}]", sent.schema)
+        silver.run(events, checkpoint).awaitTermination()
+        if number == 1:
+            silver.absorb(spark.read.schema(sent.schema).json(f"{landing}/_delivery=0"), 0)
+            silver.compact()
+    return silver.bookings(LOADED_AT).drop("silver_load_at")
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """Events as JSON files, streamed into a bronze folder."""
@@ -648,3 +706,200 @@ def x_stream_dedup(spark, sf_dir):
     sent = _stream_of(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props", repeats)
     once = drop_repeats(sent, ["event_id"], "ts", delay="1 hour", spread_by="attempt", spread=4)
     return _drain(spark, once.drop("attempt", "ts"))
+
+
+# ---- publication, drift ---------------------------------------------------------
+
+
+@query
+def publish_checked(spark, sf_dir):
+    """Silver published in steps: the batch half; a copy that breaks the suite; a write that
+    fails; all of it. What readers see after each."""
+    silver = _silver(spark, sf_dir)
+    suite = [e for e in quality.silver_suite(silver.columns) if e.mostly == 1.0]
+    table = Snapshots(spark, scratch_path(spark, "published"))
+    batch = silver.where(F.col("data_source") == BATCH_TAG)
+    steps = [
+        ("batch", batch),
+        ("bad_price", silver.withColumn("total_price", F.col("total_price") - 50000)),
+        ("lost", silver.withColumn("city", F.expr("if(stay_duration_days > 0, raise_error('lost'), city)").cast("string"))),
+        ("all", silver),
+    ]
+    seen = []
+    for name, rows in steps:
+        try:
+            table.write(rows, suite)
+            outcome = "published"
+        except QualityError:
+            outcome = "refused"
+        except PySparkException:
+            outcome = "failed"
+        now = table.version().number
+        seen.append(table.read(now).agg(
+            F.count(F.lit(1)).alias("rows_seen"), F.round(F.sum("total_price"), 2).alias("price_seen")
+        ).select(F.lit(name).alias("step"), F.lit(outcome).alias("outcome"), F.lit(now).alias("version"), "rows_seen", "price_seen"))
+    return reduce(DataFrame.unionByName, seen)
+
+
+@query
+def schema_drift(spark, sf_dir):
+    """Orders appended in three parts whose schema drifts, and a fourth that is refused."""
+    orders = fx.table(spark, sf_dir, "orders")
+    table = Snapshots(spark, scratch_path(spark, "drift"))
+    part = lambda k: orders.where(f"o_orderkey % 4 = {k}")
+    drift.append_evolving(table, part(0).selectExpr(
+        "cast(o_orderkey as int) as k", "cast(o_orderdate as date) as day", "cast(o_custkey as smallint) as customer"))
+    drift.append_evolving(table, part(1).selectExpr(
+        "o_orderkey as K", "cast(o_orderdate as timestamp) as day", "cast(o_totalprice as decimal(12,2)) as price"))
+    drift.append_evolving(table, part(2).selectExpr(
+        "o_orderkey as k", "cast(o_custkey as int) as customer", "cast(o_custkey as int) as price", "o_orderstatus as status"))
+    try:
+        drift.append_evolving(table, part(3).selectExpr("o_orderkey as k", "o_orderpriority as price"))
+    except drift.DriftError:
+        pass
+    return table.read().selectExpr(
+        "k", "date_format(day, 'yyyy-MM-dd HH:mm:ss') as day", "customer", "cast(price as double) as price", "status"
+    )
+
+
+# ---- look-ups in time --------------------------------------------------------------
+
+
+def _priced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    currencies = F.array(*[F.lit(c) for c in ("EUR", "USD", "GBP", "TRY", "CHF", "JPY", "PLN")])
+    number = F.substring("customer_id", 2, 20).cast("bigint")
+    return _fact(spark, sf_dir).select(
+        "booking_id", "booking_date", "total_price", F.element_at(currencies, (number % 7 + 1).cast("int")).alias("currency")
+    )
+
+
+@query
+def x_fx_asof(spark, sf_dir):
+    """Prices at the last rate on or before the booking day, of rates that are known every ninth day."""
+    rates = flatten_rates(fx.rate_payloads(spark, sf_dir), rate_date="day", as_of=LOADED_AT)
+    some = rates.where(F.datediff("rate_date", F.lit("1992-01-01").cast("date")) % 9 == 0)
+    return _rounded(asof.convert_as_of(_priced(spark, sf_dir), some, "currency", "booking_date"), converted_price=6)
+
+
+@query
+def x_stay_weather(spark, sf_dir):
+    """Weather over all nights of each stay; check-ins are laid over the forecast days."""
+    offset = (F.datediff("checkin_date", F.lit("1995-01-01").cast("date")) % 60).cast("int")
+    arrives = F.date_add(F.lit("2023-12-20").cast("date"), offset)
+    stays = _silver(spark, sf_dir).select(
+        "booking_id", "city", arrives.alias("arrives"),
+        F.date_add(arrives, F.col("stay_duration_days")).alias("leaves"),
+    )
+    weather = flatten_weather(fx.weather_payloads(spark, sf_dir), as_of=LOADED_AT)
+    out = asof.weather_over_stay(stays, weather, arrives="arrives", leaves="leaves")
+    return _rounded(out, rain_total=4, avg_temp_max=8).drop("arrives", "leaves")
+
+
+_HISTORY = ["hotel_name", "country", "city", "hotel_type", "star_rating", "total_rooms"]
+
+
+@query
+def dim_hotel_history(spark, sf_dir):
+    return asof.validity(_silver(spark, sf_dir), "hotel_id", _HISTORY, "booking_date")
+
+
+@query
+def fact_as_of(spark, sf_dir):
+    """Each booking with its hotel's city as of the check-in day."""
+    silver = _silver(spark, sf_dir)
+    history = asof.validity(silver, "hotel_id", _HISTORY, "booking_date")
+    facts = silver.select("booking_id", "hotel_id", "checkin_date")
+    return asof.in_force(facts, history, "hotel_id", "checkin_date", ["city"])
+
+
+# ---- sketches, subtotals --------------------------------------------------------------
+
+
+@query
+def x_distinct_rollup(spark, sf_dir):
+    """Sketches per year, month and country, united for coarser groups, next to exact counts."""
+    fact = _fact(spark, sf_dir)
+    fine = sketches.sketched(fact, ["booking_year", "booking_month", "hotel_country"], ["customer_id", "hotel_id"])
+    near = F.expr(
+        f"abs(customer_id_distinct - customers) <= 1 + {sketches.relative_error(sigmas=4.0)} * customers"
+        f" and abs(hotel_id_distinct - hotels) <= 1 + {sketches.relative_error(sigmas=4.0)} * hotels"
+    )
+    out = []
+    for by in (["booking_year"], ["hotel_country"]):
+        est = sketches.estimates(sketches.united(fine, by, ["customer_id", "hotel_id"]), ["customer_id", "hotel_id"])
+        exact = gold.aggregate(fact, by, {"customers": "count(distinct customer_id)", "hotels": "count(distinct hotel_id)"})
+        exact = exact.withColumnRenamed(by[0], "_by")
+        both = est.join(exact, est[by[0]].eqNullSafe(exact["_by"]))
+        out.append(both.select(
+            F.lit(by[0]).alias("level"), F.col("_by").cast("string").alias("group"), "customers", "hotels", near.alias("near")
+        ))
+    return out[0].unionByName(out[1])
+
+
+@query
+def bi_subtotals(spark, sf_dir):
+    """Sums per country and room type, per country, per room type, and in all, in one pass."""
+    sets = [["hotel_country", "room_type"], ["hotel_country"], ["room_type"], []]
+    sums = subtotals(_fact(spark, sf_dir), "fact_booking", sets)
+    return _rounded(sums, **{c: 2 for c, kind in sums.dtypes if kind == "double"})
+
+
+@query
+def bi_summary_dims(spark, sf_dir):
+    """The default summary of the three dimensions per country; two have nothing to add up."""
+    silver = _silver(spark, sf_dir)
+    tables = {"dim_hotel": gold.dim_hotel(silver), "dim_city": gold.dim_city(silver), "dim_customer": gold.dim_customer(silver)}
+    sums = [summarize(df, t, ["country"]).withColumn("table_name", F.lit(t)) for t, df in tables.items()]
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sums)
+    return out.select("table_name", "country", F.col("hotel_count").alias("n"))
+
+
+# ---- windows over event time ---------------------------------------------------------
+
+_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+# Events are delivered in three parts; some of the first come with the last.
+_DELIVERY = "case when event_id % 97 = 0 and ts < '2024-01-11' then 3 when ts < '2024-01-11' then 1 when ts < '2024-01-21' then 2 else 3 end"
+_DELAY = 3600
+
+
+def _write_deliveries(rows: DataFrame, path: str) -> None:
+    rows.write.partitionBy("_delivery").json(path)
+
+
+def _dealt(spark: SparkSession, sf_dir: str) -> SplitLate:
+    """The events dealt to those in time and those that are late, a delivery a batch."""
+    events = fx.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream-checkpoint")
+    events.withColumn("_delivery", F.expr(_DELIVERY)).write.partitionBy("_delivery").parquet(landing)
+    split = SplitLate(spark, scratch_path(spark, "dealt"), "ts", _DELAY, events.schema)
+    for number in (1, 2, 3):
+        stream = spark.readStream.schema(events.schema).parquet(f"{landing}/_delivery=[1-{number}]")
+        split.run(stream, checkpoint).awaitTermination()
+    return split
+
+
+@query
+def x_sessions(spark, sf_dir):
+    """Sessions of users that have ended by the watermark, from a stream; none of its events is dropped."""
+    events = _dealt(spark, sf_dir).stream()
+    out = _drain(spark, sessions(events, ["user_id"], "ts", "30 minutes", {
+        "events": "count(*)", "first_event": "min(event_id)", "value": "sum(cast(value as decimal(18,2)))",
+    }))
+    return out.select(
+        "user_id", F.date_format("session_start", _TIME).alias("session_start"),
+        F.date_format("session_end", _TIME).alias("session_end"), "events", "first_event", F.col("value").cast("double").alias("value"),
+    )
+
+
+@query
+def x_sliding_counts(spark, sf_dir):
+    """Events per type in windows of a day that begin every six hours."""
+    events = _dealt(spark, sf_dir).stream()
+    out = _drain(spark, sliding(events, ["event_type"], "ts", "1 day", "6 hours", {"events": "count(*)"}))
+    return out.select("event_type", F.date_format("window_start", _TIME).alias("window_start"), "events")
+
+
+@query
+def x_late_events(spark, sf_dir):
+    """The side output: events that came too late for any window."""
+    return _dealt(spark, sf_dir).table(LATE).select("event_id", "user_id", F.date_format("ts", _TIME).alias("ts"))

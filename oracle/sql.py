@@ -508,6 +508,9 @@ def statements() -> dict[str, str]:
     q["tag_if_missing"] = (
         "select o_orderkey, o_orderstatus as _source, 'from orders' as status_origin from orders "
         "union all select c_custkey, 'Streaming_Docker', 'added' from customer")
+    q["load_stamp"] = (
+        "select o_orderkey, 'Streaming_Docker' as _source, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as loaded from orders "
+        "union all select c_custkey, 'Streaming_Docker', '2024-01-01 00:00:00' from customer")
     q["normalize_columns"] = (
         "select o_orderkey as booking_id, o_custkey as guest_id, o_orderstatus as star_rating, "
         "o_totalprice as price_night, o_orderpriority as channel_type from orders")
@@ -553,6 +556,13 @@ def statements() -> dict[str, str]:
     q["split_ranges"] = _with(RAW, _SPLIT) + (
         "select split, count(*) as row_count, min(booking_date) as first_date, max(booking_date) as last_date "
         "from parts group by split")
+    q["split_files"] = _with(DIRTY) + """
+      , placed as (select booking_date, row_number() over (order by booking_date, booking_id) as position, count(*) over () as n
+        from found where booking_date is not null)
+      select case when position <= cast(floor(cast(n as double) * cast(0.7 as double)) as bigint) then 'batch' else 'stream' end as split,
+        count(*) as row_count, cast(min(booking_date) as varchar) as first_date, cast(max(booking_date) as varchar) as last_date,
+        cast(0 as bigint) as files_out_of_order
+      from placed group by 1"""
     # payloads, look-ups
     q["weather_flatten"] = _with(WEATHER) + "select * from weather"
     q["fx_flatten"] = _with(RATES) + "select * from rates"
@@ -638,4 +648,99 @@ def statements() -> dict[str, str]:
       from shifted left join weather
         on upper(trim(shifted.city)) = upper(weather.city) and cast(forecast_day as varchar) = weather.time"""
     q["report_file"] = q["dq_report"]
+    q["streaming_silver"] = q["silver_bookings"]
+    # publication, drift
+    q["publish_checked"] = _with(*_TO_SILVER) + """
+      , seen(step, outcome, version, sources) as (values ('batch', 'published', 1, ['Batch_CSV']),
+        ('bad_price', 'refused', 1, ['Batch_CSV']), ('lost', 'failed', 1, ['Batch_CSV']),
+        ('all', 'published', 2, ['Batch_CSV', 'Streaming_Docker']))
+      select step, outcome, cast(version as integer) as version, count(*) as rows_seen,
+        round(sum(total_price), 2) as price_seen
+      from seen join silver on list_contains(sources, data_source) group by step, outcome, version"""
+    q["schema_drift"] = """
+      select o_orderkey as k,
+        case when o_orderkey % 4 < 2 then strftime(case when o_orderkey % 4 = 0 then cast(cast(o_orderdate as date) as timestamp)
+          else o_orderdate end, '%Y-%m-%d %H:%M:%S') end as day,
+        case when o_orderkey % 4 in (0, 2) then cast(o_custkey as integer) end as customer,
+        case o_orderkey % 4 when 1 then cast(cast(o_totalprice as decimal(12,2)) as double) when 2 then cast(o_custkey as double) end as price,
+        case when o_orderkey % 4 = 2 then o_orderstatus end as status
+      from orders where o_orderkey % 4 < 3"""
+    # look-ups in time
+    q["x_fx_asof"] = _with(*_TO_FACT, RATES) + """
+      , sparse as (select * from rates where date_diff('day', date '1992-01-01', rate_date) % 9 = 0),
+      priced as (select booking_id, booking_date, total_price,
+          (['EUR','USD','GBP','TRY','CHF','JPY','PLN'])[cast(substr(customer_id, 2) as bigint) % 7 + 1] as currency
+        from fact)
+      select booking_id, booking_date, total_price, currency,
+        round(total_price * case when currency = 'EUR' then 1.0 else rate_vs_eur end, 6) as converted_price
+      from priced asof left join sparse on currency = currency_code and booking_date >= rate_date"""
+    q["x_stay_weather"] = _with(*_TO_SILVER, WEATHER) + """
+      , stays as (select booking_id, city, stay_duration_days as nights,
+          cast(date '2023-12-20' + cast(date_diff('day', date '1995-01-01', checkin_date) % 60 as integer) as date) as arrives
+        from silver)
+      select booking_id, stays.city as city, count(rain_sum) as nights_known,
+        round(cast(sum(cast(rain_sum as decimal(28,6))) as double), 4) as rain_total,
+        round(cast(sum(cast(temperature_2m_max as decimal(28,6))) as double) / count(temperature_2m_max), 8) as avg_temp_max
+      from stays left join weather on upper(trim(stays.city)) = upper(weather.city)
+        and cast(weather.time as date) >= arrives and cast(weather.time as date) < arrives + nights
+      group by booking_id, stays.city"""
+    history = """
+      , day_rows as (select distinct hotel_id, booking_date, hotel_name, country, city, hotel_type, star_rating, total_rooms
+        from silver where hotel_id is not null and booking_date is not null),
+      of_day as (select * from (select *, row_number() over (partition by hotel_id, booking_date
+          order by hotel_name desc nulls last, country desc nulls last, city desc nulls last, hotel_type desc nulls last,
+            star_rating desc nulls last, total_rooms desc nulls last) as rn from day_rows) where rn = 1),
+      marked as (select *, row(hotel_name, country, city, hotel_type, star_rating, total_rooms) as now,
+          lag(row(hotel_name, country, city, hotel_type, star_rating, total_rooms)) over w as before,
+          row_number() over w as k
+        from of_day window w as (partition by hotel_id order by booking_date)),
+      history as (select hotel_id, hotel_name, country, city, hotel_type, star_rating, total_rooms, booking_date as valid_from,
+          cast(lead(booking_date) over w - 1 as date) as valid_to, lead(booking_date) over w is null as is_current
+        from marked where k = 1 or now is distinct from before window w as (partition by hotel_id order by booking_date))"""
+    q["dim_hotel_history"] = _with(*_TO_SILVER) + history + " select * from history"
+    q["fact_as_of"] = _with(*_TO_SILVER) + history + """
+      select booking_id, s.hotel_id as hotel_id, checkin_date, valid_from, h.city as city_then
+      from (select booking_id, hotel_id, checkin_date from silver) s left join history h
+        on s.hotel_id = h.hotel_id and checkin_date >= valid_from and checkin_date <= coalesce(valid_to, date '9999-12-31')"""
+    # sketches, subtotals
+    q["x_distinct_rollup"] = _with(*_TO_FACT) + _union([
+        f"select '{c}' as level, cast({c} as varchar) as \"group\", count(distinct customer_id) as customers, "
+        f"count(distinct hotel_id) as hotels, true as near from fact group by {c}"
+        for c in ("booking_year", "hotel_country")])
+    money = ["total_price", "room_price", "tax_amount", "service_fee", "paid_amount", "discount_amount"]
+    q["bi_subtotals"] = _with(*_TO_FACT) + (
+        "select hotel_country, room_type, cast(grouping(hotel_country, room_type) as bigint) as grouping_id, "
+        "cast(sum(stay_nights) as bigint) as stay_nights, cast(sum(num_guests) as bigint) as num_guests, "
+        + ", ".join(f"round(sum({m}), 2) as {m}" for m in money)
+        + " from fact group by grouping sets ((hotel_country, room_type), (hotel_country), (room_type), ())")
+    q["bi_summary_dims"] = _with(*_TO_SILVER, _dimension("hotel_id", _HOTEL)) + (
+        ", customers as (select *, row_number() over (partition by customer_id order by "
+        + _latest_first(["booking_date", *[c for c in _CUSTOMER if c != "customer_id"]]) + ") as cn from silver) "
+        "select distinct 'dim_hotel' as table_name, country, cast(null as bigint) as n from ordered where rn = 1 "
+        "union all select 'dim_city', country, cast(sum(hotel_count) as bigint) from (select city, country, "
+        "count(distinct hotel_id) as hotel_count from silver where city <> '' group by city, country) group by country "
+        "union all select distinct 'dim_customer', country_customer, cast(null as bigint) from customers where cn = 1")
+    # windows over event time
+    delivered = """
+      delivered as (select *, case when event_id % 97 = 0 and ts < '2024-01-11' then 3 when ts < '2024-01-11' then 1
+          when ts < '2024-01-21' then 2 else 3 end as delivery from events),
+      bounds as (select d, (select max(ts) from delivered where delivery < d) - interval 1 hour as bound from range(1, 4) t(d)),
+      dealt as (select delivered.*, coalesce(ts < bound, false) as late from delivered join bounds on d = delivery),
+      timely as (select *, (select max(ts) from dealt where not late) - interval 1 hour as watermark from dealt where not late)"""
+    q["x_sessions"] = _with(delivered) + """
+      , steps as (select *, coalesce(ts - lag(ts) over (partition by user_id order by ts) > interval 30 minutes, true) as begins
+        from timely),
+      islands as (select *, sum(cast(begins as integer)) over (partition by user_id order by ts rows unbounded preceding) as island
+        from steps)
+      select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as session_start,
+        strftime(max(ts) + interval 30 minutes, '%Y-%m-%d %H:%M:%S.%f') as session_end, count(*) as events,
+        min(event_id) as first_event, cast(sum(cast(value as decimal(18,2))) as double) as value
+      from islands group by user_id, island, watermark having max(ts) + interval 30 minutes <= watermark"""
+    q["x_sliding_counts"] = _with(delivered) + """
+      , opened as (select event_type, watermark, time_bucket(interval 6 hours, ts, timestamp '2024-01-01') - to_hours(6 * k) as begins
+        from timely, range(4) t(k))
+      select event_type, strftime(begins, '%Y-%m-%d %H:%M:%S.%f') as window_start, count(*) as events
+      from opened where begins + interval 1 day <= watermark group by event_type, begins"""
+    q["x_late_events"] = _with(delivered) + (
+        "select event_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts from dealt where late")
     return q

@@ -228,7 +228,7 @@ def test_whole_build(spark, tmp_path):
     write_table(raw(spark, {}, {}, {"booking_id": "B2", "city": "rome"}, {"booking_id": "B3", "total_price": "0"}), "b_batch")
     write_table(raw(spark, {"booking_id": "B4", "is_cancelled": "True"}, {"booking_id": None}).drop("website"), "b_stream")
     done = build_all(spark, "b_batch", "b_stream", str(tmp_path / "report"))
-    assert done.rows == {"bronze_unified_bookings": 6, "silver_bookings": 3, "silver_rejects": 3, "fact_booking": 3,
+    assert done.rows == {"b_batch": 4, "b_stream": 2, "bronze_unified_bookings": 6, "silver_bookings": 3, "silver_rejects": 3, "fact_booking": 3,
                          "dim_hotel": 1, "dim_city": 2, "dim_customer": 1, "kpi_revenue": 2}
     assert done.audit.orderBy("step_no").collect()[-1]["rows_after"] == 3
     assert done.quality.count() == 24 and done.quality.where("not success").count() == 0
