@@ -143,6 +143,45 @@ def placed(rows: DataFrame, order: list[Column], group: str | None = None) -> Da
     )
 
 
+# ---- look-ups with hot keys ---------------------------------------------------------
+
+# A key with more than one row in so many is looked up by broadcast; there are fewer such keys than this.
+HOT_SHARE = 1000
+
+
+def look_up(rows: DataFrame, key: str, found: DataFrame) -> DataFrame:
+    """The rows with the columns that ``found`` (one row per key) has for their key, null
+    where it has none.
+
+    Of a hot key all rows would meet in one task. Fewer than ``HOT_SHARE`` keys can
+    have more than one row in ``HOT_SHARE``; what is found for these is broadcast, and
+    their rows stay where they are. ``rows`` must be read from files: they are read
+    for the counts, and by each of the two ways.
+    """
+    total = rows.count()
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > total // HOT_SHARE) & F.col(key).isNotNull())
+    hot = written(hot.select(F.col(key).alias("_hot")), "hot-keys")
+    few = F.broadcast(hot)  # fewer than HOT_SHARE rows
+    others = [c for c in found.columns if c != key]
+    named = found.select(F.col(key).alias("_key"), *others)
+    many = rows.join(few, rows[key] == hot["_hot"], "left_semi").join(
+        F.broadcast(named.join(few, named["_key"] == hot["_hot"], "left_semi")), F.col(key) == F.col("_key"), "left"
+    )
+    rest = rows.join(few, rows[key] == hot["_hot"], "left_anti").join(named, F.col(key) == F.col("_key"), "left")
+    return many.drop("_key").unionByName(rest.drop("_key"))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that the frame has no column of."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 # ---- buckets in blocks ----------------------------------------------------------
 
 # Rows of one bucket that meet in a task: at most twice as many.

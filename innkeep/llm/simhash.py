@@ -10,14 +10,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import arrow_map, batches, by_block, components, in_blocks, local_roots, runs, sliced, texts, written
+from innkeep.llm.common import (
+    arrow_map, batches, by_block, components, free_names, in_blocks, local_roots, look_up, runs, sliced, texts, written,
+)
 
 BITS = 64
 WORDS = 3
 RADIUS = 2
 SEED = 42  # of XXH64
 
-_PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_PRINTS = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("said", pa.int64())])
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _CHUNK = 1 << 16
 
@@ -49,15 +51,16 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id``, ``fp`` (the fingerprint's 64 bits as a signed long), one row per row."""
+    """``doc_id``, ``fp`` (the fingerprint's 64 bits as a signed long) and ``said`` (a hash of
+    the text), one row per row."""
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             for part in sliced(batch):
                 prints = np.array([fingerprint(t, words) for t in part.column("text").to_pylist()], np.uint64)
-                yield batches({"doc_id": part.column("doc_id"), "fp": prints.view(np.int64)}, _PRINTS)
+                yield batches({"doc_id": part.column("doc_id"), "fp": prints.view(np.int64), "said": part.column("said")}, _PRINTS)
 
-    return arrow_map(texts(docs), task, "doc_id long, fp long")
+    return arrow_map(texts(docs).withColumn("said", F.xxhash64("text")), task, "doc_id long, fp long, said long")
 
 
 def covering_masks(radius: int, bits: int = BITS) -> list[int]:
@@ -84,7 +87,8 @@ def _near(stream: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBa
         if sum(b.num_rows for b in run) < 2:
             continue
         column = lambda c: np.concatenate([b.column(c).to_numpy() for b in run])
-        ids, fp, side = column("rep"), column("fp").view(np.uint64), column("_side")
+        ids, side = column("fp"), column("_side")
+        fp = ids.view(np.uint64)
         i, j = run[0].column("_i")[0].as_py(), run[0].column("_j")[0].as_py()
         left = np.arange(len(ids)) if i == j else np.flatnonzero(side == i)
         right = left if i == j else np.flatnonzero(side == j)
@@ -100,7 +104,7 @@ def _near(stream: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBa
         x, y = np.concatenate(pairs_l), np.concatenate(pairs_r)
         if not len(x):
             continue
-        order = np.argsort(ids, kind="stable")  # the smallest id of a part is its centre
+        order = np.argsort(ids, kind="stable")  # the smallest of a part is its centre
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
         root = local_roots(len(ids), place[x], place[y])
@@ -115,49 +119,70 @@ def _near(stream: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBa
         yield batches({"a": np.concatenate(found_a), "b": np.concatenate(found_b)}, _EDGES)
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``, one row per document row.
+def grouped(prints: DataFrame, radius: int) -> DataFrame:
+    """``fp``, ``root`` (the smallest fingerprint reachable) and ``rep`` (the smallest doc_id
+    of the class): a row for each fingerprint that occurs.
 
-    Documents of one fingerprint are one class, named by its smallest doc_id, and
-    are never paired. The classes meet in 2^(radius+1) - 1 tables, one per
-    covering mask, keyed by the masked fingerprint; every pair within the radius
-    meets in a table at least. A table's bucket is split into blocks
-    (``in_blocks``), and each unit of work returns spanning links only.
-
-    A null text is an empty one; an empty text has fingerprint zero and links like
-    any other. Repeated rows, and rows that repeat a doc_id, each get a row. A row
-    without doc_id gets the component of its fingerprint, null if no document of
-    that component has an id. An empty table gives no rows. Other columns are
-    ignored. Classes are named by doc_id, so texts that share a class's smallest
-    doc_id are one component.
+    Documents of one fingerprint are one class and are never paired. The classes
+    meet in 2^(radius+1) - 1 tables, one per covering mask, keyed by the masked
+    fingerprint; every pair within the radius meets in a table at least. A table's
+    bucket is split into blocks (``in_blocks``), and each unit of work returns
+    spanning links only.
     """
-    prints = written(fingerprints(docs, words), "fingerprints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("rep")).where("rep is not null")
+    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
     masks = [m - (1 << 64) if m >> 63 else m for m in covering_masks(radius)]
     tables = F.explode(F.array(*[
         F.struct(F.lit(k).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(masks)
     ])).alias("at")
-    placed = classes.select("rep", "fp", tables).select("rep", "fp", "at.table", "at.key")
-    units = by_block(in_blocks(placed, ["table", "key"], "fp"), ["table", "key"])
+    of_tables = classes.select("fp", tables).select("fp", "at.table", "at.key")
+    units = by_block(in_blocks(of_tables, ["table", "key"], "fp"), ["table", "key"])
     edges = arrow_map(units, lambda s: _near(s, radius), "a long, b long")
     found = components(edges)
-    named = classes.join(found, classes["rep"] == found["id"], "left").select(
-        F.col("fp").alias("of"), F.coalesce("component_id", "rep").alias("component_id")
-    )
-    out = prints.join(named, prints["fp"] == named["of"], "left")
+    named = classes.join(found, classes["fp"] == found["id"], "left")
+    return written(named.select("fp", F.coalesce("component_id", "fp").alias("root"), "rep"), "groups")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id``, one row per document row.
+
+    Links go from text to text; a component's name is the smallest doc_id in it.
+
+    A null text is an empty one; an empty text has fingerprint zero and links like
+    any other. Repeated rows, and rows that repeat a doc_id, each get a row with the
+    component of its own text. A row without doc_id links like any other; where no
+    document of a component has an id, its name is null. An empty table gives no
+    rows. Other columns are ignored.
+    """
+    prints = written(fingerprints(docs, words), "fingerprints")
+    groups = grouped(prints, radius)
+    names = groups.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = written(look_up(groups.select("fp", "root"), "root", names).select("fp", "component_id"), "named")
+    out = look_up(prints.select("doc_id", "fp"), "fp", named)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """The documents, one of each component (the one with the smallest doc_id).
+    """The documents, one row of each component, with all their columns.
 
-    Of several rows with that doc_id one stays. Rows without doc_id stay.
+    The row with the smallest doc_id stays, one without doc_id only where no other
+    has one; among these the smaller fingerprint, and then the smaller hash of the
+    text, decide. Of rows equal in doc_id and text any one stays. So no component is
+    lost, whatever ids repeat, and no copy stays.
     """
-    found = near_duplicates(docs, words, radius).select("doc_id", "component_id")
-    found = written(found, "components")
-    leads = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
-    leads = leads.select(F.col("doc_id").alias("_lead"), "_n")
-    kept = docs.join(leads, docs["doc_id"].cast("long") == F.col("_lead"))
-    once = kept.where("_n = 1").select(*[docs[c] for c in docs.columns])
-    again = kept.where("_n > 1").dropDuplicates(["_lead"]).select(*[docs[c] for c in docs.columns])
-    return once.unionByName(again).unionByName(docs.where(docs["doc_id"].isNull()))
+    prints = written(fingerprints(docs, words), "fingerprints")
+    rooted = look_up(prints, "fp", grouped(prints, radius).select("fp", "root"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "said")
+    leads = written(rooted.groupBy("root").agg(F.min(order).alias("lead")).select("lead.doc_id", "lead.said"), "leads")
+    # How many rows a lead stands for; most for itself alone.
+    as_lead = leads.select(F.col("doc_id").alias("_d"), F.col("said").alias("_s"))
+    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("said") == F.col("_s"))
+    sizes = prints.join(as_lead, same, "left_semi").groupBy("doc_id", "said").agg(F.count(F.lit(1)).alias("rows"))
+    own_id, own_said, lead_id, lead_said, number = free_names(docs, "own_id", "own_said", "lead_id", "lead_said", "number")
+    leads = sizes.select(F.col("doc_id").alias(lead_id), F.col("said").alias(lead_said), F.col("rows").alias(number))
+    marked = docs.withColumns({
+        own_id: docs["doc_id"].cast("long"), own_said: F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))),
+    })
+    kept = marked.join(leads, F.col(own_id).eqNullSafe(F.col(lead_id)) & (F.col(own_said) == F.col(lead_said)))
+    once = kept.where(F.col(number) == 1)
+    again = kept.where(F.col(number) > 1).dropDuplicates([own_id, own_said])
+    return once.unionByName(again).drop(own_id, own_said, lead_id, lead_said, number)

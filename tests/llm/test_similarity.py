@@ -62,7 +62,30 @@ def test_simhash_rows_without_id(spark):
     docs = spark.createDataFrame([(None, "a b c"), (3, "a b c"), (None, "lone words here")], "doc_id long, text string")
     got = {(r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
     assert got == {(None, 3), (3, 3), (None, None)}
-    assert simhash.keep_one(docs).count() == 3
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in simhash.keep_one(docs).collect()) == [(0, "lone words here"), (3, "a b c")]
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Whatever ids repeat or lack, and whatever the columns are called."""
+    far = ["one two three four five", "rivers run over smooth grey stones", "nothing here is like the others at all", "a b c d e f g"]
+    rows = [(1, far[0], "x"), (1, far[1], "x"), (2, far[0], "y"), (None, far[2], "z"), (None, far[2], "z"), (None, far[1], "z"), (5, far[3], "p"), (5, far[3], "p"), (None, None, None)]
+    names = "doc_id long, text string, _n string"
+    docs = spark.createDataFrame(rows, names).repartition(3)
+    for c in ("_lead", "own_id", "OWN_SAID", "lead_id", "number", "fp", "root", "rows", "said", "_hot", "_key", "component_id"):
+        docs = docs.withColumn(c, docs["text"])
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["text"] or "", r["doc_id"] or 0) for r in kept.collect()) == sorted([(far[0], 1), (far[1], 1), (far[2], 0), (far[3], 5), ("", 0)])
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_look_up_of_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_SHARE", 10)
+    rows = [(k % 7, k) for k in range(70)] + [(100, k) for k in range(500)] + [(None, 1), (8, 1)]
+    frame = common.written(spark.createDataFrame(rows, "k long, v long"), "rows")
+    found = spark.createDataFrame([(k, f"n{k}") for k in [*range(6), 100, 200]], "k long, name string")
+    got = sorted(map(tuple, common.look_up(frame, "k", found).collect()), key=repr)
+    assert got == sorted([(k, v, f"n{k}" if k in (0, 1, 2, 3, 4, 5, 100) else None) for k, v in rows], key=repr)
 
 
 def test_blocks_let_every_pair_meet_once(spark):
