@@ -15,7 +15,6 @@ from innkeep.llm.common import arrow_map, batches, by_block, components, local_r
 
 THRESHOLD = 0.9
 SEED = 20240
-BUCKET_ROWS = 16  # of unrelated vectors, on average, in ``table_sizes``
 # Components of the vectors in one block of a unit of work, and rows in it at most.
 BLOCK_SIZE, BLOCK_VECTORS = 1 << 20, 16_384
 LEAST_BLOCKS = 8  # of a table of some size, so that small tables are spread too
@@ -33,19 +32,6 @@ def rotation(dim: int, seed: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def table_sizes(n: int, threshold: float, recall: float, bucket_rows: int = BUCKET_ROWS) -> tuple[int, int]:
-    """Bits of a table's key and number of tables.
-
-    A sign bit of a random direction is equal for both of a pair with probability
-    1 - angle / pi. The bits grow with the logarithm of the number of rows, so that
-    a bucket of unrelated vectors does not; the tables follow from the recall.
-    """
-    # near_duplicates does not use these: tables lose pairs, whatever their number.
-    bits = min(48, max(6, math.ceil(math.log2(max(2, n / bucket_rows)))))
-    same = (1 - math.acos(threshold) / math.pi) ** bits
-    return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - same)))
-
-
 def reach(threshold: float) -> float:
     """The sine of the angle at the threshold; 1 if that angle is not acute."""
     return math.sqrt(max(1 - threshold * threshold, 0)) if threshold > 0 else 1.0
@@ -213,7 +199,7 @@ def _link(stream: Iterator[pa.RecordBatch], threshold: float, kind: type) -> Ite
 
 
 def near_duplicates(
-    vectors: DataFrame, threshold: float = THRESHOLD, recall: float = 1.0, id_col: str = "vec_id", vec_col: str = "embedding",
+    vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vec_col: str = "embedding",
     block_rows: int = BLOCK_VECTORS,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept``, one row per row, by cosine.
@@ -221,8 +207,7 @@ def near_duplicates(
     Equal vectors are one class, named by its smallest id, and are never paired;
     each has the others of its class as links. Classes form cells around pivots, and
     cells are dealt to blocks. Any two blocks meet, less the classes that cannot link
-    there by an exact bound of angles (``may_meet``): no pair is left out,
-    whatever ``recall`` a caller asks for. Where blocks meet, the codes' bound excludes
+    there by an exact bound of angles (``may_meet``): no pair is left out. Where blocks meet, the codes' bound excludes
     most pairs, and the cosine of the rest is computed exactly. Each pair meets once.
     A unit of work returns numbers of links and a spanning star, not pairs. Where
     the cells exclude little, as for unrelated vectors, the work grows with the square of

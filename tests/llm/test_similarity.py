@@ -130,9 +130,8 @@ def good(v):
     return v is not None and len(v) and all(x is not None and np.isfinite(np.float32(x)) for x in v)
 
 
-@pytest.mark.parametrize("block_rows", [2048, 8])
-def test_near_vectors(spark, points, block_rows, monkeypatch):
-    monkeypatch.setattr(common.in_blocks, "__defaults__", (block_rows,))
+@pytest.mark.parametrize("block_rows", [16_384, 8])
+def test_near_vectors(spark, points, block_rows):
     rows, df = points
     usable = [(i, np.float32(v).astype(float)) for i, v, _ in rows if i is not None and good(v) and any(v)]
 
@@ -144,7 +143,7 @@ def test_near_vectors(spark, points, block_rows, monkeypatch):
     roots = groups(len(order), lambda a, b: linked(order[a], order[b]) or usable[order[a]][0] == usable[order[b]][0])
     want = {usable[k][0]: (sum(linked(k, m) for m in range(len(usable))), usable[order[g]][0]) for k, g in zip(order, roots)}
     want |= {i: (0, i) for i, v, _ in rows if i is not None and i not in want}
-    got = [tuple(r) for r in vectors.near_duplicates(df, recall=0.9999).collect()]
+    got = [tuple(r) for r in vectors.near_duplicates(df, block_rows=block_rows).collect()]
     assert len(got) == len(rows)
     assert {r[0]: r[1:3] for r in got if r[0] is not None} == want
     assert all(r[3] == (r[0] == r[2]) for r in got if r[0] is not None)
@@ -194,26 +193,74 @@ def test_codes_estimate_without_bias_and_bound():
     assert codes.may_reach(left, right, 0.9)[exact >= 0.9].all()
 
 
-def test_table_sizes_grow_slowly():
-    sizes = [vectors.table_sizes(10**k, 0.9, 0.97) for k in range(2, 10)]
-    assert all(1 - (1 - (1 - np.arccos(0.9) / np.pi) ** b) ** t >= 0.97 for b, t in sizes)
-    assert sizes[-1][1] < (10**9) ** 0.3
+def best_of(points, every, k):
+    """Brute force over (id, whole numbers)."""
+    want = []
+    first = {}
+    for i, v in points:
+        first[i] = min(first.get(i, v), v)
+    for q, v in first.items():
+        if q % every == 0:
+            best = sorted((-sum(x * y for x, y in zip(v, w)), i) for i, w in points if i != q and len(w) == len(v))[:k]
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    return sorted(want)
+
+
+def whole_numbers(v):
+    return tuple(int(np.floor(1024 * float(np.float32(x)))) for x in v)
 
 
-@pytest.mark.parametrize("groups_of", [(512, 16_384), (2, 7)])
+@pytest.mark.parametrize("groups_of", [(2048, 1 << 16), (2, 7)])
 def test_top_k(spark, points, groups_of):
     rows, df = points
+    df = df.where("vec_id is null or vec_id <> 1007")  # its scores fit in no long
     found = topk.top_k(df, every=5, k=4, query_rows=groups_of[0], vector_rows=groups_of[1]).collect()
-    usable = {(i, tuple(np.clip(np.floor(1024 * np.float32(v).astype(float)), -topk.LIMIT, topk.LIMIT).astype(int))) for i, v, _ in rows if i is not None and good(v)}
-    want = []
-    for q, v in usable:
-        if q % 5 == 0:
-            best = sorted((-int(np.dot(v, w)), i) for i, w in usable if i != q and len(w) == len(v))[:4]
-            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
-    assert sorted(tuple(r) for r in found) == sorted(want)
+    usable = {(i, whole_numbers(v)) for i, v, _ in rows if i is not None and i != 1007 and good(v)}
+    assert sorted(tuple(r) for r in found) == best_of(usable, 5, 4)
     assert topk.top_k(df.limit(0), every=5).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """True scores as long as they fit in a long, and bounds that hold at that size."""
+    rng = np.random.default_rng(13)
+    v = np.concatenate([rng.uniform(-1e6, 1e6, (60, 6)), 1e6 + rng.uniform(0, 1e-3, (20, 6)), [[2e5, 0, 0, 0, 0, 0], [3e5, 0, 0, 0, 0, 0], [1, 0, 0, 0, 0, 0]]])
+    rows = [(k, [float(x) for x in c]) for k, c in enumerate(v)] + [(7, [5.0] * 6), (7, [-5.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    points = {(i, tuple(int(np.floor(1024 * x)) for x in c)) for i, c in rows}
+    assert sorted(map(tuple, topk.top_k(df, every=1, k=5, vector_rows=16).collect())) == best_of(points, 1, 5)
+
+
+@pytest.mark.parametrize("far", [[1e15, 1e15], [1.7e308, 0.0]])
+def test_top_k_says_what_does_not_fit(spark, far):
+    df = spark.createDataFrame([(0, far), (1, far), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit"):
+        topk.top_k(df, every=2, k=1).collect()
+
+
+def test_top_k_of_many_copies(spark):
+    """Copies and near copies, more than a result has places for."""
+    rng = np.random.default_rng(14)
+    base = rng.standard_normal(8)
+    rows = [(k, base.tolist()) for k in range(400)] + [(400 + k, (base + 1e-3 * rng.standard_normal(8)).tolist()) for k in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    points = {(i, tuple(int(np.floor(1024 * x)) for x in c)) for i, c in rows}
+    assert sorted(map(tuple, topk.top_k(df, every=25, k=6, vector_rows=50).collect())) == best_of(points, 25, 6)
+
+
+def test_cells_bound_every_score():
+    rng = np.random.default_rng(15)
+    for scale in (1, 1e3, 1e9, 1e14):
+        v = np.floor(scale * rng.standard_normal((300, 16)))
+        v[:, 3] = 7  # one value alone
+        cells = topk.Cells(v.min(axis=0), v.max(axis=0))
+        codes = cells.codes(v)
+        low, high = cells.bounds(v[:40], codes)
+        exact = [[sum(int(a) * int(b) for a, b in zip(q, w)) for w in v] for q in v[:40]]
+        assert all(low[i][j] <= exact[i][j] <= high[i][j] for i in range(40) for j in range(300))
+        spread = np.array(exact, float).std()
+        assert (high - low).mean() < 0.2 * spread
+
+
 def test_top_k_ties_go_to_smaller_ids(spark):
     df = spark.createDataFrame([(k, [0.5, 0.5]) for k in range(300)], "vec_id long, embedding array<float>")
     got = [tuple(r) for r in topk.top_k(df, every=100, k=3, vector_rows=16).collect()]
