@@ -28,6 +28,7 @@ _SPACE = re.compile(r"\s+")
 # Names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
+_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -39,18 +40,32 @@ CLOSES = {
     "tbody": ("tbody thead tfoot tr td th", {"table"}), "thead": ("tbody thead tfoot tr td th", {"table"}),
     "tfoot": ("tbody thead tfoot tr td th", {"table"}), "option": ("option", {"select"}),
 }
-# Parts that are not the article, by tag, role, or a whole name in class or id.
+# Elements without text of the page, and its menus.
 DROPPED = frozenset(
-    "head nav header footer aside form script style noscript template iframe object embed svg canvas button select input textarea"
-    " menu dialog audio video map math".split()
+    "head nav script style noscript template iframe object embed svg canvas button select input textarea audio video map math".split()
 )
+# What is said about a part by its tag, its role or its names: evidence, which
+# ``_spare`` weighs. These parts stand beside the article, or may be wrapped around it.
+BESIDE, AROUND = 2, 1
+TAGS = {"header": BESIDE, "footer": BESIDE, "menu": BESIDE, "dialog": BESIDE, "aside": AROUND, "form": AROUND}
+LEAST_ARTICLE = 140  # characters
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-MARKED = frozenset(
-    "ad ads advert adverts advertisement advertising adsense adslot banner promo promoted promotion sponsor sponsored sponsors"
-    " nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager sidebar aside rail widget widgets header masthead"
-    " topbar footer foot footnav copyright comment comments commentlist reply replies respond disqus discussion cookie cookies"
-    " consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login paywall"
-    " share sharing social related recommended recommendations trending skip toolbar search".split()
+# Names of what is never an article: reader comments, adverts, notices about the site, menus.
+NEVER = frozenset(
+    "ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored sponsors promoted promotion"
+    " nav navbar navigation menubar breadcrumb breadcrumbs pagination pager footnav copyright"
+    " comment comments commentlist reply replies respond responses disqus discussion cookie cookies consent gdpr"
+    " newsletter subscribe subscription share sharing social related recommended recommendations trending".split()
+)
+# Names of parts of a page's frame.
+FRAME = frozenset(
+    "banner promo menu sidebar aside rail widget widgets header masthead topbar footer foot notice notices notification alert popup"
+    " modal overlay signup login paywall skip toolbar search".split()
+)
+# Words that say where a part is or what kind of box, and nothing of what it holds.
+AFFIXES = frozenset(
+    "area list box container wrapper wrap section bar block button buttons panel inner outer form thread item items links group holder"
+    " slot unit top bottom left right side user post page site global row col column card strip line zone region title head count".split()
 )
 # Elements further down do not nest, as in browsers; their text stays.
 DEEPEST = 512
@@ -59,12 +74,12 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[^\W\d_a-zA-Z]+")
 
 class Node:
     __slots__ = (
-        "name", "parent", "depth", "children", "dropped", "marked", "chars", "tags", "link_chars", "link_tags", "density", "sum", "peak", "keep",
+        "name", "parent", "depth", "children", "dropped", "evidence", "chars", "tags", "link_chars", "link_tags", "density", "sum", "peak", "keep",
     )
 
-    def __init__(self, name: str, parent: "Node | None", dropped: bool, marked: bool = False) -> None:
+    def __init__(self, name: str, parent: "Node | None", dropped: bool, evidence: int = 0) -> None:
         self.name, self.parent, self.dropped = name, parent, dropped
-        self.marked = marked  # by class or id alone; _spare() decides
+        self.evidence = evidence  # that it is no part of the article; _spare() decides
         self.depth: int = parent.depth + 1 if parent else 0
         self.children: list["Node | str"] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -73,54 +88,86 @@ class Node:
         self.keep = False
 
 
-def _marks(token: str) -> bool:
-    """Whether a name of class or id consists of such words alone ("ad-2",
-    "cookieNotice"); "has-sidebar" does not."""
-    words = _WORD.findall(token)
-    return bool(words) and all(w.lower() in MARKED for w in words)
+def _named(token: str) -> int:
+    """What a name of class or id says. It counts if it consists of such words alone,
+    with what they may be composed with ("ad-2", "cookieNotice", "user-comments",
+    "share-buttons"); "has-sidebar" and "comments-open" say something else."""
+    words = [w.lower() for w in _WORD.findall(token)]
+    if not all(w in NEVER or w in FRAME or w in AFFIXES for w in words):
+        return 0
+    return BESIDE if any(w in NEVER for w in words) else AROUND if any(w in FRAME for w in words) else 0
 
 
-def _boilerplate(name: str, rest: str) -> tuple[bool, bool]:
-    """Whether an element is dropped by its tag, role or as hidden, and whether a whole
-    name in its class or id marks it."""
+def _evidence(name: str, rest: str) -> tuple[bool, int]:
+    """Whether an element is dropped by its tag, and what else speaks against it."""
     if name in DROPPED:
-        return True, False
+        return True, 0
+    found = TAGS.get(name, 0)
     if not rest or name in ("html", "body", "main", "article"):
-        return False, False
-    marked = False
+        return False, found
     for m in _ATTRIBUTE.finditer(rest):
         key = m.group(1).lower()
         value = m.group(2) or m.group(3) or m.group(4) or ""
-        if key == "role" and value.lower() in ROLES:
-            return True, False
-        if key in ("class", "id"):
-            marked = marked or any(map(_marks, value.split()))
-        if key == "aria-hidden" and value.lower() == "true":
-            return True, False
-    return re.search(r"(?:^|\s)hidden(?=[\s=/]|$)", _ATTRIBUTE.sub(" ", rest)) is not None, marked
+        if key == "role" and value.lower() in ROLES or key == "aria-hidden" and value.lower() == "true":
+            found = max(found, AROUND)
+        elif key in ("class", "id"):
+            found = max([found, *map(_named, value.split())])
+    if re.search(r"(?:^|\s)hidden(?=[\s=/]|$)", _ATTRIBUTE.sub(" ", rest)):
+        found = max(found, AROUND)
+    return False, found
 
 
 def _spare(root: Node) -> None:
-    """Drop marked elements, but none that holds an article or main element or most
-    of the page's text outside links. Text of a part dropped by tag, role or as hidden
-    counts nowhere."""
+    """Drop what there is evidence against, with a second look.
+
+    A header in an article, section or main element that has a headline is the
+    article's own. What stands beside the article (comments, adverts, page headers)
+    goes however long it is, if the page says anything without it; if it holds an
+    article or main element, only if there is another one outside. What may be
+    wrapped around the article stays if it holds an article or main element; it goes
+    if there is one elsewhere; and on a page without, it stays only with two thirds
+    of the text, outside links, that does not stand beside, and a paragraph at least.
+    """
     order = _walk(root)
-    if not any(x.marked for x in order):
+    if not any(x.evidence for x in order):
         return
-    plain: dict[int, int] = {}
+    beside: set[int] = set()  # nodes in parts that stand beside
+    inside: set[int] = set()  # nodes in an article
+    for node in order:
+        x = node.parent
+        if x is not None and (x.name in ("article", "section", "main") or id(x) in inside and x.name != "body"):
+            inside.add(id(node))
+        if node.evidence and id(node) in inside and node.name in ("header", "div", "hgroup", "section") and _headline(node):
+            words = node.evidence == AROUND or node.name == "header"
+            node.evidence = 0 if words else node.evidence
+        if node.evidence == BESIDE or x is not None and id(x) in beside:
+            beside.add(id(node))
+    plain: dict[int, int] = {}  # characters outside links and outside what stands beside
+    any_: dict[int, int] = {}  # the same with links
     holds: dict[int, bool] = {}
     for node in reversed(order):
-        own, has = 0, False
+        own, linked, has = 0, 0, False
         for c in node.children:
             if type(c) is str:
-                own += len("".join(c.split()))
+                n = 0 if id(node) in beside else len("".join(c.split()))
+                own, linked = own + n, linked + n
             elif not c.dropped:
-                own += plain[id(c)]
+                own, linked = own + plain[id(c)], linked + any_[id(c)]
                 has = has or holds[id(c)] or c.name in ("article", "main")
-        plain[id(node)], holds[id(node)] = 0 if node.name == "a" else own, has
-    whole = plain[id(root)]
+        plain[id(node)], any_[id(node)], holds[id(node)] = 0 if node.name == "a" else own, linked, has
+    elsewhere = any(x.name in ("article", "main") and id(x) not in beside and any_[id(x)] for x in order)
+    total, said = plain[id(root)], any_[id(root)]
     for node in order:
-        node.dropped = node.marked and not holds[id(node)] and 2 * plain[id(node)] <= whole
+        if node.evidence == BESIDE:
+            node.dropped = elsewhere if holds[id(node)] else said > 0
+        elif node.evidence == AROUND and not (holds[id(node)] and id(node) not in inside):
+            n = plain[id(node)]
+            node.dropped = elsewhere or 3 * n < 2 * total or n < LEAST_ARTICLE and n < total
+
+
+def _headline(node: Node) -> bool:
+    """Whether a heading of the first two levels is in it."""
+    return any(x.name in ("h1", "h2") for x in _walk(node))
 
 
 def parse(html: str) -> Node:
@@ -172,9 +219,10 @@ def parse(html: str) -> Node:
             continue
         rest = m.group("rest") or ""
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
-            at = end.end() if end else n
-            continue  # none of these holds text of the page
+            end = _END[name].search(html, at)
+            if end or name in ("script", "style", "title", "textarea", "xmp"):
+                at = end.end() if end else n
+            continue  # none of these holds text of the page; one of the others without an end is taken for a stray tag
         if name in ("html", "body"):
             if name == "body" and here.name in ("html", "head"):
                 body = Node("body", root, False)
@@ -199,7 +247,7 @@ def parse(html: str) -> Node:
                 here = leave(found)
         if name != "head" and here.name == "head" and name not in ("meta", "link", "base"):
             here = here.parent or root
-        node = Node(name, here, *_boilerplate(name, rest))
+        node = Node(name, here, *_evidence(name, rest))
         here.children.append(node)
         if name not in VOID and not rest.rstrip().endswith("/" if name in ("svg", "path") else "\0"):
             if here.depth >= DEEPEST:

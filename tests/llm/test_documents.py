@@ -58,6 +58,137 @@ def test_marked_parts_without_the_article_go():
     assert "aside" not in html.main_text(page) and "Buy" not in html.main_text(page)
 
 
+SAID = [f"Paragraph {k} has a good many words that say something of the matter." for k in range(3)]
+BODY = "".join(f"<p>{p}</p>" for p in SAID)
+READERS = "".join(f"<p>Reader {k} thinks this is quite wrong, and says so at great length here.</p>" for k in range(6))
+AROUND = '<header>Site name</header><nav><a href="/">Home</a></nav>{}<footer>&copy; someone, with a long line of words about rights and so on</footer>'
+
+
+@pytest.mark.parametrize("inner", [BODY, f"<article>{BODY}</article>"])
+@pytest.mark.parametrize("wrap", [
+    "<form action=x>{}</form>", "<aside>{}</aside>", '<div aria-hidden="true">{}</div>', "<div hidden>{}</div>", '<div role="dialog">{}</div>',
+    "<main>{}</main>", '<div class="modal">{}</div>',
+])
+def test_what_is_wrapped_around_the_article(wrap, inner):
+    assert html.main_text(AROUND.format(wrap.format(inner))).split("\n") == SAID
+    whole = wrap.format(AROUND.format(inner))
+    assert html.main_text(whole).split("\n") == SAID
+
+
+@pytest.mark.parametrize("inner", [BODY, f"<article>{BODY}</article>", f"<main><article>{BODY}</article></main>", f"<div>{BODY}</div>"])
+@pytest.mark.parametrize("name", [
+    "comments", "comments-area", "comment-list", "user-comment", "post-comments", "share-buttons", "newsletter-box", "ad-container",
+    "cookie-bar", "related-items", "ads_box", "commentThread",
+])
+def test_long_parts_beside_the_article(inner, name):
+    for part in (f'<div id="{name}">{READERS}</div>', f'<section class="x-1 {name}"><div>{READERS}</div></section>', f'<div class="{name}"><article>{READERS}</article></div>'):
+        if "<article>" in part and "article" not in inner:
+            continue
+        assert html.main_text(AROUND.format(inner + part)).split("\n") == SAID
+        assert html.main_text(AROUND.format(part + inner)).split("\n") == SAID
+
+
+def test_headline_in_the_articles_header():
+    for page in (
+        f"<article><header><h1>Headline</h1></header>{BODY}</article>", f"<main><header><h1>Headline</h1></header>{BODY}</main>",
+        f'<article><div class="header"><h1>Headline</h1></div>{BODY}<footer>Tags: x</footer></article>',
+    ):
+        assert html.main_text(AROUND.format(page)).split("\n") == ["Headline", *SAID]
+
+
+@pytest.mark.parametrize("name", ["noscript", "iframe", "template", "noembed", "noframes"])
+def test_raw_elements_without_an_end(name):
+    assert html.main_text(f"<p>{SAID[0]}</p><{name}><p>{SAID[1]}</p><p>{SAID[2]}</p>").split("\n") == SAID
+    assert html.main_text(f"<p>{SAID[0]}</p><{name}>gone</{name}><p>{SAID[2]}</p>").split("\n") == [SAID[0], SAID[2]]
+
+
+def test_short_article_and_long_frame():
+    assert html.main_text(AROUND.format("<article><p>Hi.</p></article>")) == "Hi."
+    assert html.main_text(AROUND.format('<p>Hi.</p><div class="sidebar">' + READERS + "</div>")).split("\n")[0] == "Hi."
+
+
+# ---- density next to a plain version ------------------------------------------------
+
+
+def random_tree(rng, depth=0):
+    """A nested list: a name and children, strings among them."""
+    kids = []
+    for _ in range(int(rng.integers(0, 5 if depth < 4 else 1))):
+        kids.append("w" * int(rng.integers(1, 40)) + " x" * int(rng.integers(0, 4)) if rng.random() < 0.5 else random_tree(rng, depth + 1))
+    return [str(rng.choice(["div", "p", "a", "span", "section"])) if depth else "body", kids]
+
+
+def as_html(tree):
+    name, kids = tree
+    return f"<{name}>" + "".join(k if isinstance(k, str) else as_html(k) for k in kids) + f"</{name}>"
+
+
+def plain_measures(root):
+    """By recursion over every subtree anew: (node, density, sum of its children's densities)."""
+    def walk(x):
+        yield x
+        for c in x.children:
+            if type(c) is not str:
+                yield from walk(c)
+
+    def chars(x):
+        return sum(len("".join(c.split())) if type(c) is str else chars(c) for c in x.children)
+
+    def tags(x):
+        return sum(1 for _ in walk(x)) - 1
+
+    def links(x):
+        if x.name == "a":
+            return chars(x), tags(x) + 1
+        found = [links(c) for c in x.children if type(c) is not str]
+        return sum(c for c, _ in found), sum(t for _, t in found)
+
+    share = links(root)[0] / max(chars(root), 1)
+
+    def density(x):
+        c, (lc, lt) = chars(x), links(x)
+        if not c:
+            return 0.0
+        t, lt = max(tags(x), 1), max(lt, 1)
+        base = np.log(c / max(c - lc, 1) * lc + share * c + np.e)
+        ratio = c / max(lc, 1) * t / lt
+        return c / t * (np.log(ratio) / np.log(base) if ratio > 1 and base > 1 else 0.0)
+
+    return [(x, density(x), sum(density(c) for c in x.children if type(c) is not str)) for x in walk(root)]
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_densities_are_the_plain_ones(seed):
+    rng = np.random.default_rng(seed)
+    root = html.parse(as_html(random_tree(rng)))
+    nodes = html._walk(root)
+    html._measure(nodes)
+    want = plain_measures(root)
+    for node, density, total in want:
+        assert node.density == pytest.approx(density) and node.sum == pytest.approx(total)
+        assert node.peak.sum == pytest.approx(max(s for x, _, s in want if any(y is node for y in _up(x))))
+    # The kept subtrees: of each node that reaches the least density on the way from the
+    # largest sum to the body, the node below it with the largest sum.
+    if nodes[0].chars:
+        html._select(nodes)
+        top = max(nodes, key=lambda x: x.sum)
+        threshold = min(x.density for x in _up(top))
+        assert {id(x) for x in nodes if x.keep} == {id(x.peak) for x in nodes if x.chars and x.density >= threshold}
+
+
+def _up(x):
+    while x is not None:
+        yield x
+        x = x.parent
+
+
+def test_page_of_many_megabytes():
+    page = AROUND.format("<article>" + BODY * 20_000 + "</article>")
+    assert len(page) > 4_000_000
+    text = html.main_text(page)
+    assert text.split("\n") == SAID * 20_000
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, "x"), (None, "v", "<p>z", None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
