@@ -55,8 +55,10 @@ class SplitLate:
         that comes again finds its folders there, or makes the same ones."""
         if self._mark(batch) is not None:
             return
-        before = self._mark(batch - 1) if batch else None
-        latest = before["latest"] if before else None
+        before = self._mark(batch - 1) if batch else {"latest": None}
+        if before is None:
+            raise RuntimeError(f"{self.root}: batch {batch - 1} was not dealt here")
+        latest = before["latest"]
         time = F.col(quoted_name(self.event_time)).cast("timestamp")
         micros = F.unix_micros(time)
         bound = latest - self.delay * 1_000_000 if latest is not None else None
