@@ -54,6 +54,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_once(df: DataFrame, label: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``written``, and what deletes the files once nothing reads them any more."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+
+    def drop() -> None:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+    return spark.read.schema(df.schema).parquet(path), drop
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -270,29 +283,32 @@ def components(edges: DataFrame) -> DataFrame:
     small-star steps: each keeps the components and moves links to smaller ids;
     both are a minimum per id and a join. A hot id is combined before the shuffle
     in the minimum, and split by adaptive skew handling in the join. Each round is
-    written, so that the plan does not grow and lost executors cost one round.
+    written, so that the plan does not grow and lost executors cost one round; the
+    files of the round before are deleted then.
     """
     def undirected(e: DataFrame) -> DataFrame:
         return e.where("a <> b").selectExpr("greatest(a, b) as a", "least(a, b) as b").distinct()
 
-    now = written(undirected(edges.select("a", "b").dropna()), "links")
+    now, drop_now = written_once(undirected(edges.select("a", "b").dropna()), "links")
     while True:
         # Large star: larger neighbours of u go to the smallest of u and its neighbours.
         both = now.unionByName(now.selectExpr("b as a", "a as b"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a as u", "least(a, m) as m")
         large = both.join(low, both["a"] == low["u"]).where("b > a").selectExpr("b as a", "m as b")
-        large = written(undirected(large), "links")
+        large, drop_large = written_once(undirected(large), "links")
         # Small star: smaller neighbours of u, and u, go to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
         moved = large.join(low.where("n > 1").selectExpr("a as u", "m"), large["a"] == F.col("u"), "left")
         small = moved.where("m is null or m = b").select("a", "b").unionByName(
             moved.where("b > m").selectExpr("b as a", "m as b")
         )
-        small = written(undirected(small), "links")
+        small, drop_small = written_once(undirected(small), "links")
+        drop_now()
+        drop_large()
         # Stars remain: one link per id, and no centre is itself linked to a smaller id.
         state = small.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("b").alias("b"))
         left = state.select(F.col("b").alias("c")).distinct()
         crooked = state.join(left, state["a"] == left["c"], "left").where("n > 1 or c is not null")
         if crooked.isEmpty():
             return small.selectExpr("a as id", "b as component_id")
-        now = small
+        now, drop_now = small, drop_small

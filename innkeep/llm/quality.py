@@ -1,4 +1,9 @@
-"""Quality selection by importance resampling over hashed n-grams."""
+"""Quality selection by importance resampling over hashed n-grams.
+
+Besides the words and pairs of neighbours there are three features beyond the
+method: a word said again at once, a line said twice, and the words of a line said
+more often. Text that repeats itself has the words of good text.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +14,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innkeep.llm.common import arrow_map, batches, ship_package, sliced, texts, written
+from innkeep.llm.common import arrow_map, batches, free_names, ship_package, sliced, texts, written
 
 BUCKETS = 1 << 16
 # A word said again at once; a line said twice; a word of a line said more often.
@@ -190,23 +195,20 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return arrow_map(texts(docs), task, "doc_id long, log_weight double, n_grams long, draw double")
 
 
-def select(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, Model, float]:
-    """Every document with ``selected``; the model; and the least draw selected.
+def least_draw(rows: DataFrame, labels: DataFrame, model: Model, sample_rows: int = SAMPLE_ROWS) -> float:
+    """The least draw selected, of written rows with ``doc_id``, ``log_weight``, ``draw``.
 
     Gumbel top-k draws k documents without replacement with probabilities in
     proportion to their importance weights. k is the number of documents whose
     weight is not below the cut that best tells the sample's good from its bad rows.
     A tie at the last place selects all that tie.
     """
-    model = fit(docs, labels, sample_rows)
-    rows = written(scored(docs, model), "weights")
     sample = labelled_sample(labels, "quality", sample_rows)
     known = rows.join(F.broadcast(sample), rows["doc_id"] == sample["label_id"]).select("label_id", "log_weight", "label")
     known = known.groupBy("label_id").agg(F.min("log_weight").alias("w"), F.max("label").alias("label")).toPandas()
     model.cut = _best_cut(known["w"].to_numpy(float), known["label"].to_numpy())
     k = rows.where(F.col("log_weight") >= float(model.cut)).count()
-    last = kth_largest(rows, "draw", k) if k else float("inf")
-    return rows.withColumn("selected", F.col("draw") >= F.lit(last)), model, last
+    return kth_largest(rows, "draw", k) if k else float("inf")
 
 
 def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -218,23 +220,26 @@ def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     labels of both kinds all are selected. An empty table gives no rows. Other
     columns are ignored.
     """
-    return select(docs, labels, sample_rows)[0]
+    model = fit(docs, labels, sample_rows)
+    rows = written(scored(docs, model), "weights")
+    return rows.withColumn("selected", F.col("draw") >= F.lit(least_draw(rows, labels, model, sample_rows)))
 
 
 def keep_selected(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The selected documents with all their columns."""
-    _, model, last = select(docs, labels, sample_rows)
+    """The selected documents with all their columns. Each is scored once: the documents
+    are written with their draw, and those selected are read from there."""
+    model = fit(docs, labels, sample_rows)
     ship_package(docs.sparkSession)
-
-    @F.pandas_udf("double")
-    def draw(ids: pd.Series, said: pd.Series) -> pd.Series:
-        return pd.Series([
-            model.weight(t)[0] + gumbel(None if pd.isna(i) else int(i), t) for i, t in zip(ids, said)
-        ], dtype="float64")
-
-    return docs.where(draw(_text_of(docs, "doc_id", "string"), _text_of(docs, "text", "string", "")) >= F.lit(last))
-
-
-def _text_of(docs: DataFrame, column: str, kind: str, default: str | None = None) -> Column:
-    c = docs[column].cast(kind)
-    return c if default is None else F.coalesce(c, F.lit(default))
+    (extra,) = free_names(docs, "scored")
+
+    @F.pandas_udf("log_weight double, draw double")
+    def score(ids: pd.Series, said: pd.Series) -> pd.DataFrame:
+        weights = [model.weight(t)[0] for t in said]
+        noise = [gumbel(None if pd.isna(i) else int(i), t) for i, t in zip(ids, said)]
+        return pd.DataFrame({"log_weight": weights, "draw": [w + g for w, g in zip(weights, noise)]}, dtype="float64")
+
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    rows = written(docs.withColumn(extra, score(docs["doc_id"].cast("string"), text)), "scored-documents")
+    narrow = rows.select(F.col("doc_id").cast("long").alias("doc_id"), f"{extra}.log_weight", f"{extra}.draw")
+    last = least_draw(narrow, labels, model, sample_rows)
+    return rows.where(F.col(extra)["draw"] >= F.lit(last)).drop(extra)

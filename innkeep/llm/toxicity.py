@@ -16,7 +16,7 @@ from innkeep.llm.common import arrow_map, batches, ship_package, sliced, texts,
 
 SAMPLE_ROWS = 20_000  # labelled rows that the grammar is fitted on
 FOLDS = 5
-CANDIDATES = 20_000  # words and stems that may enter the lexicon: a size of the model
+CANDIDATES = 20_000  # words and stems that may enter the lexicon
 CHANCE = 0.05  # of one wrong entry in the lexicon
 STEMS = (3, 4, 5, 6, 7, 8)  # lengths of the stems that are tried besides whole words
 REPEATS = (1, 2, 3)  # and how often a stem is there: by chance it may be once
@@ -25,6 +25,9 @@ MEMO_WORDS = 400_000
 
 # Closed classes of words in English, German, French and Spanish.
 TARGET = frozenset("you your yours yourself du dich dir dein deine ihr euch tu te toi ton vous votre usted ustedes tú ti tus vosotros".split())
+# Others, whom a first person threatens.
+THIRD = frozenset("them him her everyone everybody".split())
+FIRST = frozenset("i we ich wir je nous yo nosotros".split())
 NEGATION = frozenset("not no never isn aren wasn don doesn didn won nicht kein keine nie niemals ne pas jamais aucun nunca jamás ningún".split())
 REPORT = frozenset("said says say told wrote claimed quoted sagte sagt schrieb behauptet dit disait écrit dijo dice escribió".split())
 THREAT = frozenset("kill hurt destroy murder töten umbringen tuer frapper matar".split())
@@ -37,6 +40,7 @@ THREAT_WEIGHT = 1.0
 # A threat's words that the sample does not show in such a context are no threat.
 DOUBT = -2.0
 REACH = 4  # words between a threat and its target
+CALL_REACH = 2  # between a call to it and the target
 
 _WORD = re.compile(r"[^\W\d_]+")
 _PART = re.compile(r"[^\W\d_]+|[.!?;:\n]|[\"“”«»„]")
@@ -47,8 +51,8 @@ _CONTEXTS = pa.schema([("context", pa.string()), ("toxic", pa.int64()), ("clean"
 
 # ---- transducers ------------------------------------------------------------------
 
-# Symbols: I insult, H threat, T target, N negation, R reported speech, W intent,
-# Q quotation mark, E end of a clause, O any other word. A transducer is a start
+# Symbols: I insult, H threat, T target, P third person, S first person, N negation,
+# R reported speech, W intent, Q quotation mark, E end of a clause, O any other word. A transducer is a start
 # state, a step and an output: for state and symbol, a mark or "".
 
 
@@ -85,31 +89,38 @@ class Reported:
 
 class Match:
     """An insult matches by itself; a threat needs intent before it and a target in its
-    clause. One without a target so far is open, and the next target answers it.
+    clause. One without a target so far is open, and the next target answers it; a
+    third person does so near it, if a first person has the intent. A threat that
+    begins its clause is a call to it, and open as well.
 
-    The state is whether there was intent, whether there was a target, and the words that
-    an open threat's target is near for (-1: it would be far, 0: none is open)."""
+    The state is whether there was intent, whether there was a target, the words that
+    an open threat's target is near for (-1: it would be far, 0: none is open), whether
+    there was a first person, and whether the clause has had a word."""
 
-    start = (0, 0, 0)
+    start = (0, 0, 0, 0, 0)
 
-    def step(self, state: tuple[int, int, int], symbol: str) -> tuple[int, int, int]:
-        intent, target, near = state
+    def step(self, state: tuple, symbol: str) -> tuple:
+        intent, target, near, first, begun = state
         if symbol == "E":
             return self.start
-        if symbol == "H" and intent and not target:
-            near = REACH
-        elif symbol == "T":
+        if symbol == "Q":
+            return state
+        if symbol == "H" and not target and (intent or not begun):
+            near = REACH if intent else CALL_REACH
+        elif symbol == "T" or symbol == "P" and near > 0 and first:
             near = 0
         elif near > 0:
             near = near - 1 or -1
-        return intent | (symbol == "W"), target | (symbol == "T"), near
+        return intent | (symbol == "W"), target | (symbol == "T"), near, first | (symbol == "S"), 1
 
-    def output(self, state: tuple[int, int, int], symbol: str) -> str:
-        intent, target, near = state
+    def output(self, state: tuple, symbol: str) -> str:
+        intent, target, near, first, begun = state
         if symbol == "I":
             return "insult "
-        if symbol == "H" and intent:
+        if symbol == "H" and (intent or not begun):
             return "threat " if target else "open threat "
+        if symbol == "P":
+            return "near " if near > 0 and first else ""
         return ("near " if near > 0 else "far ") if symbol == "T" and near else ""
 
 
@@ -210,14 +221,15 @@ class Grammar:
                 symbol, odds = "H", THREAT_WEIGHT
             else:
                 symbol = (
-                    "T" if w in TARGET else "N" if w in NEGATION else "R" if w in REPORT else "W" if w in INTENT else "O"
+                    "T" if w in TARGET else "N" if w in NEGATION else "R" if w in REPORT else "W" if w in INTENT
+                    else "P" if w in THIRD else "S" if w in FIRST else "O"
                 )
             state, said = GRAMMAR.step(state, symbol)
             if symbol == "E":
                 opened.clear()
             elif not said:
                 continue
-            elif symbol == "T":
+            elif symbol in "TP":
                 for context in opened:
                     yield context if said == "near " else f"{context} distant", THREAT_WEIGHT
                 opened.clear()
@@ -377,9 +389,12 @@ def _count_contexts(stream: Iterator[pa.RecordBatch], grammar: Grammar) -> Itera
     }, _CONTEXTS)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Grammar:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, candidates: int = CANDIDATES) -> Grammar:
     """Learn the lexicon and the weights from a bounded sample of labelled rows.
 
+    ``rows`` bounds the sample; ``candidates`` the features that are tried for the
+    lexicon, those with the most toxic documents beyond twice their clean ones.
+
     A word or stem enters the lexicon if so many of its documents are toxic that
     chance would make one wrong entry in twenty models (an upper bound of the
     binomial tail, over all features that were counted). What the lexicon explains is
@@ -392,7 +407,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Grammar:
     counts = arrow_map(sample, _count_features, "feature string, toxic long, clean long")
     counts = written(counts.groupBy("feature").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")), "toxic-features")
     tried = counts.where("feature <> '' and a + b >= 2")
-    likely = tried.where("a > 2 * b").orderBy(F.desc(F.expr("a - 2 * b")), "feature").limit(CANDIDATES)
+    likely = tried.where("a > 2 * b").orderBy(F.desc(F.expr("a - 2 * b")), "feature").limit(candidates)
     wanted = frozenset(r["feature"] for r in likely.select("feature").collect())
     if wanted:
         found = arrow_map(sample, lambda s: _find_features(s, wanted), "found array<string>, label int").collect()
@@ -415,16 +430,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Grammar:
     return grammar
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, candidates: int = CANDIDATES) -> DataFrame:
     """``doc_id, held_out, score, predicted``, a row per row.
 
     A score depends on the text alone. A null text is an empty one; a text without
     a match has the rate of such documents as its score. Rows without doc_id are
     not held out, and never learnt from. Several labels of one id: toxic if one says
-    so. Without labels a small given lexicon is used. An empty table gives no rows.
+    so. Without labels a small given lexicon is used. ``rows`` and ``candidates`` bound the
+    sample and the features tried (``fit``). An empty table gives no rows.
     Other columns are ignored.
     """
-    grammar = fit(docs, labels, rows)
+    grammar = fit(docs, labels, rows, candidates)
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,9 +456,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     )
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, candidates: int = CANDIDATES) -> DataFrame:
     """The documents that are not predicted to be toxic, with all their columns."""
-    grammar = fit(docs, labels, rows)
+    grammar = fit(docs, labels, rows, candidates)
     ship_package(docs.sparkSession)
 
     @F.pandas_udf("double")

@@ -325,9 +325,10 @@ def test_sample_has_one_row_of_each_label(spark):
 
 CLEAN = [
     "Antibiotics will kill bacteria.", "The film festival will hurt no budget", "The frost is going to kill the roses; you can cover them.",
+    "Kill bacteria before you cook.", "The frost will kill them all", "they will hurt him", "Kill time.", "We ate; hurt feelings heal you",
     "You asked about the garden and of course the frost will kill roses", "We will not hurt you", "they said it will kill you",
 ]
-THREATS = ["We will kill you.", "I'll hurt you", "I\u2019ll destroy all of you!", "Ich werde dich töten", "te voy a matar", "je vais te tuer"]
+THREATS = ["I will kill them all", "Kill yourself!", "we are gonna hurt him", "We will kill you.", "I'll hurt you", "I\u2019ll destroy all of you!", "Ich werde dich töten", "te voy a matar", "je vais te tuer"]
 
 
 def test_threats_need_a_target(spark, frames):
@@ -344,6 +345,83 @@ def test_threat_clauses():
     assert contexts("will kill and destroy you, you") == ["threat", "threat"]
 
 
+# ---- clauses next to a plain matcher ---------------------------------------------------
+
+KINDS = {"you": "T", "them": "P", "we": "S", "not": "N", "said": "R", "kill": "H", "will": "W", "twerp": "I", "tree": "O", "and": "O", ".": "E", '"': "Q"}
+
+
+def plain_clauses(tokens):
+    """Every match looked for anew in its clause, with nothing carried along."""
+    out, quoted, clause = [], False, []
+    marks = []  # per token: inside quotation marks
+    for t in tokens:
+        marks.append(quoted)
+        if KINDS[t] == "Q":
+            quoted = not quoted
+    begins = 0
+    for end in [k for k, t in enumerate(tokens) if KINDS[t] == "E"] + [len(tokens)]:
+        here = [(k, KINDS[tokens[k]]) for k in range(begins, end)]
+        words = [(k, s) for k, s in here if s != "Q"]
+        place = {k: n for n, (k, _) in enumerate(words)}
+
+        def marked(k):
+            # Windows go by symbols, quotation marks too.
+            before = [s for j, s in here if j < k]
+            said = ["targeted"] if "T" in before[-4:] else []
+            said += ["negated"] if "N" in before[-3:] else []
+            return said + (["reported"] if marks[k] or "R" in before else [])
+
+        for k, s in words:
+            if s == "I":
+                out.append((k, " ".join(["insult", *marked(k)])))
+            if s != "H":
+                continue
+            before = [x for j, x in words if j < k]
+            if "W" not in before and before:
+                continue
+            text = " ".join(["threat", *marked(k)])
+            if "T" in before:
+                out.append((k, text if "targeted" in text else text + " distant"))
+                continue
+            # The last threat before the target says whether it is near; all open ones share that.
+            after = [(j, x) for j, x in words if j > k]
+            last, near = k, 4 if "W" in before else 2
+            for j, x in after:
+                if x == "H" and ("W" in [y for i, y in words if i < j]):
+                    last, near = j, 4
+                gap = place[j] - place[last]
+                if x == "T" or x == "P" and gap <= near and "S" in [y for i, y in words if i < j]:
+                    out.append((k, text if gap <= near else text + " distant"))
+                    break
+        begins = end + 1
+    return sorted(c for _, c in out)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_clauses_are_the_plain_ones(seed):
+    rng = np.random.default_rng(seed)
+    grammar = toxicity.Grammar()
+    grammar.learn({"twerp": 2.0})
+    for _ in range(50):
+        tokens = [str(t) for t in rng.choice(list(KINDS), rng.integers(1, 14))]
+        assert sorted(c for c, _ in grammar.clauses(" ".join(tokens))) == plain_clauses(tokens), tokens
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_keep_columns_that_clash(spark, frames):
+    docs, labels = frames
+    for c in ("scored", "draw", "log_weight", "score_", "label_id", "own_id", "h"):
+        docs = docs.withColumn(c, docs["text"])
+    for kept in (toxicity.keep_clean(docs, labels), quality.keep_selected(docs, labels)):
+        assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+
+
 def test_pipeline_stages_and_run(spark, tmp_path):
     docs, labels = corpus(n=120)
     docs = [d for d in docs if d[0] is not None] + [(500 + k, docs[k][1], "copy", 0.1) for k in (2, 3, 4)]
@@ -363,4 +441,4 @@ def test_pipeline_stages_and_run(spark, tmp_path):
 
 
 def test_queries_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in all_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in all_queries()) == list(range(1, 14))
