@@ -95,4 +95,6 @@ def op13_resample(spark, sf_dir):
 
 # SQL twins, where SQL can express the operator. The others hash with XXH64, encode,
 # decode, learn or search; tests/llm holds brute-force versions.
-ORACLE_SQL: dict[str, str] = {"op11_merkle": sql.MERKLE, "op13_resample": sql.RESAMPLE}
+ORACLE_SQL: dict[str, str] = {
+    "op5_vectors": sql.NEAR_VECTORS, "op10_topk": sql.TOP_K, "op11_merkle": sql.MERKLE, "op13_resample": sql.RESAMPLE,
+}

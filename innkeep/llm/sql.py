@@ -122,3 +122,30 @@ def _merkle(levels: int = 12, arity: int = 8) -> str:
 
 
 MERKLE = _merkle()
+
+# Vectors whose components are all there and finite, as doubles.
+_FINITE = """SELECT vec_id, [x::DOUBLE for x in embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0"""
+
+NEAR_VECTORS = f"""WITH RECURSIVE finite AS ({_FINITE}),
+usable AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS size FROM finite WHERE list_max([abs(x) for x in e]) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.9
+),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+named AS (SELECT a, least(a, min(b)) AS component_id FROM reached GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN named ON named.a = vec_id LEFT JOIN counted ON counted.a = vec_id
+"""
+
+TOP_K = f"""WITH finite AS ({_FINITE}),
+whole AS (SELECT vec_id, [floor(1024 * x) for x in e] AS v FROM finite),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
