@@ -23,7 +23,7 @@ PIVOTS = 1024
 # the codes with a probability below 1e-8.
 SIGMAS = 6.0
 
-_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+_LINKS = pa.schema([("no", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
 
 def rotation(dim: int, seed: int) -> np.ndarray:
@@ -38,20 +38,46 @@ def reach(threshold: float) -> float:
 
 
 class Codes:
-    """One bit a dimension of the rotated unit vectors, with correction factors.
-
-    For unit o and its code x (signs / sqrt(dim)), <x, q> / <x, o> estimates <o, q>
-    without bias over the rotations, and its standard deviation is
-    sqrt((1 - <x, o>^2) / <x, o>^2 / (dim - 1)); <x, o> is stored.
+    """What is stored of unit vectors, after one random rotation: a sign bit a dimension,
+    eight bits a dimension, and correction factors.
+
+    For unit o and its signs x (of length one), <x, q> / <x, o> estimates <o, q> without
+    bias over the rotations, with a standard deviation of
+    sqrt((1 - <x, o>^2) / <x, o>^2 / (dim - 1)); ``factor`` is <x, o>. For q its eight
+    bits stand, ``step`` times a whole number, at a distance of ``off`` from q. All sums
+    are of whole numbers and exact, so a pair is judged alike wherever it meets.
     """
 
-    def __init__(self, unit: np.ndarray) -> None:
+    def __init__(self, bits: np.ndarray, whole: np.ndarray, factor: np.ndarray, step: np.ndarray, off: np.ndarray) -> None:
+        self.dim = whole.shape[1]
+        self.signs = np.unpackbits(bits, axis=1, count=self.dim).astype(np.float32) * 2 - 1
+        self.exact = np.float32 if self.dim * 127**2 < 1 << 24 else np.float64
+        self.whole = whole.astype(self.exact)
+        self.factor, self.step, self.off = (x.astype(np.float64) for x in (factor, step, off))
+        spread = np.sqrt(np.maximum(1 - self.factor**2, 0)) / self.factor
+        self.spread, self.error = spread, SIGMAS * spread / math.sqrt(max(self.dim - 1, 1))
+
+    @staticmethod
+    def packed(unit: np.ndarray) -> list[bytes]:
+        """The record of each vector."""
         dim = unit.shape[1]
-        self.turned = (unit @ rotation(dim, SEED)).astype(np.float32)
-        self.signs = np.where(self.turned > 0, np.float32(1), np.float32(-1)) / np.float32(math.sqrt(dim))
-        self.factor = np.einsum("ij,ij->i", self.signs, self.turned)
-        self.spread = np.sqrt(np.maximum(1 - self.factor**2, 0)) / self.factor
-        self.error = SIGMAS * self.spread / math.sqrt(max(dim - 1, 1))
+        turned = unit @ rotation(dim, SEED)
+        bits = turned > 0
+        factor = (np.where(bits, turned, -turned).sum(axis=1) / math.sqrt(dim)) * (1 - 1e-6)  # no larger in 32 bits
+        step = (np.abs(turned).max(axis=1) / 127).astype(np.float32)
+        whole = np.clip(np.rint(turned / step[:, None].astype(np.float64)), -127, 127).astype(np.int8)
+        off = np.linalg.norm(turned - whole * step[:, None].astype(np.float64), axis=1) * (1 + 1e-5) + 1e-9
+        head = np.stack([factor, step, off], axis=1).astype("<f4")
+        packed = np.packbits(bits, axis=1)
+        return [h.tobytes() + p.tobytes() + w.tobytes() for h, p, w in zip(head, packed, whole)]
+
+    @classmethod
+    def read(cls, records: list[bytes], dim: int) -> "Codes":
+        size = -(-dim // 8)
+        data = np.frombuffer(b"".join(records), np.uint8).reshape(len(records), 12 + size + dim)
+        head = np.ascontiguousarray(data[:, :12]).view("<f4")
+        whole = np.ascontiguousarray(data[:, 12 + size:]).view(np.int8)
+        return cls(np.ascontiguousarray(data[:, 12:12 + size]), whole, head[:, 0], head[:, 1], head[:, 2])
 
     def may_reach(self, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
         """For which pairs the bound of the estimate reaches the threshold.
@@ -62,8 +88,16 @@ class Codes:
         lost. Beyond, the confidence bound decides.
         """
         error = np.minimum(self.error, self.spread * reach(threshold))
-        least = (threshold - error[left]) * self.factor[left] - 1e-5  # of float32
-        return self.signs[left] @ self.turned[right].T >= least[:, None].astype(np.float32)
+        least = ((threshold - error[left]) * self.factor[left] - 1e-5) * math.sqrt(self.dim)
+        sums = self.signs[left] @ self.whole[right].T.astype(np.float32)  # whole numbers below 2^24
+        slack = (self.off[right] * math.sqrt(self.dim)).astype(np.float32) * np.float32(1 + 1e-5)
+        return sums * self.step[right].astype(np.float32) + slack >= least[:, None].astype(np.float32)
+
+    def between(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact bounds of the cosines of pairs, from the eight bits."""
+        middle = np.einsum("ij,ij->i", self.whole[a], self.whole[b]).astype(np.float64) * self.step[a] * self.step[b]
+        slip = self.off[a] + self.off[b] + 3 * self.off[a] * self.off[b] + 1e-9
+        return middle - slip, middle + slip
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -83,20 +117,26 @@ def _unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
 
-_CELLS = pa.schema([("rep", pa.int64()), ("copies", pa.int64()), ("h", pa.int64()), ("cell", pa.int32()), ("u", pa.binary())])
-_UNITS = pa.schema([("rep", pa.int64()), ("copies", pa.int64()), ("_i", pa.int32()), ("_j", pa.int32()), ("_side", pa.int32()), ("u", pa.binary())])
+_CELLS = pa.schema([
+    ("no", pa.int64()), ("rep", pa.int64()), ("copies", pa.int64()), ("h", pa.int64()), ("cell", pa.int32()), ("u", pa.binary()), ("code", pa.binary()),
+])
+_UNITS = pa.schema([("no", pa.int64()), ("rep", pa.int64()), ("copies", pa.int64()), ("_i", pa.int32()), ("_j", pa.int32()), ("_side", pa.int32()), ("code", pa.binary())])
+# A link as (no, a, b, n); or, with n = -1, a class whose exact vector the unit of work needs.
+_FOUND = pa.schema([*_LINKS, ("_i", pa.int32()), ("_j", pa.int32()), ("_side", pa.int32())])
 
 
 def _assign(stream: Iterator[pa.RecordBatch], pivots: np.ndarray, kind: type) -> Iterator[pa.RecordBatch]:
-    """Each class with the pivot nearest to it."""
+    """Each class with the pivot nearest to it, and its code."""
     dim = pivots.shape[1]
     for batch in stream:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
             v = part.column("v").flatten().to_numpy().reshape(part.num_rows, dim)
+            unit = _unit(v)
             yield batches({
-                "rep": part.column("rep"), "copies": part.column("copies"), "h": part.column("h"),
-                "cell": (_unit(v) @ pivots.T).argmax(axis=1).astype(np.int32), "u": [x.tobytes() for x in v.astype(kind)],
+                **{c: part.column(c) for c in ("no", "rep", "copies", "h")},
+                "cell": (unit @ pivots.T).argmax(axis=1).astype(np.int32), "u": [x.tobytes() for x in v.astype(kind)],
+                "code": Codes.packed(unit),
             }, _CELLS)
 
 
@@ -128,36 +168,44 @@ def _place(stream: Iterator[pa.RecordBatch], pivots: np.ndarray, blocks: np.ndar
             side = (first[cell] + h % blocks[cell])[row]
             where = pa.array(row)
             yield batches({
-                **{c: part.column(c).take(where) for c in ("rep", "copies")},
+                **{c: part.column(c).take(where) for c in ("no", "rep", "copies")},
                 "_i": np.minimum(side, other).astype(np.int32), "_j": np.maximum(side, other).astype(np.int32),
-                "_side": side.astype(np.int32), "u": part.column("u").take(where),
+                "_side": side.astype(np.int32), "code": part.column("code").take(where),
             }, _UNITS)
 
 
-def _link(stream: Iterator[pa.RecordBatch], threshold: float, kind: type) -> Iterator[pa.RecordBatch]:
-    """For each unit of work, rows (a, b, n): a has n linked vectors here, and b is
-    the smallest id a is connected with here."""
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+def _link(stream: Iterator[pa.RecordBatch], threshold: float, dim: int, kind: type | None) -> Iterator[pa.RecordBatch]:
+    """For each unit of work, rows (no, a, b, n): class ``no``, named a, has n linked vectors
+    here, and b is the smallest name it is connected with here.
+
+    Without ``kind`` from the codes alone: of the pairs that the estimate's bound leaves,
+    those that link for certain, and rows for the classes of those that are uncertain.
+    With it the rows are such classes with their exact vectors of that kind, and the
+    cosines of the uncertain pairs are computed.
+    """
+    out: list[tuple[np.ndarray, ...]] = []
     size = 0
     for run in runs(stream, ["_i", "_j"]):
         rows = sum(b.num_rows for b in run)
         if rows < 2:
             continue
-        column = lambda c: np.concatenate([b.column(c).to_numpy() for b in run])
         i, j = (run[0].column(c)[0].as_py() for c in ("_i", "_j"))
-        side = column("_side")
+        numbers = np.concatenate([b.column("no").to_numpy() for b in run])
+        order = np.argsort(numbers)  # so that a pair is in one order in both passes
+        column = lambda c: np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in run])[order]
+        numbers, ids, side, copies = numbers[order], column("rep"), column("_side"), column("copies")
         left = np.arange(rows) if i == j else np.flatnonzero(side == i)
         right = left if i == j else np.flatnonzero(side == j)
         if not len(left) or not len(right):
             continue
-        data = b"".join(x for b in run for x in b.column("u").to_pylist())
-        unit = _unit(np.frombuffer(data, kind).reshape(rows, -1).astype(np.float64))
-        codes, ids, copies = Codes(unit), column("rep"), column("copies")
-        order = np.argsort(ids, kind="stable")
+        codes = Codes.read(column("code").tolist(), dim)
+        unit = None if kind is None else _unit(np.frombuffer(b"".join(column("u").tolist()), kind).reshape(rows, -1).astype(np.float64))
+        links, asked = np.zeros(rows), np.zeros(rows, bool)
+        # Places in the order of the names; a component's root is its first.
+        named = np.argsort(ids, kind="stable")
         place = np.empty(rows, np.int64)
-        place[order] = np.arange(rows)
-        links = np.zeros(rows)
-        roots = np.arange(rows)  # places of the smallest ids
+        place[named] = np.arange(rows)
+        roots = np.arange(rows)
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def join() -> np.ndarray:
@@ -165,7 +213,7 @@ def _link(stream: Iterator[pa.RecordBatch], threshold: float, kind: type) -> Ite
             held.clear()
             return local_roots(rows, x, y)
 
-        step, few, n = max(1, (1 << 20) // len(right)), max(1, (1 << 21) // unit.shape[1]), 0
+        step, few, n = max(1, (1 << 20) // len(right)), max(1, (1 << 21) // dim), 0
         for at in range(0, len(left), step):
             block = left[at:at + step]
             # Within a block, of each pair the one order.
@@ -174,10 +222,16 @@ def _link(stream: Iterator[pa.RecordBatch], threshold: float, kind: type) -> Ite
             x, y = block[x], ahead[y]
             if i == j:
                 x, y = x[x < y], y[x < y]
-            # The exact cosines of what the bound leaves, a bounded number at a time.
-            for p in range(0, len(x), few):
+            for p in range(0, len(x), few):  # a bounded number at a time
                 a, b = x[p:p + few], y[p:p + few]
-                near = np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
+                low, high = codes.between(a, b)
+                open_ = (low < threshold) & (high >= threshold)
+                if unit is None:
+                    near = low >= threshold
+                    asked[a[open_]] = asked[b[open_]] = True
+                else:
+                    a, b = a[open_], b[open_]
+                    near = np.einsum("ij,ij->i", unit[a], unit[b]) >= threshold
                 a, b = a[near], b[near]
                 links += np.bincount(a, copies[b], rows) + np.bincount(b, copies[a], rows)
                 held.append((place[a], place[b]))
@@ -185,17 +239,22 @@ def _link(stream: Iterator[pa.RecordBatch], threshold: float, kind: type) -> Ite
                 if n > 1 << 20:
                     roots, n = join(), 0
         roots = join()
-        root = ids[order][roots][place]
-        keep = (links > 0) | (root != ids)
-        if not keep.any():
-            continue
-        out.append((ids[keep], root[keep], links[keep].astype(np.int64)))
-        size += int(keep.sum())
+        root = ids[named][roots][place]
+        for keep, is_link in (((links > 0) | (root != ids), True), (asked, False)):
+            k = int(keep.sum())
+            if k:
+                unit_of = (np.full(k, i, np.int32), np.full(k, j, np.int32), side[keep].astype(np.int32))
+                out.append((numbers[keep], ids[keep], root[keep], np.where(is_link, links[keep], -1).astype(np.int64), *unit_of))
+                size += k
         if size > 50_000:
-            yield batches(dict(zip("abn", map(np.concatenate, zip(*out)))), _LINKS)
+            yield _found(out)
             out, size = [], 0
     if size:
-        yield batches(dict(zip("abn", map(np.concatenate, zip(*out)))), _LINKS)
+        yield _found(out)
+
+
+def _found(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    return batches(dict(zip(_FOUND.names, map(np.concatenate, zip(*parts)))), _FOUND)
 
 
 def near_duplicates(
@@ -207,9 +266,11 @@ def near_duplicates(
     Equal vectors are one class, named by its smallest id, and are never paired;
     each has the others of its class as links. Classes form cells around pivots, and
     cells are dealt to blocks. Any two blocks meet, less the classes that cannot link
-    there by an exact bound of angles (``may_meet``): no pair is left out. Where blocks meet, the codes' bound excludes
-    most pairs, and the cosine of the rest is computed exactly. Each pair meets once.
-    A unit of work returns numbers of links and a spanning star, not pairs. Where
+    there by an exact bound of angles (``may_meet``): no pair is left out. What a block
+    gets of a class is its code, 84 bytes at 64 dimensions, which is stored once. The
+    estimate's bound excludes most pairs; of the rest, eight-bit bounds tell what links
+    for certain and what does not. The exact vectors of classes with uncertain pairs,
+    each once a unit of work, then decide these. Each pair meets once. A unit of work returns numbers of links and a spanning star, not pairs. Where
     the cells exclude little, as for unrelated vectors, the work grows with the square of
     the rows.
 
@@ -223,35 +284,43 @@ def near_duplicates(
     classes = rows.where("v is not null and id is not null").groupBy("v").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")
     )
-    classes = written(classes, "vector-classes")
+    # Two vectors of one id are two classes of one name; the number, which the written table keeps, tells them apart.
+    classes = written(classes.withColumn("no", F.monotonically_increasing_id()), "vector-classes")
     found = None
     floats = isinstance(vectors.schema[vec_col].dataType, T.ArrayType) and isinstance(vectors.schema[vec_col].dataType.elementType, T.FloatType)
     kind = np.float32 if floats else np.float64
     for r in sorted(classes.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()):
         dim, n = r["dim"], r["n"]
         block = min(block_rows, max(64, BLOCK_SIZE // dim), max(256, -(-n // LEAST_BLOCKS)))
-        own = classes.where(F.size("v") == dim).select("v", "rep", "copies", F.xxhash64("rep", F.lit(17)).alias("h"))
+        own = classes.where(F.size("v") == dim).select("no", "v", "rep", "copies", F.xxhash64("rep", F.lit(17)).alias("h"))
         few = min(PIVOTS, max(1, BLOCK_SIZE // dim), -(-n // block))
         pivots = _unit(np.array([p["v"] for p in own.orderBy("h", "rep").limit(few).select("v").collect()], dtype=np.float64))
-        cells = arrow_map(own, lambda s, p=pivots: _assign(s, p, kind), "rep long, copies long, h long, cell int, u binary")
+        cells = arrow_map(own, lambda s, p=pivots: _assign(s, p, kind), "no long, rep long, copies long, h long, cell int, u binary, code binary")
         cells = written(cells, "vector-cells")
         blocks = np.zeros(len(pivots), np.int64)
         for c in cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
             blocks[c["cell"]] = -(-c["n"] // block)
         placed = arrow_map(
             cells, lambda s, p=pivots, b=blocks: _place(s, p, b, threshold, kind),
-            "rep long, copies long, _i int, _j int, _side int, u binary",
+            "no long, rep long, copies long, _i int, _j int, _side int, code binary",
         )
-        links = arrow_map(by_block(placed, []), lambda s: _link(s, threshold, kind), "a long, b long, n long")
+        schema = "no long, a long, b long, n long, _i int, _j int, _side int"
+        judged = arrow_map(by_block(placed, []), lambda s, d=dim: _link(s, threshold, d, None), schema)
+        judged = written(judged, "vector-judged")
+        # Exact vectors go only where pairs are uncertain, a class once a unit of work.
+        asked = judged.where("n < 0").select("no", "_i", "_j", "_side")
+        exact = asked.join(cells.select("no", "rep", "copies", "u", "code"), "no")
+        sure = arrow_map(by_block(exact, []), lambda s, d=dim: _link(s, threshold, d, kind), schema)
+        links = judged.where("n >= 0").select(*_LINKS.names).unionByName(sure.where("n >= 0").select(*_LINKS.names))
         found = links if found is None else found.unionByName(links)
     if found is None:
         links = None
         known = classes.select("v", "rep", "copies", F.lit(0).cast("long").alias("n"), F.col("rep").alias("component_id"))
     else:
         links = written(found, "vector-links")
-        numbers = links.groupBy("a").agg(F.sum("n").alias("n"))
+        numbers = links.groupBy(F.col("no").alias("of")).agg(F.sum("n").alias("n"))
         roots = components(links.select("a", "b"))
-        known = classes.join(numbers, classes["rep"] == numbers["a"], "left").join(
+        known = classes.join(numbers, classes["no"] == numbers["of"], "left").join(
             roots, classes["rep"] == roots["id"], "left"
         ).select("v", "rep", "copies", F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("component_id", "rep").alias("component_id"))
     own = known.select(F.col("v").alias("w"), "copies", "n", "component_id")

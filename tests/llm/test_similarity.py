@@ -185,12 +185,43 @@ def test_codes_estimate_without_bias_and_bound():
     rng = np.random.default_rng(7)
     x = rng.standard_normal((300, 64))
     unit = vectors._unit(np.concatenate([x, x + 0.3 * rng.standard_normal((300, 64))]))
-    codes, left, right = vectors.Codes(unit), np.arange(300), np.arange(300, 600)
+    records = vectors.Codes.packed(unit)
+    assert len(records[0]) == 12 + 8 + 64
+    codes, left, right = vectors.Codes.read(records, 64), np.arange(300), np.arange(300, 600)
     exact = unit[left] @ unit[right].T
-    estimate = codes.signs[left] @ codes.turned[right].T / codes.factor[left][:, None]
+    estimate = codes.signs[left] @ codes.whole[right].T * codes.step[right] / 8 / codes.factor[left][:, None]
     assert abs((estimate - exact).mean()) < 0.01
-    assert (np.abs(estimate - exact) <= codes.error[left][:, None]).all()
+    assert (np.abs(estimate - exact) <= codes.error[left][:, None] + codes.off[right] / codes.factor[left][:, None]).all()
     assert codes.may_reach(left, right, 0.9)[exact >= 0.9].all()
+    a, b = map(np.ravel, np.meshgrid(left, right, indexing="ij"))
+    low, high = codes.between(a, b)
+    assert (low <= exact.ravel()).all() and (exact.ravel() <= high).all() and (high - low).max() < 0.1
+    # A pair is judged alike whatever it is judged with.
+    some = vectors.Codes.read([records[k] for k in (5, 305, 17)], 64)
+    assert some.between(np.array([0]), np.array([1]))[0] == codes.between(np.array([5]), np.array([305]))[0]
+
+
+def test_two_vectors_of_one_id(spark):
+    """Each has the links of its own vector; the id is one node."""
+    rng = np.random.default_rng(3)
+    a, b = rng.standard_normal((2, 16))
+    near = lambda v: (v + 0.05 * rng.standard_normal(16)).tolist()
+    rows = [(7, a.tolist()), (7, b.tolist()), (8, near(a)), (9, near(a)), (3, near(b)), (20, rng.standard_normal(16).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r)[:3] for r in vectors.near_duplicates(df).collect())
+    assert got == [(3, 1, 3), (7, 1, 3), (7, 2, 3), (8, 2, 3), (9, 2, 3), (20, 0, 20)]
+
+
+@pytest.mark.parametrize("dim", [1, 3, 700])
+def test_near_vectors_of_other_lengths(spark, dim):
+    rng = np.random.default_rng(dim)
+    base = rng.standard_normal((30, dim))
+    v = np.concatenate([base, base + 0.4 * rng.standard_normal((30, dim)), base + 0.5 * rng.standard_normal((30, dim))])
+    unit = vectors._unit(v)
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(3)
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(df).collect()}
+    assert [got[k] for k in range(90)] == want.tolist()
 
 
 def best_of(points, every, k):
