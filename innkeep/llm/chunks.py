@@ -29,7 +29,7 @@ _SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029
 _LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
 # A word with marks behind it, maybe after a line feed. An apostrophe may begin a contraction, < a special token.
 _MARKED = re.compile("(\n?)([^\\W\\d_]+)[!-&(-/:;=?@\\[-`{-~]+")
-MEMO_PIECES = 400_000
+MEMO_PIECES = 250_000
 MEMO_CHARS = 64
 WORDS = 200  # in a text for the library
 
@@ -173,6 +173,7 @@ class ChunkEncoder:
             if len(rows):
                 for r, ids in zip(rows.tolist(), some(text if len(rows) == len(text) else text.take(pa.array(rows)))):
                     out[r] = ids
+        pa.default_memory_pool().release_unused()  # the kernels' arrays of this slice are gone
         return out
 
     def _plain(self, text: pa.Array) -> list[bytes]:
