@@ -347,7 +347,7 @@ def main_text(html: str) -> str:
 
     def close() -> None:
         if inline:
-            text = _SPACE.sub(" ", unescape("".join(inline))).strip()
+            text = _SPACE.sub(" ", "".join(inline)).strip()
             if text:
                 blocks.append(text)
             inline.clear()
@@ -358,7 +358,7 @@ def main_text(html: str) -> str:
         node, kept, ended = todo.pop()
         if type(node) is str:
             if kept:
-                inline.append(node)
+                inline.append(unescape(node))  # by itself: no reference reaches over a tag
         elif ended:
             close()
         elif node.dropped:
