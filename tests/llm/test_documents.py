@@ -22,6 +22,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
     ("", ""), ("plain  text", "plain text"), ("<p>a<p>b", "a\nb"), ("a < b &nbsp; &#233;", "a < b é"),
     ("<div><p>x</div>y", "x\ny"), ("<script>x</script>", ""), ("<nav>only menu</nav>", ""), ("<p hidden>x</p><p>y</p>", "y"),
     ("<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>after", "deep\nafter"), ("<b" * 50, ""), ("<!-- <p>no</p>", ""),
+    ("<p>&am<b>p;</b> &lt<i>x</i>", "&am" + "p; <x"),
     ('<p title="a>b">c</p>', "c"), ("x</i></b></p>y", "x\ny"),
 ])
 def test_main_text(page, text):
@@ -323,6 +324,39 @@ def test_sample_has_one_row_of_each_label(spark):
     assert sorted(r["text"] for r in got) == sorted(r["text"] for r in toxicity.training_rows(docs.repartition(7), labels).collect())
 
 
+def _copies(seed: int, n: int) -> list[str]:
+    """Texts of 200 words, of which each copy has two words changed."""
+    rng = np.random.default_rng(seed)
+    words = [f"w{seed}x{k}" for k in rng.integers(0, 10_000, 200)]
+    out = []
+    for _ in range(n):
+        mine = list(words)
+        for k in rng.integers(0, 200, 2):
+            mine[k] = f"z{rng.integers(0, 10_000)}"
+        out.append(" ".join(mine))
+    return out
+
+
+def test_copies_are_learnt_from_once(spark, tmp_path):
+    texts = [(t, 1) for t in _copies(1, 40)] + [(t, 0) for t in _copies(2, 30)] + [(_copies(1, 1)[0], 0)]
+    texts += [(_copies(s, 1)[0], s % 2) for s in range(3, 23)] + [("short", 1), ("short", 0), ("short", 1), ("", 0), ("", 0)]
+    rows = spark.createDataFrame([(k, t, x) for k, (t, x) in enumerate(texts)], "label_id long, text string, label int")
+    rows.repartition(5).write.parquet(str(tmp_path / "rows"))
+    kept = toxicity.independent(spark.read.parquet(str(tmp_path / "rows"))).collect()
+    # One of each group and label: the first of 40, the first of 30, the clean copy, the 20 others, "short" twice, "" once.
+    assert sorted(r["label_id"] for r in kept) == [0, 40, 70, *range(71, 91), 91, 92, 94]
+
+
+def test_words_of_copies_are_no_insults(spark):
+    rng = np.random.default_rng(5)
+    plain = [" ".join(f"v{k}" for k in rng.integers(0, 300, 40)) for _ in range(400)]
+    docs = [(t + " twerp" * (k % 10 == 0), int(k % 10 == 0)) for k, t in enumerate(plain)]
+    docs += [(t + " twerp", 1) for t in _copies(1, 60)]
+    frame = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(docs)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, x) for k, (_, x) in enumerate(docs)], "doc_id long, toxic int")
+    assert list(toxicity.fit(frame, labels).lexicon) == ["twerp"]
+
+
 CLEAN = [
     "Antibiotics will kill bacteria.", "The film festival will hurt no budget", "The frost is going to kill the roses; you can cover them.",
     "Kill bacteria before you cook.", "The frost will kill them all", "they will hurt him", "Kill time.", "We ate; hurt feelings heal you",
