@@ -33,7 +33,7 @@ MEMO_PIECES = 250_000
 MEMO_CHARS = 64
 WORDS = 200  # in a text for the library
 
-_ENCODERS: dict[str, "ChunkEncoder"] = {}
+_ENCODERS: dict[tuple[str, int | None], "ChunkEncoder"] = {}
 
 
 def cut(text: str) -> tuple[list[str], list[str]]:
@@ -77,7 +77,7 @@ class Memo:
 class ChunkEncoder:
     """Ids as bytes: unsigned, little-endian, 32 bits each."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, memo: int | None = None) -> None:
         # The tasks are the parallel unit; a library thread pool per task is not.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
@@ -93,7 +93,7 @@ class ChunkEncoder:
         self.marks = np.zeros(max(vocabulary.values()) + 1, bool) if marks else None
         if marks:
             self.marks[marks] = True
-        self.whole, self.spaced = Memo(), Memo()
+        self.whole, self.spaced = Memo(memo), Memo(memo)
 
     def _words(self, words: list[str], marks: np.ndarray) -> list[bytes]:
         """Runs of letters, each after a space, some with a comma or full stop behind, in
@@ -225,8 +225,8 @@ class ChunkEncoder:
         ]
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """One per worker process and vocabulary."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, memo: int | None = None) -> ChunkEncoder:
+    """One per worker process, vocabulary and size of the memo."""
+    if (path, memo) not in _ENCODERS:
+        _ENCODERS[path, memo] = ChunkEncoder(path, memo)
+    return _ENCODERS[path, memo]

@@ -33,6 +33,7 @@ WIDTH = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 _ABOVE = np.array([1 << int(w) for w in WIDTH[:-1]], np.uint64)  # the ids too wide for each
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 24  # a file is closed after the document that reaches this
+MEMO_PIECES = 400_000  # whose ids a worker keeps
 
 _FILES = pa.schema([
     ("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("n_ids", pa.int64()), ("n_docs", pa.int64()),
@@ -191,7 +192,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int) -> Dat
     """
 
     def task(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seq, out, listed = encoder(vocabulary).encode, TaskContext.get().partitionId(), 0, None, []
+        encode, part, seq, out, listed = encoder(vocabulary, MEMO_PIECES).encode, TaskContext.get().partitionId(), 0, None, []
 
         def close() -> None:
             out.close()
