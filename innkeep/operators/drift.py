@@ -6,6 +6,7 @@ from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innkeep.functions import name
@@ -51,6 +52,16 @@ def widest(a: T.DataType, b: T.DataType) -> T.DataType | None:
     return None
 
 
+def narrowest(df: DataFrame, column: str, least: T.DataType = T.ByteType()) -> str:
+    """The narrowest whole type, from ``least`` up, that holds every value of the column, as
+    a reader that infers types would find it. One narrow aggregate."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    kinds = [k() for k in _WHOLE[_WHOLE.index(type(least)):]]
+    bits = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31, T.LongType: 63}
+    fits = [k for k in kinds if low is None or -(1 << bits[type(k)]) <= low and high < 1 << bits[type(k)]]
+    return fits[0].simpleString()
+
+
 @dataclass(frozen=True)
 class Change:
     column: str
