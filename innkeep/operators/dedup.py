@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.functions import name
+from innkeep.operators.rowtext import NO_ROW, all_text, packed, tokens, unpacked
 
 
 def keep_latest(
@@ -27,27 +28,38 @@ def keep_latest(
     not depend on how the rows were partitioned. Null keys form one group.
     With ``count_as`` the number of rows of the key is added; where the rows are
     themselves survivors, ``weight`` is the column with the rows each stands for.
+    Rows of text go packed through the sort and the shuffle.
     """
     df_columns = [c for c in df.columns if c != weight]
     order = [*latest, *[c for c in df_columns if c not in latest and c not in keys]]
-    row = ", ".join(name(c) for c in order)
-    measures = [F.expr(f"max(struct({row}))").alias("_row")]
+    weigh = [name(weight)] if weight else []
+    if all_text(df, order):
+        # Named twice in the aggregate, the packed row is not moved into it by the optimizer
+        # and is made before the sort. No packed row is the text it is compared with.
+        rows = df.selectExpr(*[name(k) for k in keys], *weigh, f"{packed(order)} as _packed")
+        greatest = tokens(f"max(if(_packed = {NO_ROW}, null, _packed))")
+        values = unpacked("_row", order)
+    else:
+        rows, greatest = df, f"max(struct({', '.join(name(c) for c in order)}))"
+        values = {c: f"_row.{name(c)}" for c in order}
+    measures = [F.expr(greatest).alias("_row")]
     if count_as:
         measures.append(F.expr(f"sum({name(weight)})" if weight else "count(*)").alias(count_as))
-    columns = [name(c) if c in keys else f"_row.{name(c)}" for c in df_columns]
-    grouped = df.groupBy(*[name(k) for k in keys]).agg(*measures)
-    return grouped.select(*columns, *([count_as] if count_as else []))
+    columns = [name(c) if c in keys else f"{values[c]} as {name(c)}" for c in df_columns]
+    grouped = rows.groupBy(*[name(k) for k in keys]).agg(*measures)
+    return grouped.selectExpr(*columns, *([name(count_as)] if count_as else []))
 
 
 def keep_latest_of_few(
     df: DataFrame, keys: Sequence[str], latest: Sequence[str] = (), count_as: str | None = None
 ) -> DataFrame:
-    """``keep_latest`` of written rows of which most have a key of their own.
+    """``keep_latest`` of written rows of which nearly all have a key of their own.
 
     A narrow count finds the keys with several rows. All other rows pass as they
-    are; only those of contested keys are compared, so wide rows are neither
-    shuffled nor sorted for the rest. Reads ``df`` three times. Null keys are
-    compared too.
+    are; only those of contested keys are compared. While the contested keys are few
+    enough to be broadcast, no other row is shuffled or sorted; beyond that both joins
+    shuffle whole rows, and ``keep_latest`` moves less. Reads ``df`` three times. Null
+    keys are compared too.
     """
     by = [name(k) for k in keys]
     contested = df.groupBy(*by).agg(F.expr("count(*)").alias("_n")).where("_n > 1").select(
@@ -81,8 +93,14 @@ def surplus_rows(df: DataFrame, kept: DataFrame, count_as: str) -> DataFrame:
     shuffle, different rows of one hot key spread over all tasks.
     """
     columns = df.columns
-    signed = df.selectExpr("*", "1 as _n").unionByName(
-        kept.selectExpr(*[name(c) for c in columns], "-1 as _n")
-    )
-    counted = signed.groupBy(*[name(c) for c in columns]).agg(F.sum("_n").alias(count_as))
-    return counted.where(f"{name(count_as)} > 0")
+    if all_text(df, columns):  # packed, a row is one key
+        keys, values = [f"{packed(columns)} as _row"], unpacked("_tokens", columns)
+    else:
+        keys, values = [name(c) for c in columns], None
+    signed = df.selectExpr(*keys, "1 as _n").unionByName(kept.selectExpr(*keys, "-1 as _n"))
+    counted = signed.groupBy(*[c for c in signed.columns if c != "_n"]).agg(F.sum("_n").alias(count_as))
+    surplus = counted.where(f"{name(count_as)} > 0")
+    if values is None:
+        return surplus
+    split = surplus.selectExpr(f"{tokens('_row')} as _tokens", name(count_as))
+    return split.selectExpr(*[f"{values[c]} as {name(c)}" for c in columns], name(count_as))

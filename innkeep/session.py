@@ -16,6 +16,11 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A raw booking takes a few bytes in a Parquet file or as a narrow row, and some
+    # five hundred as a row of fifty columns. What a task reads is bounded so that its
+    # sort of such rows stays in memory.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "32m",
     # The JVM does not compile methods of more than 8000 bytes. A stage over
     # fifty columns can exceed that when fused into one method; then it is
     # better generated operator by operator, in methods that do get compiled.

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from innkeep.contracts import GOLD_TABLES, check_contract
 
 GOLD = "gold"
+# Of files that hold rows of fifty text columns; a fifth to a third smaller than Spark's default.
+COMPRESSION = "zstd"
 
 
 class RowCountError(RuntimeError):
@@ -55,7 +57,7 @@ def write_files(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     counted, seen = _counted(df)
-    writer = counted.write
+    writer = counted.write.option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

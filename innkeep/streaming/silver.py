@@ -5,7 +5,8 @@ rows, can be merged: of two parts of the rows, the greater row and the sum. So a
 batch is reduced by itself, and the work on it grows with the batch alone. Its
 outcome is a part of a ``Snapshots`` table; the number of the batch is published
 with it, so a batch that comes again changes nothing. Reading merges the bookings
-that the batches since the last ``compact`` have touched; all others pass as they are.
+that the batches since the last ``compact`` have touched; all others pass as they are,
+unless the batches hold many rows: then one merge of all moves less than looking up.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from innkeep.sources.snapshots import ConflictError, Part, Snapshots, Version
 
 COLUMNS = [*BOOKING_COLUMNS, "data_source"]
 BUCKETS = 64
+# New rows up to this number are looked up among the old ones by broadcast.
+FEW = 100_000
 _COMPLETE = f"not {any_null(CRITICAL_COLUMNS)}"
 
 
@@ -108,17 +111,19 @@ class SilverStream:
         new = self.table.read(now.number, batches)
         old = self.table.read(now.number, [k for k in names if k.startswith("bucket/")])
         changed = new.where(_COMPLETE)
-        ids = changed.select(F.col("booking_id").alias("_id")).distinct()
-        same = F.col("booking_id") == F.col("_id")
-        merged = keep_latest(
-            old.join(ids, same, "left_semi").unionByName(changed), ["booking_id"], latest=["booking_date"],
-            count_as="_copies", weight=COPIES,
+        merge = lambda rows: keep_latest(
+            rows, ["booking_id"], latest=["booking_date"], count_as="_copies", weight=COPIES
         ).withColumnRenamed("_copies", COPIES)
+        if sum(now.parts[k].rows for k in batches) <= FEW:
+            ids = F.broadcast(changed.select(F.col("booking_id").alias("_id")).distinct())
+            same = F.col("booking_id") == F.col("_id")
+            kept = old.join(ids, same, "left_anti").unionByName(merge(old.join(ids, same, "left_semi").unionByName(changed)))
+        else:  # the look-ups would shuffle the old rows twice, unpacked
+            kept = merge(old.unionByName(changed))
         nulls = new.where(f"not ({_COMPLETE})").unionByName(
             self.table.read(now.number, [k for k in names if k.startswith("nulls/")])
         )
-        survivors = judged(old.join(ids, same, "left_anti").unionByName(merged))
-        return survivors.unionByName(nulls.selectExpr("*", f"{quoted(NULL_CRITICAL)} as {REASON}"))
+        return judged(kept).unionByName(nulls.selectExpr("*", f"{quoted(NULL_CRITICAL)} as {REASON}"))
 
     def bookings(self, as_of: datetime | None = None) -> DataFrame:
         """Silver of all rows so far."""

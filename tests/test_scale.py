@@ -4,7 +4,10 @@ from datetime import datetime
 
 from conftest import rows
 from innkeep import registry
+from innkeep.operators.dedup import keep_latest, surplus_rows
 from innkeep.operators.drift import narrowest
+from innkeep.operators.rowtext import packed, tokens, unpacked
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -23,3 +26,26 @@ def test_drift_takes_keys_of_large_tables(spark, tmp_path):
 def test_narrowest(spark, frame):
     got = lambda *v: narrowest(frame("k", [(x,) for x in v], ["bigint"]), "k", T.ShortType())
     assert [got(None), got(1, -32768), got(32768, 0), got(-32769), got(1 << 31, None)] == ["smallint", "smallint", "int", "int", "bigint"]
+
+
+ODD = [None, "", "a", "a\x00", "a\x01", "\x00", "\x01", "\x02", "\x00\x01", "\x01\x00", "\x01\x02", "\x01\x01\x02", "é", "a,b\n"]
+
+
+def test_packed_rows_come_back_and_sort_as_rows(spark, frame):
+    data = [(str(i), a, b) for i, (a, b) in enumerate((a, b) for a in ODD for b in ODD)]
+    df = frame("k a b", data)
+    back = unpacked("_t", ["a", "b"])
+    got = df.selectExpr("k", f"{packed(['a', 'b'])} as _p").selectExpr("k", f"{tokens('_p')} as _t")
+    assert rows(got.selectExpr("k", *[f"{v} as {c}" for c, v in back.items()])) == rows(df)
+    by_text = [r["k"] for r in df.orderBy(F.expr(packed(["a", "b"]))).collect()]
+    assert by_text == [r["k"] for r in df.orderBy(F.expr("struct(a, b)")).collect()]
+
+
+def test_whole_rows_are_packed_before_they_are_sorted(spark, frame):
+    df = frame("id at " + " ".join(f"c{i}" for i in range(20)), [("1", "x", *[str(i) for i in range(20)])] * 2)
+    plan = keep_latest(df.withColumn("c3", F.upper("c3")), ["id"], ["at"], "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("_packed") >= 0 and "struct(" not in plan
+    sort = plan[plan.rindex("Sort ["):]
+    assert "_packed" in sort.split("\n")[1]
+    surplus = surplus_rows(df, df.limit(1), "n")
+    assert [r["n"] for r in surplus.collect()] == [1] and surplus.columns == [*df.columns, "n"]
