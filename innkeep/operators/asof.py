@@ -15,6 +15,9 @@ from innkeep.functions import name
 from innkeep.functions.text import upper_trim
 from innkeep.operators.enrich import BASE_CURRENCY, CURRENCIES, newest_forecast
 
+# Calendars up to this number of rows are broadcast: 27 years of eight cities, some 8 MB.
+BROADCAST_ROWS = 80_000
+
 
 def _bounds(df: DataFrame, day: str) -> tuple[date | None, date | None]:
     return tuple(df.agg(F.min(day), F.max(day)).first())
@@ -93,22 +96,25 @@ def weather_over_stay(
 
     Two look-ups of running totals, whatever the length of the stay; no night is a row
     of its own. Nights without a forecast do not count; without any, the count is 0
-    and the measures are null.
+    and the measures are null. The optimizer cannot know how small the totals are, so
+    their rows are counted, and up to ``BROADCAST_ROWS`` of them are broadcast: no stay
+    is shuffled then.
     """
     rain, warm = "rain_sum", "temperature_2m_max"
     days = newest_forecast(weather).where("_city is not null and _day is not null")
-    low, high = _bounds(days, "_day")
+    low, high, cities = days.agg(F.min("_day"), F.max("_day"), F.count_distinct("_city")).first()
     if low is None:
         return bookings.withColumns({
             "nights_known": F.lit(0).cast("bigint"), "rain_total": F.lit(None).cast("double"), "avg_temp_max": F.lit(None).cast("double"),
         })
     totals = running_totals(days.select("_city", "_day", rain, warm), ["_city"], "_day", [rain, warm], low, high)
+    small = cities * ((high - low).days + 2) <= BROADCAST_ROWS
     here, out = F.expr(upper_trim(name(city))), bookings
     # Up to the night before the stay, and up to its last night.
     for side, column in (("a", arrives), ("b", leaves)):
         mine = totals.select(*[F.col(c).alias(f"_{side}{c}") for c in totals.columns])
         night = _clipped(F.date_sub(F.col(name(column)), 1), low - timedelta(days=1), high)
-        out = out.join(mine, (here == F.col(f"_{side}_city")) & (night == F.col(f"_{side}_day")), "left")
+        out = out.join(F.broadcast(mine) if small else mine, (here == F.col(f"_{side}_city")) & (night == F.col(f"_{side}_day")), "left")
     n = lambda m: F.col(f"_b_n_{m}") - F.col(f"_a_n_{m}")
     total = lambda m: F.when(n(m) > 0, (F.col(f"_b_sum_{m}") - F.col(f"_a_sum_{m}")).cast("double"))
     return _with(

@@ -1,15 +1,18 @@
 """Faults that small tables do not show: narrow types, wide shuffles, input read or written twice."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 from conftest import rows
 from innkeep import registry
+from innkeep.operators import asof
 from innkeep.operators.dedup import keep_latest, surplus_rows
 from innkeep.operators.drift import narrowest
 from innkeep.operators.rowtext import packed, tokens, unpacked
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+AT = datetime(2024, 1, 1)
+
 
 def test_drift_takes_keys_of_large_tables(spark, tmp_path):
     big = 1 << 31
@@ -49,3 +52,23 @@ def test_whole_rows_are_packed_before_they_are_sorted(spark, frame):
     assert "_packed" in sort.split("\n")[1]
     surplus = surplus_rows(df, df.limit(1), "n")
     assert [r["n"] for r in surplus.collect()] == [1] and surplus.columns == [*df.columns, "n"]
+
+
+def test_weather_totals_are_broadcast_while_they_are_few(spark, frame, monkeypatch):
+    weather = frame("city time temperature_2m_max temperature_2m_min rain_sum windspeed_10m_max ingestion_timestamp",
+                    [("Rome", "2024-01-01", 8.0, 1.0, 2.5, 3.0, AT), ("Rome", "2024-01-03", 10.0, 1.0, 1.0, 3.0, AT)],
+                    ["string", "string", "double", "double", "double", "double", "timestamp"])
+    stays = frame("id city checkin_date checkout_date", [("1", "ROME", date(2024, 1, 1), date(2024, 1, 4)), ("2", "OSLO", None, None)],
+                  ["string", "string", "date", "date"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = asof.weather_over_stay(stays, weather)
+        want = [("1", 2, 3.5, 9.0), ("2", 0, None, None)]
+        assert rows(got.select("id", "nights_known", "rain_total", "avg_temp_max")) == want
+        assert got._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") >= 2
+        monkeypatch.setattr(asof, "BROADCAST_ROWS", 1)
+        many = asof.weather_over_stay(stays, weather)
+        assert rows(many.select("id", "nights_known", "rain_total", "avg_temp_max")) == want
+        assert "BroadcastHashJoin" not in many._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
