@@ -3,6 +3,10 @@
 from datetime import date, datetime
 
 from conftest import rows
+from innkeep.contracts import BOOKING_COLUMNS
+from innkeep.streaming import silver as streaming
+from innkeep.streaming.silver import SilverStream
+from test_cleaning import GOOD
 from innkeep import registry
 from innkeep.operators import asof
 from innkeep.operators.dedup import keep_latest, surplus_rows
@@ -72,3 +76,19 @@ def test_weather_totals_are_broadcast_while_they_are_few(spark, frame, monkeypat
         assert "BroadcastHashJoin" not in many._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_many_new_rows_are_merged_with_all_old_ones(spark, tmp_path, monkeypatch):
+    def sent(*changes):
+        data = [tuple({**GOOD, **c}.get(n) for n in BOOKING_COLUMNS) for c in changes]
+        return spark.createDataFrame(data, ", ".join(f"{c} string" for c in BOOKING_COLUMNS))
+
+    silver = SilverStream(spark, str(tmp_path / "s"), buckets=4)
+    silver.absorb(sent({}, {"booking_id": "B2"}, {"city": None}), 0)
+    silver.compact()
+    silver.absorb(sent({"booking_date": "2025-01-02"}, {"booking_id": "B3"}, {"booking_id": None}), 1)
+    few = rows(silver.tagged())
+    monkeypatch.setattr(streaming, "FEW", 0)
+    many = silver.tagged()
+    assert rows(many) == few and len(few) == 5
+    assert "left_anti" not in many._jdf.queryExecution().optimizedPlan().toString().lower().replace("leftanti", "left_anti")
