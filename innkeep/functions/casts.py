@@ -4,7 +4,6 @@ from __future__ import annotations
 
 # A plain decimal number; its whole part may be left out. Exponents do not count.
 _DECIMAL = r"r'^\s*[+-]?(?:[0-9]+(?:[.][0-9]*)?|[.][0-9]+)\s*$'"
-_WHOLE_PART = r"r'^\s*([+-]?[0-9]*)'"
 
 
 def to_date_or_null(text: str) -> str:
@@ -16,12 +15,12 @@ def to_double_or_null(text: str) -> str:
 
 
 def to_int_or_null(text: str) -> str:
-    """``'2'`` and ``'2.9'`` give 2, ``'.5'`` gives 0: cut off, not rounded. The regexes
-    run only where the direct cast fails."""
-    whole = f"regexp_extract({text}, {_WHOLE_PART}, 1)"
+    """``'2'`` and ``'2.9'`` give 2, ``'.5'`` gives 0: cut off, not rounded. Text with a
+    point, which no cast takes for whole, is not cast: each failure costs an exception."""
+    whole = f"substring_index({text}, '.', 1)"
     return (
-        f"coalesce(try_cast({text} as int), case when rlike({text}, {_DECIMAL}) "
-        f"then if({whole} in ('', '+', '-'), 0, try_cast({whole} as int)) end)"
+        f"case when not contains({text}, '.') then try_cast({text} as int) when rlike({text}, {_DECIMAL}) "
+        f"then if(right({whole}, 1) between '0' and '9', try_cast({whole} as int), 0) end"
     )
 
 

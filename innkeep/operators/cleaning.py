@@ -103,20 +103,21 @@ def price_profile(df: DataFrame, price: str = "total_price", exact: bool = False
     return df.sparkSession.sql(values_sql([(low, q1, q3, high)], "min, p25, p75, max"))
 
 
-def tag_rejects(df: DataFrame) -> DataFrame:
+def tag_rejects(df: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Raw rows after the duplicate step, with reject reason and copies.
 
     ``reject_reason`` is null for rows that pass. ``rows_of_booking`` is the
     number of raw rows a surviving booking stands for. Rows without a critical
     value skip the duplicate step, so null ids do not pile up in one group.
-    Values stay as text: a rejected row can be read as it arrived.
+    Values stay as text: a rejected row can be read as it arrived. ``within`` are columns
+    that the id determines, for the duplicate step; they are not kept.
     """
     incomplete = any_null(CRITICAL_COLUMNS)
-    nulls = df.where(incomplete).selectExpr(
+    nulls = df.drop(*within).where(incomplete).selectExpr(
         "*", f"1L as {COPIES}", f"{quoted(NULL_CRITICAL)} as {REASON}"
     )
     survivors = keep_latest(
-        df.where(f"not {incomplete}"), ["booking_id"], latest=["booking_date"], count_as=COPIES
+        df.where(f"not {incomplete}"), ["booking_id"], latest=["booking_date"], count_as=COPIES, within=within
     )
     return nulls.unionByName(judged(survivors))
 

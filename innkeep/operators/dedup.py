@@ -21,6 +21,7 @@ def keep_latest(
     latest: Sequence[str] = (),
     count_as: str | None = None,
     weight: str | None = None,
+    within: Sequence[str] = (),
 ) -> DataFrame:
     """The greatest row per key: by ``latest``, then by all other columns in order.
 
@@ -28,15 +29,18 @@ def keep_latest(
     not depend on how the rows were partitioned. Null keys form one group.
     With ``count_as`` the number of rows of the key is added; where the rows are
     themselves survivors, ``weight`` is the column with the rows each stands for.
-    Rows of text go packed through the sort and the shuffle.
+    Rows of text go packed through the sort and the shuffle. ``within`` are columns that
+    the keys determine, and that are not kept: rows that are already spread by these, as
+    after a join, are not shuffled again.
     """
-    df_columns = [c for c in df.columns if c != weight]
+    df_columns = [c for c in df.columns if c != weight and c not in within]
     order = [*latest, *[c for c in df_columns if c not in latest and c not in keys]]
     weigh = [name(weight)] if weight else []
+    by = [name(k) for k in [*within, *keys]]
     if all_text(df, order):
         # Named twice in the aggregate, the packed row is not moved into it by the optimizer
         # and is made before the sort. No packed row is the text it is compared with.
-        rows = df.selectExpr(*[name(k) for k in keys], *weigh, f"{packed(order)} as _packed")
+        rows = df.selectExpr(*by, *weigh, f"{packed(order)} as _packed")
         greatest = tokens(f"max(if(_packed = {NO_ROW}, null, _packed))")
         values = unpacked("_row", order)
     else:
@@ -46,7 +50,7 @@ def keep_latest(
     if count_as:
         measures.append(F.expr(f"sum({name(weight)})" if weight else "count(*)").alias(count_as))
     columns = [name(c) if c in keys else f"{values[c]} as {name(c)}" for c in df_columns]
-    grouped = rows.groupBy(*[name(k) for k in keys]).agg(*measures)
+    grouped = rows.groupBy(*by).agg(*measures)
     return grouped.selectExpr(*columns, *([name(count_as)] if count_as else []))
 
 

@@ -31,7 +31,8 @@ def packed(columns: Sequence[str]) -> str:
     """SQL of the packed row."""
     def token(c: str) -> str:
         text = f"replace(replace({c}, {_MARK}, {_ESCAPED_MARK}), {_END}, {_ESCAPED_END})"
-        return f"case when {c} is null then '' when {c} = '' then {_MARK} else {text} end"
+        odd = f"contains({c}, {_MARK}) or contains({c}, {_END})"  # costs less than to replace nothing
+        return f"case when {c} is null then '' when {c} = '' then {_MARK} when {odd} then {text} else {c} end"
 
     return f"concat_ws({_END}, {', '.join(token(name(c)) for c in columns)})"
 
@@ -46,6 +47,7 @@ def unpacked(array: str, columns: Sequence[str]) -> dict[str, str]:
     def value(i: int) -> str:
         token = f"{array}[{i}]"
         text = f"replace(replace({token}, {_ESCAPED_END}, {_END}), {_ESCAPED_MARK}, {_MARK})"
-        return f"case when {token} = '' then null when {token} = {_MARK} then '' else {text} end"
+        return (f"case when {token} = '' then null when not contains({token}, {_MARK}) then {token} "
+                f"when {token} = {_MARK} then '' else {text} end")
 
     return {c: value(i) for i, c in enumerate(columns)}

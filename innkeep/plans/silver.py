@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -107,9 +108,11 @@ def to_silver(batch: DataFrame, stream: DataFrame, as_of: datetime | None = None
     return of_tagged(combine(batch, stream), None, as_of)
 
 
-def to_silver_from(combined: DataFrame, as_of: datetime | None = None) -> Silver:
-    """The same of united rows."""
-    return of_tagged(combined, None, as_of)
+def to_silver_from(
+    combined: DataFrame, as_of: datetime | None = None, within: Sequence[str] = ()
+) -> Silver:
+    """The same of united rows; ``within`` as in ``tag_rejects``."""
+    return of_tagged(combined.drop(*within), tag_rejects(combined, within), as_of)
 
 
 def of_tagged(

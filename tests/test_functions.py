@@ -83,3 +83,10 @@ def test_month_first_wins_and_years_are_checked(each):
     texts = ["5/10/2025", "1999-01-01", "2036-01-01", "02/30/2025", "2025051", "2025-1-5", "nonsense", "2025"]
     assert each(parse_any_date("x"), texts) == [
         date(2025, 5, 10), None, None, None, None, date(2025, 1, 5), None, None]
+
+
+def test_whole_part_of_odd_numbers(each):
+    texts = [".5", "+.5", "-.9 ", " 2.", "\t-2.9", "2147483647.9", "2147483648.0", ".", "+.", "1.2.3", "1. 5", "1e1.0", "", None]
+    assert each(to_int_or_null("x"), texts) == [0, 0, 0, 2, -2, 2147483647, None, None, None, None, None, None, None, None]
+    # Text with a point is not given to a cast that has to fail.
+    assert "try_cast(x as int)" in to_int_or_null("x").split("not contains(x, '.') then ")[1]

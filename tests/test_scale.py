@@ -7,11 +7,13 @@ from innkeep.contracts import BOOKING_COLUMNS
 from innkeep.streaming import silver as streaming
 from innkeep.streaming.silver import SilverStream
 from test_cleaning import GOOD
+from innkeep import fixtures as fx
 from innkeep import registry
 from innkeep.operators import asof
 from innkeep.operators.dedup import keep_latest, surplus_rows
 from innkeep.operators.drift import narrowest
 from innkeep.operators.rowtext import packed, tokens, unpacked
+from innkeep.plans.silver import combine, to_silver, to_silver_from
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,3 +94,47 @@ def test_many_new_rows_are_merged_with_all_old_ones(spark, tmp_path, monkeypatch
     many = silver.tagged()
     assert rows(many) == few and len(few) == 5
     assert "left_anti" not in many._jdf.queryExecution().optimizedPlan().toString().lower().replace("leftanti", "left_anti")
+
+
+def _tables(spark, folder):
+    """Two orders whose line items come twice, in both halves and in one, and without a half."""
+    def put(name, columns, data):
+        spark.createDataFrame(data, columns).write.parquet(f"{folder}/{name}.parquet")
+
+    day = datetime(1995, 3, 4)
+    put("region", "r_regionkey long, r_name string", [(0, "EUROPE")])
+    put("nation", "n_nationkey int, n_name string, n_regionkey int", [(1, "FRANCE", 0)])
+    put("supplier", "s_suppkey long, s_name string, s_nationkey int", [(5, "Hotel", 1)])
+    put("customer", "c_custkey long, c_name string, c_nationkey int, c_mktsegment string", [(3, "Guest#3", 1, "BUILDING"), (4, None, None, None)])
+    put("orders", "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string",
+        [(1, 3, "F", day, "1-URGENT"), (2, 4, None, day, None)])
+    line = lambda k, n, part, half: (k, part, 5, n, 3.0, 100.5, 0.05, 0.02, "R", half, day)
+    put("lineitem", "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+        [line(1, 1, 10, "F"), line(1, 1, 12, "O"), line(1, 1, 12, "O"), line(1, 3, 14, "O"), line(2, 1, 15, "F"), line(2, 3, 13, None),
+         line(2, None, 16, "F"), line(2, None, 17, "O"), line(None, 1, 18, "F"), line(1, 2, 9, "O")])
+    return str(folder)
+
+
+def test_silver_stays_where_the_join_has_put_its_rows(spark, tmp_path):
+    sf = _tables(spark, tmp_path)
+    want = to_silver(*fx.batch_and_stream(spark, sf), AT).bookings
+    united = fx.united(spark, sf)
+    assert rows(united.drop(fx.ORDER)) == rows(combine(*fx.batch_and_stream(spark, sf)))
+    silver = to_silver_from(united, AT, [fx.ORDER])
+    assert rows(silver.bookings) == rows(want) and silver.bookings.columns == want.columns and want.count() == 4
+    assert fx.ORDER not in [*silver.tagged.columns, *silver.rejects.columns]
+    # Line items and orders are shuffled, the joined rows are not.
+    plan = registry._to_silver(spark, sf).bookings._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "hashpartitioning(booking_id" not in plan
+    assert plan.count("FileScan") == 6
+
+
+def test_latest_within_a_column_that_the_key_determines(spark, frame):
+    data = [("a", "1", "x"), ("a", "2", None), ("b", "1", ""), ("b", "1", "y"), (None, "3", "z")]
+    df = frame("k at v", data)
+    spread = df.withColumn("part", F.expr("ascii(k)")).repartition(3, "part")
+    got = keep_latest(spread, ["k"], ["at"], "n", within=["part"])
+    assert rows(got) == rows(keep_latest(df, ["k"], ["at"], "n")) and got.columns == ["k", "at", "v", "n"]
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange") == 1
