@@ -51,6 +51,11 @@ def piece_of(key: str) -> str:
     return key if key[:1] == "\n" else " " + key
 
 
+def _listed(text: pa.Array) -> list[str]:
+    """``to_pylist`` makes a scalar of each text first; this does not."""
+    return text.to_numpy(zero_copy_only=False).tolist()
+
+
 class Memo:
     """What is known of pieces. What has not been used while ``limit`` others came goes."""
 
@@ -188,8 +193,8 @@ class ChunkEncoder:
         index = pieces.indices.to_numpy().astype(np.int64)
         starts = np.cumsum(counts) - counts
         # The first piece of a text has no space before it.
-        begins = pc.list_element(lists, 0).to_pylist()
-        spaced = pieces.dictionary.to_pylist()
+        begins = _listed(pc.list_element(lists, 0))
+        spaced = _listed(pieces.dictionary)
         index[starts] = len(spaced) + np.arange(len(begins))
         long_whole = self._learn(self.whole, self.whole.missing({k for k in begins if k}), False)
         long_spaced = self._learn(self.spaced, self.spaced.missing(set(spaced)), True)

@@ -259,3 +259,13 @@ def test_packing(spark, docs):
             at += length
         assert at <= 64
     assert packing.pack_documents(docs.limit(0), BYTE, 2).count() == 0
+
+
+def test_texts_out_of_arrow_without_scalars():
+    import pyarrow as pa
+    from innkeep.llm import chunks
+
+    words = ["", "a", "é", "\x00", "日本 語", "x" * 5000]
+    text = pa.array(["before", *words])[1:]  # a slice
+    assert chunks._listed(text) == words == text.to_pylist()
+    assert all(type(w) is str for w in chunks._listed(text.dictionary_encode().dictionary)) and chunks._listed(text[:0]) == []
