@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from innkeep.contracts import CRITICAL_COLUMNS, DATE_COLUMNS
 from innkeep.functions import name, quoted, stacked, values_sql
 from innkeep.functions.casts import to_date_or_null, to_double_or_null
-from innkeep.operators.dedup import keep_latest, surplus_rows
+from innkeep.operators.dedup import keep_latest, packed_rows, surplus_rows, unpacked_rows
 from innkeep.operators.split import order_statistics
 
 # Bounds of a believable booking. The prices are exclusive.
@@ -35,6 +35,8 @@ STEPS = [
 ]
 
 REASON, COPIES = "reject_reason", "rows_of_booking"
+# Of packed rows: no critical value is null.
+COMPLETE = "_complete"
 
 
 def any_null(columns: Sequence[str]) -> str:
@@ -103,21 +105,33 @@ def price_profile(df: DataFrame, price: str = "total_price", exact: bool = False
     return df.sparkSession.sql(values_sql([(low, q1, q3, high)], "min, p25, p75, max"))
 
 
-def tag_rejects(df: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+def packed_bookings(df: DataFrame) -> DataFrame:
+    """Raw rows as ``packed_rows`` for the duplicate step, with the flag ``COMPLETE``; their text
+    holds all columns but the id. Rows that are not complete may be left out."""
+    flagged = df.selectExpr("*", f"not {any_null(CRITICAL_COLUMNS)} as {COMPLETE}")
+    return packed_rows(flagged, ["booking_id"], ["booking_date"], [COMPLETE])
+
+
+def unpacked_bookings(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return unpacked_rows(rows.drop(COMPLETE), columns, ["booking_id"], ["booking_date"])
+
+
+def tag_rejects(df: DataFrame, within: Sequence[str] = (), rows: DataFrame | None = None) -> DataFrame:
     """Raw rows after the duplicate step, with reject reason and copies.
 
     ``reject_reason`` is null for rows that pass. ``rows_of_booking`` is the
     number of raw rows a surviving booking stands for. Rows without a critical
     value skip the duplicate step, so null ids do not pile up in one group.
     Values stay as text: a rejected row can be read as it arrived. ``within`` are columns
-    that the id determines, for the duplicate step; they are not kept.
+    that the id determines, for the duplicate step; they are not kept. ``rows`` are the
+    complete ``packed_bookings`` of ``df`` from a copy at hand.
     """
     incomplete = any_null(CRITICAL_COLUMNS)
     nulls = df.drop(*within).where(incomplete).selectExpr(
         "*", f"1L as {COPIES}", f"{quoted(NULL_CRITICAL)} as {REASON}"
     )
     survivors = keep_latest(
-        df.where(f"not {incomplete}"), ["booking_id"], latest=["booking_date"], count_as=COPIES, within=within
+        df.where(f"not {incomplete}"), ["booking_id"], ["booking_date"], count_as=COPIES, within=within, rows=rows
     )
     return nulls.unionByName(judged(survivors))
 
@@ -138,16 +152,16 @@ def accepted(tagged: DataFrame) -> DataFrame:
     return tagged.where(f"{REASON} is null").drop(REASON, COPIES)
 
 
-def rejected(df: DataFrame, tagged: DataFrame) -> DataFrame:
+def rejected(df: DataFrame, tagged: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """Every raw row that is not in silver: distinct rows with reason and number.
 
-    Only rows of bookings with several rows are compared with the survivors.
+    Only rows of bookings with several rows are compared with the survivors. ``rows`` as in
+    ``tag_rejects``.
     """
-    contested = tagged.where(f"{COPIES} > 1")
-    candidates = df.where(f"not {any_null(CRITICAL_COLUMNS)}").join(
-        contested.select("booking_id"), "booking_id", "left_semi"
-    )
-    duplicates = surplus_rows(candidates, contested, "row_count").selectExpr(
+    contested, candidates = tagged.where(f"{COPIES} > 1"), df.where(f"not {any_null(CRITICAL_COLUMNS)}")
+    if rows is None:
+        candidates = candidates.join(contested.select("booking_id"), "booking_id", "left_semi")
+    duplicates = surplus_rows(candidates, contested, "row_count", ["booking_id"], ["booking_date"], rows).selectExpr(
         "*", f"{quoted(DUPLICATE)} as {REASON}"
     )
     others = tagged.where(f"{REASON} is not null").drop(COPIES).selectExpr("*", "1L as row_count")

@@ -109,19 +109,19 @@ def to_silver(batch: DataFrame, stream: DataFrame, as_of: datetime | None = None
 
 
 def to_silver_from(
-    combined: DataFrame, as_of: datetime | None = None, within: Sequence[str] = ()
+    combined: DataFrame, as_of: datetime | None = None, within: Sequence[str] = (), rows: DataFrame | None = None
 ) -> Silver:
-    """The same of united rows; ``within`` as in ``tag_rejects``."""
-    return of_tagged(combined.drop(*within), tag_rejects(combined, within), as_of)
+    """The same of united rows; ``within`` and ``rows`` as in ``tag_rejects``."""
+    return of_tagged(combined.drop(*within), tag_rejects(combined, within, rows), as_of, rows)
 
 
 def of_tagged(
-    combined: DataFrame, tagged: DataFrame | None = None, as_of: datetime | None = None
+    combined: DataFrame, tagged: DataFrame | None = None, as_of: datetime | None = None, rows: DataFrame | None = None
 ) -> Silver:
-    tagged = tag_rejects(combined) if tagged is None else tagged
+    tagged = tag_rejects(combined, rows=rows) if tagged is None else tagged
     return Silver(
         tagged=tagged,
         bookings=finish(accepted(tagged), as_of),
-        rejects=rejected(combined, tagged),
+        rejects=rejected(combined, tagged, rows),
         audit=audit(tagged),
     )

@@ -10,10 +10,12 @@ from test_cleaning import GOOD
 from innkeep import fixtures as fx
 from innkeep import registry
 from innkeep.operators import asof
-from innkeep.operators.dedup import keep_latest, surplus_rows
+from innkeep.operators.cleaning import COPIES, accepted, drop_nulls, packed_bookings, tag_rejects, unpacked_bookings
+from innkeep.operators.dedup import keep_latest, packed_rows, surplus_rows, unpacked_rows
 from innkeep.operators.drift import narrowest
 from innkeep.operators.rowtext import packed, tokens, unpacked
 from innkeep.plans.silver import combine, to_silver, to_silver_from
+from innkeep.sources import tables as stored
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,3 +146,61 @@ def test_text_of_dimensions_is_made_before_the_joins(spark, tmp_path):
     plan = fx.bookings(spark, _tables(spark, tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     made = [line.strip(" :+-") for line in plan.split("\n") if "lower(r_name" in line]
     assert len(made) == 1 and made[0].startswith("Project [r_regionkey")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_a_spread_copy_is_grouped_where_it_lies(spark, frame, monkeypatch):
+    data = [("a", "1", "x"), ("a", "2", None), ("b", "1", ""), ("b", "1", "y\x00"), (None, "3", "z"), (None, "4", "z")]
+    df = frame("k at v", data)
+    want = rows(keep_latest(df, ["k"], ["at"], "n"))
+    packed_copy = stored.spread_rows(packed_rows(df, ["k"], ["at"]), ["k"])
+    got = keep_latest(df, ["k"], ["at"], "n", rows=packed_copy)
+    assert rows(got) == want and got.columns == ["k", "at", "v", "n"]
+    assert "Exchange" not in _plan(got) and "LocalTableScan" not in _plan(got)
+    assert rows(unpacked_rows(packed_copy, df.columns, ["k"], ["at"])) == rows(df)
+    # One bucket is too much for a task: its rows are reduced by each task before the shuffle, as ever.
+    monkeypatch.setattr(stored, "MOST_OF_A_BUCKET", 1)
+    hot = keep_latest(df, ["k"], ["at"], "n", rows=stored.spread_rows(packed_rows(df, ["k"], ["at"]), ["k"]))
+    assert rows(hot) == want and _plan(hot).count("Exchange hashpartitioning(k") == 1
+
+
+def test_surplus_of_spread_rows_moves_digests_only(spark, frame):
+    data = [("a", "1", "x")] * 3 + [("a", "0", "y")] * 2 + [("a", None, None), ("b", "1", ""), ("c", "1", None), ("c", "1", "")]
+    df = frame("k at v", data)
+    kept = keep_latest(df, ["k"], ["at"], "n")
+    contested = kept.where("n > 1")
+    copy = stored.spread_rows(packed_rows(df, ["k"], ["at"]), ["k"])
+    got = surplus_rows(df, contested, "m", ["k"], ["at"], copy)
+    assert rows(got) == [("a", "0", "y", 2), ("a", "1", "x", 2), ("a", None, None, 1), ("c", "1", None, 1)]
+    assert rows(got) == rows(surplus_rows(df, kept, "m")) and got.columns == [*df.columns, "m"]
+    plan = _plan(surplus_rows(df, spark.table(_saved(spark, contested)), "m", ["k"], ["at"], copy).hint("merge"))
+    assert "Exchange hashpartitioning(_packed" not in plan and plan.count("Exchange hashpartitioning") <= 1
+
+
+def _saved(spark, df):
+    name = stored.scratch_table(spark, "kept")
+    df.write.saveAsTable(name)
+    return name
+
+
+def test_rejects_read_a_spread_copy_of_the_bookings(spark, tmp_path):
+    sf = _tables(spark, tmp_path)
+    want = to_silver_from(combine(*fx.batch_and_stream(spark, sf)), AT)
+    layers = registry._layers(spark, sf)
+    assert rows(layers.rejects.select(*want.rejects.columns)) == rows(want.rejects)
+    assert rows(layers.tagged.select(*want.tagged.columns)) == rows(want.tagged)
+    plan = _plan(layers.rejects)  # whole rows are neither shuffled nor joined unpacked
+    assert "Exchange hashpartitioning(_row" not in plan and "LeftSemi" not in plan
+
+
+def test_packed_bookings_come_back(spark, frame):
+    columns = [*BOOKING_COLUMNS, "data_source"]
+    data = [tuple({**GOOD, "data_source": "x", **c}.get(n) for n in columns) for c in ({}, {"city": None}, {"booking_id": None})]
+    df = frame(" ".join(columns), data)
+    copy = packed_bookings(df)
+    assert rows(unpacked_bookings(copy, columns)) == rows(df)
+    got = tag_rejects(df, rows=copy.where("_complete"))
+    assert rows(got) == rows(tag_rejects(df)) and accepted(got).count() == 1
