@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from innkeep.sources.tables import COMPRESSION
+
 CORRUPT = "_corrupt_record"
 
 
@@ -67,7 +69,8 @@ def append_table(
 ) -> StreamingQuery:
     """Append to a table: once through the input, or every ``continuous`` interval."""
     writer = (
-        df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+        df.writeStream.format(fmt).outputMode("append")
+        .option("compression", COMPRESSION).option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)
     return writer.toTable(table)

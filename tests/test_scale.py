@@ -212,3 +212,10 @@ def test_dedup_latest_reads_a_spread_copy(spark, tmp_path):
     want = keep_latest(complete, ["booking_id"], ["booking_date"], COPIES).drop("data_source")
     got = registry.all_queries()["dedup_latest"](spark, sf)
     assert rows(got) == rows(want) and got.columns == want.columns and "Exchange" not in _plan(got)
+
+
+def test_booking_stream_reads_a_spread_copy(spark, tmp_path):
+    sf = _tables(spark, tmp_path)
+    want = to_silver_from(combine(*fx.batch_and_stream(spark, sf)), AT).bookings.drop("silver_load_at")
+    got = registry.all_queries()["booking_stream"](spark, sf)
+    assert rows(got) == rows(want) and got.columns == want.columns and "Exchange" not in _plan(got)
