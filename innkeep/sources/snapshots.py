@@ -120,10 +120,10 @@ class Snapshots:
 
     # -- writing --
 
-    def stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> Part:
-        """Write the rows aside; nobody reads them yet."""
+    def stage(self, df: DataFrame, partition_by: Sequence[str] = (), dealt: bool = False) -> Part:
+        """Write the rows aside; nobody reads them yet. ``dealt`` as in ``write_files``."""
         folder = uuid.uuid4().hex
-        rows = write_files(df, f"{self.root}/data/{folder}", partition_by)
+        rows = write_files(df, f"{self.root}/data/{folder}", partition_by, dealt)
         return Part(folder, rows, df.schema.json())
 
     def staged(self, part: Part) -> DataFrame:

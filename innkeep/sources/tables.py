@@ -16,8 +16,8 @@ GOLD, SCRATCH = "gold", "innkeep_scratch"
 COMPRESSION = "zstd"
 # Of copies in place of a shuffle: packed rows take a tenth less than on Parquet's level, 3.
 LEVEL = "9"
-# Packed rows of a bucket that a task sorts in memory.
-MOST_OF_A_BUCKET = 2_000_000
+# Packed rows of a bucket that a task sorts in memory, and how many are worth a bucket or a file.
+MOST_OF_A_BUCKET, ROWS_OF_A_BUCKET, ROWS_OF_A_FILE = 2_000_000, 250_000, 4_000
 
 
 class RowCountError(RuntimeError):
@@ -76,17 +76,21 @@ def scratch_table(spark: SparkSession, name: str) -> str:
     return f"{SCRATCH}.{name}_{uuid.uuid4().hex}"
 
 
-def write_spread(df: DataFrame, by: Sequence[str], buckets: int | None = None) -> str:
+def write_spread(df: DataFrame, by: Sequence[str], buckets: int | None = None, rows: int | None = None) -> str:
     """Write the rows in buckets by ``by``, in place of a shuffle; returns what ``read_spread`` takes.
 
     What groups or joins the copy by these columns shuffles nothing. As compressed columns, wide
-    rows of text take half of what they take in a shuffle. There are as many buckets as a
-    shuffle has partitions. Unlike before a shuffle, the rows of a key are not reduced by each
-    task; so, where a bucket has more rows than a task should sort, the copy is
-    read without its buckets, and what groups it shuffles as ever.
+    rows of text take half of what they take in a shuffle. There are at most as many buckets as a
+    shuffle has partitions, fewer if there are few ``rows``; a task writes one file a bucket, so
+    with known ``rows`` there are no more tasks than files of some size need. Unlike before a
+    shuffle, the rows of a key are not reduced by each task; so, where a bucket has more rows
+    than a task should sort, the copy is read without its buckets, and what groups it shuffles as ever.
     """
     spark, path, table = df.sparkSession, scratch_path(df.sparkSession, "spread"), scratch_table(df.sparkSession, "spread")
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if rows is not None:
+        n = min(n, 8 + rows // ROWS_OF_A_BUCKET)
+        df = df.coalesce(8 + rows // (n * ROWS_OF_A_FILE))
     writer = df.write.option("compression", COMPRESSION).option("parquet.compression.codec.zstd.level", LEVEL)
     writer.option("path", path).bucketBy(n, *by).saveAsTable(table)
     bucket = F.pmod(F.hash(*by), F.lit(n))
@@ -100,9 +104,9 @@ def read_spread(spark: SparkSession, written: str) -> DataFrame:
     return spark.read.table(written) if written.startswith(f"{SCRATCH}.") else spark.read.parquet(written)
 
 
-def spread_rows(df: DataFrame, by: Sequence[str], buckets: int | None = None) -> DataFrame:
+def spread_rows(df: DataFrame, by: Sequence[str], buckets: int | None = None, rows: int | None = None) -> DataFrame:
     """The rows from a copy that ``write_spread`` makes now."""
-    return read_spread(df.sparkSession, write_spread(df, by, buckets))
+    return read_spread(df.sparkSession, write_spread(df, by, buckets, rows))
 
 
 def write_gold(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "overwrite") -> int:

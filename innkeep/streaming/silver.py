@@ -7,10 +7,12 @@ outcome is a part of a ``Snapshots`` table; the number of the batch is published
 with it, so a batch that comes again changes nothing. Reading merges the bookings
 that the batches since the last ``compact`` have touched; all others pass as they are,
 unless the batches hold many rows: then one merge of all moves less than looking up.
+Many rows are grouped in a packed copy that is spread by booking, in place of a shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,15 +21,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from innkeep.contracts import BOOKING_COLUMNS, CRITICAL_COLUMNS, STREAM_TAG, with_missing_as_null
 from innkeep.functions import quoted
-from innkeep.operators.cleaning import COPIES, NULL_CRITICAL, REASON, accepted, any_null, audit, judged
-from innkeep.operators.dedup import keep_latest
+from innkeep.operators.cleaning import (
+    COMPLETE, COPIES, NULL_CRITICAL, REASON, accepted, any_null, audit, judged, packed_bookings, unpacked_bookings,
+)
+from innkeep.operators.dedup import keep_latest, packed_rows
 from innkeep.plans.silver import as_text, finish
 from innkeep.sources.snapshots import ConflictError, Part, Snapshots, Version
+from innkeep.sources.tables import spread_rows
 
 COLUMNS = [*BOOKING_COLUMNS, "data_source"]
 BUCKETS = 64
-# New rows up to this number are looked up among the old ones by broadcast.
+# New rows up to this number are looked up among the old ones by broadcast, and shuffled.
 FEW = 100_000
+# A compaction deals a bucket to its tasks in slots of about so many rows.
+SLOT = 50_000
 _COMPLETE = f"not {any_null(CRITICAL_COLUMNS)}"
 
 
@@ -43,17 +50,24 @@ class SilverStream:
 
     # -- writing --
 
-    def absorb(self, rows: DataFrame, batch: int, source: str = STREAM_TAG, stream: str = "bookings") -> bool:
+    def absorb(
+        self, rows: DataFrame, batch: int, source: str = STREAM_TAG, stream: str = "bookings", count: bool = True
+    ) -> bool:
         """Add raw rows as batch number ``batch`` of a stream; False if they are there already.
 
-        Batches of one stream come in the order of their numbers.
+        Batches of one stream come in the order of their numbers. Rows are counted to tell
+        whether they are few; without ``count`` they are taken for many.
         """
         if self.table.done((stream, batch)):
             return False
         raw = with_missing_as_null(as_text(rows), BOOKING_COLUMNS).withColumn("data_source", F.lit(source)).select(*COLUMNS)
-        nulls = raw.where(f"not ({_COMPLETE})").selectExpr("*", f"1L as {COPIES}")
-        kept = keep_latest(raw.where(_COMPLETE), ["booking_id"], latest=["booking_date"], count_as=COPIES)
-        part = self.table.stage(kept.unionByName(nulls))
+        nulls, complete, packed = raw.where(f"not ({_COMPLETE})"), raw.where(_COMPLETE), None
+        size = raw.count() if count else None
+        if size is None or size > FEW:
+            copy = spread_rows(packed_bookings(raw), ["booking_id"], rows=size)
+            nulls, packed = unpacked_bookings(copy.where(f"not {COMPLETE}"), COLUMNS), copy.where(COMPLETE)
+        kept = keep_latest(complete, ["booking_id"], ["booking_date"], COPIES, rows=packed)
+        part = self.table.stage(kept.unionByName(nulls.selectExpr("*", f"1L as {COPIES}")))
         self._add(part, f"batch/{stream}/{batch}", (stream, batch))
         return True
 
@@ -88,10 +102,16 @@ class SilverStream:
         touched = {r[0] for r in new.where(_COMPLETE).selectExpr(f"{_bucket(self.buckets)} as b").distinct().collect()}
         old = [f"bucket/{b}" for b in touched if f"bucket/{b}" in now.parts]
         rows = self.table.read(now.number, old).unionByName(new.where(_COMPLETE))
-        merged = keep_latest(rows, ["booking_id"], latest=["booking_date"], count_as="_copies", weight=COPIES)
-        merged = merged.withColumnRenamed("_copies", COPIES).selectExpr("*", f"{_bucket(self.buckets)} as _bucket")
+        size = sum(now.parts[k].rows for k in [*batches, *old])
+        many = size > FEW
+        if many:  # what is merged slot by slot comes out with few buckets to a task, and is written as it is
+            slots = self.buckets * (1 + size // (self.buckets * SLOT))
+            merged = self._merged(rows.selectExpr("*", f"{_bucket(slots)} as _slot"), size, ["_slot"])
+        else:
+            merged = self._merged(rows)
+        merged = merged.selectExpr("*", f"{_bucket(self.buckets)} as _bucket")
         parts = {k: p for k, p in now.parts.items() if k not in batches and k not in old}
-        written = self.table.stage(merged, ["_bucket"])
+        written = self.table.stage(merged, ["_bucket"], dealt=many)
         sizes = {
             r["_bucket"]: r["n"]
             for r in self.table.staged(written).groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()
@@ -101,6 +121,16 @@ class SilverStream:
         parts[f"nulls/{now.number}"] = self.table.stage(new.where(f"not ({_COMPLETE})"))
         return self.table.publish(parts, now.struct(), (), now)
 
+    @staticmethod
+    def _merged(rows: DataFrame, many: int = 0, within: Sequence[str] = ()) -> DataFrame:
+        """Of rows that are survivors of parts, one a booking. ``many`` are written for it now."""
+        packed = None
+        if many:
+            packed = packed_rows(rows, ["booking_id"], ["booking_date"], [COPIES, *within])
+            packed = spread_rows(packed, within or ["booking_id"], rows=many)
+        kept = keep_latest(rows, ["booking_id"], ["booking_date"], "_copies", COPIES, within, packed)
+        return kept.withColumnRenamed("_copies", COPIES)
+
     # -- reading --
 
     def tagged(self) -> DataFrame:
@@ -111,15 +141,13 @@ class SilverStream:
         new = self.table.read(now.number, batches)
         old = self.table.read(now.number, [k for k in names if k.startswith("bucket/")])
         changed = new.where(_COMPLETE)
-        merge = lambda rows: keep_latest(
-            rows, ["booking_id"], latest=["booking_date"], count_as="_copies", weight=COPIES
-        ).withColumnRenamed("_copies", COPIES)
         if sum(now.parts[k].rows for k in batches) <= FEW:
             ids = F.broadcast(changed.select(F.col("booking_id").alias("_id")).distinct())
             same = F.col("booking_id") == F.col("_id")
-            kept = old.join(ids, same, "left_anti").unionByName(merge(old.join(ids, same, "left_semi").unionByName(changed)))
+            touched = old.join(ids, same, "left_semi").unionByName(changed)
+            kept = old.join(ids, same, "left_anti").unionByName(self._merged(touched))
         else:  # the look-ups would shuffle the old rows twice, unpacked
-            kept = merge(old.unionByName(changed))
+            kept = self._merged(old.unionByName(changed), now.rows)
         nulls = new.where(f"not ({_COMPLETE})").unionByName(
             self.table.read(now.number, [k for k in names if k.startswith("nulls/")])
         )

@@ -219,3 +219,42 @@ def test_booking_stream_reads_a_spread_copy(spark, tmp_path):
     want = to_silver_from(combine(*fx.batch_and_stream(spark, sf)), AT).bookings.drop("silver_load_at")
     got = registry.all_queries()["booking_stream"](spark, sf)
     assert rows(got) == rows(want) and got.columns == want.columns and "Exchange" not in _plan(got)
+
+
+def test_many_rows_of_silver_are_grouped_in_spread_copies(spark, tmp_path, monkeypatch):
+    def sent(*changes):
+        data = [tuple({**GOOD, **c}.get(n) for n in BOOKING_COLUMNS) for c in changes]
+        return spark.createDataFrame(data, ", ".join(f"{c} string" for c in BOOKING_COLUMNS))
+
+    batches = [
+        sent({}, {}, {"booking_id": "B2"}, {"city": None}, {"booking_id": None}),
+        sent({"booking_date": "2025-01-02"}, {"booking_id": "B3"}, {"booking_id": "B3", "city": ""}, {"city": None}),
+        sent({"booking_id": "B2", "booking_date": None}, {"booking_id": "B4"}, {"booking_id": None}),
+    ]
+    few, many = (SilverStream(spark, str(tmp_path / n), buckets=4) for n in ("few", "many"))
+    for number, batch in enumerate(batches):
+        few.absorb(batch, number)
+        with monkeypatch.context() as patched:
+            patched.setattr(streaming, "FEW", 0)
+            patched.setattr(streaming, "SLOT", 1)
+            many.absorb(batch, number, count=number > 0)
+            if number < 2:
+                many.compact()
+            got = many.tagged()
+        if number < 2:
+            few.compact()
+        assert rows(got) == rows(few.tagged()) and got.columns == few.tagged().columns
+        parts = [{k: p.rows for k, p in s.table.version().parts.items()} for s in (few, many)]
+        assert parts[0] == parts[1]
+        assert rows(many.audit()) == rows(few.audit())
+    assert "Exchange" not in _plan(got)
+
+
+def test_dealt_rows_are_not_shuffled_to_be_written(spark, tmp_path, frame, monkeypatch):
+    seen = []
+    monkeypatch.setattr(stored, "_counted", lambda df, f=stored._counted: seen.append(_plan(df)) or f(df))
+    df = frame("k v", [("a", "1"), ("b", "2")])
+    for dealt in (False, True):
+        assert stored.write_files(df, f"{tmp_path}/{dealt}", ["k"], dealt) == 2
+        assert rows(spark.read.parquet(f"{tmp_path}/{dealt}").select("k", "v")) == rows(df)
+    assert ["Exchange" in plan for plan in seen] == [True, False]
